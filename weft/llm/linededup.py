@@ -7,7 +7,8 @@ its three lines. Marked positions of a text are merged and those lines removed;
 Plan: one scan hashes lines and emits windows (hashes, no text); a partial aggregate finds repeated
 windows, which are stored; the windows then meet only the repeated ones in an equi-join whose sides
 are plain exchanges, so AQE splits a window that a third of all rows share; marked positions are
-gathered per text (bounded by its own lines) and joined to the texts.
+gathered per text (bounded by its own lines) and joined to the texts. Both joins are always sort-merge
+joins, so the plan is the same at every size and nothing that grows is broadcast.
 
 Cases: a null text stays null, an empty one stays empty; texts of fewer than three non-blank lines
 are never changed; rows that repeat an id and a text are one occurrence and get the same result; a
@@ -54,10 +55,10 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     place = F.struct("doc_id", "key", "at")
     repeated = seen.groupBy("a", "b").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1")
     repeated = stored(spark, repeated.select(F.col("a").alias("ra"), F.col("b").alias("rb"), "first"), "windows")
-    later = seen.join(repeated, (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(~place.eqNullSafe(F.col("first")))
+    later = seen.join(repeated.hint("merge"), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(~place.eqNullSafe(F.col("first")))
     marks = later.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_set("covers"))).alias(OWN + "marks"))
     marks = stored(spark, marks.withColumnRenamed("key", OWN + "mark_key"), "marks")
-    joined = docs.withColumn(OWN + "key", _identity()).join(marks, F.col(OWN + "key") == F.col(OWN + "mark_key"), "left")
+    joined = docs.withColumn(OWN + "key", _identity()).join(marks.hint("merge"), F.col(OWN + "key") == F.col(OWN + "mark_key"), "left")
     kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(OWN + "marks", i))
     text = F.when(F.col(OWN + "marks").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     removed = F.coalesce(F.size(OWN + "marks"), F.lit(0)).cast("long")
