@@ -5,10 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import linededup, quality, toxicity
+from weft.llm import linededup, mixing, neardup, quality, toxicity, warc
 from weft.llm.common import OWN, table
 
 
+def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source")
+    return mixing.scheduled(spark, docs).select("doc_id", "source", F.col(OWN + "block").alias("block"), F.col(OWN + "slot").alias("slot"), F.col(OWN + "position").alias("position"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(spark, table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -48,9 +61,24 @@ select d.doc_id, case when d.text is null then null else coalesce(k.text, '') en
 from documents d left join kept k using (doc_id)
 """
 
+OP3_SQL = """
+with p as (
+  select page_id, coalesce(html, '') as body, sha1(coalesce(html, '')) as payload_digest, strlen(coalesce(html, '')) as payload_bytes from pages
+), m as (
+  select *, max(page_id) over (partition by body) as top from p
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id <> top then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id <> top then top end as refers_to
+from m
+"""
+
 QUERIES = {
+    "op1_mix_sources": op1_mix_sources,
+    "op3_warc": op3_warc,
+    "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLE_SQL = {"op10_line_dedup": OP10_SQL}
+ORACLE_SQL = {"op3_warc": OP3_SQL, "op10_line_dedup": OP10_SQL}
