@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import linededup, mixing, neardup, quality, toxicity, warc
+from weft.llm import linededup, mixing, neardup, quality, tokens, toxicity, warc
 from weft.llm.common import OWN, table
 
 
@@ -14,10 +14,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.scheduled(spark, docs).select("doc_id", "source", F.col(OWN + "block").alias("block"), F.col(OWN + "slot").alias("slot"), F.col(OWN + "position").alias("position"))
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.encoded(spark, table(spark, sf_dir, "documents"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_counts(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(spark, table(spark, sf_dir, "documents"))
 
@@ -75,7 +83,9 @@ from m
 
 QUERIES = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_warc": op3_warc,
+    "op4_token_counts": op4_token_counts,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op9_toxicity": op9_toxicity,
