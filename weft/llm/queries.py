@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm import ann, linededup, mixing, neardup, quality, tokens, toxicity, warc
+from weft.llm import ann, linededup, lm, mixing, neardup, quality, tokens, toxicity, warc
 from weft.llm.common import OWN, table
 
 
@@ -34,6 +34,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.assess(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(spark, table(spark, sf_dir, "embeddings"))
 
@@ -92,6 +96,7 @@ QUERIES = {
     "op4_token_counts": op4_token_counts,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality_rules": op6_quality_rules,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_nearest_neighbours": op8_nearest_neighbours,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
