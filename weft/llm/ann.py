@@ -5,7 +5,8 @@ with its cell and code. A query visits its nearest cells, as many as a
 brute-force search within the sample shows to be needed for the recall asked for. Within a cell, blocks of vectors and slices
 of queries are met one pair at a time: an asymmetric distance table for each query picks the most
 promising codes of the block, whose original vectors are then ranked exactly in double precision, and
-only each block's best leave the task. Both salts follow the counts of the cells, so a cell that holds
+only each block's best leave the task, and of them only those within the distance of the query's
+k-th nearest sample row, which bounds its k-th nearest row. Both salts follow the counts of the cells, so a cell that holds
 a third of all vectors, or of all queries, is many small groups.
 
 Cases: vectors that are null, zero, hold null or non-finite components, or have another length than
@@ -56,8 +57,8 @@ def distances(x: np.ndarray, c: np.ndarray) -> np.ndarray:
 class Index:
     """Centroids, codebooks and, once counted, the number of vectors of each cell."""
 
-    def __init__(self, sample: np.ndarray, rows: int, seed: int = 7):
-        self.dim = sample.shape[1]
+    def __init__(self, sample: np.ndarray, ids: np.ndarray, rows: int, seed: int = 7):
+        self.dim, self.sample, self.sample_ids = sample.shape[1], sample, ids
         self.cells = kmeans(sample, int(np.clip(np.sqrt(rows), 1, 4096)), 8, seed)
         rest = sample - self.cells[distances(sample, self.cells).argmin(1)]
         self.bounds = np.linspace(0, self.dim, min(PARTS, self.dim) + 1).astype(int)
@@ -90,6 +91,18 @@ class Index:
             total += distances(rest[:, a:b], book)[:, codes[:, k]]
         return total
 
+    def reach(self, q: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+        """The distance of the k-th nearest sample row other than the query's own: an upper bound of that among all rows."""
+        out = np.full(len(q), np.inf)
+        for i in range(0, len(q), 256):
+            d = distances(q[i : i + 256], self.sample)
+            d[ids[i : i + 256, None] == self.sample_ids[None]] = np.inf
+            if d.shape[1] > k:
+                best = np.argpartition(d, k - 1, axis=1)[:, :k]
+                exact = np.sqrt(((self.sample[best] - q[i : i + 256, None]) ** 2).sum(2)).max(1) * (1 + 1e-12)
+                out[i : i + 256] = np.where(np.isinf(np.take_along_axis(d, best, axis=1)).any(1), np.inf, exact)
+        return out
+
     def enough_probes(self, sample: np.ndarray, k: int, recall: float, queries: int = 256) -> int:
         """Probes that meet the share ``recall`` of the ``k`` nearest sample vectors of some sample queries.
 
@@ -124,7 +137,7 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).toPandas()
     known = np.stack(sample["v"].to_numpy())
-    index = Index(known, n)
+    index = Index(known, sample["vec_id"].to_numpy(), n)
     probes = index.enough_probes(known, k, recall)
     shared = spark.sparkContext.broadcast(index)
     rerank = max(rerank, k)
@@ -146,12 +159,14 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
 
     def plan(batches):
         for b in batches:
-            visit = shared.value.probes(_matrix(b.column(1), shared.value.dim), counts, probes, 4 * k)
+            q = _matrix(b.column(1), shared.value.dim)
+            visit = shared.value.probes(q, counts, probes, 4 * k)
+            reach = pa.array(shared.value.reach(q, b.column(0).to_numpy(), k))
             sizes = [len(v) for v in visit]
             at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(visit).astype(np.int64) if visit else np.zeros(0, np.int64)), b.column(0).take(at), b.column(1).take(at)], ["cell", "query_id", "q"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(visit).astype(np.int64) if visit else np.zeros(0, np.int64)), b.column(0).take(at), b.column(1).take(at), reach.take(at)], ["cell", "query_id", "q", "reach"])
 
-    asked = stored(spark, rows.filter(F.col("vec_id") % every == 0).mapInArrow(plan, "cell long, query_id long, q array<double>"), "queries")
+    asked = stored(spark, rows.filter(F.col("vec_id") % every == 0).mapInArrow(plan, "cell long, query_id long, q array<double>, reach double"), "queries")
     asking = {r["cell"]: r["n"] for r in asked.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     slices = np.array([-(-asking.get(c, 0) // QUERY_SLICE) for c in range(len(index.cells))])
 
@@ -159,7 +174,7 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
     salts = F.broadcast(spark.createDataFrame([(c, int(blocks[c]), int(slices[c])) for c in range(len(blocks)) if slices[c]], "cell long, blocks int, slices int"))
     salt = lambda c, m: F.pmod(F.xxhash64(c), F.col(m)).cast("int")
     left = indexed.join(salts, "cell").select("cell", salt("vec_id", "blocks").alias("block"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), "vec_id", "code", "v")
-    right = asked.join(salts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), salt("query_id", "slices").alias("slice"), "query_id", "q")
+    right = asked.join(salts, "cell").select("cell", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), salt("query_id", "slices").alias("slice"), "query_id", "q", "reach")
 
     def meet(key: tuple, mine: pd.DataFrame, queries: pd.DataFrame) -> pd.DataFrame:
         if not len(mine) or not len(queries):
@@ -167,7 +182,7 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
         mine = mine.sort_values("vec_id", kind="stable")
         ids, x = mine["vec_id"].to_numpy(), np.stack(mine["v"].to_numpy())
         codes = np.frombuffer(b"".join(mine["code"]), np.uint8).reshape(len(mine), -1)
-        asked_ids, points = queries["query_id"].to_numpy(), np.stack(queries["q"].to_numpy())
+        asked_ids, bounds, points = queries["query_id"].to_numpy(), queries["reach"].to_numpy(), np.stack(queries["q"].to_numpy())
         got, step = [], max(1, 2_000_000 // max(len(ids), rerank * x.shape[1]))
         for lo in range(0, len(points), step):
             q, own = points[lo : lo + step], asked_ids[lo : lo + step]
@@ -177,6 +192,7 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
             best = np.sort(np.argsort(near, axis=1, kind="stable")[:, :rerank], axis=1)
             exact = np.sqrt(((x[best] - q[:, None]) ** 2).sum(2))
             exact[np.isinf(np.take_along_axis(near, best, axis=1))] = np.inf
+            exact[exact > bounds[lo : lo + step, None]] = np.inf
             top = np.argsort(exact, axis=1, kind="stable")[:, :k]
             found = pd.DataFrame({"query_id": np.repeat(own, top.shape[1]), "vec_id": ids[np.take_along_axis(best, top, axis=1)].ravel(), "score": np.take_along_axis(exact, top, axis=1).ravel()})
             got.append(found[np.isfinite(found["score"])])
