@@ -5,8 +5,8 @@ with its cell and code. A query visits its nearest cells, as many as a
 brute-force search within the sample shows to be needed for the recall asked for. Within a cell, blocks of vectors and slices
 of queries are met one pair at a time: an asymmetric distance table for each query picks the most
 promising codes of the block, whose original vectors are then ranked exactly in double precision, and
-only each block's best leave the task, and of them only those within the distance of the query's
-k-th nearest sample row, which bounds its k-th nearest row. Both salts follow the counts of the cells, so a cell that holds
+only each block's best leave the task, and of them only those within a distance in which
+the sample rows of the visited cells already give twice the rows asked for. Both salts follow the counts of the cells, so a cell that holds
 a third of all vectors, or of all queries, is many small groups.
 
 Cases: vectors that are null, zero, hold null or non-finite components, or have another length than
@@ -60,7 +60,8 @@ class Index:
     def __init__(self, sample: np.ndarray, ids: np.ndarray, rows: int, seed: int = 7):
         self.dim, self.sample, self.sample_ids = sample.shape[1], sample, ids
         self.cells = kmeans(sample, int(np.clip(np.sqrt(rows), 1, 4096)), 8, seed)
-        rest = sample - self.cells[distances(sample, self.cells).argmin(1)]
+        self.sample_cells = distances(sample, self.cells).argmin(1)
+        rest = sample - self.cells[self.sample_cells]
         self.bounds = np.linspace(0, self.dim, min(PARTS, self.dim) + 1).astype(int)
         self.books = [kmeans(rest[:, a:b], CODES, 6, seed + i) for i, (a, b) in enumerate(zip(self.bounds, self.bounds[1:]))]
 
@@ -91,12 +92,16 @@ class Index:
             total += distances(rest[:, a:b], book)[:, codes[:, k]]
         return total
 
-    def reach(self, q: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
-        """The distance of the k-th nearest sample row other than the query's own: an upper bound of that among all rows."""
-        out = np.full(len(q), np.inf)
+    def reach(self, q: np.ndarray, ids: np.ndarray, visit: list[np.ndarray], k: int) -> np.ndarray:
+        """A distance within which the visited cells hold ``k`` rows for sure: that of the 2k-th nearest of their sample rows."""
+        out, k = np.full(len(q), np.inf), 2 * k
         for i in range(0, len(q), 256):
             d = distances(q[i : i + 256], self.sample)
             d[ids[i : i + 256, None] == self.sample_ids[None]] = np.inf
+            seen = np.zeros((len(d), len(self.cells)), bool)
+            for row, cells in zip(seen, visit[i : i + 256]):
+                row[cells] = True
+            d[~seen[:, self.sample_cells]] = np.inf
             if d.shape[1] > k:
                 best = np.argpartition(d, k - 1, axis=1)[:, :k]
                 exact = np.sqrt(((self.sample[best] - q[i : i + 256, None]) ** 2).sum(2)).max(1) * (1 + 1e-12)
@@ -110,7 +115,7 @@ class Index:
         """
         q = sample[np.linspace(0, len(sample) - 1, min(queries, len(sample))).astype(int)]
         near = np.argsort(distances(q, sample), axis=1)[:, 1 : k + 1]
-        cell = distances(sample, self.cells).argmin(1)[near]
+        cell = self.sample_cells[near]
         order = np.argsort(np.argsort(distances(q, self.cells), axis=1), axis=1)
         ranks = np.take_along_axis(order, cell, axis=1).ravel()
         return int(np.quantile(ranks, recall, method="higher")) + 1 if len(ranks) else len(self.cells)
@@ -161,7 +166,7 @@ def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 10
         for b in batches:
             q = _matrix(b.column(1), shared.value.dim)
             visit = shared.value.probes(q, counts, probes, 4 * k)
-            reach = pa.array(shared.value.reach(q, b.column(0).to_numpy(), k))
+            reach = pa.array(shared.value.reach(q, b.column(0).to_numpy(), visit, k))
             sizes = [len(v) for v in visit]
             at = pa.array(np.repeat(np.arange(len(sizes)), sizes))
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(visit).astype(np.int64) if visit else np.zeros(0, np.int64)), b.column(0).take(at), b.column(1).take(at), reach.take(at)], ["cell", "query_id", "q", "reach"])
