@@ -33,7 +33,8 @@ from pyspark.sql import functions as F
 from weft.llm.common import fresh_path, stored
 
 LEAST_BYTES = 1000
-SPLIT_BYTES = 8 << 20
+SPLIT_BYTES = 4 << 20
+MOST_TASKS = 20_000
 READ_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 _BAD = re.compile(r"[\x00-\x20\x7f]")
@@ -174,7 +175,9 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES,
     those its headers state; those of a response are counted from its payload and held against its header."""
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     splits = files.select("path", "bytes", F.explode(starts).alias("start"))
-    splits = splits.repartition(F.col("path"), F.col("start"))
+    # one task for each range, however small its row: a count that AQE doesn't coalesce
+    splits = stored(spark, splits, "splits")
+    splits = splits.repartition(max(1, min(splits.count(), MOST_TASKS)), "path", "start")
 
     def run(batches):
         for b in batches:
