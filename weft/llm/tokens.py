@@ -29,7 +29,7 @@ from weft.llm.common import stored
 from weft.llm.pieces import FREE, SPACE_MARK, PieceModel, encoder, joints, ragged, solve, walk
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 1_500_000
 GIANT_CHARS = 65_536
 MIDDLE = ("middle", 0)
 _tags = count()
