@@ -129,6 +129,8 @@ class Texts:
     @cached_property
     def lines(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lines split at \\n that hold a word: starts, ends, text."""
+        if not len(self.data):
+            return (np.zeros(0, np.int64),) * 3
         breaks = np.flatnonzero(self.data == 10)
         start = np.union1d(self.offs[:-1], breaks + 1)
         start = start[start < len(self.data)]
