@@ -69,7 +69,7 @@ def test_pairs(spark):
     assert [r[1] for r in rows(chat.pair_status(made), "ord", "status")] == ["degenerate", "accepted", "duplicate", "blank"]
     tree = spark.createDataFrame([("r", None, "user", "q", 1), ("a", "r", "assistant", "one", 2), ("b", "r", "assistant", "two", 3), ("c", "a", "assistant", "deep", 4), ("z", None, "user", "late", 9), ("y", "z", "assistant", "early", 5)], "message_id string, parent_id string, role string, text string, ord long")
     assert rows(chat.replies(tree), "id") == [("a",), ("b",)]
-    queue = chat.review_queue(made.select("ord", "instruction"))
+    queue = chat.review_queue(spark, made.select("ord", "instruction"))
     prior = spark.createDataFrame([(1, "accepted"), (9, "rejected")], "id long, status string")
     assert rows(chat.merge_reviews(queue, prior), "id", "status")[1] == (1, "accepted")
 

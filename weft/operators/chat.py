@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weft.functions import text as X
+from weft.operators.clean import running_total
 
 
 def first_truthy(*names: str) -> Column:
@@ -57,6 +60,19 @@ def native_set(rows: DataFrame, instruction: str, response: str, source: str | N
     return out.orderBy(order).limit(limit) if limit is not None else out
 
 
+def instruction_set(rows: DataFrame, limit: int | None = None, order: str = "ord") -> DataFrame:
+    """Pairs of a local instruction file: the first filled of each side's field names; rows lacking a side go."""
+    have = lambda names: first_truthy(*(n for n in names if n in rows.columns))
+    out = rows.select(order, have(("instruction", "prompt", "input")).alias("instruction"), have(("response", "output", "completion")).alias("response"))
+    out = out.filter("instruction <> '' and response <> ''")
+    return out.orderBy(order).limit(limit) if limit is not None else out
+
+
+def branches(*parts: DataFrame, order: str = "ord") -> DataFrame:
+    """All rows of the parts in their order: (branch, order) sorts them."""
+    return reduce(DataFrame.unionByName, (p.withColumn("branch", F.lit(i)) for i, p in enumerate(parts)))
+
+
 def pair_status(pairs: DataFrame, order: str = "ord") -> DataFrame:
     """Pairs with status accepted, degenerate, duplicate or blank, in order of arrival.
 
@@ -72,9 +88,9 @@ def pair_status(pairs: DataFrame, order: str = "ord") -> DataFrame:
     return met.withColumn("status", status).drop("bad", "first")
 
 
-def review_queue(pairs: DataFrame, order: str = "ord") -> DataFrame:
-    """Positional ids from 0 and status pending; rank within id order."""
-    return pairs.withColumn("id", (F.row_number().over(Window.orderBy(order)) - 1).cast("long")).withColumn("status", F.lit("pending"))
+def review_queue(spark: SparkSession, pairs: DataFrame, order: str = "ord") -> DataFrame:
+    """Positional ids from 0 in the given order, by a distributed running count, and status pending."""
+    return running_total(spark, pairs.withColumn("one", F.lit(1)), order, "one", "id").drop("one").withColumn("status", F.lit("pending"))
 
 
 def merge_reviews(queue: DataFrame, prior: DataFrame) -> DataFrame:
@@ -104,3 +120,13 @@ def mock_translate(text: Column, language: str) -> Column:
 def with_context(rows: DataFrame, contexts: DataFrame, n: int) -> DataFrame:
     """Row i with context i modulo ``n`` (columns i, context; n contexts numbered from 0)."""
     return rows.withColumn("c", F.pmod(F.col("i"), F.lit(n))).join(F.broadcast(contexts.select(F.col("i").alias("c"), "context")), "c").drop("c")
+
+
+def context_windows(calls: DataFrame, contexts: DataFrame, n: int, width: int = 5) -> DataFrame:
+    """For call i the ``width`` contexts from number i * ``width`` on, going round (fewer if there are fewer).
+
+    ``contexts`` are the first few texts of a corpus (i, context), numbered from 0 to n - 1.
+    """
+    offsets = F.explode(F.sequence(F.lit(0), F.lit(min(width, n) - 1))).alias("slot")
+    asked = calls.select("i", offsets).withColumn("c", F.pmod(F.col("i") * width + F.col("slot"), F.lit(n)))
+    return asked.join(F.broadcast(contexts.select(F.col("i").alias("c"), "context")), "c").select("i", "slot", "context")

@@ -91,3 +91,28 @@ def parse_pairs(replies: DataFrame) -> DataFrame:
     body = F.regexp_extract("reply", "(?s)\\[.*\\]", 0)
     rows = replies.select("id", F.posexplode(F.from_json(body, "array<struct<instruction string, response string>>")).alias("i", "x"))
     return rows.select("id", "i", "x.instruction", "x.response").filter("coalesce(instruction, '') <> '' and coalesce(response, '') <> ''")
+
+
+def aligned(source: DataFrame, target: DataFrame, limit: int) -> DataFrame:
+    """(id, source, target): rows of two translations that share an id, the first ``limit`` in order of id."""
+    met = source.select("id", F.col("text").alias("source")).join(target.select("id", F.col("text").alias("target")), "id")
+    return met.orderBy("id").limit(limit)
+
+
+def letter_items(rows: DataFrame, options: tuple[str, ...] = ("option_a", "option_b", "option_c", "option_d")) -> DataFrame:
+    """Items with prompt, options and gold index from an answer letter; rows without a valid letter go."""
+    letter = F.upper(F.trim(F.col("answer").cast("string")))
+    gold = F.array_position(F.array(*(F.lit(chr(65 + i)) for i in range(len(options)))), letter) - 1
+    items = rows.select("id", F.concat("question", F.lit("\nAnswer:")).alias("prompt"), F.array(*options).alias("options"), gold.cast("int").alias("gold"))
+    return items.filter("gold >= 0")
+
+
+def passage_items(rows: DataFrame) -> DataFrame:
+    """Items with prompt, options and gold index from a passage, a question and an answer number from 1."""
+    prompt = F.concat("passage", F.lit("\nQuestion: "), "question", F.lit("\nAnswer:"))
+    return rows.select("id", prompt.alias("prompt"), F.array(*(f"answer{i}" for i in range(1, 5))).alias("options"), (F.col("number").cast("int") - 1).alias("gold"))
+
+
+def verdicts(scores: DataFrame, items: DataFrame) -> DataFrame:
+    """Whether the best choice of each item is its gold index."""
+    return best_choice(scores).join(items.select(F.col("id").alias("item"), "gold"), "item").select("item", (F.col("choice") == F.col("gold")).alias("correct"))

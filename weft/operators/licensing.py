@@ -58,7 +58,7 @@ def release_license(provenance: DataFrame) -> str:
     return row["license"]
 
 
-def attributions(provenance: DataFrame) -> DataFrame:
+def attributions(provenance: DataFrame, *by: str) -> DataFrame:
     """One line for each licensed source."""
     url = F.when(F.coalesce("url", F.lit("")) != "", F.concat(F.lit(" — "), "url")).otherwise("")
-    return provenance.filter("coalesce(license, '') <> ''").select("source", F.concat("source", F.lit(" ("), "license", F.lit(")"), url).alias("line"))
+    return provenance.filter("coalesce(license, '') <> ''").select(*by, "source", F.concat("source", F.lit(" ("), "license", F.lit(")"), url).alias("line"))

@@ -1,19 +1,42 @@
-"""The cleaning plan end to end: shards in, shards and a data card out."""
+"""The cleaning plan end to end: documents in, shards and a data card out."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.operators import clean
+from weft.functions import text as X
+from weft.operators import clean, similarity
 from weft.sources.files import write_shards
+from weft.storage import stored
 
 
-def clean_corpus(spark: SparkSession, docs: DataFrame, out: str, **options) -> dict:
-    """Writes the kept, scrubbed documents to ``out`` and returns the data card with counts by source."""
-    kept = clean.scrubbed(clean.cleaned(spark, docs, **options)).select("text", "source", F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")).alias("meta"))
-    write_shards(kept, out)
-    card = clean.data_card(spark, docs, **options).first().asDict()
+def clean_corpus(spark: SparkSession, docs: DataFrame, out: str, near: bool = False, exact: bool = True, scrub: bool = True, **options) -> dict:
+    """Writes the kept documents to ``out`` and returns the data card with counts by source.
+
+    ``exact`` drops later equal canonical texts, ``near`` also those similar to an earlier kept one, and
+    ``scrub`` replaces personal data; counts of tokens and characters are of what is written.
+    """
+    rows = clean.judged(docs, **options)
+    rows = clean.with_duplicates(spark, rows) if exact or near else rows
+    rows = stored(spark, rows.select("doc_id", "text", "source", "reason"), "decided")
+    if near:
+        pairs = similarity.similar_pairs(spark, similarity.word_sets(rows.filter("reason is null")))
+        gone = similarity.greedy_drops(spark, pairs).withColumn("gone", F.lit(True))
+        rows = rows.join(gone, "doc_id", "left").withColumn("reason", F.coalesce("reason", F.when(F.col("gone"), F.lit("duplicate")))).drop("gone")
+    kept = rows.filter("reason is null")
+    kept = clean.scrubbed(kept) if scrub else kept.withColumns({c: F.lit(0) for c in ("n_email", "n_url", "n_num")})
+    kept = stored(spark, kept, "kept")
+    write_shards(kept.select("text", "source", F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")).alias("meta")), out)
+    drops = {r["reason"]: r["count"] for r in rows.groupBy("reason").count().collect()}
+    by_source = kept.groupBy("source").agg(
+        F.count("*").alias("n"),
+        F.sum(F.size(X.blank_words(F.col("text")))).alias("tokens"),
+        F.sum(F.length("text")).alias("chars"),
+        F.sum(F.col("n_email") + F.col("n_url") + F.col("n_num")).alias("pii"),
+    )
     # one row for each source of the catalogue
-    card["per_source"] = {r["source"]: r["n"] for r in kept.groupBy("source").agg(F.count("*").alias("n")).collect()}
-    return card
+    met = by_source.collect()
+    total = lambda c: sum(r[c] or 0 for r in met)
+    card = {"docs_in": sum(drops.values()), "docs_out": total("n"), "tokens_out": total("tokens"), "chars_out": total("chars"), "pii_redactions": total("pii")}
+    return card | {r: drops.get(r, 0) for r in clean.REASONS} | {"per_source": {r["source"]: r["n"] for r in met}}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weft.functions import text as X
 from weft.operators import chat, clean, evaluation, licensing, similarity, tokens
-from weft.sources.files import moses_pairs
+from weft.sources.files import moses_pairs, smol_target
 from weft.storage import spread, table
 
 QUERIES: dict = {}
@@ -196,8 +196,8 @@ def oasst_pairing(spark, d):
     return chat.replies(tree).select("id", "instruction", "response")
 
 
-# every third pair repeats the instruction of the pair before it in other case, so that keys collide
-MADE = f"{TURNS}, made as (select ord, case when ord % 3 = 0 then translate(coalesce(prev, instruction), 'aei', 'AEI') || ' ' else instruction end as instruction, case when ord % 7 = 0 then 'no no no no no no no' else response end as response from (select *, lag(instruction) over (order by ord) as prev from (select conv_id * 1000 + turn as ord, instruction, response from turns)))"
+# every third pair repeats the instruction of the pair before it in its conversation, in other case, so that keys collide
+MADE = f"{TURNS}, made as (select ord, case when ord % 3 = 0 then translate(coalesce(prev, instruction), 'aei', 'AEI') || ' ' else instruction end as instruction, case when ord % 7 = 0 then 'no no no no no no no' else response end as response from (select *, lag(instruction) over (partition by ord // 1000 order by ord) as prev from (select conv_id * 1000 + turn as ord, instruction, response from turns)))"
 STATUS = (
     MADE
     + r""", keyed as (select *, lower(regexp_replace(instruction, '^\s+|\s+$', '', 'g')) as key from made),
@@ -212,8 +212,7 @@ def _made(spark, d):
     from pyspark.sql.window import Window
 
     rows = _pairs(spark, d)
-    # conversations order their turns; the pair before may be of another conversation, so ids are ranked once
-    prev = F.lag("instruction").over(Window.orderBy("ord"))
+    prev = F.lag("instruction").over(Window.partitionBy(F.floor(F.col("ord") / 1000)).orderBy("ord"))
     rows = rows.withColumn("prev", prev)
     instruction = F.when(F.col("ord") % 3 == 0, F.concat(F.translate(F.coalesce("prev", "instruction"), "aei", "AEI"), F.lit(" "))).otherwise(F.col("instruction"))
     response = F.when(F.col("ord") % 7 == 0, F.lit("no no no no no no no")).otherwise(F.col("response"))
@@ -244,7 +243,7 @@ QUEUE = f"{TURNS}, queue as (select row_number() over (order by conv_id, turn) -
 
 
 def _queue(spark, d):
-    queue = chat.review_queue(_pairs(spark, d).select("ord", "instruction", "response"))
+    queue = chat.review_queue(spark, _pairs(spark, d).select("ord", "instruction", "response"))
     prior = queue.filter("id % 3 <> 0").select("id", F.when(F.col("id") % 2 == 0, "accepted").otherwise("rejected").alias("status"))
     return queue, prior
 
@@ -398,6 +397,92 @@ def bootstrap_ci(spark, d):
     return evaluation.bootstrap(rows)
 
 
+# three fields of each side, of which the first filled counts; every fifth row has no response
+@query("select doc_id as ord, case when doc_id % 3 = 0 then lang else text end as instruction, text as response from documents where doc_id % 5 <> 0 and text <> '' and (doc_id % 3 <> 0 or lang <> '')")
+def instruction_set(spark, d):
+    c = F.col("doc_id")
+    pick = lambda k, v: F.when(c % 3 == k, F.col(v)).otherwise("")
+    rows = _docs(spark, d).select(c.alias("ord"), pick(0, "lang").alias("instruction"), pick(1, "text").alias("prompt"), pick(2, "text").alias("input"), F.when(c % 5 != 0, F.col("text")).alias("output"))
+    return chat.instruction_set(rows)
+
+
+@query(f"with {TURNS} select 0 as branch, conv_id * 1000 + turn as ord, '[Test] ' || regexp_replace(regexp_replace(instruction, '^\\s+|\\s+$', '', 'g'), '\\s+', ' ', 'g') as instruction from turns union all select 1, doc_id, lang from documents where text <> '' and lang <> '' union all select 2, i, 'pair ' || i from range(45) r(i)")
+def convdata_branches(spark, d):
+    first = _pairs(spark, d).select("ord", chat.mock_translate(F.col("instruction"), "Test").alias("instruction"))
+    second = chat.native_set(_docs(spark, d), "lang", "text", order="doc_id").select(F.col("doc_id").alias("ord"), "instruction")
+    third = spark.range(45).select(F.col("id").alias("ord"), F.concat(F.lit("pair "), F.col("id").cast("string")).alias("instruction"))
+    return chat.branches(first, second, third)
+
+
+@query("with c as (select row_number() over (order by doc_id) - 1 as c, text from (select * from documents order by doc_id limit 20)) select i, slot, text as context from range(9) r(i), range(5) s(slot) join c on c = (i * 5 + slot) % 20")
+def rotating_contexts(spark, d):
+    contexts = tokens.positional(_docs(spark, d).select("doc_id", "text").orderBy("doc_id").limit(20), "doc_id").select(F.col("pos").alias("i"), F.col("text").alias("context"))
+    return chat.context_windows(spark.range(9).withColumnRenamed("id", "i"), contexts, 20).withColumn("slot", F.col("slot").cast("long"))
+
+
+@query("with j as (select id, unnest(from_json(body, '[{\"instruction\":\"VARCHAR\",\"response\":\"VARCHAR\"}]')) as x, generate_subscripts(from_json(body, '[{\"instruction\":\"VARCHAR\",\"response\":\"VARCHAR\"}]'), 1) - 1 as i from (select doc_id as id, '[{\"instruction\": \"' || lang || '\", \"response\": \"' || source || '\"}, {\"instruction\": \"\", \"response\": \"x\"}]' as body from documents)) select id, i, x.instruction as instruction, x.response as response from j where x.instruction <> '' and x.response <> ''")
+def teacher_pair_parse(spark, d):
+    reply = F.format_string('Here they are: [{"instruction": "%s", "response": "%s"}, {"instruction": "", "response": "x"}] Done.', F.col("lang"), F.col("source"))
+    return evaluation.parse_pairs(_docs(spark, d).select(F.col("doc_id").alias("id"), reply.alias("reply"))).withColumn("i", F.col("i").cast("long"))
+
+
+@query(f"with {QUEUE}, p as (select id, 'reviewed' as status, (id % 5 + 1)::int as fluency from queue where id % 4 = 0 union all select id, 'pending', 9 from queue where id % 4 = 1) select q.id, coalesce(p.status, q.status) as status, p.fluency from queue q left join p on p.id = q.id and p.status <> 'pending'")
+def output_review_merge(spark, d):
+    blank = {"correctness": F.lit(None).cast("int"), "correction": F.lit(""), "notes": F.lit("")}
+    queue = _queue(spark, d)[0].withColumn("fluency", F.lit(None).cast("int")).withColumns(blank)
+    done = F.when(F.col("id") % 4 == 0, "reviewed").otherwise("pending")
+    rated = F.when(F.col("id") % 4 == 0, F.col("id") % 5 + 1).otherwise(9).cast("int")
+    prior = queue.filter("id % 4 < 2").withColumn("status", done).withColumn("fluency", rated)
+    return chat.merge_output_reviews(queue, prior).select("id", "status", "fluency")
+
+
+@query("select s.turn + s.conv_id * 1000 as id, s.text as source, t.text as target from conversations s join conversations t on t.conv_id = s.conv_id and t.turn = s.turn + 1 where s.role = 'user' order by id limit 100")
+def aligned_pairs(spark, d):
+    rows = table(spark, d, "conversations")
+    key = lambda k: (F.col("conv_id") * 1000 + F.col("turn") - k).alias("id")
+    return evaluation.aligned(rows.filter("role = 'user'").select(key(0), "text"), rows.select(key(1), "text"), 100)
+
+
+@query("select doc_id as id, lang || chr(10) || 'Answer:' as prompt, (doc_id % 6)::int as gold from documents where doc_id % 6 < 4")
+def letter_items(spark, d):
+    letter = F.concat(F.lit(" "), F.substring(F.lit("abcdxy"), (F.col("doc_id") % 6 + 1).cast("int"), F.lit(1)))
+    rows = _docs(spark, d).select(F.col("doc_id").alias("id"), F.col("lang").alias("question"), letter.alias("answer"), *(F.lit(x).alias(f"option_{x}") for x in "abcd"))
+    return evaluation.letter_items(rows).select("id", "prompt", "gold")
+
+
+@query("select item_id as id, text || chr(10) || 'Question: which' || chr(10) || 'Answer:' as prompt, (item_id % 4)::int as gold from benchmark")
+def passage_items(spark, d):
+    rows = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("passage"), F.lit("which").alias("question"), (F.col("item_id") % 4 + 1).alias("number"), *(F.lit(str(i)).alias(f"answer{i}") for i in range(1, 5)))
+    return evaluation.passage_items(rows).select("id", "prompt", "gold")
+
+
+@query("with s as (select doc_id // 4 as item, doc_id % 4 as idx, (n_chars % 97)::double as score from documents), c as (select item, arg_max(idx, (score, -idx)) as choice from s group by 1) select item, choice = item % 4 as correct from c")
+def choice_verdicts(spark, d):
+    s = _docs(spark, d).select(F.floor(F.col("doc_id") / 4).cast("long").alias("item"), (F.col("doc_id") % 4).alias("idx"), (F.col("n_chars") % 97).cast("double").alias("score"))
+    return evaluation.verdicts(s, s.select(F.col("item").alias("id")).distinct().withColumn("gold", F.col("id") % 4))
+
+
+_TGT = "(1, 'one', array('a', 'b')), (2, '', array('c', 'd')), (3, null, array('e')), (4, null, cast(null as array<string>)), (5, '', cast(null as array<string>))"
+
+
+@query("select id, target from (values (1, 'one'), (2, 'c'), (3, 'e')) v(id, target)")
+def smol_targets(spark, d):
+    rows = spark.sql(f"select * from values {_TGT} as v(id, trg, trgs)")
+    return rows.select("id", smol_target().alias("target")).filter("target <> ''")
+
+
+@query(f"with {CLEAN}, tk as (select doc_id, unnest(list_append({WS % 't'}, '</s>')) as token, generate_subscripts(list_append({WS % 't'}, '</s>'), 1) as i from kept where t <> ''), placed as (select token, row_number() over (order by doc_id, i) - 1 as pos from tk) select pos // 128 as block, string_agg(token, ' ' order by pos) as tokens from placed where pos // 128 < 88 group by 1 having count(*) = 128")
+def budgeted_packing(spark, d):
+    blocks = tokens.packed(spark, clean.cleaned(spark, _docs(spark, d)), 128, tokens.block_budget(10, 2, 4))
+    return blocks.select("block", F.array_join("tokens", " ").alias("tokens"))
+
+
+@query("select doc_id, lang || 'یک' || source || '0123' || doc_id as text from documents")
+def script_rules(spark, d):
+    made = F.concat("lang", F.lit("يكـ"), "source", F.lit("٠١٢۳"), F.col("doc_id").cast("string"))
+    return _docs(spark, d).select("doc_id", X.normalize(made, digits=True, rules=("persian_yeh_kaf",)).alias("text"))
+
+
 # ---- licences
 _PROV = "('a', 's1', 'CC-BY-4.0'), ('a', 's2', 'CC-BY-SA-4.0'), ('b', 's1', 'CC0-1.0'), ('b', 's2', 'pd'), ('c', 's1', 'CC-BY-SA-4.0'), ('c', 's2', 'CC-BY-SA-3.0'), ('d', 's1', 'CC-BY-NC-4.0'), ('d', 's2', 'mit'), ('e', 's1', 'mixed'), ('f', 's1', 'MIT'), ('f', 's2', 'Apache-2.0'), ('g', 's1', null), ('h', 's1', 'unknown')"
 _in = lambda xs: "('" + "', '".join(xs) + "')"
@@ -424,3 +509,9 @@ def html_main_text(spark, d):
     from weft.sources.files import extract
 
     return table(spark, d, "pages").select("page_id", extract(F.col("html")).alias("text"))
+
+
+@query(f"select corpus, source, source || ' (' || license || ')' as line from {_values(_PROV, 'corpus, source, license')} where coalesce(license, '') <> ''")
+def attribution_lines(spark, d):
+    rows = spark.sql(f"select *, cast(null as string) as url from values {_PROV} as v(corpus, source, license)")
+    return licensing.attributions(rows, "corpus")
