@@ -1,53 +1,15 @@
-"""Shared storage helpers: stage tables in the folder that all executors see."""
+"""What the operators of this package share."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+
+from weft.storage import fresh_path, nullable, shared_dir, stored, table  # noqa: F401
 
 #: Prefix of every helper column, so that columns of the input never clash with them.
 OWN = "__weft_"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not path:
-        path = f"file://{tempfile.mkdtemp(prefix='weft-')}"
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/weft-{name}-{uuid.uuid4().hex}"
-
-
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
-
-    It cuts lineage: a lost executor costs tasks, never an earlier stage. The table has its own
-    plain scan, so a later join gets exchanges that AQE can split when a key is hot.
-    """
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(nullable(df.schema)).parquet(path)
-
-
-def nullable(schema: StructType) -> StructType:
-    out = StructType()
-    for f in schema.fields:
-        out.add(f.name, f.dataType, True, f.metadata)
-    return out
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def fold(column, modulus: int = 5):
     """crc32 of the id as text, modulo ``modulus``; a null id falls in no fold (null)."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % modulus
