@@ -59,7 +59,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame) -> DataFrame:
     marks = later.groupBy("key").agg(F.array_distinct(F.flatten(F.collect_set("covers"))).alias(OWN + "marks"))
     marks = stored(spark, marks.withColumnRenamed("key", OWN + "mark_key"), "marks")
     joined = docs.withColumn(OWN + "key", _identity()).join(marks.hint("merge"), F.col(OWN + "key") == F.col(OWN + "mark_key"), "left")
-    kept = F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(OWN + "marks", i))
-    text = F.when(F.col(OWN + "marks").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.coalesce(F.size(OWN + "marks"), F.lit(0)).cast("long")
-    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns), F.when(F.col(OWN + "marks").isNull(), 0).otherwise(removed).cast("long").alias(OWN + "removed"))
+    # the kept positions by a hash set, so a text of very many removed lines costs no more than its length;
+    # the lines are used twice, which keeps their split out of the function over positions
+    marked, lines = F.col(OWN + "marks"), F.col(OWN + "lines")
+    joined = joined.withColumn(OWN + "lines", F.when(marked.isNotNull(), F.split("text", "\n", -1)))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), marked)
+    text = F.when(marked.isNull(), F.col("text")).otherwise(F.array_join(F.transform(places, lambda i: F.get(lines, i)), "\n"))
+    removed = F.when(marked.isNull(), 0).otherwise(F.size(marked))
+    return joined.select(*(text.alias(c) if c == "text" else F.col(c) for c in docs.columns), removed.cast("long").alias(OWN + "removed"))
