@@ -2,8 +2,9 @@
 
 Writer: one gzip member for each record (WARC/1.1). Payloads of ``least_bytes`` or more that are equal
 (SHA-1 and length) are stored once, in the response record of the largest page_id; the others become
-revisit records that refer to it. Tasks write files into a shared folder under a name of their own
-attempt and rename it, so a repeated task can't leave half a file.
+revisit records that refer to it. Each attempt of a task writes a hidden file in a shared folder and
+gives it a name of its own at the end; only the files of attempts that Spark commits are listed, so
+neither a lost nor a repeated task leaves half a file or another's records.
 
 Reader: archives are cut in byte ranges. A task scans its range for the gzip magic, takes a place as
 a member only if its header decodes and its content starts with the WARC version, and owns the
@@ -97,16 +98,15 @@ def write(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
     def run(batches):
         fs, base = filesystem(path)
         fs.create_dir(base, recursive=True)
-        part = TaskContext.get().partitionId()
-        mine, size = f"{base}/.{part}-{uuid.uuid4().hex}", 0
+        own = f"{TaskContext.get().partitionId():05d}-{uuid.uuid4().hex}"
+        mine, size = f"{base}/.{own}", 0
         with fs.open_output_stream(mine) as out:
             for b in batches:
                 for row in zip(*(c.to_pylist() for c in b.columns)):
                     size += out.write(record_bytes(*row, row[4] is not None))
-        name = f"{base}/part-{part:05d}.warc.gz"
         if size:
-            fs.move(mine, name)
-            yield pa.RecordBatch.from_arrays([pa.array([f"{path}/part-{part:05d}.warc.gz"]), pa.array([size])], ["path", "bytes"])
+            fs.move(mine, f"{base}/part-{own}.warc.gz")
+            yield pa.RecordBatch.from_arrays([pa.array([f"{path}/part-{own}.warc.gz"]), pa.array([size])], ["path", "bytes"])
         else:
             fs.delete_file(mine)
 
