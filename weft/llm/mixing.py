@@ -13,7 +13,7 @@ numbered on its own, and bucket counts are summed up to offsets.
 
 Cases: a null source is a source of its own; an empty table gives an empty result; repeated rows are
 rows each, in an arbitrary but fixed order; a source without target weight takes part with weight
-``default``; rows without id come first in their bucket.
+``default``; rows without id come first in their bucket; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -107,16 +107,16 @@ def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None,
     ranked = ranked.withColumn(OWN + "index", index).withColumn(OWN + "block", F.floor(index / block_rows).cast("long"))
 
     kind = T.StructType(
-        [T.StructField("ps", docs.schema["source"].dataType)]
-        + [T.StructField(c, T.LongType()) for c in ("lo", "hi", "start", "total", "w")]
-        + [T.StructField("slots", T.ArrayType(T.LongType()))]
+        [T.StructField(OWN + "ps", docs.schema["source"].dataType)]
+        + [T.StructField(OWN + c, T.LongType()) for c in ("lo", "hi", "start", "total", "w")]
+        + [T.StructField(OWN + "slots", T.ArrayType(T.LongType()))]
     )
     # one row for each source and phase: bounded by the square of the number of sources
     steps = F.broadcast(spark.createDataFrame(plan, kind))
-    block = F.col(OWN + "block")
-    placed = ranked.join(steps, F.col("source").eqNullSafe(F.col("ps")) & (block >= F.col("lo")) & (block < F.col("hi")))
-    k = block - F.col("lo")
-    slot = F.col("start") + F.floor(k / F.col("w")).cast("long") * F.col("total") + F.get("slots", (k % F.col("w")).cast("int"))
+    block, own = F.col(OWN + "block"), lambda c: F.col(OWN + c)
+    placed = ranked.join(steps, F.col("source").eqNullSafe(own("ps")) & (block >= own("lo")) & (block < own("hi")))
+    k = block - own("lo")
+    slot = own("start") + F.floor(k / own("w")).cast("long") * own("total") + F.get(own("slots"), (k % own("w")).cast("int"))
     placed = placed.withColumn(OWN + "slot", slot)
     position = F.col(OWN + "slot") * block_rows + F.col(OWN + "index") % block_rows
     return placed.select(*docs.columns, OWN + "block", OWN + "slot", position.alias(OWN + "position"))
