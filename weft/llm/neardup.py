@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import OWN, stored
 from weft.llm.components import components
-from weft.llm.textbatch import Texts, U, mix, slices, windows
+from weft.llm.textbatch import Texts, U, lean, mix, slices, windows
 
 WORDS, SIMILAR = 5, 0.8
 BANDS, ROWS = 24, 4
@@ -106,6 +106,7 @@ def sketched(docs: DataFrame) -> DataFrame:
         F.when(lone, F.xxhash64(F.lit(5), "doc_id")).otherwise(F.xxhash64(F.lit(7), F.col("text"))).alias("k2"),
     )
 
+    @lean
     def run(batches):
         for b in batches:
             keys, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
@@ -122,6 +123,7 @@ def sketched(docs: DataFrame) -> DataFrame:
 def shingle_sets(texts: DataFrame) -> DataFrame:
     """(v, s): the sorted distinct shingle hashes of each text, as bytes."""
 
+    @lean
     def run(batches):
         for b in batches:
             sets = []
@@ -137,6 +139,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
 def verified(spark: SparkSession, pairs: DataFrame, sets: DataFrame, similar: float) -> DataFrame:
     """Those of the distinct pairs (a, b) whose shingle sets have the Jaccard similarity or more."""
 
+    @lean
     def run(batches):
         for b in batches:
             good = np.zeros(b.num_rows, bool)
@@ -173,6 +176,7 @@ def _rest_pairs(spark: SparkSession, members: DataFrame, labels: DataFrame, sets
     if not rest.limit(1).count():
         return None
 
+    @lean
     def tokens(batches):
         for b in batches:
             sets_ = [np.frombuffer(x.as_buffer(), np.int64) for x in b.column(1)]

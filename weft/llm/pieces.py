@@ -22,7 +22,7 @@ SPACE_MARK = "▁"
 FREE = -1
 #: Longer segments, and those with runs of blanks (whose pieces tie), are solved one by one.
 TRIE_LENGTH = 48
-CACHE_SEGMENTS = 800_000
+CACHE_SEGMENTS = 500_000
 
 
 class PieceModel:

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.textbatch import SPACE, U, mix, repeated, slices, windows
+from weft.llm.textbatch import SPACE, U, lean, mix, repeated, slices, windows
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Features of the trees and the direction in which each may move the score (0: free).
@@ -143,6 +143,7 @@ def fit(x: np.ndarray, y: np.ndarray, signs: list[int], trees: int = 60, depth:
 def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and the features (an array) of the rows that pass the base rule."""
 
+    @lean
     def run(batches):
         for b in batches:
             counts, features = statistics(b.column(1))
@@ -181,6 +182,7 @@ def assess(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: f
     """doc_id, COUNTS, base_failed, quality (the trees' probability) and kept for every row, in one scan."""
     shared = spark.sparkContext.broadcast(train(docs, labels, sample_rows))
 
+    @lean
     def run(batches):
         for b in batches:
             counts, failed, p = _verdict(shared.value, b.column(1))
@@ -195,6 +197,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold
     shared = spark.sparkContext.broadcast(train(docs, labels, sample_rows))
     at = docs.columns.index("text")
 
+    @lean
     def run(batches):
         for b in batches:
             _, failed, p = _verdict(shared.value, b.column(at))

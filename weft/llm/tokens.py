@@ -27,9 +27,10 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import stored
 from weft.llm.pieces import FREE, SPACE_MARK, PieceModel, encoder, joints, ragged, solve, walk
+from weft.llm.textbatch import lean
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-SLICE_CHARS = 1_500_000
+SLICE_CHARS = 1_000_000
 GIANT_CHARS = 65_536
 MIDDLE = ("middle", 0)
 _tags = count()
@@ -76,6 +77,7 @@ def token_counts(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_P
     """doc_id, n_pretokens and n_tokens of every row."""
     shared, tag = _share(spark, model_path)
 
+    @lean
     def run(batches):
         model = shared.value
         enc = encoder(model, tag)
@@ -119,6 +121,7 @@ def decoded(spark: SparkSession, encoded: DataFrame, model_path: str = MODEL_PAT
     """doc_id and text of rows with doc_id and token_ids; null ids give a null text."""
     shared, _ = _share(spark, model_path)
 
+    @lean
     def run(batches):
         decode = _decoder(shared.value)
         for b in batches:
@@ -234,6 +237,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_tokens long, token_ids array<int>, round_trip boolean"
 
+    @lean
     def whole(batches):
         model = shared.value
         enc, decode = encoder(model, tag), _decoder(model)
@@ -250,6 +254,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
     large = F.length("text") > giant
     small = docs.filter(~F.coalesce(large, F.lit(False))).mapInArrow(whole, out)
 
+    @lean
     def cut(batches):
         model = shared.value
         for b in batches:
@@ -264,6 +269,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
     chunks = numbered.mapInArrow(cut, f"key long, doc_id {kind}, k long, marked boolean, before string, body string, after string")
     chunks = stored(spark, chunks.repartition("key", "k"), "chunks")
 
+    @lean
     def matrix(batches):
         for b in batches:
             rows = zip(*(b.column(c).to_pylist() for c in ("before", "body", "after")))
@@ -278,6 +284,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
     ways = chunks.mapInArrow(matrix, "key long, k long, m binary").groupBy("key").applyInPandas(product, "key long, k long, way binary")
     ways = stored(spark, ways, "ways")
 
+    @lean
     def trace(batches):
         model = shared.value
         enc, decode = encoder(model, tag), _decoder(model)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.common import fold
-from weft.llm.textbatch import WORDY, U, mix, slices
+from weft.llm.textbatch import WORDY, U, lean, mix, slices
 
 #: At most so many labelled ids are learnt from; those with the smallest hash of the id.
 SAMPLE_ROWS = 60_000
@@ -41,6 +41,7 @@ def tokens(t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _counts(docs: DataFrame) -> DataFrame:
     """Per token or stem: how often in toxic and other texts, and in how many toxic texts."""
 
+    @lean
     def run(batches):
         for b in batches:
             out = []
@@ -172,6 +173,7 @@ def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows:
 
     shared = spark.sparkContext.broadcast(model)
 
+    @lean
     def run(batches):
         for b in batches:
             yield pa.RecordBatch.from_arrays([pa.array(shared.value.evidence(b.column(0))), b.column(1)], ["evidence", "toxic"])
@@ -199,6 +201,7 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) ->
     """doc_id, held_out, evidence, score and predicted of every row."""
     shared = spark.sparkContext.broadcast(train(spark, docs, labels, **options))
 
+    @lean
     def run(batches):
         for b in batches:
             model = shared.value
