@@ -70,6 +70,22 @@ def test_a_project_runs_and_resumes(spark, here):
     assert said["ingest"] == "skipped" and said["clean"] == "ran" and said["export"] == "ran"
 
 
+def test_translated_and_synthetic_pairs(spark, here):
+    (here / "seed.jsonl").write_text("\n".join(map(json.dumps, [{"instruction": "say  hi", "response": "hi"}, {"prompt": "and bye", "output": "bye"}, {"instruction": "alone"}])))
+    asked = {"translate": [str(here / "seed.jsonl"), "a/hub-set"], "translate_backend": "mock", "synth": {"provider": "mock", "n": 6}, "review": False}
+    project = project_file(here, convdata=asked, stages=["ingest", "clean", "convdata"])
+    Run(spark, project).stages()
+    card = json.loads((here / "work/artifacts/convdata/convdata_card.json").read_text())
+    assert (card["generated"], card["accepted"], list(card["skipped"])) == (8, 8, ["translate:a/hub-set"])
+    pairs = spark.read.json(str(here / "work/artifacts/convdata/pairs")).orderBy("ord").collect()
+    assert [p["instruction"] for p in pairs[:2]] == ["[Made] say hi", "[Made] and bye"] and pairs[0]["source"] == f"translate:{here / 'seed.jsonl'}"
+    first = " ".join(GOOD[0].split()[:4])
+    assert pairs[2]["instruction"] == f"[Made] Question 1 ({first})?" and pairs[-1]["response"] == "[Made] Answer 6." and pairs[-1]["source"] == "synth"
+    said = Run(spark, project_file(here, convdata=asked | {"translate_backend": "nllb", "synth": {"provider": "ollama", "n": 3}}, stages=["convdata"])).stages()
+    card = json.loads((here / "work/artifacts/convdata/convdata_card.json").read_text())
+    assert said["convdata"] == "ran" and card["generated"] == 0 and set(card["skipped"]) == {f"translate:{here / 'seed.jsonl'}", "translate:a/hub-set", "synth"}
+
+
 def test_an_open_licence_stops_the_export(spark, here):
     with pytest.raises(LicenseError):
         Run(spark, project_file(here, "unknown", stages=["ingest", "export"])).stages()

@@ -117,6 +117,21 @@ def mock_translate(text: Column, language: str) -> Column:
     return F.concat(F.lit(f"[{language}] "), F.regexp_replace(X.strip(text), "(?U)\\s+", " "))
 
 
+def mock_pairs(spark: SparkSession, n: int, language: str, contexts: DataFrame | None = None, n_contexts: int = 0) -> DataFrame:
+    """A deterministic stand-in for a teacher: ``n`` numbered pairs (i, instruction, response).
+
+    With contexts (i, context) pair i asks about the first four words of context i modulo their number.
+    """
+    rows = spark.range(n).withColumnRenamed("id", "i")
+    topic = F.lit("")
+    if contexts is not None and n_contexts:
+        rows = with_context(rows, contexts, n_contexts)
+        topic = F.concat(F.lit(" ("), F.array_join(F.slice(X.blank_words(F.coalesce("context", F.lit(""))), 1, 4), " "), F.lit(")"))
+    number = (F.col("i") + 1).cast("string")
+    tag = F.lit(f"[{language}] ")
+    return rows.select("i", F.concat(tag, F.lit("Question "), number, topic, F.lit("?")).alias("instruction"), F.concat(tag, F.lit("Answer "), number, F.lit(".")).alias("response"))
+
+
 def with_context(rows: DataFrame, contexts: DataFrame, n: int) -> DataFrame:
     """Row i with context i modulo ``n`` (columns i, context; n contexts numbered from 0)."""
     return rows.withColumn("c", F.pmod(F.col("i"), F.lit(n))).join(F.broadcast(contexts.select(F.col("i").alias("c"), "context")), "c").drop("c")

@@ -306,7 +306,7 @@ class Synth:
 class ConvData:
     translate: list = opt([])
     native_sets: list = opt([], of=NativeSet)
-    translate_limit: int | None = None
+    translate_limit: int | None = 500
     translate_backend: str = opt("nllb", among=("nllb", "m2m100", "opusmt", "madlad", "teacher", "mock"))
     translate_model: str | None = None
     provider: str = opt("ollama", among=("ollama", "local", "mock"))

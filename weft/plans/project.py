@@ -8,10 +8,10 @@ from dataclasses import asdict, dataclass, field
 from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.operators import chat, clean, evaluation, licensing
+from weft.operators import chat, clean, evaluation, licensing, tokens
 from weft.plans import manifest as M
 from weft.plans.corpus import clean_corpus
 from weft.plans.profiles import Project, Source, language, profile
@@ -21,6 +21,8 @@ from weft.sources.registry import CONNECTORS, SourceUnavailable
 PROVENANCE = "source string, license string, url string"
 #: Benchmarks that any language can have, and those that need a configuration of its code.
 ALWAYS, CODED = ("native_cloze", "perplexity"), ("belebele", "global_mmlu", "flores")
+#: How many documents of the cleaned corpus synthetic pairs are about.
+CONTEXTS = 20
 
 
 def write_card(path: Path, card: dict) -> None:
@@ -30,13 +32,19 @@ def write_card(path: Path, card: dict) -> None:
 
 @dataclass
 class Run:
-    """A project with what stands in for the network: ``fetch`` by connector name, ``configs`` of benchmarks."""
+    """A project with what stands in for the network: ``fetch`` by connector name, ``configs`` of benchmarks.
+
+    ``translators`` (text, language name) and ``teachers`` (like ``chat.mock_pairs``) by backend or provider
+    name do the work of models; a project that asks for one that isn't here gets a note in its card.
+    """
 
     spark: SparkSession
     project: Project
     token: str | None = None
     fetch: dict[str, Callable[..., DataFrame]] = field(default_factory=dict)
     configs: DataFrame | None = None
+    translators: dict[str, Callable[[Column, str], Column]] = field(default_factory=lambda: {"mock": chat.mock_translate})
+    teachers: dict[str, Callable[..., DataFrame]] = field(default_factory=lambda: {"mock": chat.mock_pairs})
 
     def __post_init__(self):
         self.manifest = M.Manifest.load(self.project.folder / ".weft" / "manifest.json")
@@ -109,14 +117,54 @@ class Run:
         write_card(self.at("clean", "data_card.json"), card)
         return [str(out)], {k: card[k] for k in ("docs_in", "docs_out", "tokens_out")}
 
+    def _translated(self, skipped: dict) -> list[DataFrame]:
+        """Pairs of the instruction files to translate; ``skipped`` says why some give none."""
+        cfg, name, parts = self.project.convdata, language(self.project.language).display_name, []
+        backend = cfg.provider if cfg.translate_backend == "teacher" else cfg.translate_backend
+        translate = self.translators.get(backend)
+        for path in cfg.translate:
+            if translate is None or not Path(path).is_file():
+                skipped[f"translate:{path}"] = f"no translator {backend} here" if translate is None else "not a local file"
+                continue
+            rows = self.spark.read.json(path).withColumn("ord", F.monotonically_increasing_id())
+            got = chat.instruction_set(rows, cfg.translate_limit)
+            parts.append(got.select("ord", *(translate(F.col(c), name).alias(c) for c in ("instruction", "response")), F.lit(f"translate:{path}").alias("source")))
+        return parts
+
+    def _native(self, skipped: dict) -> list[DataFrame]:
+        parts = []
+        for s in [*language(self.project.language).instruction_sources, *self.project.convdata.native_sets]:
+            if not Path(s.repo).is_file():
+                skipped[f"native:{s.repo}"] = "not a local file"
+                continue
+            rows = self.spark.read.json(s.repo).withColumn("ord", F.monotonically_increasing_id())
+            select = (s.select_field, s.select_value) if s.select_field else None
+            got = chat.native_set(rows, s.instruction_field, s.response_field, s.source_field if s.source_field in rows.columns else None, tuple(s.exclude), select, s.limit)
+            parts.append(got.withColumn("source", F.lit(f"native:{s.repo}")))
+        return parts
+
+    def _synthetic(self, skipped: dict) -> list[DataFrame]:
+        """Pairs of the teacher, about the first documents of the cleaned corpus if they are to be."""
+        synth = self.project.convdata.synth
+        if not synth or not synth.n:
+            return []
+        teacher = self.teachers.get(synth.provider)
+        if teacher is None:
+            skipped["synth"] = f"no teacher {synth.provider} here"
+            return []
+        docs = self._corpus("clean") if synth.ground_in_corpus else None
+        about: tuple = ()
+        if docs is not None:
+            first = tokens.positional(docs.select("doc_id", "text").orderBy("doc_id").limit(CONTEXTS), "doc_id")
+            contexts = clean.stored(self.spark, first.select(F.col("pos").alias("i"), F.col("text").alias("context")), "contexts")
+            about = (contexts, contexts.count())
+        pairs = teacher(self.spark, synth.n, language(self.project.language).display_name, *about)
+        return [pairs.select(F.col("i").alias("ord"), "instruction", "response", F.lit("synth").alias("source"))]
+
     def _convdata(self):
-        cfg, parts = self.project.convdata, []
-        for i, s in enumerate([*language(self.project.language).instruction_sources, *cfg.native_sets]):
-            if Path(s.repo).is_file():  # sets of the hub need a network
-                rows = self.spark.read.json(s.repo).withColumn("ord", F.monotonically_increasing_id())
-                select = (s.select_field, s.select_value) if s.select_field else None
-                got = chat.native_set(rows, s.instruction_field, s.response_field, s.source_field if s.source_field in rows.columns else None, tuple(s.exclude), select, s.limit)
-                parts.append(got.withColumns({"branch": F.lit(i), "source": F.lit(s.repo)}))
+        cfg, skipped = self.project.convdata, {}
+        parts = [*self._translated(skipped), *self._native(skipped), *self._synthetic(skipped)]
+        parts = [p.withColumn("branch", F.lit(i)) for i, p in enumerate(parts)]
         outputs = [str(self.at("convdata", n)) for n in ("pairs", "review_queue", "accepted")]
         metrics = {"generated": 0, "degenerate_dropped": 0, "deduped": 0, "accepted": 0}
         if parts:
@@ -133,7 +181,7 @@ class Run:
             for out, df in zip(outputs, (good, queue, accepted)):
                 df.write.mode("overwrite").json(out)
             metrics = {"generated": sum(n.values()), "degenerate_dropped": n.get("degenerate", 0), "deduped": n.get("accepted", 0), "accepted": accepted.count()}
-        write_card(self.at("convdata", "convdata_card.json"), metrics)
+        write_card(self.at("convdata", "convdata_card.json"), metrics | ({"skipped": skipped} if skipped else {}))
         return outputs if parts else [], {k: metrics[k] for k in ("accepted", "deduped")}
 
     def _evaluate(self):

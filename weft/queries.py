@@ -273,11 +273,10 @@ def mock_translate(spark, d):
     return _pairs(spark, d).select("conv_id", "turn", chat.mock_translate(F.col("instruction"), "Test").alias("translated"))
 
 
-@query("select i, 'Tell me about: ' || left(text, 60) as instruction from range(45) r(i) join (select row_number() over (order by doc_id) - 1 as c, text from (select * from documents order by doc_id limit 20)) on c = i % 20")
+@query(f"with first as (select row_number() over (order by doc_id) - 1 as c, {WS % "coalesce(text, '')"} as ws from (select * from documents order by doc_id limit 20)) select i, '[Test] Question ' || (i + 1) || ' (' || array_to_string(ws[1:4], ' ') || ')?' as instruction, '[Test] Answer ' || (i + 1) || '.' as response from range(45) r(i) join first on c = i % 20")
 def mock_synth(spark, d):
     contexts = tokens.positional(_docs(spark, d).select("doc_id", "text").orderBy("doc_id").limit(20), "doc_id").select(F.col("pos").alias("i"), F.col("text").alias("context"))
-    rows = chat.with_context(spark.range(45).withColumnRenamed("id", "i"), contexts, 20)
-    return rows.select("i", F.concat(F.lit("Tell me about: "), F.substring("context", 1, 60)).alias("instruction"))
+    return chat.mock_pairs(spark, 45, "Test", contexts, 20)
 
 
 @query("select s.turn as line, s.text as src, t.text as tgt from conversations s join conversations t on t.conv_id = 1 and s.conv_id = 0 and s.turn = t.turn where trim(s.text) <> '' and trim(t.text) <> ''")
