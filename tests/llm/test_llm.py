@@ -265,3 +265,18 @@ def test_pipeline(spark):
         out = stage(spark, extra, DATA)
         assert out.columns == extra.columns, name
         assert stage(spark, extra.limit(0), DATA).count() == 0
+
+
+def test_language_model_keeps_every_count(spark):
+    rng = random.Random(8)
+    signs = "abcdefghijklmnopqrstuvwxyz0123456789!?.,;:()[]{}<>+-*/=_&%$#@~^"
+    docs = frame(spark, ["".join(rng.choice(signs) for _ in range(20_000)) for _ in range(45)] + ODD).cache()
+    learnt = [r for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 1]
+    counts = lm.corpus_counts(docs.filter(F.col("doc_id").isin([r["doc_id"] for r in learnt])), lm.ORDER).cache()
+    whole = lm.train(spark, counts, lm.ORDER, 10**9)
+    assert sum(len(level.codes) for level in whole.levels) > 2_000_000
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark, docs).collect()}
+    for r in docs.collect():
+        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
+        codes, _ = lm.grams(lm.Texts(data, np.array([0, len(data)])).lowered(), lm.ORDER)
+        assert got[r["doc_id"]] == pytest.approx(whole.log10(codes).sum())

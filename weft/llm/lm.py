@@ -7,11 +7,13 @@ trie nest. The probability of a symbol seen n times among T in the longest known
 the next shorter context, where symbols of the longer one are excluded; below all contexts, unseen
 symbols are equal. The model is pretrained: scoring a text doesn't change it.
 
-The trie is sorted arrays. Its size is bounded: a node stays if it was seen ``t`` times, ``t`` being
-the smallest power of two with which all levels fit ``most_nodes``; one threshold for all levels keeps
-them nested, and what a context loses is reached by escape, so probabilities still sum to one.
+The model keeps every count of the corpus and is never on one machine. Rows form groups; a group's
+distinct (context, symbol) codes are dealt into shards by the last BASE symbols of the context. All levels
+from BASE up that a code needs lie in its shard, the shorter ones (at most 257 ** BASE nodes) are
+broadcast, so a shard builds its part of the trie and rates the codes of all groups exactly as the
+whole trie would. The rated codes go back to their groups, whose texts add them up.
 
-The word unigram beside it is exact: frequent words are looked up in a table bounded the same way,
+The word unigram beside it is exact: the most frequent words are looked up in a bounded table,
 all others are joined with the stored counts of all training words.
 
 Cases: a null or empty text is one end symbol (one token); a null id is in no fold and is learnt
@@ -24,16 +26,25 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.dataset as pads
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fold, stored
-from weft.llm.textbatch import Texts, lean, slices
+from weft.llm.common import fold, fresh_path, stored
+from weft.llm.textbatch import Texts, U, lean, mix, slices
+from weft.llm.warc import filesystem
 
 ORDER = 5
 END, PAD, SYMBOLS = 256, 257, 257
 BITS = 9
-MOST_NODES = 2_000_000
+#: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
+BASE = 3
+#: 2 ** GROUP_BITS neighbouring rows are a group; a shard is made for so many bytes of text.
+GROUP_BITS = 14
+SHARD_BYTES = 8 << 20
+#: Codes that a task holds before it hands them on.
+HELD_CODES = 2_000_000
+LEVEL, WORD_COUNTS = -1, -2
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
 END_WORD = 1
@@ -176,12 +187,128 @@ def train(spark: SparkSession, counts: DataFrame, order: int, most_nodes: int) -
     return Trie(levels)
 
 
-def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_nodes: int = MOST_NODES, most_words: int = MOST_WORDS) -> DataFrame:
+def marginals(codes: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted codes of ``order`` (that of the symbol and so many predecessors) with their summed counts."""
+    low = codes & ((1 << (BITS * (order + 1))) - 1)
+    sort = np.argsort(low)
+    low, n = low[sort], n[sort]
+    at = np.flatnonzero(np.append(True, low[1:] != low[:-1])) if len(low) else np.zeros(0, int)
+    return low[at], np.add.reduceat(n, at) if len(at) else n
+
+
+def _packed(codes: np.ndarray) -> bytes:
+    return np.diff(codes, prepend=np.int64(0)).tobytes()
+
+
+def _unpacked(data) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, np.int64))
+
+
+def _grouped(rows: np.ndarray):
+    """(group, first, end) of neighbouring rows of one group."""
+    group = rows >> GROUP_BITS
+    cut = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+    return [(int(group[a]), a, z) for a, z in zip(cut, cut[1:]) if z > a]
+
+
+def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
+    """(group, shard, codes, n): each group's distinct codes with their counts in learnt rows, packed.
+
+    Shard LEVEL holds the counts of the longest level that is broadcast, WORD_COUNTS those of words.
+    """
+    base = min(BASE, order)
+
+    def rows_of(group: int, parts: list, words: list) -> pa.RecordBatch:
+        codes, n = _tally(parts)
+        shard = (mix(((codes >> BITS) & ((1 << (BITS * base)) - 1)).view(U)) % U(shards)).astype(np.int64)
+        sort = np.lexsort((codes, shard))
+        codes, n, shard = codes[sort], n[sort], shard[sort]
+        cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
+        out = [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
+        seen = n > 0
+        if base and seen.any():
+            low, m = marginals(codes[seen], n[seen], base - 1)
+            out.append((LEVEL, _packed(low), m.tobytes()))
+        if words:
+            keys, m = _tally(words)
+            out.append((WORD_COUNTS, _packed(keys), m.tobytes()))
+        names = ["group", "shard", "codes", "n"]
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(out), group, np.int64)), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names)
+
+    @lean
+    def run(batches):
+        at, parts, words, size = None, [], [], 0
+        for b in batches:
+            learnt = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            for group, lo, hi in _grouped(b.column(0).to_numpy()):
+                if group != at and parts:
+                    yield rows_of(at, parts, words)
+                    parts, words, size = [], [], 0
+                at = group
+                for row, to, t in slices(b.column(2).slice(lo, hi - lo)):
+                    t, mine = t.lowered(), learnt[lo + row : lo + to]
+                    code, unique = pd.factorize(grams(t, order)[0])
+                    weight = np.repeat(mine, np.diff(t.offs) + 1).astype(float)
+                    parts.append((unique, np.bincount(code, weight, len(unique)).astype(np.int64)))
+                    if mine.any():
+                        words.append(_counted(t.word_hash.view(np.int64)[mine[t.owner(t.words[2])]]))
+                    size += len(unique)
+                    if size > 2 * HELD_CODES:
+                        parts, words = [_tally(parts)], [_tally(words)] if words else []
+                        size = len(parts[0][0])
+                        if size > HELD_CODES:
+                            yield rows_of(at, parts, words)
+                            parts, words, size = [], [], 0
+        if parts:
+            yield rows_of(at, parts, words)
+
+    return numbered.select("row", "learnt", "text").mapInArrow(run, "group long, shard long, codes binary, n binary")
+
+
+def unpacked(packed: DataFrame) -> DataFrame:
+    """(key, n): the sums of packed counts."""
+
+    @lean
+    def run(batches):
+        for b in batches:
+            for codes, n in zip(b.column(0), b.column(1)):
+                keys, m = _unpacked(codes.as_buffer()), np.frombuffer(n.as_buffer(), np.int64)
+                for i in range(0, len(keys), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 100_000]), pa.array(m[i : i + 100_000])], ["key", "n"])
+
+    return packed.select("codes", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
+    """(group, codes, logs): log10 probability of each code of each group, by the counts of all groups."""
+    base = min(BASE, order)
+    low = unpacked(pairs.filter(F.col("shard") == LEVEL)).toArrow()
+    shared = spark.sparkContext.broadcast((low["key"].to_numpy(), low["n"].to_numpy()))
+
+    def run(table: pa.Table) -> pa.Table:
+        parts = [(_unpacked(c.as_buffer()), np.frombuffer(n.as_buffer(), np.int64)) for c, n in zip(table["codes"], table["n"])]
+        codes, n = _tally(parts)
+        keys, counts = shared.value
+        below = [marginals(keys, counts, k) for k in range(base)]
+        seen = n > 0
+        levels = [Level(*x) for x in below] + [Level(*marginals(codes[seen], n[seen], k)) for k in range(base, order + 1)]
+        sort = np.argsort(codes)
+        logs = Trie(levels).log10(codes)[sort]
+        codes = codes[sort]
+        values = [logs[np.searchsorted(codes, c)].tobytes() for c, _ in parts]
+        return pa.table({"group": table["group"], "codes": table["codes"], "logs": pa.array(values, pa.binary())})
+
+    return pairs.filter("shard >= 0").groupBy("shard").applyInArrow(run, "group long, codes binary, logs binary")
+
+
+def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    learnt = docs.filter(F.coalesce(fold("doc_id") != 1, F.lit(True)))
-    counts = stored(spark, corpus_counts(learnt, order), "counts")
-    n_texts = learnt.count()
-    words = counts.filter("kind = 0").select("key", "n")
+    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(fold("doc_id") != 1, F.lit(True)).alias("learnt"), "text")
+    numbered = stored(spark, numbered, "numbered")
+    seen = numbered.agg(F.count_if("learnt").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n_texts = seen["n"]
+    pairs = stored(spark, group_counts(numbered, order, 1 + seen["bytes"] // SHARD_BYTES), "pairs")
+    words = stored(spark, unpacked(pairs.filter(F.col("shard") == WORD_COUNTS)), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_texts, sums["v"] + (n_texts > 0)
     scale = float(np.log10(total + 0.5 * (distinct + 1)))
@@ -191,36 +318,49 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_nodes:
     keys = frequent["key"].to_numpy(np.int64)[sort]
     logs = np.log10(frequent["n"].to_numpy(float)[sort] + 0.5) - scale
     end_log = float(np.log10(n_texts + 0.5) - scale)
-    shared = spark.sparkContext.broadcast((train(spark, counts, order, most_nodes), keys, logs))
+    shared = spark.sparkContext.broadcast((keys, logs))
+    path = fresh_path(spark, "rated")
+    rated_codes(spark, pairs, order).repartition("group").write.partitionBy("group").parquet(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
+    def table_of(group: int) -> tuple[np.ndarray, np.ndarray]:
+        fs, base = filesystem(path)
+        rows = pads.dataset(f"{base}/group={group}", filesystem=fs, format="parquet").to_table(["codes", "logs"])
+        codes = np.concatenate([_unpacked(x.as_buffer()) for x in rows["codes"]])
+        values = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in rows["logs"]])
+        sort = np.argsort(codes)
+        return codes[sort], values[sort]
+
     @lean
     def run(batches):
-        trie, keys, logs = shared.value
+        keys, logs = shared.value
+        at_group, codes_known, values = None, None, None
         for b in batches:
             outs = []
-            for row, to, t in slices(b.column(2)):
-                t = t.lowered()
-                codes, first = grams(t, order)
-                code, unique = pd.factorize(codes)
-                ppm = np.add.reduceat(trie.log10(unique)[code], first)
-                h = t.word_hash.view(np.int64)
-                begin = t.words[2]
-                code, unique = pd.factorize(h)
-                at = np.minimum(np.searchsorted(keys, unique), max(len(keys) - 1, 0))
-                hit = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
-                value = np.where(hit, logs[at] if len(keys) else 0.0, 0.0)[code]
-                common = hit[code]
-                owner = t.owner(begin)
-                base = np.bincount(owner, value, t.n) + end_log
-                known = np.bincount(owner, common, t.n).astype(np.int64)
-                rare = np.bincount(owner, ~common, t.n).astype(np.int64)
-                lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
-                outs.append(pa.RecordBatch.from_arrays([b.column(0).slice(row, to - row), b.column(1).slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
+            for group, lo, hi in _grouped(b.column(0).to_numpy()):
+                if group != at_group:
+                    at_group, (codes_known, values) = group, table_of(group)
+                for row, to, t in slices(b.column(2).slice(lo, hi - lo)):
+                    row, to, t = lo + row, lo + to, t.lowered()
+                    codes, first = grams(t, order)
+                    code, unique = pd.factorize(codes)
+                    ppm = np.add.reduceat(values[np.searchsorted(codes_known, unique)][code], first)
+                    h = t.word_hash.view(np.int64)
+                    begin = t.words[2]
+                    code, unique = pd.factorize(h)
+                    at = np.minimum(np.searchsorted(keys, unique), max(len(keys) - 1, 0))
+                    hit = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
+                    value = np.where(hit, logs[at] if len(keys) else 0.0, 0.0)[code]
+                    common = hit[code]
+                    owner = t.owner(begin)
+                    base = np.bincount(owner, value, t.n) + end_log
+                    known = np.bincount(owner, common, t.n).astype(np.int64)
+                    rare = np.bincount(owner, ~common, t.n).astype(np.int64)
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
+                    outs.append(pa.RecordBatch.from_arrays([b.column(0).slice(row, to - row), b.column(1).slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
             yield from outs
 
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text")
-    first = stored(spark, numbered.mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
+    first = stored(spark, numbered.select("row", "doc_id", "text").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
     rare = first.select("row", F.explode("rare").alias("key"))
     rated = rare.join(words.hint("merge"), "key", "left").select("row", F.coalesce("n", F.lit(0)).alias("n"))
     rated = rated.groupBy("row").agg(F.count_if(F.col("n") > 0).alias("known_rare"), F.sum(F.log10(F.col("n") + 0.5) - scale).alias("base_rare"))
