@@ -280,3 +280,18 @@ def test_language_model_keeps_every_count(spark):
         data = np.frombuffer((r["text"] or "").encode(), np.uint8)
         codes, _ = lm.grams(lm.Texts(data, np.array([0, len(data)])).lowered(), lm.ORDER)
         assert got[r["doc_id"]] == pytest.approx(whole.log10(codes).sum())
+
+
+def test_mixing_holds_exact_targets():
+    for targets, n in (({"a": 1 / 3, "b": 2 / 3}, 20_000), ({s: (10_000 / (s + 1)) ** 0.5 for s in range(20)}, 30_000), ({"a": 0.0001, "b": 0.9999}, 60_000), (dict.fromkeys(range(1500), 1.0) | {0: 700.5}, 6_000)):
+        weights, total = mixing.integer_weights(targets), sum(targets.values())
+        slots = mixing.period(weights, {s: int(n * x / total) + 1 for s, x in targets.items()})
+        assert sorted(x for mine in slots.values() for x in mine) == list(range(sum(map(len, slots.values()))))
+        for s, mine in slots.items():
+            # just before and just after each block of the source
+            at, k, share = np.array(mine), np.arange(len(mine)), targets[s] / total
+            assert (np.abs(k - at * share) < 1 + 1e-6).all() and (np.abs(k + 1 - (at + 1) * share) < 1 + 1e-6).all()
+
+
+def test_mixing_places_a_source_of_weight_zero_last():
+    assert mixing.placed_blocks({"a": 3, "b": 2, "c": 1}, mixing.integer_weights({"a": 0.0, "b": 0.5, "c": 0.5})) == {"a": [3, 4, 5], "b": [0, 2], "c": [1]}

@@ -1,25 +1,26 @@
 """Mixing sources to target weights by Pfair scheduling (operator 1).
 
-The rows of each source form blocks of ``block_rows`` in a fixed pseudo-random order. With integer
-weights w of sum W, block k of a source is released at slot floor(k W / w) and due at slot
-ceil((k + 1) W / w); earliest deadline first over released blocks places one block in each slot, and
-every source stays within less than one block of its share at every prefix. The schedule repeats
-after W slots, so one period (bounded by ``resolution`` and the number of sources) is scheduled on
-the driver and every block finds its slot by arithmetic. When a source is used up, a new phase starts
-with the weights of the others; no row is dropped or repeated.
+The rows of each source form blocks of ``block_rows`` in a fixed pseudo-random order. With target
+weights w of sum W, taken as the exact rationals that the numbers are, block k of a source is released
+at slot floor(k W / w) and due at slot ceil((k + 1) W / w); earliest deadline first over released blocks
+places one block in each slot, and every source stays within less than one block of its target share at
+every prefix. The driver schedules blocks, not rows, and hands out eight bytes a block. When a source is
+used up, a new phase starts with the weights of the others; no row is dropped or repeated.
 
 Rows are numbered within a source without one task for a hot source: rows fall in hash buckets, each
 numbered on its own, and bucket counts are summed up to offsets.
 
 Cases: a null source is a source of its own; an empty table gives an empty result; repeated rows are
 rows each, in an arbitrary but fixed order; a source without target weight takes part with weight
-``default``; rows without id come first in their bucket; other columns pass through, whatever their names.
+``default``; one of weight 0 follows when all others are used up; rows without id come first in their bucket; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
+from fractions import Fraction
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,19 +30,22 @@ from pyspark.sql.window import Window
 from weft.llm.common import OWN, stored
 
 BLOCK_ROWS = 16
-RESOLUTION = 1000
+CHUNK_BLOCKS = 4096
 BUCKET_ROWS = 100_000
 LEAST_BUCKETS = 512
 
 
-def integer_weights(targets: dict, resolution: int = RESOLUTION) -> dict:
-    """Weights as integers that sum to about ``resolution``; none is 0."""
-    total = sum(targets.values())
-    return {s: max(1, round(resolution * x / total)) for s, x in targets.items()}
+def integer_weights(targets: dict) -> dict:
+    """Integers in exactly the proportions of ``targets``."""
+    exact = {s: Fraction(x) for s, x in targets.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    whole = {s: int(x * scale) for s, x in exact.items()}
+    shared = math.gcd(*whole.values()) or 1
+    return {s: x // shared for s, x in whole.items()}
 
 
-def period(weights: dict) -> dict:
-    """Slots (0..W-1) of each source's blocks in one period, by earliest deadline first.
+def period(weights: dict, blocks: dict | None = None) -> dict:
+    """Slots of each source's blocks by earliest deadline first: one period, or until a source has placed all its ``blocks``.
 
     Ties of deadlines go to the later release, then to the order of sources; with one slot at a time
     and weights that sum to W, every block meets its deadline.
@@ -52,37 +56,33 @@ def period(weights: dict) -> dict:
     waiting = [(0, order[s], s, 0) for s in weights]
     heapq.heapify(waiting)
     slots: dict = {s: [] for s in weights}
-    for slot in range(total):
+    for slot in range(total) if blocks is None else count():
         while waiting and waiting[0][0] <= slot:
             release, i, s, k = heapq.heappop(waiting)
             heapq.heappush(due_first, (-(-(k + 1) * total // weights[s]), -release, i, s, k))
         _, _, i, s, k = heapq.heappop(due_first)
         slots[s].append(slot)
-        if k + 1 < weights[s]:
+        if blocks is not None and k + 1 == blocks[s]:
+            break
+        if blocks is not None or k + 1 < weights[s]:
             heapq.heappush(waiting, ((k + 1) * total // weights[s], i, s, k + 1))
     return slots
 
 
-def phases(blocks: dict, weights: dict) -> list[tuple]:
-    """(source, first block, end block, first slot, W, w, slots) for each source of each phase."""
-    left, done, start, out = dict(blocks), {s: 0 for s in blocks}, 0, []
+def placed_blocks(blocks: dict, weights: dict) -> dict:
+    """The slot of each block of each source, phase by phase."""
+    left, start, out = dict(blocks), 0, {s: [] for s in blocks}
     while left := {s: n for s, n in left.items() if n}:
-        w = {s: weights[s] for s in left}
-        g = math.gcd(*w.values())
-        w = {s: x // g for s, x in w.items()}
-        total, slots = sum(w.values()), period(w)
-        last = {s: (n - 1) // w[s] * total + slots[s][(n - 1) % w[s]] for s, n in left.items()}
-        end = min(last.values()) + 1
-        for s in list(left):
-            took = end // total * w[s] + sum(x < end % total for x in slots[s])
-            out.append((s, done[s], done[s] + took, start, total, w[s], slots[s]))
-            done[s] += took
-            left[s] -= took
-        start += end
+        some = {s: weights[s] for s in left if weights[s]} or dict.fromkeys(left, 1)
+        slots = period(some, left)
+        for s, mine in slots.items():
+            out[s] += [start + x for x in mine]
+            left[s] -= len(mine)
+        start += sum(map(len, slots.values()))
     return out
 
 
-def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, resolution: int = RESOLUTION, default: float = 1.0, temperature: float = 0.5) -> DataFrame:
+def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, default: float = 1.0, temperature: float = 0.5) -> DataFrame:
     """``docs`` with OWN+block, OWN+slot and OWN+position.
 
     ``weights`` are targets by source; without them a source of n rows has the target n ** temperature.
@@ -92,7 +92,7 @@ def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None,
     rows = sum(per_source.values())
     names = sorted(per_source, key=lambda s: (s is not None, s))
     targets = {s: (weights.get(s, default) if weights else float(per_source[s]) ** temperature) for s in names}
-    plan = phases({s: -(-per_source[s] // block_rows) for s in names}, integer_weights(targets, resolution)) if names else []
+    slots = placed_blocks({s: -(-per_source[s] // block_rows) for s in names}, integer_weights(targets)) if names else {}
 
     n_buckets = max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
     bucket = F.pmod(F.shiftright(OWN + "h", 8), F.lit(n_buckets)).alias(OWN + "bucket")
@@ -106,17 +106,12 @@ def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None,
     index = F.col(OWN + "before") + F.col(OWN + "number")
     ranked = ranked.withColumn(OWN + "index", index).withColumn(OWN + "block", F.floor(index / block_rows).cast("long"))
 
-    kind = T.StructType(
-        [T.StructField(OWN + "ps", docs.schema["source"].dataType)]
-        + [T.StructField(OWN + c, T.LongType()) for c in ("lo", "hi", "start", "total", "w")]
-        + [T.StructField(OWN + "slots", T.ArrayType(T.LongType()))]
-    )
-    # one row for each source and phase: bounded by the square of the number of sources
+    kind = T.StructType([T.StructField(OWN + "ps", docs.schema["source"].dataType), T.StructField(OWN + "chunk", T.LongType()), T.StructField(OWN + "slots", T.ArrayType(T.LongType()))])
+    plan = [(s, i // CHUNK_BLOCKS, mine[i : i + CHUNK_BLOCKS]) for s, mine in slots.items() for i in range(0, len(mine), CHUNK_BLOCKS)]
     steps = F.broadcast(spark.createDataFrame(plan, kind))
     block, own = F.col(OWN + "block"), lambda c: F.col(OWN + c)
-    placed = ranked.join(steps, F.col("source").eqNullSafe(own("ps")) & (block >= own("lo")) & (block < own("hi")))
-    k = block - own("lo")
-    slot = own("start") + F.floor(k / own("w")).cast("long") * own("total") + F.get(own("slots"), (k % own("w")).cast("int"))
+    placed = ranked.join(steps, F.col("source").eqNullSafe(own("ps")) & (F.floor(block / CHUNK_BLOCKS) == own("chunk")))
+    slot = F.get(own("slots"), (block % CHUNK_BLOCKS).cast("int"))
     placed = placed.withColumn(OWN + "slot", slot)
     position = F.col(OWN + "slot") * block_rows + F.col(OWN + "index") % block_rows
     return placed.select(*docs.columns, OWN + "block", OWN + "slot", position.alias(OWN + "position"))
