@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weft.llm import linededup, mixing, neardup, quality, tokens
 from weft.llm.common import OWN, stored, table
@@ -25,7 +26,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return tokens.encoded(spark, docs)
+    """Token ids with source, slot and position in the mix: those of the mixing stage, which keeps the docs' columns."""
+    keyed = docs.select(F.struct("doc_id", "source").alias("doc_id"), "text")
+    rows = tokens.encoded(spark, keyed).select("doc_id.*", "n_tokens", "token_ids", "round_trip")
+    placed = mixing.scheduled(spark, stored(spark, rows, "tokens"))
+    return placed.select(*rows.columns, F.col(OWN + "slot").alias("slot"), F.col(OWN + "position").alias("position"))
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("sentencepiece", encode)]
@@ -37,4 +42,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(spark, stage(spark, docs, sf_dir), name)
-    return docs
+    # a scan packs files by size, so the mixed order is made again
+    return docs.sort("position")

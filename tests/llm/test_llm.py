@@ -295,3 +295,10 @@ def test_mixing_holds_exact_targets():
 
 def test_mixing_places_a_source_of_weight_zero_last():
     assert mixing.placed_blocks({"a": 3, "b": 2, "c": 1}, mixing.integer_weights({"a": 0.0, "b": 0.5, "c": 0.5})) == {"a": [3, 4, 5], "b": [0, 2], "c": [1]}
+
+
+def test_pipeline_rows_follow_the_mix(spark):
+    got = corpus_pipeline.run(spark, DATA).collect()
+    kept = spark.read.parquet(f"{DATA}/documents.parquet").filter(F.col("doc_id").isin([r["doc_id"] for r in got]))
+    want = mixing.scheduled(spark, kept).sort(OWN + "position").collect()
+    assert [(r["doc_id"], r["source"], r["slot"], r["position"]) for r in got] == [(r["doc_id"], r["source"], r[OWN + "slot"], r[OWN + "position"]) for r in want]
