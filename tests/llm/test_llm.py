@@ -302,3 +302,20 @@ def test_pipeline_rows_follow_the_mix(spark):
     kept = spark.read.parquet(f"{DATA}/documents.parquet").filter(F.col("doc_id").isin([r["doc_id"] for r in got]))
     want = mixing.scheduled(spark, kept).sort(OWN + "position").collect()
     assert [(r["doc_id"], r["source"], r["slot"], r["position"]) for r in got] == [(r["doc_id"], r["source"], r[OWN + "slot"], r[OWN + "position"]) for r in want]
+
+
+def test_toxic_passages(spark):
+    bad, fine = "vile scum filth rot", "a calm day by the green river with many quiet boats"
+    docs = frame(spark, [f"{fine} {i} {bad} {bad} {i} {fine}" if i % 2 else f"{fine} {i} {fine}" for i in range(300)] + [f"é {fine} {bad} {' '.join([fine] * 9)} {bad} ü", fine])
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(300)], "doc_id long, quality int, toxic int")
+    texts = {r["doc_id"]: r["text"].encode() for r in docs.collect()}
+    got = toxicity.passages(spark, docs, labels).collect()
+    mine = sorted((r["start"], r["end"]) for r in got if r["doc_id"] == 300)
+    assert [texts[300][a:z].decode() for a, z in mine] == [bad, bad]
+    assert {r["doc_id"] for r in got} == {i for i in range(300) if i % 2} | {300}
+    total = Counter()
+    for r in got:
+        assert r["significance"] > 0 and r["score"] > 0
+        total[r["doc_id"]] += r["significance"]
+    for r in toxicity.score(spark, docs, labels).collect():
+        assert r["evidence"] == pytest.approx(total[r["doc_id"]])

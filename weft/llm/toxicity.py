@@ -5,7 +5,8 @@ shares of both classes together; a token counts only if its z-score is significa
 costs a drift, so scores of clean text fall. In one pass a linear scan finds all maximal segments of
 each text. A segment with score S in n tokens has about K n exp(-lambda S) equals by chance
 (lambda: the root of E exp(lambda s) = 1 over clean tokens); the evidence of a text is the sum of
-lambda S - ln(K n) over its significant segments, mapped to 0..1 by a two-parameter logistic fit.
+lambda S - ln(K n) over its significant segments, mapped to 0..1 by a two-parameter logistic fit. K is
+fixed at 0.1, not estimated. passages() gives the segments themselves, with their places in the text.
 
 Cases: null and empty texts have no segment and get the score of no evidence; repeated rows are
 scored each; without labels of both kinds all scores are 0; only doc_id, text and toxic are read.
@@ -31,11 +32,11 @@ DRIFT = 0.4
 _STEM_TAG = U(0xA24BAED4963EE407)
 
 
-def tokens(t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased runs of letters and digits: hash, hash of the first STEM bytes, text of each."""
+def tokens(t) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Lower-cased runs of letters and digits: hash, hash of the first STEM bytes, first of each text, start and end bytes."""
     low = t.lowered()
     start, end, first = low.runs(WORDY[low.data])
-    return low.span_hash(start, end), low.span_hash(start, np.minimum(end, start + STEM)) ^ _STEM_TAG, first
+    return low.span_hash(start, end), low.span_hash(start, np.minimum(end, start + STEM)) ^ _STEM_TAG, first, start, end
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -47,7 +48,7 @@ def _counts(docs: DataFrame) -> DataFrame:
             out = []
             toxic = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
             for row, to, t in slices(b.column(0)):
-                word, stem, first = tokens(t)
+                word, stem, first, _, _ = tokens(t)
                 owner = t.owner(first)
                 bad = toxic[row:to][owner]
                 for kind, keys in ((0, word), (1, stem)):
@@ -76,30 +77,35 @@ class Model:
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
         return np.where(self.keys[at] == keys, self.odds[at], 0.0)
 
-    def scores(self, t) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Score of each token (its own log-odds, else its stem's) less the drift; first token of each text; raw log-odds."""
-        word, stem, first = tokens(t)
+    def scores(self, t) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Score of each token (its own log-odds, else its stem's) less the drift; first token of each text; start and end bytes."""
+        word, stem, first, start, end = tokens(t)
         odds = self.lookup(word)
         none = np.flatnonzero(odds == 0)
         odds[none] = self.lookup(stem[none])
-        return odds - DRIFT, first, odds
+        return odds - DRIFT, first, start, end
+
+    def passages(self, t) -> list[tuple[int, int, int, float, float]]:
+        """Text, start and end byte in it, score and significance of every significant segment."""
+        s, first, start, end = self.scores(t)
+        out = []
+        n = np.diff(first)
+        total = np.concatenate([[0.0], np.cumsum(s)])
+        hot = np.flatnonzero(s > 0)
+        bounds = np.searchsorted(hot, first)
+        for k in np.flatnonzero(np.diff(bounds)):
+            at = hot[bounds[k] : bounds[k + 1]]
+            found = segments(total[at] - total[first[k]], total[at + 1] - total[first[k]])
+            chance = np.log(max(1.0, self.factor * n[k]))
+            out += [(int(k), int(start[at[a]] - t.offs[k]), int(end[at[b]] - t.offs[k]), x, self.decay * x - chance) for x, a, b in found if self.decay * x > chance]
+        return out
 
     def evidence(self, column: pa.Array) -> np.ndarray:
-        """Summed significance of the segments of each text."""
+        """Summed significance of the passages of each text."""
         out = [np.zeros(0)]
         for _, _, t in slices(column):
-            s, first, _ = self.scores(t)
-            mine = np.zeros(t.n)
-            n = np.diff(first)
-            total = np.concatenate([[0.0], np.cumsum(s)])
-            hot = np.flatnonzero(s > 0)
-            bounds = np.searchsorted(hot, first)
-            for k in np.flatnonzero(np.diff(bounds)):
-                at = hot[bounds[k] : bounds[k + 1]]
-                found = segments(total[at] - total[first[k]], total[at + 1] - total[first[k]])
-                chance = np.log(max(1.0, self.factor * n[k]))
-                mine[k] = sum(max(0.0, self.decay * x - chance) for x, _, _ in found)
-            out.append(mine)
+            found = self.passages(t)
+            out.append(np.bincount([x[0] for x in found], [x[4] for x in found], t.n) if found else np.zeros(t.n))
         return np.concatenate(out)
 
     def probability(self, evidence: np.ndarray) -> np.ndarray:
@@ -212,3 +218,23 @@ def score(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) ->
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, evidence double, score double, predicted int")
     return out.select("doc_id", F.coalesce(fold("doc_id") == 0, F.lit(False)).alias("held_out"), "score", "predicted", "evidence")
+
+
+def passages(spark: SparkSession, docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """doc_id, start, end, score and significance of every significant segment; places are bytes of the UTF-8 text, end excluded.
+
+    The evidence that score() gives a row is the sum of the significance of its passages.
+    """
+    shared = spark.sparkContext.broadcast(train(spark, docs, labels, **options))
+
+    @lean
+    def run(batches):
+        for b in batches:
+            for row, to, t in slices(b.column(1)):
+                found = shared.value.passages(t) if shared.value is not None else []
+                if found:
+                    text, *columns = zip(*found)
+                    yield pa.RecordBatch.from_arrays([b.column(0).slice(row, to - row).take(pa.array(text)), *map(pa.array, columns)], ["doc_id", "start", "end", "score", "significance"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, start long, end long, score double, significance double")
