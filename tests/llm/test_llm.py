@@ -319,3 +319,14 @@ def test_toxic_passages(spark):
         total[r["doc_id"]] += r["significance"]
     for r in toxicity.score(spark, docs, labels).collect():
         assert r["evidence"] == pytest.approx(total[r["doc_id"]])
+
+
+def test_near_duplicates_with_a_repeated_line(spark):
+    rng = random.Random(6)
+    texts = []
+    for i in range(12):
+        rest = " ".join(f"r{i}x{rng.randrange(10**9)}" for _ in range(92))
+        texts += [" ".join([f"a{i} b{i} c{i} d{i} e{i}"] * n + [rest]) for n in (2, 20, 50, 200)]
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark, docs).collect()}
+    assert got == {i: i - i % 4 for i in range(len(texts))} == true_classes(docs.collect())

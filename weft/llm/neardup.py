@@ -4,7 +4,9 @@ Texts are multisets of five-word shingles (a shorter text is one shingle). Each
 exponential arrivals to registers, without replacement and in increasing order, at a rate equal to
 its count; it stops as soon as its next arrival is later than every register of the text. A register
 keeps the shingle that came first, so two texts agree in a register with probability equal to the
-probability Jaccard similarity of their weighted shingles. Bands of registers give buckets.
+probability Jaccard similarity of their weighted shingles. Bands of registers give buckets. A text that
+repeats a shingle has a second set of bands with all counts 1, where registers agree with the probability
+of the set Jaccard similarity; without repeats both sets are the same, so they share their buckets.
 
 Equal texts are one vertex. In each bucket the most central member (the one whose buckets hold most
 vertices) meets all others; a pair is a link if the exact Jaccard similarity of the shingle sets is
@@ -113,8 +115,12 @@ def sketched(docs: DataFrame) -> DataFrame:
             for _, _, t in slices(b.column(1)):
                 k, w, owner = shingles(t)
                 some = np.bincount(owner, minlength=t.n) > 0
-                keys.append(bands(signatures(k, w.astype(float), owner, t.n))[some].ravel().view(np.int64))
-                sizes.append(some * BANDS)
+                again = np.bincount(owner, w > 1, t.n) > 0
+                even = again[owner]
+                both = np.concatenate([bands(signatures(k, w.astype(float), owner, t.n)), bands(signatures(k[even], np.ones(even.sum()), owner[even], t.n))], 1)
+                held = np.repeat(np.stack([some, again], 1), BANDS, axis=1)
+                keys.append(both[held].view(np.int64))
+                sizes.append(held.sum(1))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), _lists(np.concatenate(keys), np.concatenate(sizes))], ["doc_id", "k1", "k2", "bands"])
 
     return ids.mapInArrow(run, "doc_id long, k1 long, k2 long, bands array<long>")
