@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import duckdb
 import numpy as np
@@ -45,13 +46,46 @@ def test_mixing_stays_within_a_block(spark):
         assert all(abs(seen[k] - t * w) < 1 for k, w in weights.items())
 
 
-def test_period_meets_deadlines():
+def test_blocks_meet_deadlines():
     for w in ({"a": 1}, {"a": 3, "b": 5, "c": 7}, {"a": 1, "b": 998, "c": 1}):
-        total, got = sum(w.values()), mixing.period(w)
+        total = sum(w.values())
+        got = mixing.placed_blocks(w, w)
         assert sorted(x for s in got.values() for x in s) == list(range(total))
         assert all(k * total // w[s] <= x < -(-(k + 1) * total // w[s]) for s in w for k, x in enumerate(got[s]))
 
 
+def test_mixing_follows_the_ideal_mix_when_sources_end():
+    rng = random.Random(3)
+    for _ in range(40):
+        targets = {s: rng.choice([1, 2, 7, 1 / 3, rng.random(), 1e-3]) for s in range(rng.randint(1, 9))}
+        blocks = {s: rng.randint(1, 60) for s in targets}
+        got = mixing.placed_blocks(blocks, mixing.integer_weights(targets))
+        order = sorted((x, s) for s, mine in got.items() for x in mine)
+        assert [x for x, _ in order] == list(range(sum(blocks.values()))) and all(len(got[s]) == blocks[s] for s in blocks)
+        # the ideal mix, slot by slot: each slot is shared by the sources that are left, by weight
+        ideal, seen = dict.fromkeys(targets, Fraction(0)), Counter()
+        for _, s in order:
+            seen[s] += 1
+            time = Fraction(1)
+            while time:
+                left = {x for x in targets if ideal[x] < blocks[x]}
+                total = sum(Fraction(targets[x]) for x in left)
+                step = min([time, *((blocks[x] - ideal[x]) * total / Fraction(targets[x]) for x in left)])
+                for x in left:
+                    ideal[x] += step * Fraction(targets[x]) / total
+                time -= step
+            assert all(abs(seen[x] - ideal[x]) < 1 for x in targets)
+
+
+def test_mixing_takes_very_many_sources(spark):
+    blocks = {s: 1 + s % 3 for s in range(100_000)}
+    slots = mixing.placed_blocks(blocks, mixing.integer_weights({s: float(1 + s % 977) ** 0.5 for s in blocks}))
+    assert sorted(x for mine in slots.values() for x in mine) == list(range(sum(blocks.values())))
+    df = spark.range(40_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("host"), F.col("id") % 20_000).alias("source"))
+    got = mixing.scheduled(spark, df).agg(F.count_distinct(OWN + "position"), F.count("*")).first()
+    assert tuple(got) == (40_000, 40_000)
+
+
 @pytest.fixture(scope="module")
 def library():
     sentencepiece = pytest.importorskip("sentencepiece")
@@ -285,11 +319,13 @@ def test_language_model_keeps_every_count(spark):
 def test_mixing_holds_exact_targets():
     for targets, n in (({"a": 1 / 3, "b": 2 / 3}, 20_000), ({s: (10_000 / (s + 1)) ** 0.5 for s in range(20)}, 30_000), ({"a": 0.0001, "b": 0.9999}, 60_000), (dict.fromkeys(range(1500), 1.0) | {0: 700.5}, 6_000)):
         weights, total = mixing.integer_weights(targets), sum(targets.values())
-        slots = mixing.period(weights, {s: int(n * x / total) + 1 for s, x in targets.items()})
-        assert sorted(x for mine in slots.values() for x in mine) == list(range(sum(map(len, slots.values()))))
+        blocks = {s: int(n * x / total) + 1 for s, x in targets.items()}
+        slots = mixing.placed_blocks(blocks, weights)
+        first_end = min(blocks[s] * total / x for s, x in targets.items())
         for s, mine in slots.items():
-            # just before and just after each block of the source
-            at, k, share = np.array(mine), np.arange(len(mine)), targets[s] / total
+            # just before and just after each block of the source, until a source is used up
+            at = np.array([x for x in mine if x + 1 < first_end])
+            k, share = np.arange(len(at)), targets[s] / total
             assert (np.abs(k - at * share) < 1 + 1e-6).all() and (np.abs(k + 1 - (at + 1) * share) < 1 + 1e-6).all()
 
 

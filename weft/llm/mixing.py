@@ -1,11 +1,16 @@
 """Mixing sources to target weights by Pfair scheduling (operator 1).
 
-The rows of each source form blocks of ``block_rows`` in a fixed pseudo-random order. With target
-weights w of sum W, taken as the exact rationals that the numbers are, block k of a source is released
-at slot floor(k W / w) and due at slot ceil((k + 1) W / w); earliest deadline first over released blocks
-places one block in each slot, and every source stays within less than one block of its target share at
-every prefix. The driver schedules blocks, not rows, and hands out eight bytes a block. When a source is
-used up, a new phase starts with the weights of the others; no row is dropped or repeated.
+The rows of each source form blocks of ``block_rows`` in a fixed pseudo-random order. The ideal mix hands
+every slot out to all sources that still have blocks, in proportion to their target weights w. With W the
+sum of these and F the blocks of the sources used up, the ideal start of block k of a source is
+F + W k / w; it is released at the floor of that and due at the ceiling of its ideal end. All of this is
+kept in exact rationals of the numbers given. Earliest deadline first over released blocks places one
+block in each slot and meets every deadline, so every source stays within less than one block of its
+ideal share at every prefix, also after other sources are used up; no row is dropped or repeated.
+
+The driver schedules blocks, not rows: ``block_rows`` is 16, or as many as make about MOST_BLOCKS blocks
+of all rows, so what it holds and broadcasts (8 bytes a block) is bounded. Blocks and weights count rows,
+not bytes or tokens. More than MOST_SOURCES sources are refused.
 
 Rows are numbered within a source without one task for a hot source: rows fall in hash buckets, each
 numbered on its own, and bucket counts are summed up to offsets.
@@ -19,9 +24,10 @@ from __future__ import annotations
 
 import heapq
 import math
+from bisect import bisect_right
 from fractions import Fraction
-from itertools import count
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +36,8 @@ from pyspark.sql.window import Window
 from weft.llm.common import OWN, stored
 
 BLOCK_ROWS = 16
+MOST_BLOCKS = 1 << 20
+MOST_SOURCES = 1 << 20
 CHUNK_BLOCKS = 4096
 BUCKET_ROWS = 100_000
 LEAST_BUCKETS = 512
@@ -44,52 +52,76 @@ def integer_weights(targets: dict) -> dict:
     return {s: x // shared for s, x in whole.items()}
 
 
-def period(weights: dict, blocks: dict | None = None) -> dict:
-    """Slots of each source's blocks by earliest deadline first: one period, or until a source has placed all its ``blocks``.
+def windows(blocks: dict, weights: dict) -> dict:
+    """(releases, deadlines) of the blocks of each source, all weights positive integers.
 
-    Ties of deadlines go to the later release, then to the order of sources; with one slot at a time
-    and weights that sum to W, every block meets its deadline.
+    k / w is the ideal progress at which block k starts; F and W change where a source is used up.
     """
-    total = sum(weights.values())
-    order = {s: i for i, s in enumerate(weights)}
-    due_first: list[tuple[int, int, int, object, int]] = []
-    waiting = [(0, order[s], s, 0) for s in weights]
+    ends: dict = {}
+    for s, n in blocks.items():
+        gone = ends.setdefault(Fraction(n, weights[s]), [0, 0])
+        gone[0] += n
+        gone[1] += weights[s]
+    turns = sorted(ends)
+    spent, active = [0], [sum(weights[s] for s in blocks)]
+    for v in turns:
+        spent.append(spent[-1] + ends[v][0])
+        active.append(active[-1] - ends[v][1])
+    rough = np.array([float(v) for v in turns])
+    out = {}
+    for s, n in blocks.items():
+        w = weights[s]
+        at = np.arange(n + 1) / w
+        part = np.searchsorted(rough, at, side="right")
+        # where doubles can't tell on which side of a turn a block starts, the rationals do
+        close = np.isclose(rough[np.minimum(part, len(rough) - 1)], at, 1e-9) | np.isclose(rough[np.maximum(part - 1, 0)], at, 1e-9)
+        for k in np.flatnonzero(close):
+            part[k] = bisect_right(turns, Fraction(int(k), w))
+        place = [(spent[j], active[j] * k) for k, j in enumerate(part.tolist())]
+        out[s] = [f + x // w for f, x in place[:-1]], [f - (-x // w) for f, x in place[1:]]
+    return out
+
+
+def deadline_first(blocks: dict, weights: dict) -> dict:
+    """Slots of each source's blocks: of the released ones the earliest deadline, ties to the later release, then to the order of sources."""
+    plan = list(windows(blocks, weights).items())
+    slots: list[list[int]] = [[] for _ in plan]
+    waiting = [(releases[0], i) for i, (_, (releases, _)) in enumerate(plan)]
     heapq.heapify(waiting)
-    slots: dict = {s: [] for s in weights}
-    for slot in range(total) if blocks is None else count():
+    due_first: list[tuple[int, int, int]] = []
+    for slot in range(sum(blocks.values())):
         while waiting and waiting[0][0] <= slot:
-            release, i, s, k = heapq.heappop(waiting)
-            heapq.heappush(due_first, (-(-(k + 1) * total // weights[s]), -release, i, s, k))
-        _, _, i, s, k = heapq.heappop(due_first)
-        slots[s].append(slot)
-        if blocks is not None and k + 1 == blocks[s]:
-            break
-        if blocks is not None or k + 1 < weights[s]:
-            heapq.heappush(waiting, ((k + 1) * total // weights[s], i, s, k + 1))
-    return slots
+            release, i = heapq.heappop(waiting)
+            heapq.heappush(due_first, (plan[i][1][1][len(slots[i])], -release, i))
+        i = heapq.heappop(due_first)[2]
+        slots[i].append(slot)
+        if len(slots[i]) < len(plan[i][1][0]):
+            heapq.heappush(waiting, (plan[i][1][0][len(slots[i])], i))
+    return {s: mine for (s, _), mine in zip(plan, slots)}
 
 
 def placed_blocks(blocks: dict, weights: dict) -> dict:
-    """The slot of each block of each source, phase by phase."""
-    left, start, out = dict(blocks), 0, {s: [] for s in blocks}
-    while left := {s: n for s, n in left.items() if n}:
-        some = {s: weights[s] for s in left if weights[s]} or dict.fromkeys(left, 1)
-        slots = period(some, left)
-        for s, mine in slots.items():
-            out[s] += [start + x for x in mine]
-            left[s] -= len(mine)
-        start += sum(map(len, slots.values()))
+    """The slot of each block of each source; sources of weight 0 come after all others, with equal weights."""
+    out, start = {s: [] for s in blocks}, 0
+    for some in ({s: weights[s] for s, n in blocks.items() if n and weights[s]}, {s: 1 for s, n in blocks.items() if n and not weights[s]}):
+        if some:
+            slots = deadline_first({s: blocks[s] for s in some}, some)
+            out |= {s: [start + x for x in mine] for s, mine in slots.items()}
+            start += sum(blocks[s] for s in some)
     return out
 
 
-def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, default: float = 1.0, temperature: float = 0.5) -> DataFrame:
+def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None, block_rows: int | None = None, default: float = 1.0, temperature: float = 0.5) -> DataFrame:
     """``docs`` with OWN+block, OWN+slot and OWN+position.
 
     ``weights`` are targets by source; without them a source of n rows has the target n ** temperature.
     """
     hashed = docs.withColumn(OWN + "h", F.xxhash64(F.lit(17), F.col("doc_id")))
-    per_source = {r[0]: r[1] for r in docs.groupBy("source").count().collect()}
+    per_source = {r[0]: r[1] for r in docs.groupBy("source").count().limit(MOST_SOURCES + 1).collect()}
+    if len(per_source) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: group them first")
     rows = sum(per_source.values())
+    block_rows = block_rows or max(BLOCK_ROWS, -(-rows // MOST_BLOCKS))
     names = sorted(per_source, key=lambda s: (s is not None, s))
     targets = {s: (weights.get(s, default) if weights else float(per_source[s]) ** temperature) for s in names}
     slots = placed_blocks({s: -(-per_source[s] // block_rows) for s in names}, integer_weights(targets)) if names else {}
@@ -108,6 +140,7 @@ def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None,
 
     kind = T.StructType([T.StructField(OWN + "ps", docs.schema["source"].dataType), T.StructField(OWN + "chunk", T.LongType()), T.StructField(OWN + "slots", T.ArrayType(T.LongType()))])
     plan = [(s, i // CHUNK_BLOCKS, mine[i : i + CHUNK_BLOCKS]) for s, mine in slots.items() for i in range(0, len(mine), CHUNK_BLOCKS)]
+    # bounded by MOST_BLOCKS and MOST_SOURCES
     steps = F.broadcast(spark.createDataFrame(plan, kind))
     block, own = F.col(OWN + "block"), lambda c: F.col(OWN + c)
     placed = ranked.join(steps, F.col("source").eqNullSafe(own("ps")) & (F.floor(block / CHUNK_BLOCKS) == own("chunk")))
