@@ -218,16 +218,53 @@ def test_language_model(spark):
         assert mine["score"] < 0
 
 
-def test_ppm_sums_to_one_and_excludes(spark):
-    docs = frame(spark, ["abracadabra", "abba", "cab"])
-    counts = lm.corpus_counts(docs, 2).cache()
-    trie = lm.train(spark, counts, 2, 10**6)
+def plain_ppm(learnt, text, order):
+    """log10 probability of a text by dictionaries of contexts, straight from the definition."""
+    counts = {}
+    for t in learnt:
+        symbols = [257] * order + [*t, 256]
+        for i in range(order, len(symbols)):
+            for k in range(order + 1):
+                counts.setdefault(tuple(symbols[i - k : i]), Counter())[symbols[i]] += 1
+    symbols, total = [257] * order + [*text, 256], 0.0
+    for i in range(order, len(symbols)):
+        p, out = 1.0, set()
+        for k in range(order, -1, -1):
+            here = {s: n for s, n in counts.get(tuple(symbols[i - k : i]), {}).items()}
+            left = sum(n for s, n in here.items() if s not in out)
+            if symbols[i] in here:
+                p *= (here[symbols[i]] - 0.5) / left
+                break
+            if fresh := set(here) - out:
+                p *= 0.5 * len(fresh) / left
+                out |= fresh
+        else:
+            p /= 257 - len(out)
+        total += math.log10(p)
+    return total
+
+
+@pytest.mark.parametrize("order, group_bytes", [(2, 60), (lm.ORDER, 200), (lm.ORDER, lm.GROUP_BYTES)])
+def test_ppm_equals_a_plain_one(spark, order, group_bytes):
+    rng = random.Random(order)
+    texts = ["abracadabra", "ABBA", "cab\n", "", None, "ünïcode ☃", "zz top"] + ["".join(rng.choice("ab cd") for _ in range(rng.randint(1, 90))) for _ in range(30)]
+    docs = frame(spark, texts)
+    low = [(t or "").translate({i: i + 32 for i in range(65, 91)}).encode() for t in texts]
+    learnt = [t for i, t in enumerate(low) if zlib.crc32(str(i).encode()) % 5 != 1]
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark, docs.repartition(3), order=order, group_bytes=group_bytes).collect()}
+    for i, t in enumerate(low):
+        assert got[i] == pytest.approx(plain_ppm(learnt, t, order))
+
+
+def test_ppm_sums_to_one():
+    rng = np.random.default_rng(1)
+    data = rng.integers(97, 101, 400).astype(np.uint8)
+    codes, n = np.unique(lm.grams(lm.Texts(data, np.array([0, 150, 400])), 2)[0], return_counts=True)
+    trie = lm.Trie([lm.Level(*lm.marginals(codes, n, k)) for k in range(3)])
     for context in ("ab", "ra", "zz", "bz"):
         a, b = context.encode()
-        codes = np.array([(a << 18) | (b << 9) | s for s in range(257)])
-        assert (10 ** trie.log10(codes)).sum() == pytest.approx(1)
-    small = lm.train(spark, counts, 2, 10)
-    assert (10 ** small.log10(np.array([(97 << 18) | (98 << 9) | s for s in range(257)]))).sum() == pytest.approx(1)
+        every = np.array([(a << 18) | (b << 9) | s for s in range(257)])
+        assert (10 ** trie.log10(every)).sum() == pytest.approx(1)
 
 
 def test_neighbours(spark):
@@ -305,15 +342,14 @@ def test_language_model_keeps_every_count(spark):
     rng = random.Random(8)
     signs = "abcdefghijklmnopqrstuvwxyz0123456789!?.,;:()[]{}<>+-*/=_&%$#@~^"
     docs = frame(spark, ["".join(rng.choice(signs) for _ in range(20_000)) for _ in range(45)] + ODD).cache()
-    learnt = [r for r in docs.collect() if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 1]
-    counts = lm.corpus_counts(docs.filter(F.col("doc_id").isin([r["doc_id"] for r in learnt])), lm.ORDER).cache()
-    whole = lm.train(spark, counts, lm.ORDER, 10**9)
+    coded = lambda t: lm.grams(lm.Texts(np.frombuffer((t or "").encode(), np.uint8), np.array([0, len((t or "").encode())])).lowered(), lm.ORDER)[0]
+    rows = docs.collect()
+    codes, n = np.unique(np.concatenate([coded(r["text"]) for r in rows if zlib.crc32(str(r["doc_id"]).encode()) % 5 != 1]), return_counts=True)
+    whole = lm.Trie([lm.Level(*lm.marginals(codes, n, k)) for k in range(lm.ORDER + 1)])
     assert sum(len(level.codes) for level in whole.levels) > 2_000_000
-    got = {r["doc_id"]: r["score"] for r in lm.score(spark, docs).collect()}
-    for r in docs.collect():
-        data = np.frombuffer((r["text"] or "").encode(), np.uint8)
-        codes, _ = lm.grams(lm.Texts(data, np.array([0, len(data)])).lowered(), lm.ORDER)
-        assert got[r["doc_id"]] == pytest.approx(whole.log10(codes).sum())
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark, docs, group_bytes=300_000).collect()}
+    for r in rows:
+        assert got[r["doc_id"]] == pytest.approx(whole.log10(coded(r["text"])).sum())
 
 
 def test_mixing_holds_exact_targets():

@@ -7,11 +7,12 @@ trie nest. The probability of a symbol seen n times among T in the longest known
 the next shorter context, where symbols of the longer one are excluded; below all contexts, unseen
 symbols are equal. The model is pretrained: scoring a text doesn't change it.
 
-The model keeps every count of the corpus and is never on one machine. Rows form groups; a group's
-distinct (context, symbol) codes are dealt into shards by the last BASE symbols of the context. All levels
-from BASE up that a code needs lie in its shard, the shorter ones (at most 257 ** BASE nodes) are
-broadcast, so a shard builds its part of the trie and rates the codes of all groups exactly as the
-whole trie would. The rated codes go back to their groups, whose texts add them up.
+The model keeps every count of the corpus and is never on one machine. Neighbouring rows form groups of
+about GROUP_BYTES of text; a group's distinct (context, symbol) codes are dealt into shards by the last
+BASE symbols of the context. All levels from BASE up that a code needs lie in its shard, the shorter ones
+(at most 257 ** BASE nodes) are broadcast, so a shard builds its part of the trie and rates the codes of
+all groups exactly as the whole trie would. The rated codes meet the texts of their group, which add them
+up. A shard holds a code of its contexts at most once for each group, however often texts repeat it.
 
 The word unigram beside it is exact: the most frequent words are looked up in a bounded table,
 all others are joined with the stored counts of all training words.
@@ -26,24 +27,23 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.dataset as pads
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fold, fresh_path, stored
-from weft.llm.textbatch import Texts, U, lean, mix, slices
-from weft.llm.warc import filesystem
+from weft.llm.common import fold, stored
+from weft.llm.textbatch import Texts, U, lean, mix, slices, strings, trim
 
 ORDER = 5
 END, PAD, SYMBOLS = 256, 257, 257
 BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
-#: 2 ** GROUP_BITS neighbouring rows are a group; a shard is made for so many bytes of text.
-GROUP_BITS = 14
-SHARD_BYTES = 8 << 20
+#: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
+GROUP_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
 #: Codes that a task holds before it hands them on.
-HELD_CODES = 2_000_000
+HELD_CODES = 1_000_000
 LEVEL, WORD_COUNTS = -1, -2
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
@@ -82,28 +82,6 @@ def _counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return unique, np.bincount(code, minlength=len(unique))
 
 
-def corpus_counts(docs: DataFrame, order: int) -> DataFrame:
-    """(kind, key, n): 0 for words, 1 for byte grams, over all rows given."""
-
-    @lean
-    def run(batches):
-        for b in batches:
-            found: dict[int, list] = {0: [], 1: []}
-            for _, _, t in slices(b.column(0)):
-                t = t.lowered()
-                found[0].append(_counted(t.word_hash.view(np.int64)))
-                found[1].append(_counted(grams(t, order)[0]))
-            for kind, parts in found.items():
-                if parts:
-                    keys, n = _tally(parts)
-                    for i in range(0, len(keys), 100_000):
-                        part = slice(i, i + 100_000)
-                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys[part]), kind, np.int32)), pa.array(keys[part]), pa.array(n[part])], ["kind", "key", "n"])
-
-    per_task = docs.select("text").mapInArrow(run, "kind int, key long, n long")
-    return per_task.groupBy("kind", "key").agg(F.sum("n").alias("n"))
-
-
 def bounded_threshold(counts: DataFrame, most: int) -> int:
     """The smallest power of two so that at most ``most`` rows have so large an n."""
     sizes = {int(r[0]): r[1] for r in counts.groupBy(F.floor(F.log2(F.col("n") + 0.5)).alias("p")).count().collect()}
@@ -168,25 +146,6 @@ class Trie:
         return out
 
 
-def train(spark: SparkSession, counts: DataFrame, order: int, most_nodes: int) -> Trie:
-    """The trie of stored ``counts``, pruned to ``most_nodes``."""
-    top = counts.filter("kind = 1").select("key", "n")
-    tables = [top]
-    for k in range(order - 1, -1, -1):
-        mask = (1 << (BITS * (k + 1))) - 1
-        tables.append(stored(spark, tables[-1].groupBy(F.col("key").bitwiseAND(mask).alias("key")).agg(F.sum("n").alias("n")), "level"))
-    every = tables[0]
-    for t in tables[1:]:
-        every = every.unionAll(t)
-    least = bounded_threshold(every, most_nodes)
-    levels = []
-    for t in reversed(tables):
-        rows = t.filter(F.col("n") >= least).toArrow()
-        levels.append(Level(rows["key"].to_numpy(), rows["n"].to_numpy()))
-        del rows
-    return Trie(levels)
-
-
 def marginals(codes: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted codes of ``order`` (that of the symbol and so many predecessors) with their summed counts."""
     low = codes & ((1 << (BITS * (order + 1))) - 1)
@@ -204,13 +163,32 @@ def _unpacked(data) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, np.int64))
 
 
-def _grouped(rows: np.ndarray):
+def _runs(group: np.ndarray) -> list[tuple[int, int, int]]:
     """(group, first, end) of neighbouring rows of one group."""
-    group = rows >> GROUP_BITS
     cut = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
     return [(int(group[a]), a, z) for a, z in zip(cut, cut[1:]) if z > a]
 
 
+def grouped(docs: DataFrame, most: int) -> DataFrame:
+    """row, group, learnt, doc_id and text; neighbouring rows of about ``most`` bytes share a group."""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(fold("doc_id") != 1, F.lit(True)).alias("learnt"), "doc_id", "text")
+
+    @lean
+    def run(batches):
+        group, held = TaskContext.get().partitionId() << 33, 0
+        for b in batches:
+            mine = []
+            for size in np.diff(strings(b.column(3))[1]).tolist():
+                if held and held + size > most:
+                    group, held = group + 1, 0
+                held += size + 1
+                mine.append(group)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(mine, pa.int64()), *b.columns[1:]], ["row", "group", "learnt", "doc_id", "text"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"row long, group long, learnt boolean, doc_id {kind}, text string")
+
+
 def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
     """(group, shard, codes, n): each group's distinct codes with their counts in learnt rows, packed.
 
@@ -240,7 +218,7 @@ def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
         at, parts, words, size = None, [], [], 0
         for b in batches:
             learnt = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for group, lo, hi in _grouped(b.column(0).to_numpy()):
+            for group, lo, hi in _runs(b.column(0).to_numpy()):
                 if group != at and parts:
                     yield rows_of(at, parts, words)
                     parts, words, size = [], [], 0
@@ -262,7 +240,7 @@ def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
         if parts:
             yield rows_of(at, parts, words)
 
-    return numbered.select("row", "learnt", "text").mapInArrow(run, "group long, shard long, codes binary, n binary")
+    return numbered.select("group", "learnt", "text").mapInArrow(run, "group long, shard long, codes binary, n binary")
 
 
 def unpacked(packed: DataFrame) -> DataFrame:
@@ -295,16 +273,17 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
         sort = np.argsort(codes)
         logs = Trie(levels).log10(codes)[sort]
         codes = codes[sort]
-        values = [logs[np.searchsorted(codes, c)].tobytes() for c, _ in parts]
-        return pa.table({"group": table["group"], "codes": table["codes"], "logs": pa.array(values, pa.binary())})
+        values = pa.array([logs[np.searchsorted(codes, c)].tobytes() for c, _ in parts], pa.binary())
+        del parts, codes, n, levels, logs
+        trim()
+        return pa.table({"group": table["group"], "codes": table["codes"], "logs": values})
 
     return pairs.filter("shard >= 0").groupBy("shard").applyInArrow(run, "group long, codes binary, logs binary")
 
 
-def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(fold("doc_id") != 1, F.lit(True)).alias("learnt"), "text")
-    numbered = stored(spark, numbered, "numbered")
+    numbered = stored(spark, grouped(docs, group_bytes), "numbered")
     seen = numbered.agg(F.count_if("learnt").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     n_texts = seen["n"]
     pairs = stored(spark, group_counts(numbered, order, 1 + seen["bytes"] // SHARD_BYTES), "pairs")
@@ -313,54 +292,48 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
     total, distinct = sums["n"] + n_texts, sums["v"] + (n_texts > 0)
     scale = float(np.log10(total + 0.5 * (distinct + 1)))
     least = bounded_threshold(words, most_words)
-    frequent = words.filter(F.col("n") >= least).toPandas()
+    frequent = words.filter(F.col("n") >= least).toArrow()
     sort = np.argsort(frequent["key"].to_numpy())
-    keys = frequent["key"].to_numpy(np.int64)[sort]
-    logs = np.log10(frequent["n"].to_numpy(float)[sort] + 0.5) - scale
+    keys = frequent["key"].to_numpy()[sort]
+    logs = np.log10(frequent["n"].to_numpy().astype(float)[sort] + 0.5) - scale
     end_log = float(np.log10(n_texts + 0.5) - scale)
     shared = spark.sparkContext.broadcast((keys, logs))
-    path = fresh_path(spark, "rated")
-    rated_codes(spark, pairs, order).repartition("group").write.partitionBy("group").parquet(path)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def table_of(group: int) -> tuple[np.ndarray, np.ndarray]:
-        fs, base = filesystem(path)
-        rows = pads.dataset(f"{base}/group={group}", filesystem=fs, format="parquet").to_table(["codes", "logs"])
-        codes = np.concatenate([_unpacked(x.as_buffer()) for x in rows["codes"]])
-        values = np.concatenate([np.frombuffer(x.as_buffer(), np.float64) for x in rows["logs"]])
-        sort = np.argsort(codes)
-        return codes[sort], values[sort]
-
-    @lean
-    def run(batches):
+    def rate(rows: pa.Table, rated: pa.Table) -> pa.Table:
         keys, logs = shared.value
-        at_group, codes_known, values = None, None, None
-        for b in batches:
-            outs = []
-            for group, lo, hi in _grouped(b.column(0).to_numpy()):
-                if group != at_group:
-                    at_group, (codes_known, values) = group, table_of(group)
-                for row, to, t in slices(b.column(2).slice(lo, hi - lo)):
-                    row, to, t = lo + row, lo + to, t.lowered()
-                    codes, first = grams(t, order)
-                    code, unique = pd.factorize(codes)
-                    ppm = np.add.reduceat(values[np.searchsorted(codes_known, unique)][code], first)
-                    h = t.word_hash.view(np.int64)
-                    begin = t.words[2]
-                    code, unique = pd.factorize(h)
-                    at = np.minimum(np.searchsorted(keys, unique), max(len(keys) - 1, 0))
-                    hit = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
-                    value = np.where(hit, logs[at] if len(keys) else 0.0, 0.0)[code]
-                    common = hit[code]
-                    owner = t.owner(begin)
-                    base = np.bincount(owner, value, t.n) + end_log
-                    known = np.bincount(owner, common, t.n).astype(np.int64)
-                    rare = np.bincount(owner, ~common, t.n).astype(np.int64)
-                    lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
-                    outs.append(pa.RecordBatch.from_arrays([b.column(0).slice(row, to - row), b.column(1).slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
-            yield from outs
-
-    first = stored(spark, numbered.select("row", "doc_id", "text").mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
+        known_codes = np.concatenate([np.zeros(0, np.int64), *(_unpacked(x.as_buffer()) for x in rated["codes"])])
+        values = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_buffer(), np.float64) for x in rated["logs"])])
+        sort = np.argsort(known_codes)
+        known_codes, values = known_codes[sort], values[sort]
+        rows = rows.combine_chunks()
+        ids, texts = (rows.column(c).combine_chunks() for c in ("doc_id", "text"))
+        row_ids, outs = rows.column("row").combine_chunks(), []
+        for row, to, t in slices(texts):
+            t = t.lowered()
+            codes, first = grams(t, order)
+            code, unique = pd.factorize(codes)
+            ppm = np.add.reduceat(values[np.searchsorted(known_codes, unique)][code], first)
+            h = t.word_hash.view(np.int64)
+            begin = t.words[2]
+            code, unique = pd.factorize(h)
+            at = np.minimum(np.searchsorted(keys, unique), max(len(keys) - 1, 0))
+            hit = keys[at] == unique if len(keys) else np.zeros(len(unique), bool)
+            value = np.where(hit, logs[at] if len(keys) else 0.0, 0.0)[code]
+            common = hit[code]
+            owner = t.owner(begin)
+            base = np.bincount(owner, value, t.n) + end_log
+            known = np.bincount(owner, common, t.n).astype(np.int64)
+            rare = np.bincount(owner, ~common, t.n).astype(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
+            outs.append(pa.RecordBatch.from_arrays([row_ids.slice(row, to - row), ids.slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
+        del known_codes, values, sort
+        trim()
+        return pa.Table.from_batches(outs)
+
+    rated = rated_codes(spark, pairs, order)
+    first = numbered.select("group", "row", "doc_id", "text").groupBy("group").cogroup(rated.groupBy("group"))
+    first = stored(spark, first.applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
     rare = first.select("row", F.explode("rare").alias("key"))
     rated = rare.join(words.hint("merge"), "key", "left").select("row", F.coalesce("n", F.lit(0)).alias("n"))
     rated = rated.groupBy("row").agg(F.count_if(F.col("n") > 0).alias("known_rare"), F.sum(F.log10(F.col("n") + 0.5) - scale).alias("base_rare"))

@@ -39,13 +39,18 @@ def lean(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
-                trim(0)
+            trim()
 
     return task
 
 
+def trim() -> None:
+    """Gives the freed memory of this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc has it
+        give_back(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finaliser."""
     x = x ^ (x >> U(30))
