@@ -40,7 +40,7 @@ BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
 #: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
-GROUP_BYTES = 8 << 20
+GROUP_BYTES = 24 << 20
 SHARD_BYTES = 4 << 20
 #: Codes that a task holds before it hands them on.
 HELD_CODES = 1_000_000
@@ -258,7 +258,7 @@ def unpacked(packed: DataFrame) -> DataFrame:
 
 
 def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
-    """(group, codes, logs): log10 probability of each code of each group, by the counts of all groups."""
+    """(group, codes, logs): log10 probability (float32) of each code of each group, by the counts of all groups."""
     base = min(BASE, order)
     low = unpacked(pairs.filter(F.col("shard") == LEVEL)).toArrow()
     shared = spark.sparkContext.broadcast((low["key"].to_numpy(), low["n"].to_numpy()))
@@ -273,7 +273,7 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
         sort = np.argsort(codes)
         logs = Trie(levels).log10(codes)[sort]
         codes = codes[sort]
-        values = pa.array([logs[np.searchsorted(codes, c)].tobytes() for c, _ in parts], pa.binary())
+        values = pa.array([logs[np.searchsorted(codes, c)].astype(np.float32).tobytes() for c, _ in parts], pa.binary())
         del parts, codes, n, levels, logs
         trim()
         return pa.table({"group": table["group"], "codes": table["codes"], "logs": values})
@@ -303,7 +303,7 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
     def rate(rows: pa.Table, rated: pa.Table) -> pa.Table:
         keys, logs = shared.value
         known_codes = np.concatenate([np.zeros(0, np.int64), *(_unpacked(x.as_buffer()) for x in rated["codes"])])
-        values = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_buffer(), np.float64) for x in rated["logs"])])
+        values = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_buffer(), np.float32) for x in rated["logs"])])
         sort = np.argsort(known_codes)
         known_codes, values = known_codes[sort], values[sort]
         rows = rows.combine_chunks()
