@@ -3,13 +3,18 @@
 Token log-odds between toxic and other labelled texts are smoothed by a Dirichlet prior with the
 shares of both classes together; a token counts only if its z-score is significant, and every token
 costs a drift, so scores of clean text fall. In one pass a linear scan finds all maximal segments of
-each text. A segment with score S in n tokens has about K n exp(-lambda S) equals by chance
-(lambda: the root of E exp(lambda s) = 1 over clean tokens); the evidence of a text is the sum of
-lambda S - ln(K n) over its significant segments, mapped to 0..1 by a two-parameter logistic fit. K is
-fixed at 0.1, not estimated. passages() gives the segments themselves, with their places in the text.
+each text. A segment with score S in n tokens has about K n exp(-lambda S) equals by chance. lambda is the
+root of E exp(lambda s) = 1 over clean tokens; K is the maximum-likelihood value of the extreme-value
+distribution of the best segments of token sequences drawn with the shares of clean text. The evidence
+of a text is the sum of lambda S - ln(K n) over its significant segments, mapped to 0..1 by a
+two-parameter logistic fit to evidence out of fold: labelled texts fall in four parts, each rated by the
+tokens of the other three. passages() gives the segments themselves, with their places in the text.
+
+The tokens come from a bounded sample of labelled texts (``sample_rows``), which bounds the model.
 
 Cases: null and empty texts have no segment and get the score of no evidence; repeated rows are
-scored each; without labels of both kinds all scores are 0; only doc_id, text and toxic are read.
+scored each; without labels of both kinds all scores are 0, and if three parts lack a kind the logistic is fitted
+to the texts that gave the tokens; only doc_id, text and toxic are read.
 """
 
 from __future__ import annotations
@@ -20,33 +25,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fold
+from weft.llm.common import fold, stored
 from weft.llm.textbatch import WORDY, U, lean, mix, slices
 
 #: At most so many labelled ids are learnt from; those with the smallest hash of the id.
 SAMPLE_ROWS = 60_000
-#: At most so many tokens are significant (the largest z-scores), which bounds what is broadcast.
-MOST_TOKENS = 65_536
 STEM = 4
 DRIFT = 0.4
+#: Sequences drawn for K, and their tokens.
+DRAWN, DRAWN_TOKENS = 32, 32_768
 _STEM_TAG = U(0xA24BAED4963EE407)
 
 
 def tokens(t) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Lower-cased runs of letters and digits: hash, hash of the first STEM bytes, first of each text, start and end bytes."""
+    """Lower-cased runs of letters and digits: hash, hash of the first STEM characters, first of each text, start and end bytes."""
     low = t.lowered()
     start, end, first = low.runs(WORDY[low.data])
-    return low.span_hash(start, end), low.span_hash(start, np.minimum(end, start + STEM)) ^ _STEM_TAG, first, start, end
+    signs = np.append(np.flatnonzero((low.data & 0xC0) != 0x80), np.full(STEM, len(low.data)))
+    stem = np.minimum(end, signs[np.searchsorted(signs[: len(signs) - STEM], start) + STEM])
+    return low.span_hash(start, end), low.span_hash(start, stem) ^ _STEM_TAG, first, start, end
 
 
 def _counts(docs: DataFrame) -> DataFrame:
-    """Per token or stem: how often in toxic and other texts, and in how many toxic texts."""
+    """Per part, token or stem: how often in toxic and other texts, and in how many toxic texts; from (text, toxic, part)."""
+    by = ["part", "kind", "token"]
 
     @lean
     def run(batches):
         for b in batches:
             out = []
-            toxic = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            toxic, part = b.column(1).to_numpy(zero_copy_only=False).astype(bool), b.column(2).to_numpy()
             for row, to, t in slices(b.column(0)):
                 word, stem, first, _, _ = tokens(t)
                 owner = t.owner(first)
@@ -55,13 +63,13 @@ def _counts(docs: DataFrame) -> DataFrame:
                     text = mix(keys + owner.astype(U))
                     fresh = np.zeros(len(keys), bool)
                     fresh[np.unique(text, return_index=True)[1]] = True
-                    frame = pd.DataFrame({"kind": kind, "token": keys.view(np.int64), "toxic": bad.astype(np.int64), "clean": (~bad).astype(np.int64), "texts": (bad & fresh).astype(np.int64)})
-                    out.append(frame.groupby(["kind", "token"], as_index=False, sort=False).sum())
+                    frame = pd.DataFrame({"part": part[row:to][owner].astype(np.int64), "kind": kind, "token": keys.view(np.int64), "toxic": bad.astype(np.int64), "clean": (~bad).astype(np.int64), "texts": (bad & fresh).astype(np.int64)})
+                    out.append(frame.groupby(by, as_index=False, sort=False).sum())
             if out:
-                yield pa.RecordBatch.from_pandas(pd.concat(out).groupby(["kind", "token"], as_index=False, sort=False).sum(), preserve_index=False)
+                yield pa.RecordBatch.from_pandas(pd.concat(out).groupby(by, as_index=False, sort=False).sum(), preserve_index=False)
 
-    per_task = docs.mapInArrow(run, "kind long, token long, toxic long, clean long, texts long")
-    return per_task.groupBy("kind", "token").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "texts")))
+    per_task = docs.mapInArrow(run, "part long, kind long, token long, toxic long, clean long, texts long")
+    return per_task.groupBy(*by).agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "texts")))
 
 
 class Model:
@@ -155,34 +163,56 @@ def decay_of(values: np.ndarray, shares: np.ndarray) -> float:
     return max(high, 1e-3)
 
 
-def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, most_tokens: int = MOST_TOKENS, least_z: float = 4.0, least_texts: int = 4) -> Model | None:
-    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id") != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"))
-    rates = _counts(known)
-    sums = {r.kind: (r.t, r.c, r.v) for r in rates.groupBy("kind").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c"), F.count("*").alias("v")).collect()}
-    if not sums or not sums[0][0] or not sums[0][1]:
+def chance_factor(values: np.ndarray, shares: np.ndarray, decay: float, seed: int = 5) -> float:
+    """K of the extreme-value distribution: best segments of drawn sequences follow exp(-K n exp(-decay S))."""
+    draws = np.random.default_rng(seed).random((DRAWN, DRAWN_TOKENS))
+    s = values[np.minimum(np.searchsorted(np.cumsum(shares), draws), len(values) - 1)]
+    total = np.concatenate([np.zeros((DRAWN, 1)), np.cumsum(s, axis=1)], 1)
+    best = (total - np.minimum.accumulate(total, axis=1)).max(1)
+    return float(DRAWN / (DRAWN_TOKENS * np.exp(-decay * best).sum()))
+
+
+def fitted(rates: DataFrame, least_z: float, least_texts: int) -> Model | None:
+    """The significant tokens of stored ``rates`` and the calibration of their segments; None without both kinds."""
+    rates = rates.groupBy("kind", "token").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "texts")))
+    sums = rates.filter("kind = 0").agg(F.sum("toxic").alias("t"), F.sum("clean").alias("c")).first()
+    n_toxic, n_clean = sums["t"] or 0, sums["c"] or 0
+    if not n_toxic or not n_clean:
         return None
-    n_toxic, n_clean, _ = sums[0]
     # the prior has the weight of a hundredth of the toxic tokens, spread by the shares of both classes together
     prior = 0.01 * n_toxic
     a = (F.col("toxic") + F.col("clean")) * F.lit(prior / (n_toxic + n_clean)) + F.lit(0.01)
     odds = F.log((F.col("toxic") + a) / F.lit(n_toxic + prior)) - F.log((F.col("clean") + a) / F.lit(n_clean + prior))
     rated = rates.select("*", odds.alias("odds"), (odds / F.sqrt(1 / (F.col("toxic") + a) + 1 / (F.col("clean") + a))).alias("z"))
-    top = rated.filter((F.col("z") >= least_z) & (F.col("texts") >= least_texts)).orderBy(F.desc("z"), "kind", "token").limit(most_tokens).toPandas()
+    # bounded by the labelled sample
+    top = rated.filter((F.col("z") >= least_z) & (F.col("texts") >= least_texts)).select("token", "odds", "clean").toPandas()
     keys = top["token"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    values, clean = top["odds"].to_numpy(float), top["clean"].to_numpy(float)
+    values, clean = top["odds"].to_numpy(float)[order], top["clean"].to_numpy(float)[order]
     shares = np.append(clean + 0.5, max(1.0, n_clean - clean.sum())) / (n_clean + 0.5 * len(clean) + 1)
-    decay = decay_of(np.append(values, 0.0) - DRIFT, shares / shares.sum())
-    model = Model(keys[order], values[order], decay, 0.1)
+    steps, shares = np.append(values, 0.0) - DRIFT, shares / shares.sum()
+    decay = decay_of(steps, shares)
+    return Model(keys[order], values, decay, chance_factor(steps, shares, decay))
 
-    shared = spark.sparkContext.broadcast(model)
+
+def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, least_z: float = 4.0, least_texts: int = 4) -> Model | None:
+    labels = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id") != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
+    known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), fold("doc_id").cast("int").alias("part"))
+    rates = stored(spark, _counts(known), "rates")
+    model = fitted(rates, least_z, least_texts)
+    if model is None:
+        return None
+    judges = [fitted(rates.filter(f"part <> {k}"), least_z, least_texts) for k in range(1, 5)]
+    shared = spark.sparkContext.broadcast(judges if all(judges) else [model] * 4)
 
     @lean
     def run(batches):
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(shared.value.evidence(b.column(0))), b.column(1)], ["evidence", "toxic"])
+            part = b.column(2).to_numpy()
+            for k, judge in enumerate(shared.value, 1):
+                mine = b.filter(pa.array(part == k))
+                yield pa.RecordBatch.from_arrays([pa.array(judge.evidence(mine.column(0))), mine.column(1)], ["evidence", "toxic"])
 
     seen = known.mapInArrow(run, "evidence double, toxic int").groupBy(F.round("evidence", 2).alias("e"), "toxic").count().toPandas()
     model.weights = logistic(np.log1p(seen["e"].to_numpy()), seen["toxic"].to_numpy().astype(float), seen["count"].to_numpy().astype(float))
