@@ -7,12 +7,13 @@ trie nest. The probability of a symbol seen n times among T in the longest known
 the next shorter context, where symbols of the longer one are excluded; below all contexts, unseen
 symbols are equal. The model is pretrained: scoring a text doesn't change it.
 
-The model keeps every count of the corpus and is never on one machine. Neighbouring rows form groups of
-about GROUP_BYTES of text; a group's distinct (context, symbol) codes are dealt into shards by the last
-BASE symbols of the context. All levels from BASE up that a code needs lie in its shard, the shorter ones
-(at most 257 ** BASE nodes) are broadcast, so a shard builds its part of the trie and rates the codes of
-all groups exactly as the whole trie would. The rated codes meet the texts of their group, which add them
-up. A shard holds a code of its contexts at most once for each group, however often texts repeat it.
+The model keeps every count of the corpus and is never on one machine. One scan makes groups of
+neighbouring rows, about GROUP_BYTES of text: the compressed texts as one row, and the group's distinct
+(context, symbol) codes, dealt into shards by the last BASE symbols of the context. All levels from BASE
+up that a code needs lie in its shard, the shorter ones (at most 257 ** BASE nodes) are broadcast, so a
+shard builds its part of the trie and rates the codes of all groups exactly as the whole trie would. Only
+the logs go back, in the order of the codes, and meet the texts of their group, which add them up. A shard
+holds a code of its contexts at most once for each group, however often texts repeat it.
 
 The word unigram beside it is exact: the most frequent words are looked up in a bounded table,
 all others are joined with the stored counts of all training words.
@@ -40,11 +41,10 @@ BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
 #: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
-GROUP_BYTES = 24 << 20
+GROUP_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
-#: Codes that a task holds before it hands them on.
-HELD_CODES = 1_000_000
-LEVEL, WORD_COUNTS = -1, -2
+#: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
+TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
 END_WORD = 1
@@ -163,46 +163,44 @@ def _unpacked(data) -> np.ndarray:
     return np.cumsum(np.frombuffer(data, np.int64))
 
 
-def _runs(group: np.ndarray) -> list[tuple[int, int, int]]:
-    """(group, first, end) of neighbouring rows of one group."""
-    cut = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
-    return [(int(group[a]), a, z) for a, z in zip(cut, cut[1:]) if z > a]
-
-
-def grouped(docs: DataFrame, most: int) -> DataFrame:
-    """row, group, learnt, doc_id and text; neighbouring rows of about ``most`` bytes share a group."""
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.coalesce(fold("doc_id") != 1, F.lit(True)).alias("learnt"), "doc_id", "text")
-
-    @lean
-    def run(batches):
-        group, held = TaskContext.get().partitionId() << 33, 0
-        for b in batches:
-            mine = []
-            for size in np.diff(strings(b.column(3))[1]).tolist():
-                if held and held + size > most:
-                    group, held = group + 1, 0
-                held += size + 1
-                mine.append(group)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(mine, pa.int64()), *b.columns[1:]], ["row", "group", "learnt", "doc_id", "text"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, group long, learnt boolean, doc_id {kind}, text string")
-
-
-def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
-    """(group, shard, codes, n): each group's distinct codes with their counts in learnt rows, packed.
-
-    Shard LEVEL holds the counts of the longest level that is broadcast, WORD_COUNTS those of words.
-    """
-    base = min(BASE, order)
-
-    def rows_of(group: int, parts: list, words: list) -> pa.RecordBatch:
+def _by_shard(codes: np.ndarray, base: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shard of each of the distinct ``codes``, and the order of the codes by shard and value."""
+    shard = (mix(((codes >> BITS) & ((1 << (BITS * base)) - 1)).view(U)) % U(shards)).astype(np.int64)
+    return shard, np.lexsort((codes, shard))
+
+
+class Group:
+    """Texts gathered until they are enough for a group."""
+
+    def __init__(self, order: int, shards: int):
+        self.order, self.shards = order, shards
+        self.learnt, self.ids, self.sizes, self.data, self.held = [], [], [], [], 0
+
+    def add(self, ids: pa.Array, learnt: np.ndarray, column: pa.Array) -> None:
+        data, offs = strings(column)
+        self.ids.append(ids)
+        self.learnt.append(learnt)
+        self.sizes.append(np.diff(offs))
+        self.data.append(data.copy())
+        self.held += len(data) + len(ids)
+
+    def rows(self, group: int, kind: pa.DataType) -> pa.RecordBatch:
+        """Rows (group, shard, codes, n, size, sizes, ids): the texts in shard TEXTS, then counts, packed."""
+        data, sizes, learnt, base = np.concatenate(self.data), np.concatenate(self.sizes), np.concatenate(self.learnt), min(BASE, self.order)
+        parts, words = [], []
+        for row, to, t in slices(_column(data, sizes)):
+            t, mine = t.lowered(), learnt[row:to]
+            code, unique = pd.factorize(grams(t, self.order)[0])
+            weight = np.repeat(mine, np.diff(t.offs) + 1).astype(float)
+            parts.append((unique, np.bincount(code, weight, len(unique)).astype(np.int64)))
+            if mine.any():
+                words.append(_counted(t.word_hash.view(np.int64)[mine[t.owner(t.words[2])]]))
         codes, n = _tally(parts)
-        shard = (mix(((codes >> BITS) & ((1 << (BITS * base)) - 1)).view(U)) % U(shards)).astype(np.int64)
-        sort = np.lexsort((codes, shard))
-        codes, n, shard = codes[sort], n[sort], shard[sort]
+        shard, order = _by_shard(codes, base, self.shards)
+        codes, n, shard = codes[order], n[order], shard[order]
         cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-        out = [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
+        out = [(TEXTS, pa.compress(data.tobytes(), "zstd", asbytes=True), None)]
+        out += [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
         seen = n > 0
         if base and seen.any():
             low, m = marginals(codes[seen], n[seen], base - 1)
@@ -210,37 +208,45 @@ def group_counts(numbered: DataFrame, order: int, shards: int) -> DataFrame:
         if words:
             keys, m = _tally(words)
             out.append((WORD_COUNTS, _packed(keys), m.tobytes()))
-        names = ["group", "shard", "codes", "n"]
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(out), group, np.int64)), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())], names)
+        none = [None] * (len(out) - 1)
+        one = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(self.ids))
+        ids = pa.concat_arrays([one, pa.nulls(len(none), pa.list_(kind))])
+        columns = [pa.array([group] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([len(data), *none], pa.int64()), pa.array([sizes, *none], pa.list_(pa.int64())), ids], ["group", "shard", "codes", "n", "size", "sizes", "ids"])
+
+
+def _column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Texts side by side as a column of bytes."""
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(np.append(0, np.cumsum(sizes)).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def group_counts(docs: DataFrame, order: int, shards: int, most: int) -> DataFrame:
+    """The rows of all groups: neighbouring rows of about ``most`` bytes."""
+    learnt = F.coalesce(fold("doc_id") != 1, F.lit(True)).alias("learnt")
 
     @lean
     def run(batches):
-        at, parts, words, size = None, [], [], 0
+        number = TaskContext.get().partitionId() << 33
+        group, kind = Group(order, shards), None
         for b in batches:
-            learnt = b.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for group, lo, hi in _runs(b.column(0).to_numpy()):
-                if group != at and parts:
-                    yield rows_of(at, parts, words)
-                    parts, words, size = [], [], 0
-                at = group
-                for row, to, t in slices(b.column(2).slice(lo, hi - lo)):
-                    t, mine = t.lowered(), learnt[lo + row : lo + to]
-                    code, unique = pd.factorize(grams(t, order)[0])
-                    weight = np.repeat(mine, np.diff(t.offs) + 1).astype(float)
-                    parts.append((unique, np.bincount(code, weight, len(unique)).astype(np.int64)))
-                    if mine.any():
-                        words.append(_counted(t.word_hash.view(np.int64)[mine[t.owner(t.words[2])]]))
-                    size += len(unique)
-                    if size > 2 * HELD_CODES:
-                        parts, words = [_tally(parts)], [_tally(words)] if words else []
-                        size = len(parts[0][0])
-                        if size > HELD_CODES:
-                            yield rows_of(at, parts, words)
-                            parts, words, size = [], [], 0
-        if parts:
-            yield rows_of(at, parts, words)
-
-    return numbered.select("group", "learnt", "text").mapInArrow(run, "group long, shard long, codes binary, n binary")
+            kind = b.schema.field("doc_id").type
+            flags, ends = b.column(1).to_numpy(zero_copy_only=False).astype(bool), np.cumsum(np.diff(strings(b.column(2))[1]) + 1)
+            at = 0
+            while at < b.num_rows:
+                before = ends[at - 1] if at else 0
+                to = int(np.searchsorted(ends, before + most - group.held, side="right"))
+                to = max(to, at + (not group.held))
+                if to > at:
+                    group.add(b.column(0).slice(at, to - at), flags[at:to], b.column(2).slice(at, to - at))
+                if to < b.num_rows:
+                    yield group.rows(number, kind)
+                    number, group = number + 1, Group(order, shards)
+                at = to
+        if group.ids:
+            yield group.rows(number, kind)
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", learnt, "text").mapInArrow(run, f"group long, shard long, codes binary, n binary, size long, sizes array<long>, ids array<{kind}>")
 
 
 def unpacked(packed: DataFrame) -> DataFrame:
@@ -257,8 +263,8 @@ def unpacked(packed: DataFrame) -> DataFrame:
     return packed.select("codes", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
-    """(group, codes, logs): log10 probability (float32) of each code of each group, by the counts of all groups."""
+def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int) -> DataFrame:
+    """(group, shard, logs): log10 probability (float32) of each code of each group, by the counts of all groups."""
     base = min(BASE, order)
     low = unpacked(pairs.filter(F.col("shard") == LEVEL)).toArrow()
     shared = spark.sparkContext.broadcast((low["key"].to_numpy(), low["n"].to_numpy()))
@@ -271,22 +277,22 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int) -> DataFrame:
         seen = n > 0
         levels = [Level(*x) for x in below] + [Level(*marginals(codes[seen], n[seen], k)) for k in range(base, order + 1)]
         sort = np.argsort(codes)
-        logs = Trie(levels).log10(codes)[sort]
         codes = codes[sort]
-        values = pa.array([logs[np.searchsorted(codes, c)].astype(np.float32).tobytes() for c, _ in parts], pa.binary())
+        logs = Trie(levels).log10(codes).astype(np.float32)
+        values = pa.array([logs[np.searchsorted(codes, c)].tobytes() for c, _ in parts], pa.binary())
         del parts, codes, n, levels, logs
         trim()
-        return pa.table({"group": table["group"], "codes": table["codes"], "logs": values})
+        return pa.table({"group": table["group"], "shard": table["shard"], "logs": values})
 
-    return pairs.filter("shard >= 0").groupBy("shard").applyInArrow(run, "group long, codes binary, logs binary")
+    mine = pairs.filter("shard >= 0").select("group", "shard", "codes", "n").repartition(shards, "shard")
+    return mine.groupBy("shard").applyInArrow(run, "group long, shard long, logs binary")
 
 
 def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
-    numbered = stored(spark, grouped(docs, group_bytes), "numbered")
-    seen = numbered.agg(F.count_if("learnt").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
-    n_texts = seen["n"]
-    pairs = stored(spark, group_counts(numbered, order, 1 + seen["bytes"] // SHARD_BYTES), "pairs")
+    seen = docs.agg(F.count_if(F.coalesce(fold("doc_id") != 1, F.lit(True))).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    n_texts, shards, depth = seen["n"], 1 + seen["bytes"] // SHARD_BYTES, min(BASE, order)
+    pairs = stored(spark, group_counts(docs, order, shards, group_bytes), "pairs")
     words = stored(spark, unpacked(pairs.filter(F.col("shard") == WORD_COUNTS)), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_texts, sums["v"] + (n_texts > 0)
@@ -302,13 +308,18 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
 
     def rate(rows: pa.Table, rated: pa.Table) -> pa.Table:
         keys, logs = shared.value
-        known_codes = np.concatenate([np.zeros(0, np.int64), *(_unpacked(x.as_buffer()) for x in rated["codes"])])
-        values = np.concatenate([np.zeros(0), *(np.frombuffer(x.as_buffer(), np.float32) for x in rated["logs"])])
+        size, sizes, blob = rows["size"][0].as_py(), rows["sizes"][0].values.to_numpy(), rows["codes"][0].as_buffer()
+        ids, number = rows["ids"][0].values, rows["group"][0].as_py() << 24
+        texts = _column(np.frombuffer(pa.decompress(blob, size, "zstd"), np.uint8), sizes)
+        known_codes = pd.unique(np.concatenate([pd.unique(grams(t.lowered(), order)[0]) for _, _, t in slices(texts)]))
+        known_codes = known_codes[_by_shard(known_codes, depth, shards)[1]]
+        rated = rated.sort_by("shard")
+        values = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in rated["logs"]])
+        if len(values) != len(known_codes):
+            raise ValueError(f"group {number >> 24}: {len(values)} rated codes of {len(known_codes)}")
         sort = np.argsort(known_codes)
-        known_codes, values = known_codes[sort], values[sort]
-        rows = rows.combine_chunks()
-        ids, texts = (rows.column(c).combine_chunks() for c in ("doc_id", "text"))
-        row_ids, outs = rows.column("row").combine_chunks(), []
+        known_codes, values = known_codes[sort], values[sort].astype(np.float64)
+        outs = []
         for row, to, t in slices(texts):
             t = t.lowered()
             codes, first = grams(t, order)
@@ -326,14 +337,17 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
             known = np.bincount(owner, common, t.n).astype(np.int64)
             rare = np.bincount(owner, ~common, t.n).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
-            outs.append(pa.RecordBatch.from_arrays([row_ids.slice(row, to - row), ids.slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
+            outs.append(pa.RecordBatch.from_arrays([pa.array(np.arange(row, to) + number), ids.slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
         del known_codes, values, sort
         trim()
         return pa.Table.from_batches(outs)
 
-    rated = rated_codes(spark, pairs, order)
-    first = numbered.select("group", "row", "doc_id", "text").groupBy("group").cogroup(rated.groupBy("group"))
-    first = stored(spark, first.applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>"), "scored")
+    # a group or two for each task, however large the table is
+    tasks = 1 + seen["bytes"] // group_bytes
+    texts = pairs.filter(F.col("shard") == TEXTS).select("group", "codes", "size", "sizes", "ids").repartition(tasks, "group")
+    rated = rated_codes(spark, pairs, order, shards).repartition(tasks, "group")
+    first = texts.groupBy("group").cogroup(rated.groupBy("group")).applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>")
+    first = stored(spark, first, "scored")
     rare = first.select("row", F.explode("rare").alias("key"))
     rated = rare.join(words.hint("merge"), "key", "left").select("row", F.coalesce("n", F.lit(0)).alias("n"))
     rated = rated.groupBy("row").agg(F.count_if(F.col("n") > 0).alias("known_rare"), F.sum(F.log10(F.col("n") + 0.5) - scale).alias("base_rare"))
