@@ -161,3 +161,16 @@ def test_short_and_null_texts_in_the_near_dedup_stage(spark):
     docs = frame(spark, ["", "", None, None, "one two", "one two", "one two three four five six"])
     got = {r["doc_id"] for r in neardup.keep_one(spark, docs).collect()}
     assert got == {0, 2, 3, 4, 6}
+
+
+def test_one_row_of_each_class_stays(spark):
+    a, b, t = "a text of its own for id five " * 3, "b text of another kind with id five " * 3, "t text without any id at all " * 3
+    near = " ".join(f"w{i}" for i in range(200))
+    rows = [(None, t), (None, t), (5, a), (5, b), (5, a), (None, a), (7, a), (None, None), (None, None), (8, None), (8, None), (20, near), (21, near + " end"), (None, near + " end"), (None, near + " other end")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit("x"), "source": F.lit("y"), "n_chars": F.lit(1)})
+    got = Counter((r["doc_id"], r["text"]) for r in neardup.keep_one(spark, docs).collect())
+    five = [x for x in got if x[0] == 5]
+    assert len(five) == 1 and got[five[0]] == 1
+    assert got == Counter([(None, t), five[0], (None, None), (8, None), (20, near), (None, near + " other end")])
+    links = {(r["doc_id"], r["class_id"]): r["n_links"] for r in neardup.classes(spark, docs).collect()}
+    assert links[20, 20] == links[21, 20] == 1 and links[8, 8] == 0

@@ -17,15 +17,18 @@ no link between vertices of one bucket is lost. Classes are connected components
 is its smallest doc_id.
 
 Cases: null texts are classes of their own; equal texts, empty ones included, share a class; rows
-that share an id share a class; a null id has class null unless its text has another id; ties go to
-the smaller id; other columns are not read. Text identity is a 128-bit hash, shingle identity 64 bits.
+that share an id share a class; a null id has class null unless its text has another id, and texts without
+any id meet only equal ones; ties go to the smaller id; other columns are not read. Text identity is a
+128-bit hash, shingle identity 64 bits.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.common import OWN, stored
@@ -98,15 +101,16 @@ def _lists(values: np.ndarray, sizes: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(values))
 
 
+def identity() -> list[Column]:
+    """Two hashes of a text; null texts differ by id."""
+    lone = F.col("text").isNull()
+    return [F.when(lone, F.xxhash64(F.lit(3), F.col("doc_id").cast("long"))).otherwise(F.xxhash64("text")), F.when(lone, F.xxhash64(F.lit(5), F.col("doc_id").cast("long"))).otherwise(F.xxhash64(F.lit(7), F.col("text")))]
+
+
 def sketched(docs: DataFrame) -> DataFrame:
     """doc_id, text identity (k1, k2) and bucket keys of every row."""
-    lone = F.col("text").isNull()
-    ids = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        F.when(lone, F.xxhash64(F.lit(3), "doc_id")).otherwise(F.xxhash64("text")).alias("k1"),
-        F.when(lone, F.xxhash64(F.lit(5), "doc_id")).otherwise(F.xxhash64(F.lit(7), F.col("text"))).alias("k2"),
-    )
+    k1, k2 = identity()
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", k1.alias("k1"), k2.alias("k2"))
 
     @lean
     def run(batches):
@@ -200,14 +204,16 @@ def _rest_pairs(spark: SparkSession, members: DataFrame, labels: DataFrame, sets
     prefix = stored(spark, prefix.select("v", "c", "n", (F.col("lone") + F.col("i")).alias("i"), F.col("x.t").alias("t")), "prefix")
     mixed_t = stored(spark, prefix.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("t"), "mixed")
     prefix = stored(spark, prefix.join(mixed_t.hint("merge"), "t"), "prefix")
-    x, y = prefix.alias("x"), prefix.alias("y").hint("merge")
+    # similar sets have sizes within the similarity, so they lie in the same band of sizes or in neighbouring ones
+    prefix = prefix.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similar))))
+    x, y = prefix.withColumn("zx", F.explode(F.array(F.col("z") - 1, F.col("z"), F.col("z") + 1))).alias("x"), prefix.alias("y").hint("merge")
     overlap = F.lit(similar / (1 + similar)) * (F.col("x.n") + F.col("y.n")) - 1e-9
-    near = (F.col("x.t") == F.col("y.t")) & (F.col("x.c") != F.col("y.c")) & (F.col("x.v") < F.col("y.v")) & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) >= overlap)
+    near = (F.col("x.t") == F.col("y.t")) & (F.col("x.zx") == F.col("y.z")) & (F.col("x.c") != F.col("y.c")) & (F.col("x.v") < F.col("y.v")) & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) >= overlap)
     return x.join(y, near).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
 
 
-def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """doc_id and class_id of every row."""
+def classified(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, text identity (k1, k2), class_id and n_links of every row."""
     rows = stored(spark, sketched(docs), "sketches")
     texts = stored(spark, rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("v"), F.first("bands").alias("bands")), "texts")
     buckets = texts.filter("v is not null").select("v", F.explode("bands").alias("key"))
@@ -221,15 +227,35 @@ def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> D
     if rest is not None:
         more = verified(spark, rest, sets, similar)
         if more.limit(1).count():
-            labels = components(spark, links.union(more))
-    named = texts.select("k1", "k2", "v").join(labels.hint("merge"), "v", "left").select("k1", "k2", F.coalesce("c", "v").alias("class_id"))
+            links = links.union(more)
+            labels = components(spark, links)
+    ends = links.select(F.explode(F.array("a", "b")).alias("v")).groupBy("v").agg(F.count("*").alias("n_links"))
+    labels = labels.join(ends.hint("merge"), "v", "left")
+    named = texts.select("k1", "k2", "v").join(labels.hint("merge"), "v", "left").select("k1", "k2", F.coalesce("c", "v").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     named = stored(spark, named, "classes")
-    return rows.select("doc_id", "k1", "k2").join(named.hint("merge"), ["k1", "k2"]).select("doc_id", "class_id")
+    return rows.select("doc_id", "k1", "k2").join(named.hint("merge"), ["k1", "k2"])
+
+
+def classes(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """doc_id, class_id and n_links of every row: to how many other texts its own has a verified link.
+
+    The links hold each class together; they aren't all pairs of similar texts.
+    """
+    return classified(spark, docs, similar).select("doc_id", "class_id", "n_links")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
-    """``docs`` with one row of each class (that of the smallest id); rows without an id all stay."""
-    first = classes(spark, docs, similar).filter("doc_id <=> class_id").select(F.col("doc_id").alias(OWN + "id")).distinct()
-    first = stored(spark, first, "kept")
-    rows = docs.join(first.hint("merge"), F.col("doc_id").eqNullSafe(F.col(OWN + "id")), "left_semi")
-    return rows.withColumn(OWN + "key", F.xxhash64("text")).dropDuplicates(["doc_id", OWN + "key"]).drop(OWN + "key")
+    """``docs`` with exactly one row of each class: that of the smallest id, of several such that with the smaller text hash.
+
+    Where the class is null, each text is a class: of rows without an id, one stays for each text that no
+    row with an id has, and one of those without id and text.
+    """
+    k1, k2 = identity()
+    of = [F.col("class_id"), *(F.when(F.col("class_id").isNull(), F.col(k)).alias(f"own_{k}") for k in ("k1", "k2"))]
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2"))
+    kept = classified(spark, docs, similar).groupBy(*of).agg(first.alias("x"))
+    kept = stored(spark, kept.select(*(F.col(f"x.{c}").alias(OWN + c) for c in ("doc_id", "k1", "k2"))), "kept")
+    rows = docs.withColumns({OWN + "h1": k1, OWN + "h2": k2})
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(OWN + "doc_id")) & (F.col(OWN + "h1") == F.col(OWN + "k1")) & (F.col(OWN + "h2") == F.col(OWN + "k2"))
+    rows = rows.join(kept.hint("merge"), same, "left_semi")
+    return rows.dropDuplicates(["doc_id", OWN + "h1", OWN + "h2"]).select(*docs.columns)
