@@ -1,5 +1,6 @@
 """The ten operators against brute force, exact round trips and held-out labels."""
 
+import hashlib
 import math
 import random
 import re
@@ -114,7 +115,7 @@ def test_warc(spark):
 
 
 def test_warc_ranges_own_each_record_once(spark, tmp_path):
-    data = b"".join(warc.record_bytes(i, "u", (b"\x1f\x8b\x08" + bytes([i])) * 50, __import__("hashlib").sha1((b"\x1f\x8b\x08" + bytes([i])) * 50).hexdigest()) for i in range(40))
+    data = b"".join(warc.record_bytes(i, "u", (b"\x1f\x8b\x08" + bytes([i])) * 50, hashlib.sha1((b"\x1f\x8b\x08" + bytes([i])) * 50).hexdigest()) for i in range(40))
     (tmp_path / "x.warc.gz").write_bytes(data)
     files = spark.createDataFrame([(f"file://{tmp_path}/x.warc.gz", len(data))], "path string, bytes long")
     for split in (97, 1000, 1 << 20):
@@ -122,6 +123,52 @@ def test_warc_ranges_own_each_record_once(spark, tmp_path):
         assert ids == list(range(40))
 
 
+def foreign(kind, block, **headers):
+    lines = ["WARC/1.0", f"WARC-Type: {kind}", f"WARC-Record-ID: <urn:uuid:{kind}>", f"Content-Length: {len(block)}", *(f"{k.replace('_', '-')}: {v}" for k, v in headers.items())]
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+
+
+def test_warc_of_other_writers(spark, tmp_path):
+    http, body = "application/http; msgtype=response", b"hello chunked world"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nX-Long: a\r\n b\r\n\r\n5\r\nhello\r\ne;x=1\r\n chunked world\r\n0\r\n\r\n"
+    sha = hashlib.sha1(body).hexdigest()
+    decoys = b"".join(warc.record_bytes(i, "u", b"nested", hashlib.sha1(b"nested").hexdigest()) for i in range(200))
+    plain = b"HTTP/1.1 200 OK\r\nContent-Type: application/gzip\r\n\r\n" + decoys
+    records = [
+        (foreign("warcinfo", b"software: x\r\nformat: WARC", Content_Type="application/warc-fields"), None, len(b"software: x\r\nformat: WARC")),
+        (foreign("request", b"GET / HTTP/1.1\r\nHost: a\r\n\r\n", Content_Type="application/http; msgtype=request", WARC_Target_URI="http://a/"), None, 0),
+        (foreign("response", chunked, Content_Type=http, WARC_Payload_Digest=f"sha1:{sha}"), None, len(body)),
+        (foreign("metadata", b"fetchTimeMs: 1", WARC_Target_URI="http://a/\r\n  folded"), None, 14),
+        (foreign("conversion", b"text of a page", WARC_Payload_Digest="sha256:00"), None, 14),
+        (foreign("resource", b"bytes", WARC_Payload_Digest="sha1:" + "A" * 32), "digest differs", 5),
+        (foreign("response", plain, Content_Type=http), None, len(decoys)),
+        (foreign("revisit", b"HTTP/1.1 200 OK\r\n\r\n", Content_Type=http, WARC_Refers_To="<urn:uuid:x>"), None, None),
+        (foreign("response", b"HTTP/1.1 200 OK\r\n\r\n" + b"z" * 500, Content_Type=http), "truncated", None),
+    ]
+    parts = []
+    for i, (r, _, _) in enumerate(records):
+        # stored as it is where the payload is an archive, so its members stand in the file as they are
+        packer = zlib.compressobj(0 if i == 6 else 6, zlib.DEFLATED, 31)
+        parts.append(packer.compress(r) + packer.flush())
+    parts[-1] = parts[-1][:-9]
+    data = b"".join(parts)
+    assert data.count(b"\x1f\x8b\x08") > 150
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    files = spark.createDataFrame([(f"file://{tmp_path}/x.warc.gz", len(data))], "path string, bytes long")
+    starts = np.append(0, np.cumsum([len(x) for x in parts]))[:-1].tolist()
+    for split in (333, 5_000, 1 << 20):
+        got = sorted(warc.read(spark, files, split).collect(), key=lambda r: r["offset"])
+        assert [(r["offset"], r["problem"], r["payload_bytes"]) for r in got] == [(at, p, n) for at, (_, p, n) in zip(starts, records)]
+    assert got[2]["payload"] == body and got[2]["payload_digest"] == sha and got[3]["target_uri"] == "http://a/ folded" and got[7]["refers_to"] == "<urn:uuid:x>"
+
+
+def test_warc_without_a_broadcast(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, "u", f"{i % 3}" * 2000) for i in range(12)], "page_id long, url string, html string")
+    want = sorted(warc.round_trip(spark, pages).collect())
+    monkeypatch.setattr(warc, "BROADCAST_ROWS", 0)
+    assert sorted(warc.round_trip(spark, pages).select(warc.round_trip(spark, pages).columns).collect(), key=str) == sorted(want, key=str)
+
+
 def true_classes(docs):
     sets, first, by_text = {}, {}, {}
     for i, t in sorted((r["doc_id"], r["text"]) for r in docs if r["text"] is not None):

@@ -9,7 +9,11 @@ neither a lost nor a repeated task leaves half a file or another's records.
 Reader: archives are cut in byte ranges. A task scans its range for the gzip magic, takes a place as
 a member only if its header decodes and its content starts with the WARC version, and owns the
 records that start inside its range; the last one may end beyond it. Nothing but a range and one
-record is in memory, and no index is needed.
+record is in memory, and no index is needed. An archive inside a payload can be mistaken for records only
+where deflate stored it as it is, and such a block ends within 64 KB; so the first member of a range
+counts only if members follow each other from there for as long. Records of every type are read, with or
+without digests, folded headers and chunked bodies; ``problem`` says what is wrong with a record: truncated
+(the file ends in it), no length, or a digest that its payload doesn't have.
 
 Cases: a null html is an empty payload and a null url an empty target; empty and small payloads are
 all responses; repeated rows (same page_id and payload) count as one and are all responses; a null
@@ -36,6 +40,10 @@ from weft.llm.common import fresh_path, stored
 LEAST_BYTES = 1000
 SPLIT_BYTES = 4 << 20
 MOST_TASKS = 20_000
+#: At most so many repeated payloads (some 60 bytes each) are broadcast; more meet their pages in a sort-merge join.
+BROADCAST_ROWS = 100_000
+#: The length of a block that deflate stores as it is, at most.
+STORED_BYTES = 65_536
 READ_BYTES = 1 << 20
 MAGIC = b"\x1f\x8b\x08"
 _BAD = re.compile(r"[\x00-\x20\x7f]")
@@ -81,13 +89,17 @@ def record_bytes(page_id, url: str | None, payload: bytes, digest: str, refers_t
 
 
 def plan_records(spark: SparkSession, pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """page_id, url, payload, digest, refers_to of every page; the hot payload never meets in one task."""
+    """page_id, url, payload, digest, refers_to of every page; the hot payload never meets in one task.
+
+    Only digests are shuffled, unless the repeated payloads are too many to broadcast.
+    """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload")).select("*", F.sha1("payload").alias("digest"), F.octet_length("payload").cast("long").alias("size"))
     large = rows.filter(F.col("size") >= least_bytes)
     first = large.groupBy("digest", "size").agg(F.max("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null")
     first = stored(spark, first.select(F.col("digest").alias("d"), F.col("size").alias("z"), "first"), "payloads")
-    joined = rows.join(first.hint("merge"), (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
+    small = first.count() <= BROADCAST_ROWS
+    joined = rows.join(F.broadcast(first) if small else first.hint("merge"), (F.col("digest") == F.col("d")) & (F.col("size") == F.col("z")), "left")
     other = F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first"))
     return joined.select("page_id", "url", "payload", "digest", other.alias("refers_to"))
 
@@ -113,9 +125,10 @@ def write(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
     return stored(spark, records.mapInArrow(run, "path string, bytes long"), "archives")
 
 
-def members(f: pa.NativeFile, start: int, end: int, size: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, content) of the WARC members that start in [start, end)."""
-    at = start
+def members(f: pa.NativeFile, start: int, end: int, size: int) -> Iterator[tuple[int, bytes | None]]:
+    """(offset, content) of the WARC members that start in [start, end); no content if the file ends inside the member."""
+    at = after = start
+    sure = start == 0
     while at < end:
         f.seek(at)
         window = f.read(min(READ_BYTES, end - at) + len(MAGIC) - 1)
@@ -125,22 +138,33 @@ def members(f: pa.NativeFile, start: int, end: int, size: int) -> Iterator[tuple
             continue
         at += found
         got = _member(f, at, size)
-        if got is None:
-            at += 1
-        else:
+        if got and (sure and at == after or _followed(f, got[0], at + STORED_BYTES, size)):
             yield at, got[1]
-            at = got[0]
+            at = after = got[0]
+            sure = True
+        else:
+            at += 1
+
+
+def _followed(f: pa.NativeFile, at: int, until: int, size: int) -> bool:
+    """Whether member follows member from a member's end at ``at`` up to ``until`` or the end of the file."""
+    while at < min(until, size):
+        got = _member(f, at, size)
+        if got is None:
+            return False
+        at = got[0]
+    return True
 
 
-def _member(f: pa.NativeFile, at: int, size: int) -> tuple[int, bytes] | None:
-    """(end, content) if a whole gzip member with a WARC header starts at ``at``."""
+def _member(f: pa.NativeFile, at: int, size: int) -> tuple[int, bytes | None] | None:
+    """(end, content) if a gzip member with a WARC header starts at ``at``; no content if the file ends before the member does."""
     f.seek(at)
     unpack, parts, checked, used, step = zlib.decompressobj(31), [], False, at, 16 << 10
     try:
         while not unpack.eof:
             data = f.read(step)
             if not data:
-                return None
+                return (size, None) if checked else None
             used += len(data)
             step = READ_BYTES
             parts.append(unpack.decompress(data))
@@ -153,26 +177,79 @@ def _member(f: pa.NativeFile, at: int, size: int) -> tuple[int, bytes] | None:
     return (used - len(unpack.unused_data), b"".join(parts)) if checked else None
 
 
-def parse(content: bytes) -> tuple[dict[str, str], dict[str, str], bytes]:
-    """WARC headers, HTTP headers (lower-case names) and payload of a record."""
+def parse(content: bytes) -> tuple[dict[str, str], dict[str, str], bytes, bytes]:
+    """WARC headers, HTTP headers (lower-case names), payload and body as stored of a record.
+
+    The payload of an HTTP message is its body, chunks joined; that of any other record is its whole block.
+    """
     head, _, rest = content.partition(b"\r\n\r\n")
     warc = _headers(head)
-    body = rest[: int(warc["content-length"])]
-    http, _, payload = body.partition(b"\r\n\r\n")
-    return warc, _headers(http), payload
+    length = warc.get("content-length", "")
+    block = rest[: int(length)] if length.isdigit() else rest.removesuffix(b"\r\n\r\n")
+    if not warc.get("content-type", "").replace(" ", "").lower().startswith("application/http"):
+        return warc, {}, block, block
+    lines, blank, body = block.partition(b"\r\n\r\n")
+    if not blank:
+        lines, _, body = block.partition(b"\n\n")
+    http = _headers(lines)
+    return warc, http, _joined(body) if "chunked" in http.get("transfer-encoding", "").lower() else body, body
+
+
+def _joined(body: bytes) -> bytes:
+    """The chunks of a body; a body that is not in chunks (crawlers often join them) stays as it is."""
+    parts, at = [], 0
+    while True:
+        line = body.find(b"\r\n", at)
+        size = re.fullmatch(rb"\s*([0-9a-fA-F]+)\s*(;.*)?", body[at:line]) if line >= 0 else None
+        if not size:
+            return body
+        n, at = int(size[1], 16), line + 2
+        if not n:
+            return b"".join(parts)
+        parts.append(body[at : at + n])
+        at += n + 2
 
 
 def _headers(block: bytes) -> dict[str, str]:
-    lines = block.decode("utf-8", "replace").split("\r\n")[1:]
+    lines = re.sub(r"\r?\n[ \t]+", " ", block.decode("utf-8", "replace")).splitlines()[1:]
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
 
 
-READ_SCHEMA = "record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary"
+def stated_sha1(header: str | None) -> str | None:
+    """Hex of a sha1 digest header, base 32 or hex; None for other digests."""
+    name, _, value = (header or "").partition(":")
+    if name.strip().lower() not in ("sha1", "sha-1"):
+        return None
+    value = value.strip()
+    try:
+        return bytes.fromhex(value).hex() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+    except ValueError:
+        return None
+
+
+READ_SCHEMA = "path string, offset long, record_id string, record_type string, target_uri string, refers_to string, payload_digest string, payload_bytes long, payload binary, problem string"
+
+
+def record_row(path: str, offset: int, content: bytes | None, payloads: bool) -> tuple:
+    """A row of ``READ_SCHEMA``. A revisit has no payload: its digest and size are those that its headers state."""
+    if content is None:
+        return (path, offset, *[None] * 7, "truncated")
+    warc, http, payload, body = parse(content)
+    stated, problem = stated_sha1(warc.get("warc-payload-digest")), None
+    if "content-length" not in warc:
+        problem = "no length"
+    if warc.get("warc-type") == "revisit":
+        length = http.get("content-length", "")
+        digest, length, payload = stated, int(length) if length.isdigit() else None, None
+    else:
+        digest, length = hashlib.sha1(payload).hexdigest(), len(payload)
+        if stated and stated not in (digest, hashlib.sha1(body).hexdigest()):
+            problem = "digest differs"
+    return (path, offset, warc.get("warc-record-id"), warc.get("warc-type"), warc.get("warc-target-uri"), warc.get("warc-refers-to"), digest, length, payload if payloads else None, problem)
 
 
 def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES, payloads: bool = True) -> DataFrame:
-    """Records of the archives ``files`` (path, bytes). A revisit has no payload; its digest and size are
-    those its headers state; those of a response are counted from its payload and held against its header."""
+    """Records of the archives ``files`` (path, bytes), rows of READ_SCHEMA."""
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     splits = files.select("path", "bytes", F.explode(starts).alias("start"))
     # one task for each range, however small its row: a count that AQE doesn't coalesce
@@ -186,17 +263,9 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES,
                 rows: list[tuple] = []
                 held = 0
                 with fs.open_input_file(name) as f:
-                    for _, content in members(f, start, min(start + split_bytes, size), size):
-                        warc, http, payload = parse(content)
-                        digest = base64.b32decode(warc["warc-payload-digest"].removeprefix("sha1:")).hex()
-                        if revisit := warc["warc-type"] == "revisit":
-                            length = int(http["content-length"])
-                        else:
-                            length = len(payload)
-                            if hashlib.sha1(payload).hexdigest() != digest:
-                                raise ValueError(f"{path}: {warc['warc-record-id']} has another payload than its digest")
-                        rows.append((warc["warc-record-id"], warc["warc-type"], warc["warc-target-uri"], warc.get("warc-refers-to"), digest, length, None if revisit or not payloads else payload))
-                        held += len(payload) if payloads else 0
+                    for offset, content in members(f, start, min(start + split_bytes, size), size):
+                        rows.append(record_row(path, offset, content, payloads))
+                        held += len(content or b"") if payloads else 0
                         if held > 16 << 20 or len(rows) > 5000:
                             yield _batch(rows)
                             rows, held = [], 0
@@ -207,14 +276,15 @@ def read(spark: SparkSession, files: DataFrame, split_bytes: int = SPLIT_BYTES,
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string()] * 5 + [pa.int64(), pa.binary()]
-    names = [x.split()[0] for x in READ_SCHEMA.split(", ")]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+    kinds = {"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.split() for x in READ_SCHEMA.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(c, kinds[kind]) for c, (_, kind) in zip(zip(*rows), fields)], [name for name, _ in fields])
 
 
 def round_trip(spark: SparkSession, pages: DataFrame, least_bytes: int = LEAST_BYTES) -> DataFrame:
-    """What reading the archives of ``pages`` gives for each page."""
+    """What reading the archives of ``pages`` gives for each page; a record with a problem ends the run."""
     files = write(spark, plan_records(spark, pages, least_bytes), fresh_path(spark, "warc"))
     back = read(spark, files, payloads=False)
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(-?[0-9]*)>$", 1), F.lit("")).cast("long")
-    return back.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page("refers_to").alias("refers_to"))
+    fine = F.when(F.col("problem").isNotNull(), F.raise_error(F.concat("path", F.lit(": "), "problem"))).otherwise(F.col("record_type"))
+    return back.select(page("record_id").alias("page_id"), "payload_bytes", "payload_digest", fine.alias("record_type"), page("refers_to").alias("refers_to"))
