@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from weft.llm.common import stored
+from weft.llm.common import bounded_batches, stored
 from weft.llm.textbatch import lean, trim
 
 SAMPLE_ROWS = 20_000
@@ -210,6 +210,7 @@ def best_of_block(index: Index, cell: int, mine: pa.Table, queries: pa.Table, ma
 
 def search(spark: SparkSession, vectors: DataFrame, k: int = 10, every: int = 100, recall: float = RECALL, sample_rows: int = SAMPLE_ROWS, most_cells: int = MOST_CELLS) -> DataFrame:
     """query_id, rank, vec_id, score of the ``k`` nearest rows of each query (vec_id divisible by ``every``)."""
+    bounded_batches(spark)
     rows = usable(vectors)
     n = rows.count()
     if not n:

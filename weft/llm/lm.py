@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fold, stored
+from weft.llm.common import bounded_batches, fold, stored
 from weft.llm.textbatch import Texts, U, lean, mix, slices, strings, trim
 
 ORDER = 5
@@ -45,6 +45,8 @@ GROUP_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
+#: Counts of slices that are held before they are added up.
+HELD_CODES = 1_000_000
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
 END_WORD = 1
@@ -187,7 +189,8 @@ class Group:
     def rows(self, group: int, kind: pa.DataType) -> pa.RecordBatch:
         """Rows (group, shard, codes, n, size, sizes, ids): the texts in shard TEXTS, then counts, packed."""
         data, sizes, learnt, base = np.concatenate(self.data), np.concatenate(self.sizes), np.concatenate(self.learnt), min(BASE, self.order)
-        parts, words = [], []
+        self.data = []
+        parts, words, held = [], [], 0
         for row, to, t in slices(_column(data, sizes)):
             t, mine = t.lowered(), learnt[row:to]
             code, unique = pd.factorize(grams(t, self.order)[0])
@@ -195,11 +198,15 @@ class Group:
             parts.append((unique, np.bincount(code, weight, len(unique)).astype(np.int64)))
             if mine.any():
                 words.append(_counted(t.word_hash.view(np.int64)[mine[t.owner(t.words[2])]]))
+            held += len(unique)
+            if held > HELD_CODES:
+                parts, words, held = [_tally(parts)], [_tally(words)] if words else [], 0
         codes, n = _tally(parts)
+        del parts
         shard, order = _by_shard(codes, base, self.shards)
         codes, n, shard = codes[order], n[order], shard[order]
         cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-        out = [(TEXTS, pa.compress(data.tobytes(), "zstd", asbytes=True), None)]
+        out = [(TEXTS, pa.compress(pa.py_buffer(data), "zstd", asbytes=True), None)]
         out += [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
         seen = n > 0
         if base and seen.any():
@@ -290,6 +297,7 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int)
 
 def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
+    bounded_batches(spark)
     seen = docs.agg(F.count_if(F.coalesce(fold("doc_id") != 1, F.lit(True))).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     n_texts, shards, depth = seen["n"], 1 + seen["bytes"] // SHARD_BYTES, min(BASE, order)
     pairs = stored(spark, group_counts(docs, order, shards, group_bytes), "pairs")
@@ -311,7 +319,13 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
         size, sizes, blob = rows["size"][0].as_py(), rows["sizes"][0].values.to_numpy(), rows["codes"][0].as_buffer()
         ids, number = rows["ids"][0].values, rows["group"][0].as_py() << 24
         texts = _column(np.frombuffer(pa.decompress(blob, size, "zstd"), np.uint8), sizes)
-        known_codes = pd.unique(np.concatenate([pd.unique(grams(t.lowered(), order)[0]) for _, _, t in slices(texts)]))
+        parts, held = [], 0
+        for _, _, t in slices(texts):
+            parts.append(pd.unique(grams(t.lowered(), order)[0]))
+            held += len(parts[-1])
+            if held > HELD_CODES:
+                parts, held = [pd.unique(np.concatenate(parts))], 0
+        known_codes = pd.unique(np.concatenate(parts))
         known_codes = known_codes[_by_shard(known_codes, depth, shards)[1]]
         rated = rated.sort_by("shard")
         values = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in rated["logs"]])

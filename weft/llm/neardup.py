@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import OWN, stored
+from weft.llm.common import OWN, bounded_batches, stored
 from weft.llm.components import components
 from weft.llm.textbatch import Texts, U, lean, mix, slices, windows
 
@@ -214,6 +214,7 @@ def _rest_pairs(spark: SparkSession, members: DataFrame, labels: DataFrame, sets
 
 def classified(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """doc_id, text identity (k1, k2), class_id and n_links of every row."""
+    bounded_batches(spark)
     rows = stored(spark, sketched(docs), "sketches")
     texts = stored(spark, rows.groupBy("k1", "k2").agg(F.min("doc_id").alias("v"), F.first("bands").alias("bands")), "texts")
     buckets = texts.filter("v is not null").select("v", F.explode("bands").alias("key"))

@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.llm.common import bounded_batches
 from weft.llm.textbatch import SPACE, U, lean, mix, repeated, slices, windows
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -180,6 +181,7 @@ def _verdict(trees: Trees | None, column: pa.Array) -> tuple[np.ndarray, np.ndar
 
 def assess(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, COUNTS, base_failed, quality (the trees' probability) and kept for every row, in one scan."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(train(docs, labels, sample_rows))
 
     @lean
@@ -194,6 +196,7 @@ def assess(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: f
 
 def keep_good(spark: SparkSession, docs: DataFrame, labels: DataFrame, threshold: float = 0.5, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns."""
+    bounded_batches(spark)
     shared = spark.sparkContext.broadcast(train(docs, labels, sample_rows))
     at = docs.columns.index("text")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import stored
+from weft.llm.common import bounded_batches, stored
 from weft.llm.pieces import FREE, SPACE_MARK, PieceModel, encoder, joints, ragged, solve, walk
 from weft.llm.textbatch import lean
 
@@ -75,6 +75,7 @@ def _parts(model: PieceModel, s: str, most: int) -> list[str]:
 
 def token_counts(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
     """doc_id, n_pretokens and n_tokens of every row."""
+    bounded_batches(spark)
     shared, tag = _share(spark, model_path)
 
     @lean
@@ -233,6 +234,7 @@ def _plain(symbols: str) -> bytes:
 
 def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH, giant: int = GIANT_CHARS) -> DataFrame:
     """doc_id, n_tokens, token_ids and round_trip (decoding gives the text again) of every row."""
+    bounded_batches(spark)
     shared, tag = _share(spark, model_path)
     kind = docs.schema["doc_id"].dataType.simpleString()
     out = f"doc_id {kind}, n_tokens long, token_ids array<int>, round_trip boolean"

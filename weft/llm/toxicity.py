@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fold, stored
+from weft.llm.common import bounded_batches, fold, stored
 from weft.llm.textbatch import WORDY, U, lean, mix, slices
 
 #: At most so many labelled ids are learnt from; those with the smallest hash of the id.
@@ -196,6 +196,7 @@ def fitted(rates: DataFrame, least_z: float, least_texts: int) -> Model | None:
 
 
 def train(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, least_z: float = 4.0, least_texts: int = 4) -> Model | None:
+    bounded_batches(spark)
     labels = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & (fold("doc_id") != 0)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = labels.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     known = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("toxic").cast("int").alias("toxic"), fold("doc_id").cast("int").alias("part"))

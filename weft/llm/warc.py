@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.llm.common import fresh_path, stored
+from weft.llm.common import bounded_batches, fresh_path, stored
 
 LEAST_BYTES = 1000
 SPLIT_BYTES = 4 << 20
@@ -106,6 +106,7 @@ def plan_records(spark: SparkSession, pages: DataFrame, least_bytes: int = LEAST
 
 def write(spark: SparkSession, records: DataFrame, path: str) -> DataFrame:
     """Writes archives below ``path``; (path, bytes) of each file."""
+    bounded_batches(spark)
 
     def run(batches):
         fs, base = filesystem(path)
