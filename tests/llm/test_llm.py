@@ -105,6 +105,65 @@ def test_encoding_equals_the_library(spark, library, giant):
         assert got[i]["round_trip"] is (None if t is None else True)
     back = tokens.decoded(spark, tokens.encoded(spark, frame(spark, ["a  b", "", None]))).toPandas()
     assert sorted(back["text"].where(back["text"].notna(), "NULL")) == ["", "NULL", "a  b"]
+    whole = {r["doc_id"]: r["token_ids"] for r in tokens.encoded(spark, frame(spark, texts)).collect()}
+    assert whole == {i: None if t is None else library.encode(t) for i, t in enumerate(texts)}
+
+
+@pytest.fixture(scope="module", params=["unigram", "unigram with bytes", "bpe"])
+def made_model(request, tmp_path_factory):
+    """A small model written down piece by piece (nothing is trained), and the library's reading of it."""
+    sentencepiece = pytest.importorskip("sentencepiece")
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    rng = random.Random(request.param)
+    m = proto.ModelProto()
+    add = lambda piece, score, kind: m.pieces.add(piece=piece, score=score, type=kind)
+    for piece, kind in (("<unk>", 2), ("<s>", 3), ("</s>", 3)):
+        add(piece, 0.0, kind)
+    if "bytes" in request.param:
+        for i in range(256):
+            add(f"<0x{i:02X}>", 0.0, 6)
+    singles = list("▁abcdefgh")
+    if request.param == "bpe":
+        merges = ["ab", "▁a", "cd", "▁ab", "abc", "abcd", "ef", "▁ef", "efg", "gh", "▁▁"]
+        for i, piece in enumerate([*merges, *singles]):
+            add(piece, -float(i), 1)
+    else:
+        for piece in [*singles, *{"".join(rng.choice("▁abcdefghx") for _ in range(rng.randint(2, 5))) for _ in range(120)}]:
+            add(piece, -rng.uniform(1, 14), 1)
+    m.trainer_spec.model_type = 2 if request.param == "bpe" else 1
+    m.trainer_spec.byte_fallback = "bytes" in request.param
+    m.trainer_spec.vocab_size = len(m.pieces)
+    m.normalizer_spec.name = "identity"
+    m.normalizer_spec.add_dummy_prefix, m.normalizer_spec.remove_extra_whitespaces, m.normalizer_spec.escape_whitespaces = True, False, True
+    path = tmp_path_factory.mktemp("model") / "made.model"
+    path.write_bytes(m.SerializeToString())
+    return str(path), sentencepiece.SentencePieceProcessor(model_file=str(path))
+
+
+@pytest.mark.parametrize("giant", [37, tokens.GIANT_CHARS])
+def test_made_models_equal_the_library(spark, made_model, giant):
+    path, library = made_model
+    rng = random.Random(giant)
+    texts = ["", "zzz abc  d", "zzz", " z z zz", "abcdefgh" * 40, "x" * 90, "axb xx☃☃日a", "☃" * 200, None]
+    texts += ["".join(rng.choice("abcdefgh  xz☃") for _ in range(rng.randint(1, 300))) for _ in range(60)]
+    docs = frame(spark, texts)
+    got = {r["doc_id"]: r for r in tokens.encoded(spark, docs, path, giant).collect()}
+    counts = {r["doc_id"]: r["n_tokens"] for r in tokens.token_counts(spark, docs, path).collect()}
+    back = {r["doc_id"]: r["text"] for r in tokens.decoded(spark, tokens.encoded(spark, docs, path, giant), path).collect()}
+    for i, t in enumerate(texts):
+        want = None if t is None else library.encode(t)
+        assert got[i]["token_ids"] == want and counts[i] == len(want or []), t
+        assert back[i] == (None if t is None else library.decode(want)) and got[i]["round_trip"] == (None if t is None else back[i] == t)
+
+
+def test_very_long_texts_equal_the_library(spark, library):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(1, 9))) for _ in range(4000)]
+    texts = [" ".join(rng.choice(words) for _ in range(60_000)), "".join(rng.choice("ABCDEFabcdef0123456789+/") for _ in range(70_000)), "é日" * 40_000]
+    assert min(map(len, texts)) > tokens.GIANT_CHARS
+    for r in tokens.encoded(spark, frame(spark, texts)).collect():
+        assert r["token_ids"] == library.encode(texts[r["doc_id"]]) and r["round_trip"]
 
 
 def test_warc(spark):

@@ -7,11 +7,19 @@ adjacent pair is, alone, merged into itself, so one finite path reaches each pos
 max-plus recurrences whose state is (position, last piece).
 
 No piece spans two neighbouring characters that stand together in no piece. Such places cut a text
-into segments that are solved alone, whatever stands around them.
+into segments that are solved alone, whatever stands around them. All segments go through a trie, where the
+recurrence runs once for each shared beginning: short ones level by level in arrays, long ones (and those
+with runs of blanks, whose pieces tie) in a walk over the sorted segments.
+
+A character without piece becomes its bytes if the model has pieces for these; else it is unknown, and a
+run of unknown characters is one id. Weights are summed in double precision; where a unigram model gives two
+segmentations the same weight to about seven digits, the library's float sums may choose another one.
 """
 
 from __future__ import annotations
 
+from os.path import commonprefix
+
 import numpy as np
 import pandas as pd
 
@@ -20,7 +28,7 @@ from weft.llm.textbatch import BASE, U, _power, mix
 SPACE_MARK = "▁"
 #: The state after a place that no piece spans.
 FREE = -1
-#: Longer segments, and those with runs of blanks (whose pieces tie), are solved one by one.
+#: Longer segments, and those with runs of blanks, are solved in a walk over the sorted segments.
 TRIE_LENGTH = 48
 CACHE_SEGMENTS = 500_000
 
@@ -55,7 +63,7 @@ class PieceModel:
         self.longest = max(map(len, self.ids), default=1)
         self.length = np.array([len(p) for p in self.pieces], np.int64)
         self.control = types == 3
-        self.decoded = [b"" if t in (2, 3) else bytes([int(p[3:5], 16)]) if t == 6 else p.replace(SPACE_MARK, " ").encode() for p, t in zip(self.pieces, types)]
+        self.decoded = [m.trainer_spec.unk_surface.encode() if t == 2 else b"" if t == 3 else bytes([int(p[3:5], 16)]) if t == 6 else p.replace(SPACE_MARK, " ").encode() for p, t in zip(self.pieces, types)]
         self._classes()
         self._hashes(normal)
         self.spines = self._spines() if self.kind == "bpe" else None
@@ -71,6 +79,9 @@ class PieceModel:
         for p in many:
             c = self.char_class[[ord(x) for x in p]]
             self.joins[c[:-1], c[1:]] = True
+        #: Characters that are no piece of their own.
+        self.lonely = np.ones(0x110000, bool)
+        self.lonely[[ord(p) for p in self.ids if len(p) == 1]] = False
 
     def _hashes(self, normal: np.ndarray) -> None:
         h = np.array([piece_hash(p) for p in (self.pieces[i] for i in normal)], U)
@@ -180,10 +191,14 @@ class PieceModel:
     def unknown(self, char: str) -> list[int]:
         return self.bytes[list(char.encode())].tolist() if self.fallback else [self.unk]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        """Bytes of a text from its pieces, without the blank put before it."""
-        out = b"".join([self.decoded[i] for i in ids])
-        return out[1:] if self.dummy and out[:1] == b" " else out
+    def one_unknown(self, ids: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of texts with one id for each run of unknown ones."""
+        if self.fallback or not len(ids):
+            return ids, offs
+        keep = np.ones(len(ids), bool)
+        keep[1:] = (ids[1:] != self.unk) | (ids[:-1] != self.unk)
+        keep[offs[offs < len(ids)]] = True
+        return ids[keep], np.append(0, np.cumsum(keep))[offs]
 
 
 def piece_hash(s: str) -> int:
@@ -193,16 +208,18 @@ def piece_hash(s: str) -> int:
     return h
 
 
-def solve(model: PieceModel, s: str, start: int = 0, last: int = FREE, earlier: tuple = ()):
+def solve(model: PieceModel, s: str, start: int = 0, last: int = FREE, earlier: tuple = (), known: list | None = None):
     """The best path over s[start:] from state (start, last): for each position (weight, piece, from) or None.
 
-    As soon as the last positions agree with those of an ``earlier`` result but for a constant weight,
-    the rest is taken from there.
+    ``known`` are the first results, taken from a text with the same beginning. As soon as the last
+    positions agree with those of an ``earlier`` result but for a constant weight, the rest is taken from there.
     """
     n, reach, ids, bpe = len(s), model.longest, model.ids, model.kind == "bpe"
     best: list = [None] * (n + 1)
     best[start] = (0.0, last, None)
-    for end in range(start + 1, n + 1):
+    if known:
+        best[: len(known)] = known
+    for end in range(max(start + 1, len(known or ())), n + 1):
         for begin in range(max(start, end - reach), end):
             b = best[begin]
             if b is None:
@@ -216,9 +233,10 @@ def solve(model: PieceModel, s: str, start: int = 0, last: int = FREE, earlier:
                     break
             elif best[end] is None or b[0] + model.scores[piece] > best[end][0]:
                 best[end] = (b[0] + model.scores[piece], piece, begin)
-        if best[end] is None and best[end - 1] is not None and s[end - 1] not in ids:
-            # a character without piece stands alone
-            best[end] = (best[end - 1][0] + model.least, FREE, end - 1)
+        if (alone := best[end - 1]) is not None and s[end - 1] not in ids:
+            # a character without piece may stand alone
+            if best[end] is None or not bpe and alone[0] + model.least > best[end][0]:
+                best[end] = (alone[0] + model.least, FREE, end - 1)
         if earlier and end % 64 == 0 and end - reach > start:
             for other in earlier:
                 gaps = {None if a is None else a[0] - b[0] for a, b in zip(best[end - reach : end + 1], other[end - reach : end + 1]) if (a is None) == (b is None) and (a is None or a[1:] == b[1:])}
@@ -230,6 +248,16 @@ def solve(model: PieceModel, s: str, start: int = 0, last: int = FREE, earlier:
     return best
 
 
+def solve_sorted(model: PieceModel, texts: list[str]) -> dict[str, np.ndarray]:
+    """Pieces of each text, by a walk over their trie: sorted texts with the same beginning share its results."""
+    out, before, best = {}, "", []
+    for s in sorted(set(texts)):
+        best = solve(model, s, known=best[: len(commonprefix([before, s])) + 1])
+        out[s] = np.array(walk(model, s, best, 0, len(s)), np.int32)
+        before = s
+    return out
+
+
 def walk(model: PieceModel, s: str, best: list, start: int, end: int) -> list[int]:
     out: list[list[int]] = []
     while end > start:
@@ -282,8 +310,9 @@ class Trie:
                         rows, t, prev = rows[good], t[good], prev[good]
                         w[rows] = 0.0
                     else:
+                        # of equal weights the longest last piece
                         new = weight[level][prev] + model.scores[t]
-                        good = new > w[rows]
+                        good = (new >= w[rows]) & (new > -np.inf)
                         rows, t, prev = rows[good], t[good], prev[good]
                         w[rows] = new[good]
                     pc[rows], bk[rows], cnt[rows] = t, anc[rows], count[level][prev] + 1
@@ -295,10 +324,12 @@ class Trie:
                     step = np.full(m, -1)
                     step[todo] = parent[level][anc[todo] - starts[level]]
                     anc, level = step, level - 1
-            if depth == 0:
-                for k in np.flatnonzero(pc == -2):
-                    char = chr(int(key[k] & 0x1FFFFF))
-                    pc[k], bk[k], cnt[k] = -3 - ord(char), 0, len(model.unknown(char))
+            chars, up1 = key & 0x1FFFFF, par - starts[-1]
+            alone = weight[-1][up1] + model.least
+            for k in np.flatnonzero(model.lonely[chars] & (piece[-1][up1] != -2) & ((pc == -2) | (model.kind != "bpe") & (alone > w))):
+                # a character without piece may stand alone
+                pc[k], bk[k], w[k] = -3 - int(chars[k]), par[k], alone[k]
+                cnt[k] = count[-1][up1[k]] + len(model.unknown(chr(int(chars[k]))))
             for store, x in ((parent, par), (hashes, h), (count, cnt), (piece, pc), (back, bk), (weight, w)):
                 store.append(x)
             starts.append(n_nodes)
@@ -377,11 +408,11 @@ class Encoder:
         flat, offs = Trie(model, codes, start[plain], size[plain]).sequences() if len(plain) else (np.zeros(0, np.int32), np.zeros(1, np.int64))
         counts = np.zeros(len(start), np.int64)
         counts[plain] = np.diff(offs)
-        lone = {}
-        for k in np.flatnonzero(odd):
-            s = codes[start[k] : start[k] + size[k]].astype(np.uint32).tobytes().decode("utf-32-le")
-            lone[k] = np.array(walk(model, s, solve(model, s), 0, len(s)), np.int32)
-            counts[k] = len(lone[k])
+        names = {k: codes[start[k] : start[k] + size[k]].astype(np.uint32).tobytes().decode("utf-32-le") for k in np.flatnonzero(odd)}
+        solved = solve_sorted(model, list(names.values()))
+        lone = {k: solved[s] for k, s in names.items()}
+        for k, ids in lone.items():
+            counts[k] = len(ids)
         to = np.append(0, np.cumsum(counts))
         out = np.zeros(to[-1], np.int32)
         out[ragged(to[:-1][plain], counts[plain])] = flat
@@ -430,6 +461,8 @@ class Encoder:
         rows, start = self.segments(codes, cuts)
         total = np.append(0, np.cumsum(np.diff(self.offs)[rows]))
         spot = np.searchsorted(start, cuts)
+        if not self.model.fallback:
+            return np.diff(self.encode(marked)[1]), np.diff(spot)
         return np.diff(total[spot]), np.diff(spot)
 
     def encode(self, marked: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -438,7 +471,7 @@ class Encoder:
         rows, start = self.segments(codes, cuts)
         sizes = np.diff(self.offs)[rows]
         total = np.append(0, np.cumsum(sizes))
-        return self.flat[ragged(self.offs[rows], sizes)], total[np.searchsorted(start, cuts)]
+        return self.model.one_unknown(self.flat[ragged(self.offs[rows], sizes)], total[np.searchsorted(start, cuts)])
 
 
 def ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -6,7 +6,8 @@ runs once for each shared prefix, and the terminal nodes hold the counts that te
 Encoding: texts up to ``giant`` characters are one chunk. Longer ones are cut in chunks that spread
 over tasks. Each chunk, knowing only a little text before it, yields a sparse max-plus matrix from the
 states (overhang, last piece) at its left cut to those at its right cut; the matrices of a text are
-multiplied in order, which fixes one state at each cut, and then every chunk is backtraced on its own.
+multiplied pairwise in a tree, down which the best state at each cut is then fixed, and every chunk is
+backtraced on its own. A text's matrices (one for GIANT_CHARS characters) meet in one task.
 Results equal those of the sentencepiece library for the same model.
 
 Cases: a null text has null ids and no tokens; an empty one has an empty list; repeated rows are
@@ -63,7 +64,8 @@ def _parts(model: PieceModel, s: str, most: int) -> list[str]:
         cut = at + most
         while cut < len(s):
             codes = np.frombuffer(s[cut - 1 : cut + 1024].encode("utf-32-le"), np.uint32)
-            free = np.flatnonzero(joints(model, codes))
+            # nor between unknown characters, which may be one id
+            free = np.flatnonzero(joints(model, codes) & (model.fallback | ~(model.lonely[codes[1:]] & model.lonely[codes[:-1]])))
             if len(free):
                 cut += int(free[0])
                 break
@@ -114,8 +116,13 @@ def _decoder(model: PieceModel):
     return decode
 
 
-def _strip(model: PieceModel, raw: bytes) -> bytes:
-    return raw[1:] if model.dummy and raw[:1] == b" " else raw
+def _strip(model: PieceModel, raw: bytes, first: int | None) -> bytes:
+    """``raw`` without the blank that was put before the text."""
+    return raw[1:] if model.dummy and raw[:1] == b" " and first != model.unk else raw
+
+
+def _firsts(ids: np.ndarray, offs: np.ndarray) -> list[int | None]:
+    return [int(ids[a]) if z > a else None for a, z in zip(offs[:-1].tolist(), offs[1:].tolist())]
 
 
 def decoded(spark: SparkSession, encoded: DataFrame, model_path: str = MODEL_PATH) -> DataFrame:
@@ -129,7 +136,7 @@ def decoded(spark: SparkSession, encoded: DataFrame, model_path: str = MODEL_PAT
             lists = b.column(1)
             ids = lists.flatten().to_numpy()
             offs = np.append(0, np.cumsum(lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False))).astype(np.int64)
-            texts = [_strip(shared.value, x).decode("utf-8", "replace") if v else None for x, v in zip(decode(ids, offs), lists.is_valid().to_pylist())]
+            texts = [_strip(shared.value, x, k).decode("utf-8", "replace") if v else None for x, k, v in zip(decode(ids, offs), _firsts(ids, offs), lists.is_valid().to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
@@ -193,27 +200,52 @@ def transfer(model: PieceModel, before: str, body: str, after: str) -> list[tupl
     return rows
 
 
+def _times(a: dict, b: dict) -> dict:
+    """Max-plus product of two sparse matrices {from: {to: (weight, ...)}}, with the best state between them."""
+    out: dict = {}
+    for x, row in a.items():
+        mine = out.setdefault(x, {})
+        for m, (w, *_) in row.items():
+            for z, (v, *_) in b.get(m, {}).items():
+                if z not in mine or w + v > mine[z][0]:
+                    mine[z] = (w + v, m)
+    return out
+
+
 def combine(matrices: list[list[tuple]]) -> list[tuple[tuple, tuple]]:
-    """(state at the left cut, state at the right cut) of each chunk on the best path of the whole text."""
-    level, trail = {(0, FREE): (0.0, None)}, []
-    for rows in matrices:
-        middle = [r for r in rows if r[1] == MIDDLE]
-        for group in ([middle, [r for r in rows if r[0] == MIDDLE]] if middle else [rows]):
-            new: dict = {}
-            for a, z, w in group:
-                if a in level and (z not in new or level[a][0] + w > new[z][0]):
-                    new[z] = (level[a][0] + w, a)
-            trail.append((new, bool(middle) and group is middle))
-            level = new
-    state, out = (0, FREE), []
-    for new, half in reversed(trail):
-        before = new[state][1]
-        if half:
-            out[-1][0] = before
+    """(state at the left cut, state at the right cut) of each chunk on the best path of the whole text.
+
+    Products are associative, so they form a tree: up it, neighbours are multiplied; down it, the states at
+    both ends of a product give the state between its factors.
+    """
+    factors, owner = [], []
+    for k, rows in enumerate(matrices):
+        inner = [r for r in rows if r[1] == MIDDLE]
+        for group in ([inner, [r for r in rows if r[0] == MIDDLE]] if inner else [rows]):
+            factor: dict = {}
+            for x, z, w in group:
+                if z not in factor.setdefault(x, {}) or w > factor[x][z][0]:
+                    factor[x][z] = (w,)
+            factors.append(factor)
+            owner.append(k)
+    levels = [factors]
+    while len(levels[-1]) > 1:
+        last = levels[-1]
+        levels.append([_times(last[i], last[i + 1]) if i + 1 < len(last) else last[i] for i in range(0, len(last), 2)])
+    ends = [((0, FREE), (0, FREE))]
+    for level, below in zip(reversed(levels), [*reversed(levels[:-1])]):
+        split = []
+        for i, (x, z) in enumerate(ends):
+            m = level[i][x][z][1] if 2 * i + 1 < len(below) else None
+            split += [(x, z)] if m is None else [(x, m), (m, z)]
+        ends = split
+    out: list[list] = []
+    for k, (x, z) in zip(owner, ends):
+        if len(out) > k:
+            out[k][1] = z
         else:
-            out.append([before, state])
-        state = before
-    return [tuple(x) for x in reversed(out)]
+            out.append([x, z])
+    return [tuple(x) for x in out]
 
 
 def backtrace(model: PieceModel, enc, before: str, body: str, after: str, into: tuple, to: tuple) -> tuple[np.ndarray, str]:
@@ -248,7 +280,7 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
             for row, to in _slices(texts):
                 marked = [model.symbols(t or "") for t in texts[row:to]]
                 ids, offs = enc.encode(marked)
-                good = [None if t is None else _strip(model, x) == t.encode() for t, x in zip(texts[row:to], decode(ids, offs))]
+                good = [None if t is None else _strip(model, x, k) == t.encode() for t, x, k in zip(texts[row:to], decode(ids, offs), _firsts(ids, offs))]
                 lists = pa.ListArray.from_arrays(pa.array(offs.astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in texts[row:to]]))
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(row, to - row), pa.array(np.diff(offs)), lists, pa.array(good, pa.bool_())], ["doc_id", "n_tokens", "token_ids", "round_trip"])
 
@@ -301,5 +333,10 @@ def encoded(spark: SparkSession, docs: DataFrame, model_path: str = MODEL_PATH,
     traced = chunks.join(ways.hint("merge"), ["key", "k"]).select("key", "doc_id", "k", "marked", "before", "body", "after", "way").mapInArrow(trace, f"key long, doc_id {kind}, k long, ids array<int>, good boolean")
     parts = F.sort_array(F.collect_list(F.struct("k", "ids")))
     joined = traced.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.flatten(F.transform(parts, lambda x: x["ids"])).alias("token_ids"), F.bool_and("good").alias("good"))
+    model = shared.value
+    if not model.fallback:
+        # a run of unknown characters may go over a cut
+        again = lambda x, i: (x == model.unk) & (i > 0) & (F.get("token_ids", i - 1) == model.unk)
+        joined = joined.withColumn("token_ids", F.filter("token_ids", lambda x, i: ~F.coalesce(again(x, i), F.lit(False))))
     long = joined.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids", F.col("good").alias("round_trip"))
     return small.unionByName(long)
