@@ -1,4 +1,9 @@
-"""Connectors by name. Network connectors state what they would read and refuse to run without a fetcher."""
+"""Connectors by name. Network connectors state what they would read and refuse to run without a fetcher.
+
+A ``rows`` connector takes ``fetch(spark, **coordinates)`` and gives the rows of a data set; a ``get`` connector
+takes ``fetch(url, params, headers)`` and gives (status, bytes), called in tasks. ``fetch.names(path)`` may list
+what a data set holds (configurations, files); without it they are taken as given in params.
+"""
 
 from __future__ import annotations
 
@@ -7,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from weft.sources import remote
 from weft.sources.files import read_local
 
 
@@ -14,39 +20,64 @@ class SourceUnavailable(RuntimeError):
     """The source needs a network or a library that is not there."""
 
 
+def need(module: str):
+    """A library that a source can't do without."""
+    import importlib
+
+    try:
+        return importlib.import_module(module)
+    except ImportError as why:
+        raise SourceUnavailable(f"{module} is not installed") from why
+
+
 @dataclass(frozen=True)
 class Connector:
     name: str
     kind: str = "mono"
     gated: bool = False
-    needs: tuple[str, ...] = ()
-    read: Callable[..., DataFrame] | None = None
+    #: How it reads: a file system path, rows of a data set, or requests.
+    by: str = "rows"
 
-    def documents(self, spark: SparkSession, params: dict, max_docs: int | None = None, token: str | None = None, fetch: Callable[..., DataFrame] | None = None) -> DataFrame:
-        """Documents of the source; ``fetch`` stands in for the network where there is one."""
-        if missing := [k for k in self.needs if k not in params]:
-            raise ValueError(f"{self.name} needs {', '.join(missing)}")
+    def documents(self, spark: SparkSession, params: dict, max_docs: int | None = None, token: str | None = None, fetch: Callable | None = None) -> DataFrame:
+        """Documents of the source, the first ``max_docs`` if given; ``fetch`` stands in for the network."""
+        if self.by == "path":
+            return read_local(spark, params.get("path"), max_docs, params.get("text_field", "text"))
+        if self.by == "rows":
+            where = remote.coordinates(self.name, params)
         if self.gated and not token:
             raise PermissionError(f"{self.name} is gated: a token is needed")
-        reader = self.read or fetch
-        if reader is None:
+        if fetch is None:
             raise SourceUnavailable(f"{self.name} is read over the network; pass fetch=")
-        return reader(spark, max_docs=max_docs, **params)
+        if self.name == "commoncrawl":
+            return remote.crawl_documents(spark, fetch, params, max_docs)
+        if self.name == "opus":
+            return remote.opus_documents(spark, fetch, params, max_docs)
+        names = getattr(fetch, "names", None)
+        if self.name == "madlad400" and names:
+            where["files"] = remote.chosen_shards(names(where["path"]), params.get("variant", "clean"))
+        if self.name == "smol":
+            known = names(where["path"]) if names else [params["config"]] if params.get("config") else []
+            where["name"] = remote.smol_config(known, params.get("variant", "gatitos"), params.get("src", "en"), params["tgt"])
+        rows = remote.asked(fetch, spark, self.name, where)
+        docs = remote.smol_documents(rows, params) if self.name == "smol" else remote.hub_documents(rows, self.name, params)
+        return docs if max_docs is None else docs.limit(max_docs)
+
+    def provenance(self, params: dict) -> dict:
+        return {"source": self.name, "license": params.get("license"), "url": params.get("url")}
 
 
-_local = lambda spark, path, max_docs=None, text_field="text", **_: read_local(spark, path, max_docs, text_field)
 CONNECTORS = {
     c.name: c
     for c in (
-        Connector("local", needs=("path",), read=_local),
-        Connector("wikipedia", needs=("wiki",)),
+        Connector("local", by="path"),
+        Connector("wikipedia"),
         Connector("glot500"),
-        Connector("culturax", gated=True, needs=("lang",)),
-        Connector("oscar", gated=True, needs=("lang",)),
-        Connector("fineweb2", needs=("fineweb",)),
+        Connector("culturax", gated=True),
+        Connector("oscar", gated=True),
+        Connector("fineweb2"),
         Connector("madlad400"),
-        Connector("commoncrawl"),
-        Connector("opus", kind="parallel", needs=("src",)),
+        Connector("commoncrawl", by="get"),
+        Connector("opus", kind="parallel", by="get"),
         Connector("smol", kind="parallel"),
         Connector("flores", kind="parallel", gated=True),
     )

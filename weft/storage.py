@@ -10,9 +10,12 @@ from pyspark.sql.types import StructType
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder named in spark.checkpoint.dir; where that is unset, a temporary one on a local master (tests) only."""
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = f"file://{tempfile.mkdtemp(prefix='weft-')}"
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
