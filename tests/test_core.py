@@ -1,6 +1,7 @@
 """Behaviour of the cleaning, chat, evaluation, licence and plan layers on small made rows."""
 
 import json
+import random
 
 import duckdb
 import pytest
@@ -58,6 +59,60 @@ def test_greedy_keeps_the_end_of_a_chain(spark):
     assert rows(similarity.greedy_drops(spark, edges), "doc_id") == [(2,), (6,), (7,)]
 
 
+def plain_greedy(edges):
+    gone = set()
+    for b in sorted({b for _, b in edges}):
+        if any(a not in gone for a, x in edges if x == b):
+            gone.add(b)
+    return gone
+
+
+def test_greedy_equals_a_plain_walk(spark):
+    rng = random.Random(2)
+    chain = [(i, i + 1) for i in range(1000)]
+    more = [tuple(sorted(rng.sample(range(2000, 2060), 2))) for _ in range(150)] + [(3000, 3001)] * 3
+    edges = [*chain, *more]
+    want = sorted(plain_greedy(set(edges)))
+    df = spark.createDataFrame(edges, "a long, b long")
+    assert [r[0] for r in rows(similarity.greedy_drops(spark, df), "doc_id")] == want
+    small = spark.createDataFrame([*chain[:40], *more], "a long, b long")
+    want = sorted(plain_greedy(set([*chain[:40], *more])))
+    assert [r[0] for r in rows(similarity.greedy_drops(spark, small, 1, 60), "doc_id")] == want
+    assert similarity.greedy_drops(spark, df.limit(0)).count() == 0
+
+
+def test_similar_pairs_equal_brute_force(spark):
+    rng = random.Random(4)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(w if rng.random() > p else f"n{rng.randrange(40)}" for w in base) for p in [0.0] * 3 + [0.03] * 8 + [0.1] * 8] + ["a b", "b a", "a b c", "", None, "hot word"] + [f"hot {k}" for k in range(20)]
+    df = docs(spark, texts).union(spark.createDataFrame([(None, "a b", "s", "en"), (3, texts[3], "s", "en")], "doc_id long, text string, source string, lang string"))
+    sets = {i: set(t.split()) for i, t in enumerate(texts) if t}
+    want = {(a, b): len(x & y) / len(x | y) for a, x in sets.items() for b, y in sets.items() if a < b and len(x & y) / len(x | y) >= 0.85}
+    got = {(r["a"], r["b"]): r["jaccard"] for r in similarity.similar_pairs(spark, similarity.word_sets(df)).collect()}
+    assert got == pytest.approx(want)
+
+
+def test_buckets(spark):
+    rng = random.Random(7)
+    base = [f"w{k}" for k in range(80)]
+    texts = [" ".join(w if rng.random() > p else f"n{rng.randrange(99)}" for w in base) for p in [0.0] * 3 + [0.01] * 10 + [0.05] * 10 + [1.0] * 10] + ["", None]
+    df = docs(spark, texts)
+    members = {}
+    for r in similarity.minhash_bands(df).collect():
+        members.setdefault((r["band"], r["bucket"]), set()).add(r["doc_id"])
+    assert {k for m in members.values() for k in m} == set(range(33))
+    got = {(r["doc_id"], r["band"], r["bucket"], r["first"]) for r in similarity.lsh_candidates(df).collect()}
+    assert got == {(i, *k, min(m)) for k, m in members.items() if len(m) > 1 for i in m}
+    kept, gone = set(), set()
+    for i in range(33):
+        (gone if any(i in m and m & kept for m in members.values()) else kept).add(i)
+    assert {r[0] for r in rows(similarity.lsh_drops(spark, df), "doc_id")} == gone and {1, 2} <= gone
+    # registers agree as often as the sets are similar
+    a, b = [set(texts[i].split()) for i in (0, 3)]
+    agree = sum({0, 3} <= m for m in members.values()) / 8
+    assert agree >= 0.3 or len(a & b) / len(a | b) < 0.9
+
+
 def test_byte_budget_crosses_once(spark):
     got = clean.byte_budget(spark, docs(spark, ["aaaa", "bbbb", "cccc", "dddd"]), 6)
     assert rows(got, "doc_id") == [(0,), (1,)]
