@@ -45,6 +45,7 @@ GROUP_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
+MOST_TASKS = 20_000
 #: Counts of slices that are held before they are added up.
 HELD_CODES = 1_000_000
 MOST_WORDS = 262_144
@@ -291,7 +292,7 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int)
         trim()
         return pa.table({"group": table["group"], "shard": table["shard"], "logs": values})
 
-    mine = pairs.filter("shard >= 0").select("group", "shard", "codes", "n").repartition(shards, "shard")
+    mine = pairs.filter("shard >= 0").select("group", "shard", "codes", "n").repartition(min(MOST_TASKS, shards), "shard")
     return mine.groupBy("shard").applyInArrow(run, "group long, shard long, logs binary")
 
 
@@ -331,14 +332,12 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
         values = np.concatenate([np.frombuffer(x.as_buffer(), np.float32) for x in rated["logs"]])
         if len(values) != len(known_codes):
             raise ValueError(f"group {number >> 24}: {len(values)} rated codes of {len(known_codes)}")
-        sort = np.argsort(known_codes)
-        known_codes, values = known_codes[sort], values[sort].astype(np.float64)
-        outs = []
+        place, outs = pd.Index(known_codes), []
+        del parts, known_codes
         for row, to, t in slices(texts):
             t = t.lowered()
             codes, first = grams(t, order)
-            code, unique = pd.factorize(codes)
-            ppm = np.add.reduceat(values[np.searchsorted(known_codes, unique)][code], first)
+            ppm = np.add.reduceat(values[place.get_indexer(codes)].astype(np.float64), first)
             h = t.word_hash.view(np.int64)
             begin = t.words[2]
             code, unique = pd.factorize(h)
@@ -352,12 +351,12 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
             rare = np.bincount(owner, ~common, t.n).astype(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(rare)).astype(np.int32)), pa.array(h[~common]))
             outs.append(pa.RecordBatch.from_arrays([pa.array(np.arange(row, to) + number), ids.slice(row, to - row), pa.array(np.diff(begin) + 1), pa.array(known + (n_texts > 0)), pa.array(base), pa.array(ppm), lists], ["row", "doc_id", "n_tokens", "known", "base", "score", "rare"]))
-        del known_codes, values, sort
+        del place, values
         trim()
         return pa.Table.from_batches(outs)
 
-    # a group or two for each task, however large the table is
-    tasks = 1 + seen["bytes"] // group_bytes
+    # a group or two for each task
+    tasks = min(MOST_TASKS, 1 + 4 * seen["bytes"] // group_bytes)
     texts = pairs.filter(F.col("shard") == TEXTS).select("group", "codes", "size", "sizes", "ids").repartition(tasks, "group")
     rated = rated_codes(spark, pairs, order, shards).repartition(tasks, "group")
     first = texts.groupBy("group").cogroup(rated.groupBy("group")).applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>")
