@@ -2,6 +2,11 @@
 
 Documents need doc_id (their order), text, source and lang. Drop reasons are settled before any shuffle,
 so dropped texts never move; exact duplicates move as a digest, not as texts.
+
+Cases: a null text is normalized to the empty one and dropped as such; ids must differ and not be null where
+duplicates are told (``with_duplicates`` meets them by id: of rows that repeat an id all have its fate, and a row
+without id is never the first of its text); running totals give rows of equal order one after the other, nulls
+first; empty tables give empty results and a card of zeros; columns of other names pass through.
 """
 
 from __future__ import annotations
@@ -11,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weft.functions import text as X
+from weft.functions.langid import identified
 from weft.storage import stored
 
 REASONS = ("empty_after_normalize", "wrong_language", "too_short_chars", "too_few_words", "symbol_heavy", "repetitive", "low_quality", "duplicate")
@@ -39,9 +45,15 @@ def reason(min_quality: float = X.MIN_QUALITY, language: str | None = None, min_
     return out
 
 
-def judged(docs: DataFrame, min_quality: float = X.MIN_QUALITY, language: str | None = None, **rules) -> DataFrame:
-    """Normalized documents with features and reason, exact duplicates not yet told."""
-    return features(normalized(docs, **rules)).withColumn("reason", reason(min_quality, language))
+def judged(docs: DataFrame, min_quality: float = X.MIN_QUALITY, language: str | None = None, min_prob: float = 0.5, model=None, **rules) -> DataFrame:
+    """Normalized documents with features and reason, exact duplicates not yet told.
+
+    With ``language`` rows of another one (lang, of probability prob or more) are dropped; a ``model`` tells both
+    from the normalized text, else they are columns of ``docs``.
+    """
+    rows = normalized(docs, **rules)
+    rows = identified(rows, model) if model is not None else rows
+    return features(rows).withColumn("reason", reason(min_quality, language, min_prob))
 
 
 def first_of_each(rows: DataFrame, keys: list[str], order: str = "doc_id") -> DataFrame:

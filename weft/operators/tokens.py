@@ -1,4 +1,11 @@
-"""Token counts, packing, vocabularies and embeddings of new tokens."""
+"""Token counts, packing, vocabularies and embeddings of new tokens.
+
+A tokenizer is an object with ``tokens(text column) -> array column`` and ``end``, the token that closes a text
+(``weft.functions.tokenizers``); white-space words are the default.
+
+Cases: null and empty texts have no tokens and are left out; documents are ordered by doc_id, a null one first,
+and rows that repeat an id follow each other in any order; an empty table gives an empty result.
+"""
 
 from __future__ import annotations
 
@@ -7,35 +14,49 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from weft.functions import text as X
+from weft.functions.tokenizers import Words
 from weft.operators.clean import running_total
 
-EOS = "</s>"
+EOS = Words.end
+
 
+def fertility(docs: DataFrame, tokenizer=None) -> DataFrame:
+    """Tokens for each white-space word: sum of tokens over sum of words, texts without words left out.
 
-def fertility(docs: DataFrame) -> DataFrame:
-    """Characters-as-tokens per white-space word: sum of tokens over sum of words, texts without words left out."""
-    rows = docs.select(F.size(X.blank_words(F.col("text"))).cast("long").alias("w"), F.length("text").cast("long").alias("t")).filter("w > 0")
-    return rows.agg(F.sum("t").alias("n_tokens"), F.sum("w").alias("n_words")).select(F.coalesce("n_tokens", F.lit(0)).alias("n_tokens"), F.coalesce("n_words", F.lit(0)).alias("n_words"), (F.coalesce("n_tokens", F.lit(0)) / F.greatest(F.coalesce("n_words", F.lit(0)), F.lit(1))).alias("fertility"))
+    Without a tokenizer characters count as tokens.
+    """
+    tokens = F.size(tokenizer.tokens(F.col("text"))) if tokenizer else F.length("text")
+    rows = docs.select(F.size(X.blank_words(F.col("text"))).cast("long").alias("w"), tokens.cast("long").alias("t")).filter("w > 0")
+    sums = rows.agg(F.sum("t").alias("n_tokens"), F.sum("w").alias("n_words")).select(*(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_tokens", "n_words")))
+    return sums.withColumn("fertility", F.col("n_tokens") / F.greatest("n_words", F.lit(1)))
 
 
 def block_budget(steps: int, batch: int, accumulate: int) -> int:
     return steps * batch * accumulate + batch * accumulate
 
 
-def packed(spark: SparkSession, docs: DataFrame, seq_len: int, max_blocks: int | None = None) -> DataFrame:
-    """(block, tokens): all texts' words, each text closed by EOS, in blocks of exactly ``seq_len``; the tail is left out.
+def packed(spark: SparkSession, docs: DataFrame, seq_len: int, max_blocks: int | None = None, tokenizer=None) -> DataFrame:
+    """(block, tokens): all texts' tokens, each text closed by the end token, in blocks of exactly ``seq_len``; the tail is left out.
 
-    The place of a text in the stream is a distributed running total; tokens then gather by block, so no
-    task holds more than one block at a time.
+    The place of a text in the stream is a distributed running total. Each text is cut where blocks end, one row
+    for each block it reaches, and these pieces meet by block, so tokens are never rows of their own and no task
+    holds more than one block at a time.
     """
-    rows = docs.filter("text <> ''").select("doc_id", F.concat(X.blank_words(F.col("text")), F.array(F.lit(EOS))).alias("ts"))
-    placed = running_total(spark, rows.withColumn("n", F.size("ts").cast("long")), "doc_id", "n", "start")
-    tokens = placed.select("start", F.posexplode("ts").alias("i", "token")).select((F.col("start") + F.col("i")).alias("pos"), "token")
-    tokens = tokens.withColumn("block", F.floor(F.col("pos") / seq_len).cast("long"))
+    tokenizer = tokenizer or Words()
+    tokens = tokenizer.tokens(F.col("text"))
+    if tokenizer.end is not None:
+        tokens = F.concat(tokens, F.array(F.lit(tokenizer.end)))
+    rows = docs.filter("text <> ''").select("doc_id", tokens.alias("ts"))
+    placed = running_total(spark, rows.withColumn("n", F.size("ts").cast("long")).filter("n > 0"), "doc_id", "n", "start")
+    last = F.floor((F.col("start") + F.col("n") - 1) / seq_len)
+    reached = placed.select("start", "ts", F.explode(F.sequence(F.floor(F.col("start") / seq_len), last)).alias("block"))
     if max_blocks is not None:
-        tokens = tokens.filter(F.col("block") < max_blocks)
-    blocks = tokens.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("ts")).filter(F.size("ts") == seq_len)
-    return blocks.select("block", F.transform("ts", lambda x: x["token"]).alias("tokens"))
+        reached = reached.filter(F.col("block") < max_blocks)
+    skip = F.greatest(F.col("block") * seq_len - F.col("start"), F.lit(0))
+    room = (F.col("block") + 1) * seq_len - F.col("start") - skip
+    parts = reached.select("block", "start", F.slice("ts", (skip + 1).cast("int"), room.cast("int")).alias("part"))
+    blocks = parts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
+    return blocks.select(F.col("block").cast("long").alias("block"), F.flatten(F.transform("parts", lambda x: x["part"])).alias("tokens")).filter(F.size("tokens") == seq_len)
 
 
 def fitting_length(total: int, seq_len: int, floor: int = 16) -> int | None:
@@ -49,9 +70,19 @@ def vocabulary(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(X.blank_words(F.col("text"))).alias("token")).distinct()
 
 
-def novel_tokens(trained: DataFrame, base: DataFrame) -> DataFrame:
-    """Tokens of the trained vocabulary that the base one lacks."""
-    return trained.select("token").join(base.select("token"), "token", "left_anti")
+def novel_tokens(trained: DataFrame, base: DataFrame, most: int | None = None) -> DataFrame:
+    """Tokens of the trained vocabulary that the base one lacks; with ``most`` the first by id (column id) or, without ids, by token."""
+    out = trained.join(base.select("token"), "token", "left_anti")
+    if most is not None:
+        out = out.orderBy(*(c for c in ("id", "token") if c in trained.columns)).limit(most)
+    return out.select("token")
+
+
+def extension(base: DataFrame, novel: DataFrame) -> DataFrame:
+    """(token, id) of the base vocabulary and of the novel tokens, which get the ids after its largest, in order of token."""
+    top = base.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("top"))
+    numbered = novel.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("k"))  # bounded by the tokens asked for
+    return base.select("token", F.col("id").cast("long").alias("id")).union(numbered.join(F.broadcast(top)).select("token", (F.col("k") + F.col("top")).cast("long")))
 
 
 def subword_mean(pieces: DataFrame, embeddings: DataFrame) -> DataFrame:
@@ -76,5 +107,7 @@ def sentences_tail(docs: DataFrame, limit: int, least_words: int = 6) -> DataFra
     return parts.select("doc_id", F.col("i").cast("long").alias("i"), prompt.alias("prompt"), target.alias("target")).orderBy("doc_id", "i").limit(limit)
 
 
-def positional(rows: DataFrame, order: str) -> DataFrame:
-    return rows.withColumn("pos", (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))
+def positional(rows: DataFrame, order: str, most: int) -> DataFrame:
+    """The first ``most`` rows in order, numbered from 0 as pos: Spark finds them as a distributed top-k, one task numbers those few."""
+    first = rows.orderBy(order).limit(most)
+    return first.withColumn("pos", (F.row_number().over(Window.orderBy(order)) - 1).cast("long"))

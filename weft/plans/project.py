@@ -155,7 +155,7 @@ class Run:
         docs = self._corpus("clean") if synth.ground_in_corpus else None
         about: tuple = ()
         if docs is not None:
-            first = tokens.positional(docs.select("doc_id", "text").orderBy("doc_id").limit(CONTEXTS), "doc_id")
+            first = tokens.positional(docs.select("doc_id", "text"), "doc_id", CONTEXTS)
             contexts = clean.stored(self.spark, first.select(F.col("pos").alias("i"), F.col("text").alias("context")), "contexts")
             about = (contexts, contexts.count())
         pairs = teacher(self.spark, synth.n, language(self.project.language).display_name, *about)

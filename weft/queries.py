@@ -275,7 +275,7 @@ def mock_translate(spark, d):
 
 @query(f"with first as (select row_number() over (order by doc_id) - 1 as c, {WS % "coalesce(text, '')"} as ws from (select * from documents order by doc_id limit 20)) select i, '[Test] Question ' || (i + 1) || ' (' || array_to_string(ws[1:4], ' ') || ')?' as instruction, '[Test] Answer ' || (i + 1) || '.' as response from range(45) r(i) join first on c = i % 20")
 def mock_synth(spark, d):
-    contexts = tokens.positional(_docs(spark, d).select("doc_id", "text").orderBy("doc_id").limit(20), "doc_id").select(F.col("pos").alias("i"), F.col("text").alias("context"))
+    contexts = tokens.positional(_docs(spark, d).select("doc_id", "text"), "doc_id", 20).select(F.col("pos").alias("i"), F.col("text").alias("context"))
     return chat.mock_pairs(spark, 45, "Test", contexts, 20)
 
 
@@ -415,7 +415,7 @@ def convdata_branches(spark, d):
 
 @query("with c as (select row_number() over (order by doc_id) - 1 as c, text from (select * from documents order by doc_id limit 20)) select i, slot, text as context from range(9) r(i), range(5) s(slot) join c on c = (i * 5 + slot) % 20")
 def rotating_contexts(spark, d):
-    contexts = tokens.positional(_docs(spark, d).select("doc_id", "text").orderBy("doc_id").limit(20), "doc_id").select(F.col("pos").alias("i"), F.col("text").alias("context"))
+    contexts = tokens.positional(_docs(spark, d).select("doc_id", "text"), "doc_id", 20).select(F.col("pos").alias("i"), F.col("text").alias("context"))
     return chat.context_windows(spark.range(9).withColumnRenamed("id", "i"), contexts, 20).withColumn("slot", F.col("slot").cast("long"))
 
 

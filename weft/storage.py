@@ -32,14 +32,14 @@ def nullable(schema: StructType) -> StructType:
     return out
 
 
-def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet in the shared folder and read again.
+def stored(spark: SparkSession, df: DataFrame, name: str, **options: str) -> DataFrame:
+    """``df`` written as Parquet in the shared folder and read again; ``options`` are the writer's (__ for dots).
 
     It cuts lineage: a lost executor costs tasks, never an earlier stage. The table has its own
     plain scan, so a later join gets exchanges that AQE can split when a key is hot.
     """
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**{k.replace("__", "."): v for k, v in options.items()}).parquet(path)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 
 
