@@ -46,6 +46,10 @@ SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
 MOST_TASKS = 20_000
+#: The compressed texts of a group are rows of so many bytes.
+PIECE_BYTES = 1 << 20
+#: Pages and row groups for large values: a page is looked at after every value.
+PAGES = {"parquet__page__size__row__check__min": "1", "parquet__page__size__check__estimate": "false", "parquet__block__size": str(16 << 20)}
 #: Counts of slices that are held before they are added up.
 HELD_CODES = 1_000_000
 MOST_WORDS = 262_144
@@ -188,7 +192,7 @@ class Group:
         self.held += len(data) + len(ids)
 
     def rows(self, group: int, kind: pa.DataType) -> pa.RecordBatch:
-        """Rows (group, shard, codes, n, size, sizes, ids): the texts in shard TEXTS, then counts, packed."""
+        """Rows (group, shard, codes, n, part, size, sizes, ids): the texts in shard TEXTS, then counts, packed."""
         data, sizes, learnt, base = np.concatenate(self.data), np.concatenate(self.sizes), np.concatenate(self.learnt), min(BASE, self.order)
         self.data = []
         parts, words, held = [], [], 0
@@ -207,7 +211,8 @@ class Group:
         shard, order = _by_shard(codes, base, self.shards)
         codes, n, shard = codes[order], n[order], shard[order]
         cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-        out = [(TEXTS, pa.compress(pa.py_buffer(data), "zstd", asbytes=True), None)]
+        blob = pa.compress(pa.py_buffer(data), "zstd", asbytes=True)
+        out = [(TEXTS, blob[i : i + PIECE_BYTES], None) for i in range(0, len(blob), PIECE_BYTES)]
         out += [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
         seen = n > 0
         if base and seen.any():
@@ -219,8 +224,8 @@ class Group:
         none = [None] * (len(out) - 1)
         one = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(self.ids))
         ids = pa.concat_arrays([one, pa.nulls(len(none), pa.list_(kind))])
-        columns = [pa.array([group] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary())]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([len(data), *none], pa.int64()), pa.array([sizes, *none], pa.list_(pa.int64())), ids], ["group", "shard", "codes", "n", "size", "sizes", "ids"])
+        columns = [pa.array([group] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array(np.arange(len(out)))]
+        return pa.RecordBatch.from_arrays([*columns, pa.array([len(data), *none], pa.int64()), pa.array([sizes, *none], pa.list_(pa.int64())), ids], ["group", "shard", "codes", "n", "part", "size", "sizes", "ids"])
 
 
 def _column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -254,7 +259,7 @@ def group_counts(docs: DataFrame, order: int, shards: int, most: int) -> DataFra
             yield group.rows(number, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", learnt, "text").mapInArrow(run, f"group long, shard long, codes binary, n binary, size long, sizes array<long>, ids array<{kind}>")
+    return docs.select("doc_id", learnt, "text").mapInArrow(run, f"group long, shard long, codes binary, n binary, part long, size long, sizes array<long>, ids array<{kind}>")
 
 
 def unpacked(packed: DataFrame) -> DataFrame:
@@ -301,7 +306,7 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
     bounded_batches(spark)
     seen = docs.agg(F.count_if(F.coalesce(fold("doc_id") != 1, F.lit(True))).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
     n_texts, shards, depth = seen["n"], 1 + seen["bytes"] // SHARD_BYTES, min(BASE, order)
-    pairs = stored(spark, group_counts(docs, order, shards, group_bytes), "pairs")
+    pairs = stored(spark, group_counts(docs, order, shards, group_bytes), "pairs", **PAGES)
     words = stored(spark, unpacked(pairs.filter(F.col("shard") == WORD_COUNTS)), "words")
     sums = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums["n"] + n_texts, sums["v"] + (n_texts > 0)
@@ -317,7 +322,8 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
 
     def rate(rows: pa.Table, rated: pa.Table) -> pa.Table:
         keys, logs = shared.value
-        size, sizes, blob = rows["size"][0].as_py(), rows["sizes"][0].values.to_numpy(), rows["codes"][0].as_buffer()
+        rows = rows.sort_by("part")
+        size, sizes, blob = rows["size"][0].as_py(), rows["sizes"][0].values.to_numpy(), b"".join(rows["codes"].to_pylist())
         ids, number = rows["ids"][0].values, rows["group"][0].as_py() << 24
         texts = _column(np.frombuffer(pa.decompress(blob, size, "zstd"), np.uint8), sizes)
         parts, held = [], 0
@@ -357,7 +363,7 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
 
     # a group or two for each task
     tasks = min(MOST_TASKS, 1 + 4 * seen["bytes"] // group_bytes)
-    texts = pairs.filter(F.col("shard") == TEXTS).select("group", "codes", "size", "sizes", "ids").repartition(tasks, "group")
+    texts = pairs.filter(F.col("shard") == TEXTS).select("group", "codes", "part", "size", "sizes", "ids").repartition(tasks, "group")
     rated = rated_codes(spark, pairs, order, shards).repartition(tasks, "group")
     first = texts.groupBy("group").cogroup(rated.groupBy("group")).applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>")
     first = stored(spark, first, "scored")
