@@ -127,14 +127,16 @@ def scheduled(spark: SparkSession, docs: DataFrame, weights: dict | None = None,
     slots = placed_blocks({s: -(-per_source[s] // block_rows) for s in names}, integer_weights(targets)) if names else {}
 
     n_buckets = max(LEAST_BUCKETS, -(-rows // BUCKET_ROWS))
+    # a source's name that is never null, so the rows lie for the join as they do for the numbering and move once
+    name = F.when(F.col("source").isNull(), "-").otherwise(F.concat(F.lit("+"), F.col("source").cast("string"))).alias(OWN + "name")
     bucket = F.pmod(F.shiftright(OWN + "h", 8), F.lit(n_buckets)).alias(OWN + "bucket")
-    hashed = hashed.select("*", bucket)
-    counts = stored(spark, hashed.groupBy("source", OWN + "bucket").agg(F.count("*").alias("n")), "buckets")
-    before = F.sum("n").over(Window.partitionBy("source").orderBy(OWN + "bucket").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = stored(spark, counts.select(F.col("source").alias(OWN + "s"), F.col(OWN + "bucket").alias(OWN + "b"), F.coalesce(before, F.lit(0)).alias(OWN + "before")), "offsets")
-    number = F.row_number().over(Window.partitionBy("source", OWN + "bucket").orderBy(OWN + "h", "doc_id")) - 1
+    hashed = hashed.select("*", name, bucket)
+    counts = stored(spark, hashed.groupBy(OWN + "name", OWN + "bucket").agg(F.count("*").alias("n")), "buckets")
+    before = F.sum("n").over(Window.partitionBy(OWN + "name").orderBy(OWN + "bucket").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = stored(spark, counts.select(OWN + "name", OWN + "bucket", F.coalesce(before, F.lit(0)).alias(OWN + "before")), "offsets")
+    number = F.row_number().over(Window.partitionBy(OWN + "name", OWN + "bucket").orderBy(OWN + "h", "doc_id")) - 1
     ranked = hashed.withColumn(OWN + "number", number.cast("long"))
-    ranked = ranked.join(offsets.hint("merge"), F.col("source").eqNullSafe(F.col(OWN + "s")) & (F.col(OWN + "bucket") == F.col(OWN + "b")))
+    ranked = ranked.join(offsets.hint("merge"), [OWN + "name", OWN + "bucket"])
     index = F.col(OWN + "before") + F.col(OWN + "number")
     ranked = ranked.withColumn(OWN + "index", index).withColumn(OWN + "block", F.floor(index / block_rows).cast("long"))
 
