@@ -1,4 +1,14 @@
-"""Training-data pipeline: STAGES in order, each written as Parquet and read again as the next one's docs."""
+"""Training-data pipeline: STAGES in order, each written as Parquet and read again as the next one's docs.
+
+Cases, beside those that the operators state: every stage takes an empty table and gives an empty one, and all but
+the last keep all columns whatever their names.
+quality_rules: null, empty and short texts fail the base rule and go; repeated rows share their fate; without
+labels of both kinds only the base rule decides.
+line_dedup: null texts stay null, a text may become empty; repeated rows stay equal.
+near_dedup: exactly one row of each class stays, so repeated rows go; texts without id are told apart by text.
+mix_sources: no row goes; a null source is a source of its own; ties are settled by hash and id.
+sentencepiece: a null text has null ids; repeated rows are encoded each, at places of their own.
+"""
 
 from __future__ import annotations
 
@@ -27,10 +37,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids with source, slot and position in the mix: those of the mixing stage, which keeps the docs' columns."""
-    keyed = docs.select(F.struct("doc_id", "source").alias("doc_id"), "text")
-    rows = tokens.encoded(spark, keyed).select("doc_id.*", "n_tokens", "token_ids", "round_trip")
-    placed = mixing.scheduled(spark, stored(spark, rows, "tokens"))
-    return placed.select(*rows.columns, F.col(OWN + "slot").alias("slot"), F.col(OWN + "position").alias("position"))
+    places = [F.col(OWN + c).alias(c) for c in ("slot", "position")]
+    placed = mixing.scheduled(spark, docs.select("doc_id", "source", "text")).select(F.struct("doc_id", "source", *places).alias("doc_id"), "text")
+    rows = tokens.encoded(spark, stored(spark, placed, "placed"))
+    return rows.select("doc_id.doc_id", "doc_id.source", "n_tokens", "token_ids", "round_trip", "doc_id.slot", "doc_id.position")
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("near_dedup", near_dedup), ("mix_sources", mix_sources), ("sentencepiece", encode)]
