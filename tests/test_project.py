@@ -1,11 +1,15 @@
 """Profiles, a project's run over its folder, and the command line."""
 
 import json
+import math
 
 import pytest
 import yaml
 
+from pyspark.sql import functions as F
+
 from weft.__main__ import main
+from weft.functions import langid
 from weft.operators.licensing import LicenseError
 from weft.plans import profiles as P
 from weft.plans.project import Run
@@ -17,7 +21,8 @@ def project_file(tmp_path, license_="CC-BY-4.0", **more):
     corpus.mkdir(exist_ok=True)
     junk = "#$%& " * 60
     for i, text in enumerate([GOOD[0], GOOD[1].replace("river", "tower").replace("market", "bridge"), GOOD[0], junk]):
-        (corpus / f"{i}.txt").write_text(text)
+        if not (corpus / f"{i}.txt").exists():  # a file written again is a changed one
+            (corpus / f"{i}.txt").write_text(text)
     pairs = [{"inputs": "hello", "targets": "good day"}, {"inputs": "Hello ", "targets": "again"}, {"inputs": "x", "targets": "no " * 7}]
     (tmp_path / "pairs.jsonl").write_text("\n".join(map(json.dumps, pairs)))
     langs = tmp_path / "configs" / "languages"
@@ -98,3 +103,94 @@ def test_command_line(here, capsys, monkeypatch):
     main(["profiles"])
     main(["sources", "welsh"])
     assert "wikipedia" in capsys.readouterr().out
+
+
+def test_a_changed_file_is_read_again(spark, here):
+    project = project_file(here, stages=["ingest", "clean"])
+    assert set(Run(spark, project).stages().values()) == {"ran"}
+    assert set(Run(spark, project).stages().values()) == {"skipped"}
+    (here / "in" / "9.txt").write_text(GOOD[2])
+    assert set(Run(spark, project).stages().values()) == {"ran"}
+    card = json.loads((here / "work/artifacts/ingest/ingest_card.json").read_text())
+    assert card["mono_docs"] == 5 and card["budget_hit"] is False and card["language"] == "made"
+
+
+def test_other_languages_are_dropped(spark, here):
+    other = "der Fluss querte die alte Stadt und ihren Markt an jedem Morgen des Jahres, und niemand fragte nach dem Weg. "
+    rows = [(g, "mde") for g in GOOD] + [(other + str(i), "deu") for i in range(3)]
+    model = langid.train(spark.createDataFrame(rows, "text string, lang string"))
+    project = project_file(here, stages=["ingest", "clean"])
+    (here / "in" / "8.txt").write_text(other * 3)
+    Run(spark, project, identifiers={"glotlid": model}).stages()
+    card = json.loads((here / "work/artifacts/clean/data_card.json").read_text())
+    assert (card["wrong_language"], card["docs_out"], card["language_filter"]) == (2, 2, "on (glotlid)")  # symbols are of no language that it knows
+
+
+class Echo:
+    """A model that likes long options, repeats its prompt's last line and knows one word."""
+
+    def continuations(self, rows):
+        return rows.withColumns({"logprob": -1.0 / F.length("continuation"), "n_tokens": F.lit(1).cast("long")})
+
+    def replies(self, rows):
+        return rows.withColumn("reply", F.when(F.col("prompt").startswith("Rate"), "I say 4").otherwise(F.concat(F.lit("said "), F.element_at(F.split("prompt", "\n"), -1))))
+
+    def next_words(self, rows):
+        return rows.withColumn("predicted", F.lit(" HILLS."))
+
+    def losses(self, blocks):
+        return blocks.select(F.lit(2.0).alias("loss"), F.size("tokens").alias("n_tokens"))
+
+
+def test_benchmarks_and_review_of_outputs(spark, here):
+    asked = {"benchmarks": ["native_cloze", "perplexity", "belebele", "global_mmlu", "flores", "judge", "nope"], "limit": 5, "human_review": True, "human_review_n": 1}
+    configs = spark.createDataFrame([("belebele", "mde_Latn", False), ("flores", "mde_Latn", True)], "benchmark string, code string, gated boolean")
+    items = spark.createDataFrame([(i, "p", "q", 1 + (i == 0), "short", "the longest one", "b", "c") for i in range(4)], "id long, passage string, question string, number int, answer1 string, answer2 string, answer3 string, answer4 string")
+    lines = lambda w: spark.createDataFrame([(i, f"{w} {i}") for i in range(4)], "id long, text string")
+    project = project_file(here, evaluate=asked, stages=["ingest", "clean", "convdata", "evaluate"])
+    go = lambda **k: Run(spark, project, "token", configs=configs, items={"belebele": items, "flores": ((lines("en"), lines("mde")), (lines("English"), lines("English")))}, scorers={"adapted": Echo(), "base": Echo(), "judge": Echo()}, **k).stages(["ingest", "clean", "convdata", "evaluate"], "evaluate")
+    go()
+    card = json.loads((here / "work/artifacts/evaluate/report_card.json").read_text())
+    got, why = card["results"], {b: c["reason"] for b, c in card["coverage"].items()}
+    assert why == {"native_cloze": "covered", "perplexity": "covered", "belebele": "covered", "global_mmlu": "no code", "flores": "covered", "judge": "covered", "nope": "unknown benchmark"}
+    assert got["belebele"]["adapted"]["value"] == 0.25 and got["belebele"]["delta"] == 0 and got["belebele"]["adapted"]["n"] == 4
+    assert got["native_cloze"]["adapted"]["value"] == 0.2 and got["perplexity"]["adapted"]["value"] == pytest.approx(math.exp(2)) and "base" not in got["perplexity"]
+    assert got["judge"]["adapted"]["value"] == 4 and 0 < got["flores"]["adapted"]["value"] < 100 and got["flores"]["adapted"]["n"] == 4
+    assert card["summary"]["belebele"].startswith("adapted=0.250↑ (95% CI") and card["summary"]["nope"] == "not covered: unknown benchmark"
+    assert card["human_review"] == {"total": 1, "reviewed": 0, "pending": 1, "mean_fluency": None, "mean_correctness": None, "status": "awaiting review"}
+    queue = here / "work/artifacts/evaluate/human_review_queue.jsonl"
+    row = json.loads(queue.read_text())
+    assert row["response"] == "said hello" and row["fluency"] is None
+    queue.write_text(json.dumps(row | {"status": "reviewed", "fluency": 4, "correctness": 2, "notes": "fine"}))
+    go()
+    card = json.loads((here / "work/artifacts/evaluate/report_card.json").read_text())
+    assert card["human_review"] == {"total": 1, "reviewed": 1, "pending": 0, "mean_fluency": 4.0, "mean_correctness": 2.0}
+
+
+def test_reviews_of_pairs_are_kept(spark, here):
+    sets = [{"repo": str(here / "pairs.jsonl")}]
+    go = lambda: Run(spark, project_file(here, convdata={"native_sets": sets, "review": True}, stages=["convdata"])).stages(force_from="convdata")
+    go()
+    card = lambda: json.loads((here / "work/artifacts/convdata/convdata_card.json").read_text())
+    assert card()["accepted"] == 0
+    for part in (here / "work/artifacts/convdata/review_queue").glob("part-*.json"):
+        part.write_text(part.read_text().replace('"pending"', '"accepted"'))
+    go()
+    assert card()["accepted"] == 1
+
+
+def test_hub_sets_and_catalogue(spark, here):
+    def hub(spark, path, split, **more):
+        if "oasst" in path:
+            return spark.createDataFrame([("a", None, "prompter", "ask"), ("b", "a", "assistant", "answer"), ("c", "b", "assistant", "deeper")], "message_id string, parent_id string, role string, text string")
+        assert path == "tatsu-lab/alpaca" and split == "train"
+        return spark.createDataFrame([("do", "done"), ("", "x")], "instruction string, output string")
+
+    project = project_file(here, convdata={"translate": ["alpaca", "oasst1"], "translate_backend": "mock", "review": False}, stages=["convdata"])
+    Run(spark, project, fetch={"hub": hub}).stages()
+    pairs = spark.read.json(str(here / "work/artifacts/convdata/pairs")).orderBy("ord").collect()
+    assert [(p["instruction"], p["response"]) for p in pairs] == [("[Made] do", "[Made] done"), ("[Made] ask", "[Made] answer")]
+    assert [s.connector for s in P.language("cornish").sources][-2:] == ["local", "fineweb2"] and "commoncrawl" in [s.connector for s in P.language("welsh").sources]
+    native = P.language("nepali").instruction_sources
+    assert [(n.select_value, n.limit) for n in native] == [("npi", 5000)] and not P.language("welsh").instruction_sources
+    assert sum(bool(P.language(x).instruction_sources) for x in P.slugs("language") if x != "made") == 16

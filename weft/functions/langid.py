@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from weft.log import logger
 
@@ -133,5 +134,4 @@ def identified(docs: DataFrame, model, text: str = "text", label: str = "lang",
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(labels, pa.string()), pa.array(probs, pa.float64())], [*b.schema.names, label, prob])
 
     rows = docs.select(*rest)
-    schema = rows.schema.add(label, "string").add(prob, "double")
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(label, StringType()), StructField(prob, DoubleType())]))

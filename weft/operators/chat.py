@@ -1,4 +1,9 @@
-"""Chat pairs: construction, selection, dedup, human review and deterministic mock providers."""
+"""Chat pairs: construction, selection, dedup, human review and deterministic mock providers.
+
+Cases: null texts count as empty and pairs that lack a side are left out (in ``pair_status``: blank if the
+instruction is); a message without text has empty content; equal places (ord) follow each other in any order; of
+several prior reviews of an id each gives a row, so ids of reviews must differ; empty tables give empty results.
+"""
 
 from __future__ import annotations
 
@@ -107,6 +112,15 @@ def merge_output_reviews(queue: DataFrame, prior: DataFrame) -> DataFrame:
     return met.withColumns({c: F.when(F.col("seen"), F.col(f"old_{c}")).otherwise(F.col(c)) for c in fields}).drop("seen", *(f"old_{c}" for c in fields))
 
 
+OUTPUT_QUEUE = "id long, status string, instruction string, response string, fluency double, correctness double, correction string, notes string"
+
+
+def output_queue(replies: DataFrame) -> DataFrame:
+    """Replies (id, instruction, reply) as pending rows with room for ratings."""
+    blank = {"fluency": "double", "correctness": "double", "correction": "string", "notes": "string"}
+    return replies.select("id", F.lit("pending").alias("status"), "instruction", F.col("reply").alias("response"), *(F.lit(None).cast(k).alias(c) for c, k in blank.items()))
+
+
 def accepted_pairs(queue: DataFrame, review: bool) -> DataFrame:
     rows = queue.filter("status = 'accepted'") if review else queue
     return rows.drop("id", "status")

@@ -1,4 +1,8 @@
-"""Scores of held-out items: accuracy, perplexity, chrF, confidence intervals, coverage, deltas, reviews."""
+"""Scores of held-out items: accuracy, perplexity, chrF, confidence intervals, coverage, deltas, reviews.
+
+Cases: null verdicts, values, losses and replies are left out of means and counts; without rows means are null,
+counts 0 and chrF 0; ties of scores go to the lowest index; ratings that aren't numbers are no ratings.
+"""
 
 from __future__ import annotations
 
@@ -27,12 +31,15 @@ def perplexity(losses: DataFrame) -> DataFrame:
 def bootstrap(items: DataFrame, value: str = "value", rounds: int = 1000, seed: int = 0) -> DataFrame:
     """(name, n, mean, lo, hi) for each name: order statistics 25 and 975 of resampled means.
 
-    Items are evaluation results (a few hundred for each name), so a name is one group.
+    Items are evaluation results (as many as a benchmark's limit, some hundreds), so a name is one group; its
+    draws follow each other in one random sequence, which can't be split.
     """
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        values = group.sort_values("ord")[value].astype(float).tolist()
+        values = group.dropna(subset=[value]).sort_values("ord", key=lambda c: c.map(lambda x: tuple(x.values()) if isinstance(x, dict) else tuple(x) if isinstance(x, (list, tuple)) else x))[value].astype(float).tolist()
         rng, n = random.Random(seed), len(values)
+        if not n:
+            return pd.DataFrame({"name": [group["name"].iloc[0]], "n": [0], "mean": [None], "lo": [None], "hi": [None]})
         means = sorted(sum(values[rng.randrange(n)] for _ in range(n)) / n for _ in range(rounds))
         lo, hi = means[int(0.025 * rounds)], means[int(0.975 * rounds)]
         return pd.DataFrame({"name": [group["name"].iloc[0]], "n": [n], "mean": [sum(values) / n], "lo": [lo], "hi": [hi]})
@@ -76,7 +83,8 @@ def coverage(languages: DataFrame, configs: DataFrame) -> DataFrame:
 
 def review_summary(reviews: DataFrame) -> DataFrame:
     done = F.col("status") == "reviewed"
-    mean = lambda c: F.round(F.avg(F.when(done, F.col(c))), 3).alias(f"mean_{c}")
+    number = lambda c: F.col(c).try_cast("double")
+    mean = lambda c: F.round(F.avg(F.when(done, number(c))), 3).alias(f"mean_{c}")
     return reviews.agg(F.count("*").alias("total"), F.count_if(done).alias("reviewed"), F.count_if(F.col("status") == "pending").alias("pending"), mean("fluency"), mean("correctness"))
 
 

@@ -48,16 +48,35 @@ def resolution(provenance: DataFrame, *by: str) -> DataFrame:
     return got.withColumn("outcome", outcome).select(*by, "outcome", name.alias("license"))
 
 
+def rationale(outcome: str, licence: str | None) -> str:
+    """Why a corpus gets its licence, or none, in a sentence for the model card."""
+    said = {
+        "blocked": "a source forbids commercial use or derived works",
+        "conflict": "two share-alike licences ask for different licences of the same work",
+        "unclassified": "a source has a licence that isn't classified yet",
+        "share_alike": f"{licence} asks that derived works carry it; the other sources only ask for credit, which the list of sources gives",
+        "public_domain": "all sources are in the public domain",
+        "permissive": "all sources allow any use that credits them",
+    }
+    return said[outcome]
+
+
 def release_license(provenance: DataFrame) -> str:
     """The licence, or an error that says why there is none."""
     if (open_ := [r["source"] for r in unresolved(provenance).select("source").distinct().orderBy("source").collect()]):
         raise LicenseError(f"unresolved licences: {', '.join(open_)}")
     row = resolution(provenance).first()
     if row["license"] is None:
-        raise LicenseError(row["outcome"])
+        raise LicenseError(f"{row['outcome']}: {rationale(row['outcome'], None)}")
     return row["license"]
 
 
+def release(provenance: DataFrame) -> tuple[str, str]:
+    """The licence of a release and why it is that one."""
+    licence = release_license(provenance)
+    return licence, rationale(resolution(provenance).first()["outcome"], licence)
+
+
 def attributions(provenance: DataFrame, *by: str) -> DataFrame:
     """One line for each licensed source."""
     url = F.when(F.coalesce("url", F.lit("")) != "", F.concat(F.lit(" — "), "url")).otherwise("")

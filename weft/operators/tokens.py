@@ -59,6 +59,13 @@ def packed(spark: SparkSession, docs: DataFrame, seq_len: int, max_blocks: int |
     return blocks.select(F.col("block").cast("long").alias("block"), F.flatten(F.transform("parts", lambda x: x["part"])).alias("tokens")).filter(F.size("tokens") == seq_len)
 
 
+def token_total(docs: DataFrame, tokenizer=None) -> int:
+    """Tokens of all texts with their ends."""
+    tokenizer = tokenizer or Words()
+    n = F.size(tokenizer.tokens(F.col("text"))) + int(tokenizer.end is not None)
+    return docs.filter("text <> ''").agg(F.coalesce(F.sum(n), F.lit(0)).alias("n")).first()["n"]
+
+
 def fitting_length(total: int, seq_len: int, floor: int = 16) -> int | None:
     """``seq_len`` halved until one block can be filled; None below ``floor``."""
     while seq_len > total and seq_len // 2 >= floor:

@@ -14,7 +14,8 @@ from weft.storage import stored
 def clean_corpus(spark: SparkSession, docs: DataFrame, out: str, near: bool = False, exact: bool = True, scrub: bool = True, **options) -> dict:
     """Writes the kept documents to ``out`` and returns the data card with counts by source.
 
-    ``exact`` drops later equal canonical texts, ``near`` also those similar to an earlier kept one, and
+    ``options`` are those of ``clean.judged``: with ``language`` and a ``model`` of language identification, texts of
+    other languages are dropped. ``exact`` drops later equal canonical texts, ``near`` also those similar to an earlier kept one, and
     ``scrub`` replaces personal data; counts of tokens and characters are of what is written.
     """
     rows = clean.judged(docs, **options)

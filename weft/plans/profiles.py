@@ -39,69 +39,78 @@ SCRIPT_TAGS = {
 WEB_TEXT_CODES = {"grn": "gug_Latn", "mon": "khk_Cyrl", "nep": "npi_Deva", "pus": "pbt_Arab", "que": "quy_Latn", "swa": "swh_Latn"}
 # Translation codes that differ from <iso639_3>_<script>; None where there is none.
 TRANSLATION_CODES = {"bre": None, "cor": None, "fas": "pes_Arab", "mon": "khk_Cyrl", "nep": "npi_Deva", "pus": "pbt_Arab", "que": "quy_Latn", "swa": "swh_Latn"}
-# Slug, iso639_3, iso639_1 (- if none), script if not Latin.
-LANGUAGES = """
-amharic amh am Ethiopic
-basque eus eu
-breton bre br
-cornish cor kw
-faroese fao fo
-farsi fas fa Arabic
-galician glg gl
-guarani grn gn
-haitian_creole hat ht
-hausa hau ha
-igbo ibo ig
-irish gle ga
-khmer khm km Khmer
-kurmanji kmr ku
-luxembourgish ltz lb
-maltese mlt mt
-maori mri mi
-mongolian mon mn Cyrillic
-nepali nep ne Devanagari
-occitan oci oc
-pashto pus ps Arabic
-quechua que qu
-scottish_gaelic gla gd
-sinhala sin si Sinhala
-somali som so
-sorani ckb - Arabic
-swahili swa sw
-tibetan bod bo Tibetan
-uyghur uig ug Arabic
-welsh cym cy
-xhosa xho xh
-yoruba yor yo
-zulu zul zu
-"""
+# Slug, iso639_3, iso639_1, script.
+LANGUAGES = (
+    ("amharic", "amh", "am", "Ethiopic"),
+    ("basque", "eus", "eu", "Latin"),
+    ("breton", "bre", "br", "Latin"),
+    ("cornish", "cor", "kw", "Latin"),
+    ("faroese", "fao", "fo", "Latin"),
+    ("farsi", "fas", "fa", "Arabic"),
+    ("galician", "glg", "gl", "Latin"),
+    ("guarani", "grn", "gn", "Latin"),
+    ("haitian_creole", "hat", "ht", "Latin"),
+    ("hausa", "hau", "ha", "Latin"),
+    ("igbo", "ibo", "ig", "Latin"),
+    ("irish", "gle", "ga", "Latin"),
+    ("khmer", "khm", "km", "Khmer"),
+    ("kurmanji", "kmr", "ku", "Latin"),
+    ("luxembourgish", "ltz", "lb", "Latin"),
+    ("maltese", "mlt", "mt", "Latin"),
+    ("maori", "mri", "mi", "Latin"),
+    ("mongolian", "mon", "mn", "Cyrillic"),
+    ("nepali", "nep", "ne", "Devanagari"),
+    ("occitan", "oci", "oc", "Latin"),
+    ("pashto", "pus", "ps", "Arabic"),
+    ("quechua", "que", "qu", "Latin"),
+    ("scottish_gaelic", "gla", "gd", "Latin"),
+    ("sinhala", "sin", "si", "Sinhala"),
+    ("somali", "som", "so", "Latin"),
+    ("sorani", "ckb", None, "Arabic"),
+    ("swahili", "swa", "sw", "Latin"),
+    ("tibetan", "bod", "bo", "Tibetan"),
+    ("uyghur", "uig", "ug", "Arabic"),
+    ("welsh", "cym", "cy", "Latin"),
+    ("xhosa", "xho", "xh", "Latin"),
+    ("yoruba", "yor", "yo", "Latin"),
+    ("zulu", "zul", "zu", "Latin"),
+)
 # Names and normalization rules that don't follow from the slug.
 NAMES = {"farsi": "Persian (Farsi)", "kurmanji": "Kurmanji Kurdish", "sorani": "Sorani Kurdish"}
 RULES = {"farsi": ["arabic_presentation_forms", "persian_yeh_kaf"], "sorani": ["arabic_presentation_forms", "sorani_arabic"], "kurmanji": ["kurdish_latin"], "welsh": ["welsh_digraphs"]}
+# Families and dialects.
+FAMILIES = {"cornish": "Celtic (Brythonic)", "farsi": "Iranian (Southwestern)", "kurmanji": "Iranian (Northwestern)", "sorani": "Iranian (Northwestern)", "welsh": "Celtic (Brythonic)"}
+DIALECTS = {"cornish": ["Standard Written Form"], "farsi": ["Iranian Persian"], "kurmanji": ["Northern Kurdish"], "sorani": ["Central Kurdish"], "welsh": ["Northern", "Southern"]}
+# Languages with rows in a public set of instructions written by people.
+INSTRUCTED = ("amharic", "basque", "farsi", "haitian_creole", "hausa", "igbo", "irish", "nepali", "pashto", "sinhala", "somali", "sorani", "swahili", "xhosa", "yoruba", "zulu")
+INSTRUCTIONS = "CohereForAI/aya_dataset"
+# Parallel corpora of most languages, and of those with others.
+CORPORA = ["OpenSubtitles", "Tatoeba", "NLLB"]
+OTHER_CORPORA = {"cornish": ["Tatoeba", "bible-uedin"], "welsh": ["OpenSubtitles", "Tatoeba", "NLLB", "bible-uedin"]}
 # Model slug, hub id, family, context length.
-MODELS = """
-aya-23-8b CohereForAI/aya-23-8B aya 8192
-aya-expanse-8b CohereLabs/aya-expanse-8b aya 8192
-bloomz-1b7 bigscience/bloomz-1b7 bloom 2048
-gemma2-2b google/gemma-2-2b gemma 8192
-gemma2-9b google/gemma-2-9b gemma 8192
-llama3.1-8b meta-llama/Llama-3.1-8B llama 131072
-llama3.2-1b meta-llama/Llama-3.2-1B llama 131072
-llama3.2-3b meta-llama/Llama-3.2-3B llama 131072
-mistral-7b-v0.3 mistralai/Mistral-7B-v0.3 mistral 32768
-phi-3.5-mini microsoft/Phi-3.5-mini-instruct phi 131072
-qwen2.5-0.5b Qwen/Qwen2.5-0.5B qwen 32768
-qwen2.5-1.5b Qwen/Qwen2.5-1.5B qwen 32768
-qwen2.5-3b Qwen/Qwen2.5-3B qwen 32768
-qwen2.5-7b Qwen/Qwen2.5-7B qwen 32768
-qwen3-1.7b Qwen/Qwen3-1.7B-Base qwen 32768
-qwen3-4b Qwen/Qwen3-4B-Base qwen 32768
-smollm2-1.7b HuggingFaceTB/SmolLM2-1.7B smollm 8192
-smollm2-135m HuggingFaceTB/SmolLM2-135M smollm 8192
-smollm2-360m HuggingFaceTB/SmolLM2-360M smollm 8192
-tinyllama-1.1b TinyLlama/TinyLlama_v1.1 llama 2048
-xlmr-base FacebookAI/xlm-roberta-base xlmr 512
-"""
+MODELS = (
+    ("aya-23-8b", "CohereForAI/aya-23-8B", "aya", 8192),
+    ("aya-expanse-8b", "CohereLabs/aya-expanse-8b", "aya", 8192),
+    ("bloomz-1b7", "bigscience/bloomz-1b7", "bloom", 2048),
+    ("gemma2-2b", "google/gemma-2-2b", "gemma", 8192),
+    ("gemma2-9b", "google/gemma-2-9b", "gemma", 8192),
+    ("llama3.1-8b", "meta-llama/Llama-3.1-8B", "llama", 131072),
+    ("llama3.2-1b", "meta-llama/Llama-3.2-1B", "llama", 131072),
+    ("llama3.2-3b", "meta-llama/Llama-3.2-3B", "llama", 131072),
+    ("mistral-7b-v0.3", "mistralai/Mistral-7B-v0.3", "mistral", 32768),
+    ("phi-3.5-mini", "microsoft/Phi-3.5-mini-instruct", "phi", 131072),
+    ("qwen2.5-0.5b", "Qwen/Qwen2.5-0.5B", "qwen", 32768),
+    ("qwen2.5-1.5b", "Qwen/Qwen2.5-1.5B", "qwen", 32768),
+    ("qwen2.5-3b", "Qwen/Qwen2.5-3B", "qwen", 32768),
+    ("qwen2.5-7b", "Qwen/Qwen2.5-7B", "qwen", 32768),
+    ("qwen3-1.7b", "Qwen/Qwen3-1.7B-Base", "qwen", 32768),
+    ("qwen3-4b", "Qwen/Qwen3-4B-Base", "qwen", 32768),
+    ("smollm2-1.7b", "HuggingFaceTB/SmolLM2-1.7B", "smollm", 8192),
+    ("smollm2-135m", "HuggingFaceTB/SmolLM2-135M", "smollm", 8192),
+    ("smollm2-360m", "HuggingFaceTB/SmolLM2-360M", "smollm", 8192),
+    ("tinyllama-1.1b", "TinyLlama/TinyLlama_v1.1", "llama", 2048),
+    ("xlmr-base", "FacebookAI/xlm-roberta-base", "xlmr", 512),
+)
 # Compute profiles that differ from the defaults.
 COMPUTE = {
     "a100": {"quantization": "none", "per_device_batch_size": 8, "gradient_accumulation_steps": 4, "max_seq_len_cap": 4096},
@@ -236,7 +245,7 @@ class Model:
     tokenizer_type: str = "bpe"
     context_length: int = 2048
     chat_template: str | None = None
-    good_for_lrl: bool = True
+    good_for_lrl: bool = True  # a key of the file format
     notes: str | None = None
 
 
@@ -388,24 +397,41 @@ def roots() -> list[Path]:
     return list(dict.fromkeys(p.resolve() for p in [*named, Path.cwd() / "configs"]))
 
 
+def _made_sources(slug: str, short: str, code: str) -> list[Source]:
+    """Where the texts of a bundled language come from, with licences."""
+    small = slug == "cornish"
+    out = [Source("wikipedia", {"wiki": short, "license": "CC-BY-SA-4.0", "url": f"https://{short}.wikipedia.org"}), Source("glot500", {"glot": code, "license": "mixed"})]
+    if not small:
+        out.append(Source("culturax", {"lang": short, "license": "ODC-BY-1.0"}))
+    out.append(Source("madlad400", {"lang": short, "variant": "clean", "license": "CC-BY-4.0"}))
+    if not small:
+        out.append(Source("oscar", {"lang": short, "license": "CC0-1.0"}))
+    if slug == "welsh":
+        out.append(Source("commoncrawl", {"url_pattern": "cy.wikipedia.org/*", "license": "Common-Crawl-ToU"}))
+    out.append(Source("opus", {"src": short, "tgt": "en", "corpora": OTHER_CORPORA.get(slug, CORPORA), "license": "mixed"}))
+    if small:
+        out.append(Source("local", {"path": None, "license": "unknown"}, "texts of your own: set the path"))
+    return out
+
+
 def _made_languages() -> dict[str, dict]:
     out = {}
-    for line in LANGUAGES.strip().splitlines():
-        slug, iso3, iso1, *script = line.split()
-        short = None if iso1 == "-" else iso1
-        script = script[0] if script else "Latin"
+    for slug, iso3, iso1, script in LANGUAGES:
         code = f"{iso3}_{SCRIPT_TAGS[script]}"
-        short_sources = [Source("wikipedia", {"wiki": short or iso3, "license": "CC-BY-SA-4.0"}), Source("glot500", {"glot": code, "license": "mixed"})]
-        web = [Source(c, {"lang": short or iso3, "license": licence}) for c, licence in (("culturax", "ODC-BY-1.0"), ("madlad400", "CC-BY-4.0"), ("oscar", "CC0-1.0"))]
+        translated = TRANSLATION_CODES.get(iso3, code)
+        native = [NativeSet(INSTRUCTIONS, select_field="language_code", select_value=translated.split("_")[0])] if slug in INSTRUCTED else []
         out[slug] = {
             "display_name": NAMES.get(slug, slug.replace("_", " ").title()),
             "iso639_3": iso3,
-            "iso639_1": short,
-            "nllb_code": TRANSLATION_CODES.get(iso3, code),
+            "iso639_1": iso1,
+            "nllb_code": translated,
             "scripts": [script],
             "default_script": script,
             "direction": "rtl" if script == "Arabic" else "ltr",
-            "sources": [*short_sources, *web, Source("opus", {"src": short or iso3, "tgt": "en", "license": "mixed"})],
+            "family": FAMILIES.get(slug),
+            "dialects": DIALECTS.get(slug, []),
+            "sources": _made_sources(slug, iso1 or iso3, code),
+            "instruction_sources": native,
             "normalization": Normalization(normalize_digits=script == "Arabic", rules=RULES.get(slug, [])),
         }
     return out
@@ -413,10 +439,9 @@ def _made_languages() -> dict[str, dict]:
 
 def _made_models() -> dict[str, dict]:
     out = {}
-    for line in MODELS.strip().splitlines():
-        slug, hub, family, length = line.split()
+    for slug, hub, family, length in MODELS:
         pieces = "sentencepiece" if family in ("gemma", "xlmr") else "bpe"
-        out[slug] = {"hf_id": hub, "family": family, "context_length": int(length), "tokenizer_type": pieces, "arch": "encoder" if family == "xlmr" else "decoder"}
+        out[slug] = {"hf_id": hub, "family": family, "context_length": length, "tokenizer_type": pieces, "arch": "encoder" if family == "xlmr" else "decoder"}
     return out
 
 

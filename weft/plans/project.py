@@ -11,7 +11,8 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.operators import chat, clean, evaluation, licensing, tokens
+from weft.log import logger
+from weft.operators import benchmarks, chat, clean, evaluation, licensing, tokens
 from weft.plans import manifest as M
 from weft.plans.corpus import clean_corpus
 from weft.plans.profiles import Project, Source, language, profile
@@ -21,6 +22,8 @@ from weft.sources.registry import CONNECTORS, SourceUnavailable
 PROVENANCE = "source string, license string, url string"
 #: Benchmarks that any language can have, and those that need a configuration of its code.
 ALWAYS, CODED = ("native_cloze", "perplexity"), ("belebele", "global_mmlu", "flores")
+# Short names of hub sets of instructions, with their fields.
+HUB_SETS = {"dolly": ("databricks/databricks-dolly-15k", "instruction", "response"), "alpaca": ("tatsu-lab/alpaca", "instruction", "output"), "oasst1": ("OpenAssistant/oasst1", None, None)}
 #: How many documents of the cleaned corpus synthetic pairs are about.
 CONTEXTS = 20
 
@@ -30,12 +33,22 @@ def write_card(path: Path, card: dict) -> None:
     path.write_text(json.dumps(card, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
 
 
+def write_lines(rows: DataFrame, path: Path) -> None:
+    """JSON lines that people may edit: a local folder keeps no checksums of its files, which an edit would break."""
+    rows.write.mode("overwrite").json(str(path))
+    for crc in path.glob(".*.crc"):
+        crc.unlink()
+
+
 @dataclass
 class Run:
-    """A project with what stands in for the network: ``fetch`` by connector name, ``configs`` of benchmarks.
+    """A project with what stands in for the network and for models.
 
-    ``translators`` (text, language name) and ``teachers`` (like ``chat.mock_pairs``) by backend or provider
-    name do the work of models; a project that asks for one that isn't here gets a note in its card.
+    ``fetch`` gives rows or answers by connector name, and rows of hub sets of instructions under ``hub``;
+    ``configs`` (benchmark, code, gated) are the configurations there are. ``identifiers`` by language-ID backend,
+    ``translators`` (text, language name) and ``teachers`` (like ``chat.mock_pairs``) by backend or provider,
+    ``scorers`` (base, adapted, judge; see ``operators.benchmarks``) and ``items`` of benchmarks do the work of
+    models. A project that asks for what isn't here gets a note in its card.
     """
 
     spark: SparkSession
@@ -45,6 +58,9 @@ class Run:
     configs: DataFrame | None = None
     translators: dict[str, Callable[[Column, str], Column]] = field(default_factory=lambda: {"mock": chat.mock_translate})
     teachers: dict[str, Callable[..., DataFrame]] = field(default_factory=lambda: {"mock": chat.mock_pairs})
+    identifiers: dict[str, object] = field(default_factory=dict)
+    scorers: dict[str, object] = field(default_factory=dict)
+    items: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
         self.manifest = M.Manifest.load(self.project.folder / ".weft" / "manifest.json")
@@ -57,6 +73,7 @@ class Run:
         project = self.project
         config = {s: asdict(getattr(project, s)) for s in M.STAGES}
         config["ingest"]["catalog"] = [asdict(s) for s in project.sources]
+        config["ingest"]["local_files"] = local_files(project.sources)
         config["clean"]["language"] = asdict(language(project.language).normalization)
         work = {s: getattr(self, f"_{s}", None) or (lambda s=s: self._planned(s)) for s in M.STAGES}
         return M.run(self.manifest, selected or project.selected, config, work, force_from)
@@ -76,10 +93,11 @@ class Run:
                 docs = reader.documents(self.spark, _reader_params(source), self.project.ingest.max_docs_per_source, self.token, self.fetch.get(source.connector))
             except (SourceUnavailable, PermissionError, ValueError) as why:
                 skipped[source.connector] = str(why)
+                logger("ingest").warning("%s is left out: %s", source.connector, why)
                 continue
             found[reader.kind].append(_placed(docs, i))
         self.manifest.add_provenance(records)
-        card: dict = {"skipped": skipped, "per_source": {}}
+        card: dict = {"language": self.project.language, "skipped": skipped, "per_source": {}, "budget_hit": False, "used_token": self.token is not None}
         outputs = []
         for kind, folder in (("mono", "corpus"), ("parallel", "parallel")):
             if not found[kind]:
@@ -88,13 +106,17 @@ class Run:
             rows = reduce(DataFrame.unionByName, found[kind])
             rows = clean.running_total(self.spark, rows.withColumn("one", F.lit(1)), "place", "one", "doc_id").drop("one", "place")
             if kind == "mono" and self.project.ingest.max_gb:
-                rows = clean.byte_budget(self.spark, rows, int(self.project.ingest.max_gb * 1e9)).drop("n_bytes")
+                most = int(self.project.ingest.max_gb * 1e9)
+                rows = clean.byte_budget(self.spark, rows, most).drop("n_bytes")
             meta = F.map_concat(F.coalesce("meta", F.create_map().cast("map<string,string>")), F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")))
             out = self.at("ingest", folder)
             write_shards(rows.select("text", "source", meta.alias("meta")), str(out))
             counts = read_shards(self.spark, str(out)).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes")).collect()
             card["per_source"] |= {r["source"]: {"docs": r["docs"], "bytes": r["bytes"]} for r in counts}
             card[f"{kind}_docs"] = sum(r["docs"] for r in counts)
+            if kind == "mono":
+                card["mono_bytes"] = sum(r["bytes"] or 0 for r in counts)
+                card["budget_hit"] = bool(self.project.ingest.max_gb) and card["mono_bytes"] >= most
             outputs.append(str(out))
         write_card(self.at("ingest", "ingest_card.json"), card)
         return outputs, {"mono_docs": card["mono_docs"], "parallel_docs": card["parallel_docs"], "sources": len(records)}
@@ -112,8 +134,14 @@ class Run:
             write_card(self.at("clean", "data_card.json"), {"docs_in": 0, "docs_out": 0, "tokens_out": 0})
             return [], {"docs_in": 0, "docs_out": 0, "tokens_out": 0}
         rules = {"form": profile_.normalization.unicode_form, "digits": profile_.normalization.normalize_digits, "rules": tuple(profile_.normalization.rules)}
-        out = self.at("clean", "corpus")
-        card = clean_corpus(self.spark, docs, str(out), min_quality=cfg.min_quality, near=cfg.dedup == "minhash", exact=cfg.dedup != "none", scrub=cfg.scrub_pii, **rules)
+        out, model, said = self.at("clean", "corpus"), self.identifiers.get(cfg.lang_id), "off"
+        if model is not None:
+            rules |= {"language": profile_.iso639_3, "min_prob": cfg.min_doc_lang_prob, "model": model}
+            said = f"on ({cfg.lang_id})"
+        elif cfg.lang_id != "none":
+            said = f"off (no {cfg.lang_id} model here)"
+            logger("clean").warning("texts are not filtered by language: no %s model here", cfg.lang_id)
+        card = {"language_filter": said} | clean_corpus(self.spark, docs, str(out), min_quality=cfg.min_quality, near=cfg.dedup == "minhash", exact=cfg.dedup != "none", scrub=cfg.scrub_pii, **rules)
         write_card(self.at("clean", "data_card.json"), card)
         return [str(out)], {k: card[k] for k in ("docs_in", "docs_out", "tokens_out")}
 
@@ -123,21 +151,35 @@ class Run:
         backend = cfg.provider if cfg.translate_backend == "teacher" else cfg.translate_backend
         translate = self.translators.get(backend)
         for path in cfg.translate:
-            if translate is None or not Path(path).is_file():
-                skipped[f"translate:{path}"] = f"no translator {backend} here" if translate is None else "not a local file"
+            got = None if translate is None else self._instructions(path, cfg.translate_limit)
+            if got is None:
+                skipped[f"translate:{path}"] = f"no translator {backend} here" if translate is None else "neither a local file nor a hub set that can be fetched"
                 continue
-            rows = self.spark.read.json(path).withColumn("ord", F.monotonically_increasing_id())
-            got = chat.instruction_set(rows, cfg.translate_limit)
             parts.append(got.select("ord", *(translate(F.col(c), name).alias(c) for c in ("instruction", "response")), F.lit(f"translate:{path}").alias("source")))
         return parts
 
+    def _instructions(self, name: str, limit: int | None) -> DataFrame | None:
+        """Pairs of a local file, else of a hub set by its short name or id; None if it can't be had."""
+        if Path(name).is_file():
+            return chat.instruction_set(self.spark.read.json(name).withColumn("ord", F.monotonically_increasing_id()), limit)
+        if "hub" not in self.fetch:
+            return None
+        repo, instruction, response = HUB_SETS.get(name, (name, "instruction", "response"))
+        rows = self.fetch["hub"](self.spark, path=repo, split="train").withColumn("ord", F.monotonically_increasing_id())
+        if repo == HUB_SETS["oasst1"][0]:
+            roles = F.when(F.col("role") == "prompter", "user").otherwise(F.col("role"))
+            got = chat.replies(rows.withColumn("role", roles)).select("ord", "instruction", "response").orderBy("ord")
+            return got if limit is None else got.limit(limit)
+        return chat.native_set(rows, instruction, response, limit=limit)
+
     def _native(self, skipped: dict) -> list[DataFrame]:
         parts = []
         for s in [*language(self.project.language).instruction_sources, *self.project.convdata.native_sets]:
-            if not Path(s.repo).is_file():
-                skipped[f"native:{s.repo}"] = "not a local file"
+            if not Path(s.repo).is_file() and "hub" not in self.fetch:
+                skipped[f"native:{s.repo}"] = "neither a local file nor a hub set that can be fetched"
                 continue
-            rows = self.spark.read.json(s.repo).withColumn("ord", F.monotonically_increasing_id())
+            rows = self.spark.read.json(s.repo) if Path(s.repo).is_file() else self.fetch["hub"](self.spark, path=s.repo, split=s.split, **({"name": s.name} if s.name else {}))
+            rows = rows.withColumn("ord", F.monotonically_increasing_id())
             select = (s.select_field, s.select_value) if s.select_field else None
             got = chat.native_set(rows, s.instruction_field, s.response_field, s.source_field if s.source_field in rows.columns else None, tuple(s.exclude), select, s.limit)
             parts.append(got.withColumn("source", F.lit(f"native:{s.repo}")))
@@ -179,40 +221,119 @@ class Run:
             queue = clean.stored(self.spark, queue.drop("ord").withColumn("messages", chat.messages(F.col("instruction"), F.col("response"))), "queue")
             accepted = clean.stored(self.spark, chat.accepted_pairs(queue, cfg.review), "accepted")
             for out, df in zip(outputs, (good, queue, accepted)):
-                df.write.mode("overwrite").json(out)
+                write_lines(df, Path(out))
             metrics = {"generated": sum(n.values()), "degenerate_dropped": n.get("degenerate", 0), "deduped": n.get("accepted", 0), "accepted": accepted.count()}
         write_card(self.at("convdata", "convdata_card.json"), metrics | ({"skipped": skipped} if skipped else {}))
         return outputs if parts else [], {k: metrics[k] for k in ("accepted", "deduped")}
 
-    def _evaluate(self):
-        summary, spoken = {}, language(self.project.language)
+    def _coverage(self) -> dict[str, dict]:
+        """For each benchmark of the project whether it applies to the language, and why not."""
+        spoken, out = language(self.project.language), {}
         codes = spoken.benchmark_codes()
         wanted = [b for b in self.project.evaluate.benchmarks if b in CODED]
-        covered = {}
+        told = {}
         if wanted and self.configs is not None:
             asked = self.spark.createDataFrame([(spoken.name, b, codes[b]) for b in wanted], "language string, benchmark string, code string")
-            covered = {r["benchmark"]: r["reason"] for r in evaluation.coverage(asked, self.configs).collect()}
+            told = {r["benchmark"]: r["reason"] for r in evaluation.coverage(asked, self.configs).collect()}
+            if self.token:
+                told = {b: "covered" if why == "gated" else why for b, why in told.items()}
         for b in self.project.evaluate.benchmarks:
-            if b in ALWAYS or covered.get(b) == "covered":
-                summary[b] = "not measured (no model here)"
+            if b in ALWAYS:
+                why = "covered"
+            elif b == "judge":
+                why = "covered" if self._accepted() is not None else "no accepted pairs"
+            elif b in CODED:
+                why = told.get(b, "no list of configurations")
             else:
-                summary[b] = f"not covered: {covered.get(b, 'unknown benchmark' if b not in CODED else 'no list of configurations')}"
-        write_card(self.at("evaluate", "report_card.json"), {"summary": summary})
+                why = "unknown benchmark"
+            out[b] = {"available": why == "covered", "reason": why, "resolved_code": codes.get(b), "gated": b in benchmarks.BENCHMARKS and benchmarks.benchmark(b).gated}
+        return out
+
+    def _accepted(self) -> DataFrame | None:
+        """(id, instruction) of the accepted chat pairs, in their order."""
+        path = self.at("convdata", "accepted")
+        if not path.exists():
+            return None
+        rows = self.spark.read.json(str(path))
+        return rows.select(F.monotonically_increasing_id().alias("id"), "instruction").filter("instruction <> ''") if "instruction" in rows.columns else None
+
+    def _scored(self, name: str, scorer) -> dict | None:
+        """value, n, lo and hi of one model, or None where what it needs isn't here."""
+        limit, spoken = self.project.evaluate.limit, language(self.project.language).display_name
+        docs, items = self._corpus("clean"), self.items.get(name)
+        if name == "native_cloze" and docs is not None:
+            got = benchmarks.cloze(scorer, docs, limit)
+        elif name == "perplexity" and docs is not None:
+            got = benchmarks.perplexity(self.spark, scorer, docs, limit)
+        elif name == "belebele" and items is not None:
+            got = benchmarks.multiple_choice(scorer, evaluation.passage_items(items), limit)
+        elif name == "global_mmlu" and items is not None:
+            got = benchmarks.multiple_choice(scorer, evaluation.letter_items(items), limit)
+        elif name == "flores" and items is not None:
+            got = benchmarks.translation(scorer, *items, spoken, limit)
+        elif name == "judge" and "judge" in self.scorers:
+            got = benchmarks.judged(scorer, self.scorers["judge"], self._accepted(), spoken, limit)
+        else:
+            return None
+        row = got.first()
+        return row.asDict() if row else None
+
+    def _evaluate(self):
+        covered, results, summary = self._coverage(), {}, {}
+        for name, cover in covered.items():
+            if not cover["available"]:
+                summary[name] = f"not covered: {cover['reason']}"
+                continue
+            kind, scores = benchmarks.benchmark(name), {}
+            for bundle in ("adapted", "base"):
+                scorer = self.scorers.get(bundle)
+                if scorer is None or bundle == "base" and not kind.compare_to_base:
+                    continue
+                try:
+                    scores[bundle] = self._scored(name, scorer)
+                except Exception as why:  # one benchmark that fails doesn't end the report
+                    logger("evaluate").warning("%s failed on %s: %s", name, bundle, why)
+            value = lambda b: (scores.get(b) or {}).get("value")
+            delta = benchmarks.gain(name, value("base"), value("adapted"))
+            results[name] = {**scores, "delta": delta, "lower_is_better": kind.lower_is_better, "caveat": kind.caveat}
+            summary[name] = benchmarks.told(name, scores.get("adapted"), delta) if self.scorers else "not measured (no model here)"
+        card = {"language": self.project.language, "coverage": covered, "results": results, "summary": summary, "human_review": self._output_review()}
+        write_card(self.at("evaluate", "report_card.json"), card)
         return [str(self.at("evaluate", "report_card.json"))], {"summary": summary}
 
+    def _output_review(self) -> dict | None:
+        """Replies of the adapted model to accepted instructions as a queue that people rate; what they rated before stays."""
+        cfg, prompts, scorer = self.project.evaluate, self._accepted(), self.scorers.get("adapted")
+        if not cfg.human_review:
+            return None
+        if prompts is None or scorer is None:
+            return {"status": "skipped: no accepted pairs" if prompts is None else "skipped: no model here"}
+        first = tokens.positional(prompts, "id", cfg.human_review_n).select(F.col("pos").alias("id"), "instruction", F.col("instruction").alias("prompt"))
+        queue = chat.output_queue(scorer.replies(first))
+        out = self.at("evaluate", "human_review_queue.jsonl")
+        if out.exists():
+            queue = chat.merge_output_reviews(queue, self.spark.read.schema(chat.OUTPUT_QUEUE).json(str(out)))
+        queue = clean.stored(self.spark, queue, "queue")
+        # bounded by human_review_n, and one plain file for those who rate
+        lines = [json.dumps(r.asDict(), ensure_ascii=False) for r in queue.orderBy("id").collect()]
+        out.parent.mkdir(parents=True, exist_ok=True)
+        out.write_text("".join(x + "\n" for x in lines), encoding="utf-8")
+        row = evaluation.review_summary(queue).first().asDict()
+        return row | ({} if row["reviewed"] else {"status": "awaiting review"})
+
     def _export(self):
         records = [(r["source"], r.get("license"), r.get("url")) for r in self.manifest.provenance]
         provenance = self.spark.createDataFrame(records, PROVENANCE)
-        licence = licensing.release_license(provenance)
+        licence, why = licensing.release(provenance)
         credits = [r["line"] for r in licensing.attributions(provenance).orderBy("source").collect()]
         model, spoken = profile("model", self.project.base_model), language(self.project.language)
         report = self.at("evaluate", "report_card.json")
         scores = json.loads(report.read_text()).get("summary", {}) if report.exists() else {}
         self.at("export").mkdir(parents=True, exist_ok=True)
-        self.at("export", "MODEL_CARD.md").write_text(model_card(self.project, spoken.display_name, model.hf_id, licence, scores, credits), encoding="utf-8")
+        self.at("export", "MODEL_CARD.md").write_text(model_card(self.project, spoken.display_name, model.hf_id, f"{licence}: {why}.", scores, credits), encoding="utf-8")
         if self.project.export.make_ollama_modelfile:
             self.at("export", "Modelfile").write_text(modelfile(model.hf_id, spoken.display_name), encoding="utf-8")
-        write_card(self.at("export", "export_card.json"), {"model_kind": "base", "model_license": licence, "attributions": credits, "evals": scores, "quantize": self.project.export.quantize})
+        write_card(self.at("export", "export_card.json"), {"model_kind": "base", "model_license": licence, "license_rationale": why, "attributions": credits, "evals": scores, "quantize": self.project.export.quantize})
         return [str(self.at("export"))], {"model_kind": "base", "license": licence}
 
     def _planned(self, stage: str):
@@ -227,6 +348,18 @@ class Run:
         return [str(out)], {"status": "planned"}
 
 
+def local_files(sources: list[Source]) -> list[list]:
+    """Path, size and time of change of every file of the local sources, so that a changed corpus is read again."""
+    out = []
+    for s in sources:
+        root = Path(s.params["path"]) if s.connector == "local" and s.params.get("path") else None
+        if root is not None and root.exists():
+            for p in sorted(root.rglob("*")) if root.is_dir() else [root]:
+                if p.is_file():
+                    out.append([str(p), p.stat().st_size, int(p.stat().st_mtime)])
+    return out
+
+
 def _reader_params(source: Source) -> dict:
     return {k: v for k, v in source.params.items() if k not in ("license", "url")}
 
