@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.functions import langid
 from weft.functions import text as X
+from weft.functions.tokenizers import FileTokenizer
 from weft.operators import chat, clean, evaluation, licensing, similarity, tokens
 from weft.sources.files import moses_pairs, smol_target
 from weft.storage import spread, table
@@ -167,6 +169,17 @@ def lsh_candidates(spark, d):
     return similarity.lsh_candidates(clean.cleaned(spark, _docs(spark, d)))
 
 
+@query()
+def lsh_drops(spark, d):
+    return similarity.lsh_drops(spark, clean.cleaned(spark, _docs(spark, d)))
+
+
+@query()
+def language_predict(spark, d):
+    docs = _docs(spark, d)
+    return langid.identified(docs.select("doc_id", "text"), langid.train(docs)).select("doc_id", "lang", F.round("prob", 6).alias("prob"))
+
+
 # ---- chat
 TURNS = "turns as (select conv_id, turn, text as instruction, nr, response from (select *, lead(role) over w as nr, lead(text) over w as response from conversations window w as (partition by conv_id order by turn)) where role = 'user' and nr = 'assistant')"
 TREE = "tree as (select conv_id * 1000 + turn as message_id, role, text, conv_id * 1000 + turn as ord, case when role = 'assistant' then conv_id * 1000 + (select min(u.turn) from conversations u where u.conv_id = c.conv_id and u.role = 'user') end as parent_id from conversations c)"
@@ -279,11 +292,11 @@ def mock_synth(spark, d):
     return chat.mock_pairs(spark, 45, "Test", contexts, 20)
 
 
-@query("select s.turn as line, s.text as src, t.text as tgt from conversations s join conversations t on t.conv_id = 1 and s.conv_id = 0 and s.turn = t.turn where trim(s.text) <> '' and trim(t.text) <> ''")
+@query("select s.conv_id // 2 as corpus, s.turn as line, s.text as src, t.text as tgt from conversations s join conversations t on s.conv_id % 2 = 0 and t.conv_id = s.conv_id + 1 and s.turn = t.turn where trim(s.text) <> '' and trim(t.text) <> ''")
 def moses_zip(spark, d):
     c = table(spark, d, "conversations")
-    side = lambda k: c.filter(F.col("conv_id") == k).select(F.col("turn").alias("line"), "text")
-    return moses_pairs(side(0), side(1)).select("line", "src", "tgt")
+    side = lambda k: c.filter(F.col("conv_id") % 2 == k).select(F.floor(F.col("conv_id") / 2).alias("corpus"), F.col("turn").alias("line"), "text")
+    return moses_pairs(side(0), side(1), ["corpus", "line"]).select("corpus", "line", "src", "tgt")
 
 
 # ---- tokens
@@ -302,6 +315,21 @@ def token_packing(spark, d):
     return blocks.select("block", F.array_join("tokens", " ").alias("tokens"))
 
 
+#: A public tokenizer's file; any of its kind does.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query()
+def tokenizer_fertility(spark, d):
+    return tokens.fertility(clean.normalized(_docs(spark, d)), FileTokenizer(TOKENIZER))
+
+
+@query()
+def tokenizer_packing(spark, d):
+    blocks = tokens.packed(spark, clean.cleaned(spark, _docs(spark, d)), 512, tokenizer=FileTokenizer(TOKENIZER, end=50256))
+    return blocks.select("block", F.array_join(F.transform("tokens", lambda x: x.cast("string")), " ").alias("tokens"))
+
+
 @query(f"with {NORM}, w as (select lang, unnest({WS % 't'}) as token from norm) select distinct token from w where lang = 'de' and token not in (select token from w where lang = 'en')")
 def vocab_novel_tokens(spark, d):
     docs = clean.normalized(_docs(spark, d))
@@ -353,7 +381,7 @@ def perplexity(spark, d):
 
 
 @query(
-    r"""with p as (select conv_id as id, regexp_replace(coalesce(max(text) filter (where turn = 1), ''), '\s+', '', 'g') as h, regexp_replace(coalesce(max(text) filter (where turn = 2), ''), '\s+', '', 'g') as r from conversations group by 1),
+    r"""with p as (select conv_id * 1000 + turn as id, regexp_replace(text, '\s+', '', 'g') as h, regexp_replace(nr, '\s+', '', 'g') as r from (select *, lead(text) over (partition by conv_id order by turn) as nr from conversations) where text is not null and nr is not null),
  gh as (select id, n, substr(h, i, n) as g, count(*) as c from p, range(1, 7) t(n), lateral (select unnest(range(1, length(h) - n + 2)) as i) group by all),
  gr as (select id, n, substr(r, i, n) as g, count(*) as c from p, range(1, 7) t(n), lateral (select unnest(range(1, length(r) - n + 2)) as i) group by all),
  m as (select coalesce(gh.n, gr.n) as n, sum(coalesce(gh.c, 0)) as h, sum(coalesce(gr.c, 0)) as r, sum(least(coalesce(gh.c, 0), coalesce(gr.c, 0))) as m from gh full join gr on gh.id = gr.id and gh.n = gr.n and gh.g = gr.g group by 1),
@@ -361,8 +389,10 @@ def perplexity(spark, d):
  select round(coalesce(case when p + q > 0 then 100 * 5 * p * q / (4 * p + q) end, 0), 6) as chrf from a"""
 )
 def chrf(spark, d):
-    side = lambda k: F.max(F.when(F.col("turn") == k, F.col("text")))
-    pairs = table(spark, d, "conversations").groupBy(F.col("conv_id").alias("id")).agg(side(1).alias("hypothesis"), side(2).alias("reference"))
+    from pyspark.sql.window import Window
+
+    after = F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn"))
+    pairs = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("id"), F.col("text").alias("hypothesis"), after.alias("reference")).dropna()
     return evaluation.chrf(pairs).select(F.round("chrf", 6).alias("chrf"))
 
 
@@ -425,14 +455,15 @@ def teacher_pair_parse(spark, d):
     return evaluation.parse_pairs(_docs(spark, d).select(F.col("doc_id").alias("id"), reply.alias("reply"))).withColumn("i", F.col("i").cast("long"))
 
 
-@query(f"with {QUEUE}, p as (select id, 'reviewed' as status, (id % 5 + 1)::int as fluency from queue where id % 4 = 0 union all select id, 'pending', 9 from queue where id % 4 = 1) select q.id, coalesce(p.status, q.status) as status, p.fluency from queue q left join p on p.id = q.id and p.status <> 'pending'")
+@query(f"with {QUEUE}, p as (select id, 'reviewed' as status, (id % 5 + 1)::int as fluency, (id % 3 + 1)::int as correctness, 'better ' || id as correction, 'note ' || id as notes from queue where id % 4 = 0 union all select id, 'pending', 9, 9, 'x', 'y' from queue where id % 4 = 1) select q.id, coalesce(p.status, q.status) as status, p.fluency, p.correctness, coalesce(p.correction, '') as correction, coalesce(p.notes, '') as notes from queue q left join p on p.id = q.id and p.status <> 'pending'")
 def output_review_merge(spark, d):
-    blank = {"correctness": F.lit(None).cast("int"), "correction": F.lit(""), "notes": F.lit("")}
-    queue = _queue(spark, d)[0].withColumn("fluency", F.lit(None).cast("int")).withColumns(blank)
-    done = F.when(F.col("id") % 4 == 0, "reviewed").otherwise("pending")
-    rated = F.when(F.col("id") % 4 == 0, F.col("id") % 5 + 1).otherwise(9).cast("int")
-    prior = queue.filter("id % 4 < 2").withColumn("status", done).withColumn("fluency", rated)
-    return chat.merge_output_reviews(queue, prior).select("id", "status", "fluency")
+    none = F.lit(None).cast("int")
+    queue = _queue(spark, d)[0].withColumns({"fluency": none, "correctness": none, "correction": F.lit(""), "notes": F.lit("")})
+    done = F.col("id") % 4 == 0
+    said = lambda word: F.concat(F.lit(word), F.col("id").cast("string"))
+    rated = {"status": F.when(done, "reviewed").otherwise("pending"), "fluency": F.when(done, F.col("id") % 5 + 1).otherwise(9).cast("int"), "correctness": F.when(done, F.col("id") % 3 + 1).otherwise(9).cast("int"), "correction": F.when(done, said("better ")).otherwise("x"), "notes": F.when(done, said("note ")).otherwise("y")}
+    prior = queue.filter("id % 4 < 2").withColumns(rated)
+    return chat.merge_output_reviews(queue, prior).select("id", "status", "fluency", "correctness", "correction", "notes")
 
 
 @query("select s.turn + s.conv_id * 1000 as id, s.text as source, t.text as target from conversations s join conversations t on t.conv_id = s.conv_id and t.turn = s.turn + 1 where s.role = 'user' order by id limit 100")

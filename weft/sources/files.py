@@ -1,8 +1,13 @@
-"""Document sources over files, and sharded sinks. All reads declare their schema."""
+"""Document sources over files, and sharded sinks. All reads declare their schema.
+
+Cases: blank texts and lines are no documents; a field that a line lacks is empty; a page without visible text
+is kept as it is; files are taken in order of path. PDF pages need the pypdf library.
+"""
 
 from __future__ import annotations
 
 from html.parser import HTMLParser
+from importlib.util import find_spec
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,11 +15,13 @@ from pyspark.sql import functions as F
 
 DOCUMENT = "text string, source string, meta map<string,string>"
 #: File endings of each reader; other files are left out.
-KINDS = {"text": ("txt", "md"), "json": ("jsonl", "jsonl.gz"), "html": ("html", "htm")}
+KINDS = {"text": ("txt", "md"), "json": ("jsonl", "jsonl.gz"), "html": ("html", "htm"), "pdf": ("pdf",)}
 DOCS_PER_SHARD = 50_000
 
 _SKIPPED = {"script", "style", "nav", "header", "footer", "aside", "form", "noscript", "template", "svg", "head"}
 _BLOCKS = {"p", "div", "br", "li", "h1", "h2", "h3", "h4", "h5", "h6", "tr", "article", "section", "blockquote", "pre", "td", "ul", "ol", "table"}
+#: Hidden elements that break no line.
+_INLINE = {"script", "style", "noscript", "template", "svg"}
 _VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
@@ -23,13 +30,17 @@ class _Text(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.parts: list[str] = []
         self.hidden: list[str] = []
+        self.kept = 0  # how many elements around keep their line breaks
 
     def handle_starttag(self, tag, attrs):
         classes = dict(attrs).get("class") or ""
         if tag not in _VOID and (self.hidden or tag in _SKIPPED or {"ad", "ads", "advert", "sidebar"} & set(classes.split())):
+            if not self.hidden and tag not in _INLINE:
+                self.parts.append("\n")
             self.hidden.append(tag)
         elif tag in _BLOCKS:
             self.parts.append("\n")
+            self.kept += tag == "pre"
 
     def handle_endtag(self, tag):
         if self.hidden:
@@ -38,10 +49,11 @@ class _Text(HTMLParser):
                     pass
         elif tag in _BLOCKS:
             self.parts.append("\n")
+            self.kept = max(0, self.kept - (tag == "pre"))
 
     def handle_data(self, data):
         if not self.hidden:
-            self.parts.append(data)
+            self.parts.append(data if self.kept else data.replace("\n", " "))
 
 
 def main_text(html: str | None) -> str:
@@ -63,14 +75,35 @@ def extract(html: Column) -> Column:
     return run(html)
 
 
+def pdf_text(data: bytes) -> str:
+    """Texts of the pages that have any, a blank line between them."""
+    import io
+
+    import pypdf
+
+    pages = (page.extract_text() or "" for page in pypdf.PdfReader(io.BytesIO(data)).pages)
+    return "\n\n".join(p.strip() for p in pages if p.strip())
+
+
+def read_pdf(spark: SparkSession, path: str, extract_one=pdf_text) -> DataFrame:
+    """(path, line, text) of PDF files; ``extract_one`` gives the text of a file's bytes."""
+
+    @F.pandas_udf("string")
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(extract_one)
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(path)
+    return files.select("path", F.lit(0).cast("long").alias("line"), run("content").alias("text"))
+
+
 def _some(spark: SparkSession, path: str, endings: tuple[str, ...]):
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + ",".join(endings) + "}")
     return reader, path
 
 
-def read_local(spark: SparkSession, path: str, max_docs: int | None = None, text_field: str = "text") -> DataFrame:
+def read_local(spark: SparkSession, path: str, max_docs: int | None = None, text_field: str = "text", pdf: bool | None = None) -> DataFrame:
     """Documents of a file or folder: text and Markdown files are one each, JSON lines one a line, pages their main
-    text. Blank texts are left out; meta.path names the file. With ``max_docs`` the first in order of path."""
+    text, PDF files the text of their pages (``pdf``; if not said, where pypdf is installed). Blank texts are left out; meta.path names the file. With ``max_docs`` the first in order of path."""
     if not path:
         raise ValueError("a local source needs a path")
     place = F.col("_metadata.file_path").alias("path")
@@ -80,7 +113,10 @@ def read_local(spark: SparkSession, path: str, max_docs: int | None = None, text
     whole = raw.withColumn("text", F.when(page, extract(F.col("t"))).otherwise(F.col("t"))).select("path", F.lit(0).cast("long").alias("line"), "text")
     reader, at = _some(spark, path, KINDS["json"])
     lines = reader.schema(f"`{text_field}` string").json(at).select(place, F.monotonically_increasing_id().alias("line"), F.coalesce(F.col(text_field), F.lit("")).alias("text"))
-    rows = whole.unionByName(lines).filter(F.regexp_replace("text", "(?U)\\s+", "") != "")
+    rows = whole.unionByName(lines)
+    if find_spec("pypdf") is not None if pdf is None else pdf:
+        rows = rows.unionByName(read_pdf(spark, path))
+    rows = rows.filter(F.regexp_replace("text", "(?U)\\s+", "") != "")
     if max_docs is not None:
         rows = rows.orderBy("path", "line").limit(max_docs)
     return rows.select("text", F.lit("local").alias("source"), F.create_map(F.lit("path"), "path").alias("meta"), "path", "line")
@@ -98,9 +134,10 @@ def write_shards(docs: DataFrame, path: str, docs_per_shard: int = DOCS_PER_SHAR
     docs.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", docs_per_shard).json(path)
 
 
-def moses_pairs(src: DataFrame, tgt: DataFrame) -> DataFrame:
-    """Positional pairs of two line tables (line, text); the shorter ends both, pairs with a blank side go."""
-    met = src.select("line", F.trim("text").alias("src")).join(tgt.select("line", F.trim("text").alias("tgt")), "line")
+def moses_pairs(src: DataFrame, tgt: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """Positional pairs of two line tables (line, text; ``by`` names more keys); the shorter ends both, pairs with a blank side go."""
+    by = by or ["line"]
+    met = src.select(*by, F.trim("text").alias("src")).join(tgt.select(*by, F.trim("text").alias("tgt")), by)
     return met.filter("src <> '' and tgt <> ''")
 
 
