@@ -508,3 +508,139 @@ def test_near_duplicates_with_a_repeated_line(spark):
     docs = frame(spark, texts)
     got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark, docs).collect()}
     assert got == {i: i - i % 4 for i in range(len(texts))} == true_classes(docs.collect())
+
+
+def test_near_duplicates_along_a_path(spark):
+    words = [f"p{k}" for k in range(1040)]
+    docs = frame(spark, [" ".join(words[k : k + 40]) for k in range(1000)])
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark, docs).collect()}
+    assert got == dict.fromkeys(range(1000), 0)
+
+
+def test_neighbours_in_a_group_of_near_copies(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 24))
+    x = centres[rng.integers(0, 60, 9000)] + 0.4 * rng.normal(size=(9000, 24))
+    x[2000:5000] = x[0] + 0.01 * rng.normal(size=(3000, 24))
+    x[5000:6000] = x[1]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = ann.search(spark, df).toPandas()
+    for lo, hi in ((2000, 5000), (0, 9000)):
+        hits = total = 0
+        for q in range(lo, hi, 100):
+            d = np.sqrt(((x - x[q]) ** 2).sum(1))
+            d[q] = np.inf
+            want = np.sort(d)[:10]
+            mine = got[got["query_id"] == q].sort_values("rank")
+            assert len(mine) == 10 and np.allclose(mine["score"], d[mine["vec_id"]])
+            hits += (mine["score"].to_numpy() <= want[-1] + 1e-12).sum()
+            total += 10
+        assert hits >= 0.95 * total
+    # equal vectors: the smallest ids, without the query's own
+    same = got[got["query_id"] == 5000].sort_values("rank")["vec_id"].tolist()
+    assert same == [1, *range(5001, 5010)]
+
+
+def plain_tokens(text):
+    low = (text or "").translate({i: i + 32 for i in range(65, 91)}).encode()
+    return [(m.group().decode("utf-8", "replace"), m.start(), m.end()) for m in re.finditer(rb"[0-9a-z\x80-\xff]+", low)]
+
+
+def plain_toxicity(rows, least_z=2.0, least_texts=4):
+    """(odds by (kind, token), decay, K) of (text, toxic) rows, by dictionaries."""
+    counts = {}
+    for text, toxic in rows:
+        seen = set()
+        for word, _, _ in plain_tokens(text):
+            for key in ((0, word), (1, word[: toxicity.STEM])):
+                c = counts.setdefault(key, [0, 0, 0])
+                c[0 if toxic else 1] += 1
+                if toxic and key not in seen:
+                    c[2] += 1
+                    seen.add(key)
+    n_toxic, n_clean = (sum(c[k] for key, c in counts.items() if key[0] == 0) for k in (0, 1))
+    prior, odds, clean = 0.01 * n_toxic, {}, []
+    for key, (t, c, texts) in counts.items():
+        a = (t + c) * prior / (n_toxic + n_clean) + 0.01
+        o = math.log((t + a) / (n_toxic + prior)) - math.log((c + a) / (n_clean + prior))
+        if o / math.sqrt(1 / (t + a) + 1 / (c + a)) >= least_z and texts >= least_texts:
+            odds[key] = o
+            clean.append(c)
+    steps = np.array([*odds.values(), 0.0]) - toxicity.DRIFT
+    shares = np.array([c + 0.5 for c in clean] + [max(1.0, n_clean - sum(clean))])
+    shares = shares / shares.sum()
+    lo, hi = 0.0, 64.0
+    while (shares * np.exp(np.minimum(hi * steps, 600))).sum() < 1 and hi < 64:
+        hi *= 2
+    for _ in range(200):
+        mid = (lo + hi) / 2
+        lo, hi = (mid, hi) if (shares * np.exp(np.minimum(mid * steps, 600))).sum() < 1 else (lo, mid)
+    return odds, hi, steps, shares
+
+
+def plain_evidence(text, odds, decay, factor):
+    words = plain_tokens(text)
+    s = [odds.get((0, w), 0) or odds.get((1, w[: toxicity.STEM]), 0) for w, _, _ in words]
+    total = np.append(0.0, np.cumsum(np.array(s) - toxicity.DRIFT))
+
+    def best(lo, hi):
+        spans = [(total[b] - total[a], -(b - a), a, b) for a in range(lo, hi) for b in range(a + 1, hi + 1)]
+        if not spans or max(spans)[0] <= 0:
+            return []
+        v, _, a, b = max(spans)
+        return best(lo, a) + [v] + best(b, hi)
+
+    chance = math.log(max(1.0, factor * len(s))) if s else 0.0
+    return sum(decay * v - chance for v in best(0, len(s)) if decay * v > chance)
+
+
+def test_toxicity_equals_brute_force(spark):
+    rng = random.Random(11)
+    bad, fine = ["vile", "scum", "filthy", "rotten", "füßen"], [f"w{k}" for k in range(60)] + ["ünder", "fine"]
+    texts = []
+    for i in range(260):
+        words = [rng.choice(fine) for _ in range(rng.randint(3, 40))]
+        if i % 3 == 0:
+            at = rng.randrange(len(words))
+            words[at:at] = [rng.choice(bad) + ("" if rng.random() < 0.7 else "er") for _ in range(rng.randint(1, 6))]
+        texts.append(" ".join(w.upper() if rng.random() < 0.1 and w.isascii() else w for w in words))
+    texts += ["", None, "vile " * 30]
+    docs = frame(spark, texts)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(260)], "doc_id long, quality int, toxic int")
+    part = {i: zlib.crc32(str(i).encode()) % 5 for i in range(len(texts))}
+    known = [i for i in range(260) if part[i]]
+    fit = lambda some: plain_toxicity([(texts[i], i % 3 == 0) for i in some])
+    odds, decay, steps, shares = fit(known)
+    model = toxicity.train(spark, docs, labels, least_z=2.0)
+    assert len(odds) > 3 and sorted(model.odds) == pytest.approx(sorted(odds.values())) and model.decay == pytest.approx(decay)
+    factor = model.factor
+    assert 0 < factor < 10
+    outside = {}
+    for k in range(1, 5):
+        o, d, *_ = fit([i for i in known if part[i] != k])
+        f = toxicity.fitted(spark.createDataFrame(*rates_of([(texts[i], i % 3 == 0) for i in known if part[i] != k])), 2.0, 4).factor
+        outside |= {i: plain_evidence(texts[i], o, d, f) for i in known if part[i] == k}
+    x, y = np.log1p(np.round([outside[i] for i in known], 2)), np.array([i % 3 == 0 for i in known], float)
+    a, b = toxicity.logistic(x, y, np.ones(len(x)))
+    for r in toxicity.score(spark, docs, labels, least_z=2.0).collect():
+        want = plain_evidence(texts[r["doc_id"]], odds, decay, factor)
+        assert r["evidence"] == pytest.approx(want, abs=1e-6)
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-(a + b * math.log1p(want)))), abs=2e-2)
+    # K by definition: chances of the best of drawn sequences
+    total = np.cumsum(steps[np.minimum(np.searchsorted(np.cumsum(shares), np.random.default_rng(1).random((32, 32768))), len(steps) - 1)], axis=1)
+    top = np.array([max(0.0, (t - np.minimum.accumulate(np.append(0.0, t))[:-1]).max()) for t in total])
+    assert factor == pytest.approx(32 / (32768 * np.exp(-decay * top).sum()), rel=0.6)
+
+
+def rates_of(rows):
+    counts = {}
+    for text, toxic in rows:
+        seen = set()
+        for word, _, _ in plain_tokens(text):
+            for key in ((0, word), (1, word[: toxicity.STEM])):
+                c = counts.setdefault(key, [0, 0, 0])
+                c[0 if toxic else 1] += 1
+                if toxic and key not in seen:
+                    c[2] += 1
+                    seen.add(key)
+    return [(k, hash(w), *c) for (k, w), c in counts.items()], "kind long, token long, toxic long, clean long, texts long"
