@@ -167,6 +167,50 @@ def test_benchmarks_and_review_of_outputs(spark, here):
     assert card["human_review"] == {"total": 1, "reviewed": 1, "pending": 0, "mean_fluency": 4.0, "mean_correctness": 2.0}
 
 
+class Rule:
+    """A tokenizer of white-space words with a vocabulary of its own."""
+
+    end = "</s>"
+
+    def __init__(self, known):
+        self.known = known
+
+    def tokens(self, text):
+        return F.split(text, " ")
+
+    def vocabulary(self, spark):
+        return spark.createDataFrame(list(enumerate(self.known)), "id int, token string").select("token", "id")
+
+
+def test_tokens_are_counted_and_packed(spark, here):
+    project = project_file(here, stages=["ingest", "clean", "tokenizer", "pretrain", "convdata", "finetune"], tokenizer={"added_tokens": 2}, pretrain={"max_steps": 1, "seq_len": 64})
+    Run(spark, project, tokenizers={"base": Rule(["a", "b"]), "trained": Rule(["c", "a", "d", "e"])}).stages()
+    card = lambda stage: json.loads((here / f"work/artifacts/{stage}/{stage}_card.json").read_text())
+    assert card("tokenizer") | {"fertility": 0} == {"strategy": "extend", "requested_added_tokens": 2, "sample_docs": 2, "fertility": 0, "base_vocab_size": 2, "tokens_added": 2, "final_vocab_size": 4}
+    longer = {r["token"]: r["id"] for r in spark.read.parquet(str(here / "work/artifacts/tokenizer/vocabulary")).collect()}
+    assert longer == {"a": 0, "b": 1, "c": 2, "d": 3} and card("tokenizer")["fertility"]["base"] == 1
+    blocks = spark.read.parquet(str(here / "work/artifacts/pretrain/blocks")).collect()
+    assert card("pretrain")["blocks"] == len(blocks) == 1 and len(blocks[0]["tokens"]) == 64 and card("pretrain")["seq_len"] == 64
+    texts = [r["text"] for r in spark.read.json(str(here / "work/artifacts/finetune/texts")).collect()]
+    assert card("finetune")["examples"] == len(texts) == 1 and texts[0].startswith("<|im_start|>user\nhello<|im_end|>")
+
+
+def test_benchmark_rows_of_a_hub(spark, here):
+    class Hub:
+        def names(self, path):
+            return ["mde_Latn", "eng_Latn"]
+
+        def __call__(self, spark, path, name, split):
+            if "belebele" in path:
+                return spark.createDataFrame([("p", "q", "1", "a long one", "b", "c", "d")], "flores_passage string, question string, correct_answer_num string, mc_answer1 string, mc_answer2 string, mc_answer3 string, mc_answer4 string")
+            return spark.createDataFrame([(i, f"{name} {split} {i}") for i in range(2)], "id long, text string")
+
+    project = project_file(here, evaluate={"benchmarks": ["belebele", "flores"], "limit": 5}, stages=["evaluate"])
+    Run(spark, project, "token", fetch={"hub": Hub()}, scorers={"adapted": Echo()}).stages()
+    got = json.loads((here / "work/artifacts/evaluate/report_card.json").read_text())
+    assert got["results"]["belebele"]["adapted"]["value"] == 1.0 and got["results"]["flores"]["adapted"]["n"] == 2 and got["coverage"]["flores"]["available"]
+
+
 def test_reviews_of_pairs_are_kept(spark, here):
     sets = [{"repo": str(here / "pairs.jsonl")}]
     go = lambda: Run(spark, project_file(here, convdata={"native_sets": sets, "review": True}, stages=["convdata"])).stages(force_from="convdata")

@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
 
 
 def _run(args) -> int:
+    from weft.functions import langid
     from weft.plans.project import Run
     from weft.session import session
 
@@ -62,7 +63,10 @@ def _run(args) -> int:
     chosen = (args.only or None) if args.command == "run" else [args.command]
     again = getattr(args, "force_from", None) or ((chosen or project.selected)[0] if args.force else None)
     token = os.environ.get("HF_TOKEN") or os.environ.get("HUGGING_FACE_HUB_TOKEN")
-    for stage, status in Run(session(f"weft-{project.name}"), project, token).stages(chosen, again).items():
+    backend = project.clean.lang_id
+    model = langid.opened(os.environ.get("WEFT_LANGID_MODEL")) if backend != "none" else None
+    run = Run(session(f"weft-{project.name}"), project, token, identifiers={backend: model} if model else {})
+    for stage, status in run.stages(chosen, again).items():
         print(f"{stage}\t{status}")
     return 0
 

@@ -16,12 +16,17 @@ from weft.operators import benchmarks, chat, clean, evaluation, licensing, token
 from weft.plans import manifest as M
 from weft.plans.corpus import clean_corpus
 from weft.plans.profiles import Project, Source, language, profile
+from weft.sources import remote
 from weft.sources.files import read_shards, write_shards
 from weft.sources.registry import CONNECTORS, SourceUnavailable
 
 PROVENANCE = "source string, license string, url string"
 #: Benchmarks that any language can have, and those that need a configuration of its code.
 ALWAYS, CODED = ("native_cloze", "perplexity"), ("belebele", "global_mmlu", "flores")
+# The data sets of benchmarks.
+BENCHMARK_SETS = {"belebele": "facebook/belebele", "global_mmlu": "CohereForAI/Global-MMLU", "flores": remote.FLORES}
+#: How many documents tell how well a tokenizer fits a language.
+FERTILITY_DOCS = 2000
 # Short names of hub sets of instructions, with their fields.
 HUB_SETS = {"dolly": ("databricks/databricks-dolly-15k", "instruction", "response"), "alpaca": ("tatsu-lab/alpaca", "instruction", "output"), "oasst1": ("OpenAssistant/oasst1", None, None)}
 #: How many documents of the cleaned corpus synthetic pairs are about.
@@ -48,7 +53,8 @@ class Run:
     ``configs`` (benchmark, code, gated) are the configurations there are. ``identifiers`` by language-ID backend,
     ``translators`` (text, language name) and ``teachers`` (like ``chat.mock_pairs``) by backend or provider,
     ``scorers`` (base, adapted, judge; see ``operators.benchmarks``) and ``items`` of benchmarks do the work of
-    models. A project that asks for what isn't here gets a note in its card.
+    models; ``tokenizers`` (base, trained; see ``functions.tokenizers``) count and pack tokens. A project that asks
+    for what isn't here gets a note in its card.
     """
 
     spark: SparkSession
@@ -61,6 +67,7 @@ class Run:
     identifiers: dict[str, object] = field(default_factory=dict)
     scorers: dict[str, object] = field(default_factory=dict)
     items: dict[str, object] = field(default_factory=dict)
+    tokenizers: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
         self.manifest = M.Manifest.load(self.project.folder / ".weft" / "manifest.json")
@@ -145,6 +152,59 @@ class Run:
         write_card(self.at("clean", "data_card.json"), card)
         return [str(out)], {k: card[k] for k in ("docs_in", "docs_out", "tokens_out")}
 
+    def _tokenizer(self):
+        """How many tokens a word takes with the base tokenizer, and which tokens of a trained one it lacks; nothing is trained here."""
+        cfg, docs, base, trained = self.project.tokenizer, self._corpus("clean"), self.tokenizers.get("base"), self.tokenizers.get("trained")
+        if base is None or docs is None:
+            return self._planned("tokenizer")
+        sample = clean.stored(self.spark, docs.filter("text <> ''").orderBy("doc_id").limit(FERTILITY_DOCS), "sample")
+        card = {"strategy": cfg.strategy, "requested_added_tokens": cfg.added_tokens, "sample_docs": sample.count(), "fertility": {"base": tokens.fertility(sample, base).first()["fertility"]}}
+        vocabulary, outputs = base.vocabulary(self.spark), []
+        card |= {"base_vocab_size": vocabulary.count(), "tokens_added": 0}
+        card["final_vocab_size"] = card["base_vocab_size"]
+        if trained is not None and cfg.strategy != "none":
+            card["fertility"]["trained"] = tokens.fertility(sample, trained).first()["fertility"]
+            novel = tokens.novel_tokens(trained.vocabulary(self.spark), vocabulary, cfg.added_tokens)
+            longer = tokens.extension(vocabulary, novel) if cfg.strategy == "extend" else trained.vocabulary(self.spark)
+            outputs = [str(self.at("tokenizer", "vocabulary"))]
+            longer.write.mode("overwrite").parquet(outputs[0])
+            card |= {"final_vocab_size": longer.count(), "tokens_added": novel.count() if cfg.strategy == "extend" else 0}
+        write_card(self.at("tokenizer", "tokenizer_card.json"), card)
+        return [str(self.at("tokenizer", "tokenizer_card.json")), *outputs], {"fertility": card["fertility"]["base"], "tokens_added": card["tokens_added"]}
+
+    def _pretrain(self):
+        """Blocks of tokens that a trainer would read, as Parquet; training itself is only planned."""
+        docs, cfg, compute = self._corpus("clean"), self.project.pretrain, profile("compute", self.project.compute)
+        outputs, metrics = self._planned("pretrain")
+        if docs is None:
+            return outputs, metrics
+        tokenizer = self.tokenizers.get("base")
+        wanted = min(cfg.seq_len, compute.max_seq_len_cap or cfg.seq_len)
+        length = tokens.fitting_length(tokens.token_total(docs, tokenizer), wanted)
+        if length is None:
+            return outputs, metrics | {"blocks": 0}
+        most = tokens.block_budget(cfg.max_steps, compute.per_device_batch_size, compute.gradient_accumulation_steps) if cfg.max_steps else None
+        out = str(self.at("pretrain", "blocks"))
+        tokens.packed(self.spark, docs, length, most, tokenizer).write.mode("overwrite").parquet(out)
+        n = self.spark.read.parquet(out).count()
+        path = self.at("pretrain", "pretrain_card.json")
+        write_card(path, json.loads(path.read_text()) | {"status": "packed, not trained", "seq_len": length, "blocks": n, "max_blocks": most, "tokens": n * length})
+        return [*outputs, out], {"status": "packed", "blocks": n}
+
+    def _finetune(self):
+        """Accepted pairs as the chat text that a trainer would read; training itself is only planned."""
+        outputs, metrics = self._planned("finetune")
+        path = self.at("convdata", "accepted")
+        rows = self.spark.read.json(str(path)) if path.exists() else None
+        if rows is None or "messages" not in rows.columns:
+            return outputs, metrics | {"examples": 0}
+        out = self.at("finetune", "texts")
+        write_lines(rows.select(chat.chatml("messages").alias("text")), out)
+        n = rows.count()
+        card = self.at("finetune", "finetune_card.json")
+        write_card(card, json.loads(card.read_text()) | {"status": "formatted, not trained", "examples": n})
+        return [*outputs, str(out)], {"status": "formatted", "examples": n}
+
     def _translated(self, skipped: dict) -> list[DataFrame]:
         """Pairs of the instruction files to translate; ``skipped`` says why some give none."""
         cfg, name, parts = self.project.convdata, language(self.project.language).display_name, []
@@ -231,10 +291,14 @@ class Run:
         spoken, out = language(self.project.language), {}
         codes = spoken.benchmark_codes()
         wanted = [b for b in self.project.evaluate.benchmarks if b in CODED]
-        told = {}
-        if wanted and self.configs is not None:
+        told, configs = {}, self.configs
+        names = getattr(self.fetch.get("hub"), "names", None)
+        if wanted and configs is None and names:
+            known = [(b, c, benchmarks.benchmark(b).gated) for b in wanted for c in names(BENCHMARK_SETS[b])]
+            configs = self.spark.createDataFrame(known, "benchmark string, code string, gated boolean")
+        if wanted and configs is not None:
             asked = self.spark.createDataFrame([(spoken.name, b, codes[b]) for b in wanted], "language string, benchmark string, code string")
-            told = {r["benchmark"]: r["reason"] for r in evaluation.coverage(asked, self.configs).collect()}
+            told = {r["benchmark"]: r["reason"] for r in evaluation.coverage(asked, configs).collect()}
             if self.token:
                 told = {b: "covered" if why == "gated" else why for b, why in told.items()}
         for b in self.project.evaluate.benchmarks:
@@ -257,10 +321,24 @@ class Run:
         rows = self.spark.read.json(str(path))
         return rows.select(F.monotonically_increasing_id().alias("id"), "instruction").filter("instruction <> ''") if "instruction" in rows.columns else None
 
+    def _items(self, name: str):
+        """Rows of a benchmark: those given, else those of its data set in the language's code."""
+        if name in self.items or name not in CODED or "hub" not in self.fetch:
+            return self.items.get(name)
+        code = language(self.project.language).benchmark_codes()[name]
+        rows = lambda split, c=code: self.fetch["hub"](self.spark, path=BENCHMARK_SETS[name], name=c, split=split)
+        if name == "flores":
+            return tuple(tuple(rows(split, c).select("id", "text") for c in ("eng_Latn", code)) for split in ("dev", "devtest"))
+        place = F.monotonically_increasing_id().alias("id")
+        if name == "belebele":
+            answers = [F.col(f"mc_answer{i}").alias(f"answer{i}") for i in range(1, 5)]
+            return rows("test").select(place, F.col("flores_passage").alias("passage"), "question", F.col("correct_answer_num").alias("number"), *answers)
+        return rows("test").select(place, "question", "answer", *(f"option_{x}" for x in "abcd"))
+
     def _scored(self, name: str, scorer) -> dict | None:
         """value, n, lo and hi of one model, or None where what it needs isn't here."""
         limit, spoken = self.project.evaluate.limit, language(self.project.language).display_name
-        docs, items = self._corpus("clean"), self.items.get(name)
+        docs, items = self._corpus("clean"), self._items(name)
         if name == "native_cloze" and docs is not None:
             got = benchmarks.cloze(scorer, docs, limit)
         elif name == "perplexity" and docs is not None:
