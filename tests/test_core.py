@@ -93,6 +93,8 @@ def test_similar_pairs_equal_brute_force(spark):
     want = {(a, b): len(x & y) / len(x | y) for a, x in sets.items() for b, y in sets.items() if a < b and len(x & y) / len(x | y) >= 0.85}
     got = {(r["a"], r["b"]): r["jaccard"] for r in similarity.similar_pairs(spark, similarity.word_sets(df)).collect()}
     assert got == pytest.approx(want)
+    distinct = docs(spark, texts)
+    assert {r[0] for r in rows(similarity.near_drops(spark, similarity.word_sets(distinct)), "doc_id")} == plain_greedy(set(want))
 
 
 def test_buckets(spark):

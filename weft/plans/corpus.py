@@ -22,8 +22,7 @@ def clean_corpus(spark: SparkSession, docs: DataFrame, out: str, near: bool = Fa
     rows = clean.with_duplicates(spark, rows) if exact or near else rows
     rows = stored(spark, rows.select("doc_id", "text", "source", "reason"), "decided")
     if near:
-        pairs = similarity.similar_pairs(spark, similarity.word_sets(rows.filter("reason is null")))
-        gone = similarity.greedy_drops(spark, pairs).withColumn("gone", F.lit(True))
+        gone = similarity.near_drops(spark, similarity.word_sets(rows.filter("reason is null"))).withColumn("gone", F.lit(True))
         rows = rows.join(gone, "doc_id", "left").withColumn("reason", F.coalesce("reason", F.when(F.col("gone"), F.lit("duplicate")))).drop("gone")
     kept = rows.filter("reason is null")
     kept = clean.scrubbed(kept) if scrub else kept.withColumns({c: F.lit(0) for c in ("n_email", "n_url", "n_num")})

@@ -160,8 +160,7 @@ def near_dup_pairs(spark, d):
  select unnest(dropped) as doc_id from (select dropped from walk order by i desc limit 1)"""
 )
 def near_dedup_greedy(spark, d):
-    sets = similarity.word_sets(clean.cleaned(spark, _docs(spark, d)))
-    return similarity.greedy_drops(spark, similarity.similar_pairs(spark, sets))
+    return similarity.near_drops(spark, similarity.word_sets(clean.cleaned(spark, _docs(spark, d))))
 
 
 @query()

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weft.sources.needs import need
+
 DOCUMENT = "text string, source string, meta map<string,string>"
 #: File endings of each reader; other files are left out.
 KINDS = {"text": ("txt", "md"), "json": ("jsonl", "jsonl.gz"), "html": ("html", "htm"), "pdf": ("pdf",)}
@@ -79,9 +81,7 @@ def pdf_text(data: bytes) -> str:
     """Texts of the pages that have any, a blank line between them."""
     import io
 
-    import pypdf
-
-    pages = (page.extract_text() or "" for page in pypdf.PdfReader(io.BytesIO(data)).pages)
+    pages = (page.extract_text() or "" for page in need("pypdf").PdfReader(io.BytesIO(data)).pages)
     return "\n\n".join(p.strip() for p in pages if p.strip())
 
 

@@ -14,20 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from weft.sources import remote
 from weft.sources.files import read_local
-
-
-class SourceUnavailable(RuntimeError):
-    """The source needs a network or a library that is not there."""
-
-
-def need(module: str):
-    """A library that a source can't do without."""
-    import importlib
-
-    try:
-        return importlib.import_module(module)
-    except ImportError as why:
-        raise SourceUnavailable(f"{module} is not installed") from why
+from weft.sources.needs import SourceUnavailable, need  # noqa: F401
 
 
 @dataclass(frozen=True)
