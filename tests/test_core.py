@@ -270,10 +270,10 @@ def test_tokenizer_files(spark, file, end):
     assert longer.filter("token = 'zzqq'").first()["id"] == base.agg(F.max("id")).first()[0] + 1
 
 
-@pytest.mark.parametrize("name", ["moses_zip", "output_review_merge", "quality_reasons", "exact_dedup", "clean_data_card", "near_dup_pairs", "pair_dedup", "token_packing", "chrf", "license_resolution"])
+@pytest.mark.parametrize("name", ["benchmark_choices", "vocabulary_extension", "hub_documents", "near_dedup_greedy", "moses_zip", "output_review_merge", "quality_reasons", "exact_dedup", "clean_data_card", "near_dup_pairs", "pair_dedup", "token_packing", "chrf", "license_resolution"])
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "pages"):
         con.execute(f"create view {t} as select * from read_parquet('{DATA}/{t}.parquet')")
     want = con.execute(queries.SQL[name]).df()
     got = queries.QUERIES[name](spark, DATA).toPandas()[list(want.columns)]

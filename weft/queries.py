@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from weft.functions import langid
 from weft.functions import text as X
 from weft.functions.tokenizers import FileTokenizer
-from weft.operators import chat, clean, evaluation, licensing, similarity, tokens
+from weft.operators import benchmarks, chat, clean, evaluation, licensing, similarity, tokens
+from weft.sources import remote
 from weft.sources.files import moses_pairs, smol_target
 from weft.storage import spread, table
 
@@ -491,6 +492,45 @@ def choice_verdicts(spark, d):
     return evaluation.verdicts(s, s.select(F.col("item").alias("id")).distinct().withColumn("gold", F.col("id") % 4))
 
 
+class _LengthScorer:
+    """A stand-in for a model: what it says follows from lengths, so SQL can say the same."""
+
+    def continuations(self, rows):
+        c = F.col("continuation")
+        return rows.withColumns({"logprob": -(F.length(c) * 1.0 + F.length("prompt") % 5), "n_tokens": F.size(X.blank_words(c)).cast("long")})
+
+
+@query(
+    rf"""with o as (select doc_id as id, lang || ':' as prompt, unnest([lang, source || ' ' || lang, '', coalesce(text, '')]) as option, unnest([0, 1, 2, 3]) as idx, doc_id % 4 as gold from documents where lang is not null and source is not null),
+ c as (select *, ' ' || regexp_replace(option, '^\s+|\s+$', '', 'g') as k from o),
+ r as (select id, gold, idx, case when len({WS % 'k'}) > 0 then -(length(k)::double + length(prompt) % 5) / len({WS % 'k'}) else '-infinity'::double end as score from c)
+ select id, arg_max(idx, (score, -idx)) = any_value(gold) as correct from r group by id"""
+)
+def benchmark_choices(spark, d):
+    none = F.coalesce("text", F.lit(""))
+    options = F.array("lang", F.concat("source", F.lit(" "), "lang"), F.lit(""), none)
+    items = _docs(spark, d).filter("lang is not null and source is not null").select(F.col("doc_id").alias("id"), F.concat("lang", F.lit(":")).alias("prompt"), options.alias("options"), (F.col("doc_id") % 4).alias("gold"))
+    return benchmarks.choices(_LengthScorer(), items)
+
+
+@query(
+    f"""with {NORM}, w as (select lang, unnest({WS % 't'}) as token from norm), base as (select token, row_number() over (order by token) - 1 as id from (select distinct token from w where lang = 'en')),
+ novel as (select token from (select distinct token from w where lang = 'de' and token not in (select token from base)) order by token limit 100)
+ select token, id from base union all select token, row_number() over (order by token) - 1 + (select count(*) from base) from novel"""
+)
+def vocabulary_extension(spark, d):
+    docs = clean.normalized(_docs(spark, d))
+    words = tokens.vocabulary(docs.filter("lang = 'en'"))
+    base = clean.running_total(spark, words.withColumn("one", F.lit(1)), "token", "one", "id").select("token", "id")
+    return tokens.extension(base, tokens.novel_tokens(tokens.vocabulary(docs.filter("lang = 'de'")), base, 100))
+
+
+@query("select html as text, 'fineweb2' as source, url from pages where html <> ''")
+def hub_documents(spark, d):
+    rows = table(spark, d, "pages").select(F.col("html").alias("text"), "url")
+    return remote.hub_documents(rows, "fineweb2", {}).select("text", "source", F.try_element_at("meta", F.lit("url")).alias("url"))
+
+
 _TGT = "(1, 'one', array('a', 'b')), (2, '', array('c', 'd')), (3, null, array('e')), (4, null, cast(null as array<string>)), (5, '', cast(null as array<string>))"
 
 
