@@ -25,6 +25,8 @@ and text are read. Words are identified by 64-bit hashes.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.llm.common import bounded_batches, fold, stored
-from weft.llm.textbatch import Texts, U, lean, mix, slices, strings, trim
+from weft.llm.textbatch import Texts, U, lean, mix, slices, strings, tight_heap, trim
 
 ORDER = 5
 END, PAD, SYMBOLS = 256, 257, 257
@@ -41,7 +43,7 @@ BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
 #: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 12 << 20
 SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
@@ -51,7 +53,7 @@ PIECE_BYTES = 1 << 20
 #: Pages and row groups for large values: a page is looked at after every value.
 PAGES = {"parquet__page__size__row__check__min": "1", "parquet__page__size__check__estimate": "false", "parquet__block__size": str(16 << 20)}
 #: Counts of slices that are held before they are added up.
-HELD_CODES = 1_000_000
+HELD_CODES = 250_000
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
 END_WORD = 1
@@ -191,10 +193,22 @@ class Group:
         self.data.append(data.copy())
         self.held += len(data) + len(ids)
 
-    def rows(self, group: int, kind: pa.DataType) -> pa.RecordBatch:
+    def rows(self, group: int, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
         """Rows (group, shard, codes, n, part, size, sizes, ids): the texts in shard TEXTS, then counts, packed."""
+        names = ["group", "shard", "codes", "n", "part", "size", "sizes", "ids"]
+
+        def batch(out: list[tuple], size: list, sizes: list, ids: pa.Array) -> pa.RecordBatch:
+            columns = [pa.array([group] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array(np.arange(len(out)))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(size, pa.int64()), pa.array(sizes, pa.list_(pa.int64())), ids], names)
+
         data, sizes, learnt, base = np.concatenate(self.data), np.concatenate(self.sizes), np.concatenate(self.learnt), min(BASE, self.order)
         self.data = []
+        blob = pa.compress(pa.py_buffer(data), "zstd", asbytes=True)
+        pieces = [(TEXTS, blob[i : i + PIECE_BYTES], None) for i in range(0, len(blob), PIECE_BYTES)]
+        none = [None] * (len(pieces) - 1)
+        one = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(self.ids))
+        yield batch(pieces, [len(data), *none], [sizes, *none], pa.concat_arrays([one, pa.nulls(len(none), pa.list_(kind))]))
+        del blob, pieces
         parts, words, held = [], [], 0
         for row, to, t in slices(_column(data, sizes)):
             t, mine = t.lowered(), learnt[row:to]
@@ -206,14 +220,13 @@ class Group:
             held += len(unique)
             if held > HELD_CODES:
                 parts, words, held = [_tally(parts)], [_tally(words)] if words else [], 0
+        del data
         codes, n = _tally(parts)
         del parts
         shard, order = _by_shard(codes, base, self.shards)
         codes, n, shard = codes[order], n[order], shard[order]
         cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-        blob = pa.compress(pa.py_buffer(data), "zstd", asbytes=True)
-        out = [(TEXTS, blob[i : i + PIECE_BYTES], None) for i in range(0, len(blob), PIECE_BYTES)]
-        out += [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
+        out = [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
         seen = n > 0
         if base and seen.any():
             low, m = marginals(codes[seen], n[seen], base - 1)
@@ -221,11 +234,8 @@ class Group:
         if words:
             keys, m = _tally(words)
             out.append((WORD_COUNTS, _packed(keys), m.tobytes()))
-        none = [None] * (len(out) - 1)
-        one = pa.ListArray.from_arrays(pa.array([0, len(sizes)], pa.int32()), pa.concat_arrays(self.ids))
-        ids = pa.concat_arrays([one, pa.nulls(len(none), pa.list_(kind))])
-        columns = [pa.array([group] * len(out), pa.int64()), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary()), pa.array([x[2] for x in out], pa.binary()), pa.array(np.arange(len(out)))]
-        return pa.RecordBatch.from_arrays([*columns, pa.array([len(data), *none], pa.int64()), pa.array([sizes, *none], pa.list_(pa.int64())), ids], ["group", "shard", "codes", "n", "part", "size", "sizes", "ids"])
+        del codes, n, shard
+        yield batch(out, [None] * len(out), [None] * len(out), pa.nulls(len(out), pa.list_(kind)))
 
 
 def _column(data: np.ndarray, sizes: np.ndarray) -> pa.Array:
@@ -252,11 +262,11 @@ def group_counts(docs: DataFrame, order: int, shards: int, most: int) -> DataFra
                 if to > at:
                     group.add(b.column(0).slice(at, to - at), flags[at:to], b.column(2).slice(at, to - at))
                 if to < b.num_rows:
-                    yield group.rows(number, kind)
+                    yield from group.rows(number, kind)
                     number, group = number + 1, Group(order, shards)
                 at = to
         if group.ids:
-            yield group.rows(number, kind)
+            yield from group.rows(number, kind)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", learnt, "text").mapInArrow(run, f"group long, shard long, codes binary, n binary, part long, size long, sizes array<long>, ids array<{kind}>")
@@ -283,6 +293,7 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int)
     shared = spark.sparkContext.broadcast((low["key"].to_numpy(), low["n"].to_numpy()))
 
     def run(table: pa.Table) -> pa.Table:
+        tight_heap()
         parts = [(_unpacked(c.as_buffer()), np.frombuffer(n.as_buffer(), np.int64)) for c, n in zip(table["codes"], table["n"])]
         codes, n = _tally(parts)
         keys, counts = shared.value
@@ -321,6 +332,7 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rate(rows: pa.Table, rated: pa.Table) -> pa.Table:
+        tight_heap()
         keys, logs = shared.value
         rows = rows.sort_by("part")
         size, sizes, blob = rows["size"][0].as_py(), rows["sizes"][0].values.to_numpy(), b"".join(rows["codes"].to_pylist())

@@ -36,6 +36,7 @@ def lean(run: Callable) -> Callable:
 
     @wraps(run)
     def task(batches):
+        tight_heap()
         try:
             yield from run(batches)
         finally:
@@ -44,6 +45,12 @@ def lean(run: Callable) -> Callable:
     return task
 
 
+def tight_heap() -> None:
+    """From now on arrays of 8 MB or more are maps of their own, which go back to the system as soon as they are freed."""
+    if set_option := getattr(ctypes.CDLL(None), "mallopt", None):  # glibc has it; -3 is its M_MMAP_THRESHOLD
+        set_option(-3, 8 << 20)
+
+
 def trim() -> None:
     """Gives the freed memory of this process back to the system."""
     pa.default_memory_pool().release_unused()
