@@ -43,7 +43,7 @@ BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
 #: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
-GROUP_BYTES = 12 << 20
+GROUP_BYTES = 16 << 20
 SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
@@ -53,7 +53,7 @@ PIECE_BYTES = 1 << 20
 #: Pages and row groups for large values: a page is looked at after every value.
 PAGES = {"parquet__page__size__row__check__min": "1", "parquet__page__size__check__estimate": "false", "parquet__block__size": str(16 << 20)}
 #: Counts of slices that are held before they are added up.
-HELD_CODES = 250_000
+HELD_CODES = 500_000
 MOST_WORDS = 262_144
 #: The end token's hash; the hash of a word is never made for an empty span.
 END_WORD = 1
