@@ -43,7 +43,7 @@ BITS = 9
 #: Levels below this one are broadcast; the last BASE symbols of a context choose its shard.
 BASE = 3
 #: Neighbouring rows of so many bytes are a group (a longer text is one alone); a shard is made for so many bytes of text.
-GROUP_BYTES = 16 << 20
+GROUP_BYTES = 12 << 20
 SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
@@ -164,12 +164,22 @@ def marginals(codes: np.ndarray, n: np.ndarray, order: int) -> tuple[np.ndarray,
     return low[at], np.add.reduceat(n, at) if len(at) else n
 
 
+def _zipped(numbers: np.ndarray) -> bytes:
+    return len(numbers).to_bytes(8, "little") + pa.compress(pa.py_buffer(np.ascontiguousarray(numbers, np.int64)), "zstd", asbytes=True)
+
+
+def _unzipped(value: pa.Scalar) -> np.ndarray:
+    data = value.as_buffer()
+    size = 8 * int.from_bytes(data[:8].to_pybytes(), "little")
+    return np.frombuffer(pa.decompress(data[8:], size, "zstd"), np.int64) if size else np.zeros(0, np.int64)
+
+
 def _packed(codes: np.ndarray) -> bytes:
-    return np.diff(codes, prepend=np.int64(0)).tobytes()
+    return _zipped(np.diff(codes, prepend=np.int64(0)))
 
 
-def _unpacked(data) -> np.ndarray:
-    return np.cumsum(np.frombuffer(data, np.int64))
+def _unpacked(value: pa.Scalar) -> np.ndarray:
+    return np.cumsum(_unzipped(value))
 
 
 def _by_shard(codes: np.ndarray, base: int, shards: int) -> tuple[np.ndarray, np.ndarray]:
@@ -226,14 +236,14 @@ class Group:
         shard, order = _by_shard(codes, base, self.shards)
         codes, n, shard = codes[order], n[order], shard[order]
         cut = np.append(np.flatnonzero(np.append(True, shard[1:] != shard[:-1])), len(shard))
-        out = [(int(shard[a]), _packed(codes[a:z]), n[a:z].tobytes()) for a, z in zip(cut[:-1], cut[1:])]
+        out = [(int(shard[a]), _packed(codes[a:z]), _zipped(n[a:z])) for a, z in zip(cut[:-1], cut[1:])]
         seen = n > 0
         if base and seen.any():
             low, m = marginals(codes[seen], n[seen], base - 1)
-            out.append((LEVEL, _packed(low), m.tobytes()))
+            out.append((LEVEL, _packed(low), _zipped(m)))
         if words:
             keys, m = _tally(words)
-            out.append((WORD_COUNTS, _packed(keys), m.tobytes()))
+            out.append((WORD_COUNTS, _packed(keys), _zipped(m)))
         del codes, n, shard
         yield batch(out, [None] * len(out), [None] * len(out), pa.nulls(len(out), pa.list_(kind)))
 
@@ -279,7 +289,7 @@ def unpacked(packed: DataFrame) -> DataFrame:
     def run(batches):
         for b in batches:
             for codes, n in zip(b.column(0), b.column(1)):
-                keys, m = _unpacked(codes.as_buffer()), np.frombuffer(n.as_buffer(), np.int64)
+                keys, m = _unpacked(codes), _unzipped(n)
                 for i in range(0, len(keys), 100_000):
                     yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 100_000]), pa.array(m[i : i + 100_000])], ["key", "n"])
 
@@ -294,7 +304,7 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int)
 
     def run(table: pa.Table) -> pa.Table:
         tight_heap()
-        parts = [(_unpacked(c.as_buffer()), np.frombuffer(n.as_buffer(), np.int64)) for c, n in zip(table["codes"], table["n"])]
+        parts = [(_unpacked(c), _unzipped(n)) for c, n in zip(table["codes"], table["n"])]
         codes, n = _tally(parts)
         keys, counts = shared.value
         below = [marginals(keys, counts, k) for k in range(base)]
