@@ -205,7 +205,7 @@ def _scan_large(spark: SparkSession, docs: DataFrame, rows: DataFrame) -> DataFr
     """As ``_scan_small`` for a benchmark of any size: windows that pass the bitmap meet the items' by a join."""
     rows = stored(spark, rows, "items")
     bit = F.pmod(F.col("h"), F.lit(MAP_BITS))
-    words = rows.select(F.shiftright(bit, 6).alias("w"), F.shiftleft(F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
+    words = rows.select(F.shiftright(bit, 6).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("b")).groupBy("w").agg(F.bit_or("b").alias("b"))
     bits = np.zeros(MAP_BITS // 64, np.int64)
     for part in words.toLocalIterator():  # at most MAP_BITS / 64 rows, put into an array of fixed size one by one
         bits[part["w"]] = part["b"]

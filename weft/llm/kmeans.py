@@ -55,7 +55,7 @@ def starting(rows: DataFrame, k: int = K, seed: int = SEED) -> np.ndarray:
     """The k vectors of the smallest hashed ids, ties by components; k rows reach the driver."""
     h = F.sha2(F.concat(F.lit(f"{seed}:"), F.col("vec_id").cast("string")), 256)
     first = rows.select(h.alias("h"), "x").orderBy(F.col("h").asc_nulls_last(), "x").limit(k).collect()
-    return np.array([r["x"] for r in first], np.int64).reshape(len(first), -1)
+    return np.array([r["x"] for r in first], np.int64)
 
 
 def squared(x: np.ndarray, y: np.ndarray) -> np.ndarray:
