@@ -1,5 +1,6 @@
 """Profiles, a project's run over its folder, and the command line."""
 
+import gzip
 import json
 import math
 
@@ -8,11 +9,13 @@ import yaml
 
 from pyspark.sql import functions as F
 
+from weft import uris
 from weft.__main__ import main
 from weft.functions import langid
 from weft.operators.licensing import LicenseError
 from weft.plans import profiles as P
 from weft.plans.project import Run
+from weft.sources import planned, registry
 from tests.test_core import GOOD
 
 
@@ -238,3 +241,81 @@ def test_hub_sets_and_catalogue(spark, here):
     native = P.language("nepali").instruction_sources
     assert [(n.select_value, n.limit) for n in native] == [("npi", 5000)] and not P.language("welsh").instruction_sources
     assert sum(bool(P.language(x).instruction_sources) for x in P.slugs("language") if x != "made") == 16
+
+
+def test_a_project_by_uri(spark, here, monkeypatch):
+    uri = f"file://{here}/far away"
+    project = project_file(here, workdir=uri)
+    monkeypatch.chdir(here)
+    assert set(Run(spark, project).stages().values()) == {"ran"} and set(Run(spark, project).stages().values()) == {"skipped"}
+    assert json.loads((here / "far away/artifacts/clean/data_card.json").read_text())["docs_out"] == 2
+    manifest = json.loads((here / "far away/.weft/manifest.json").read_text())
+    assert all(out.startswith(uri) for stage in manifest["stages"].values() for out in stage["outputs"])
+    assert sorted(p.name for p in here.iterdir()) == ["configs", "far away", "in", "p.yaml", "pairs.jsonl"]
+
+
+def test_a_folder_of_one_machine_is_refused_on_a_cluster(spark, here):
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+    assert uris.located(Cluster, "hdfs://name/x/") == "hdfs://name/x"
+    with pytest.raises(ValueError, match="share"):
+        uris.located(Cluster, "/data/x")
+
+
+def with_sources(here, sources, **ingest):
+    """A project of these sources that only ingests."""
+    project_file(here, ingest={"sources": [s["connector"] for s in sources], **ingest}, stages=["ingest"])
+    spoken = {"display_name": "Made", "iso639_3": "mde", "scripts": ["Latin"], "sources": sources}
+    (here / "configs/languages/made.yaml").write_text(yaml.safe_dump(spoken))
+    return P.load_project(here / "p.yaml")
+
+
+def test_a_failing_source_leaves_the_others(spark, here):
+    params = {"wikipedia": {"wiki": "cy"}, "glot500": {"glot": "x"}, "culturax": {"lang": "cy"}, "fineweb2": {"lang_script": "x"}, "commoncrawl": {"url_pattern": "a/*", "crawl": "C"}, "local": {"path": str(here / "in")}}
+    project = with_sources(here, [{"connector": c, "params": p} for c, p in params.items()])
+
+    def in_a_task(spark, **where):
+        @F.udf("string")
+        def fail(x):
+            raise LookupError("this row can't be read")
+
+        return spark.range(5).select(fail(F.col("id").cast("string")).alias("text"))
+
+    def in_planning(spark, **where):
+        raise LookupError("no such set")
+
+    fetch = {"wikipedia": lambda spark, **where: spark.createDataFrame([("a page of an encyclopedia",), ("another",)], "text string"), "glot500": in_planning, "fineweb2": in_a_task, "commoncrawl": lambda *_: (403, b"")}
+    Run(spark, project, fetch=fetch).stages()
+    card = json.loads((here / "work/artifacts/ingest/ingest_card.json").read_text())
+    assert card["mono_docs"] == 6 and {k: v["docs"] for k, v in card["per_source"].items()} == {"wikipedia": 2, "local": 4} and not card["budget_hit"]
+    told = {r["source"]: (r["n_docs"], r["notes"]) for r in json.loads((here / "work/.weft/manifest.json").read_text())["provenance"]}
+    assert told["wikipedia"] == (2, None) and told["local"] == (4, None) and told["glot500"] == (0, "failed: LookupError: no such set")
+    assert told["culturax"][1].startswith("gated: ") and "this row can't be read" in told["fineweb2"][1] and "1 requests failed" in told["commoncrawl"][1]
+    ids = [int(json.loads(x)["meta"]["doc_id"]) for p in (here / "work/artifacts/ingest/corpus").glob("*.gz") for x in gzip.open(p, "rt")]
+    assert sorted(ids) == list(range(6))
+
+
+def test_a_full_budget_ends_all_sources_and_opens_no_more_files(spark, here, monkeypatch):
+    monkeypatch.setattr(planned.Waves.__init__, "__defaults__", (100,))
+    many = here / "many"
+    many.mkdir()
+    for i in range(8):
+        (many / f"{i}.txt").write_text(f"text {i} " * 100)
+    (many / "9.jsonl.gz").write_bytes(b"no gzip at all" * 200)  # whoever opens it fails
+    asked = []
+
+    def later(*_, **__):
+        asked.append(1)
+        raise AssertionError("asked for after the budget was full")
+
+    project = with_sources(here, [{"connector": "local", "params": {"path": str(many)}}, {"connector": "opus", "params": {"src": "cy"}}, {"connector": "wikipedia", "params": {"wiki": "cy"}}], max_gb=1500e-9)
+    opened = []
+    monkeypatch.setattr(registry, "read_local", lambda spark, path, *a, read=registry.read_local: opened.append(path) or read(spark, path, *a))
+    Run(spark, project, fetch={"opus": later, "wikipedia": later}).stages()
+    card = json.loads((here / "work/artifacts/ingest/ingest_card.json").read_text())
+    # 700 bytes a text: the third reaches the budget, as in an order of paths
+    assert card["budget_hit"] and card["mono_docs"] == 3 and card["mono_bytes"] == 2100 and card["parallel_docs"] == 0 and not asked
+    assert sum(map(len, opened)) <= 4 and not any("9.jsonl" in p for paths in opened for p in paths)
+    assert [r["source"] for r in json.loads((here / "work/.weft/manifest.json").read_text())["provenance"]] == ["local"]

@@ -10,6 +10,7 @@ import pytest
 from weft.sources import remote
 from weft.sources.records import first_payload
 from weft.sources.registry import connector
+from weft.sources import planned
 
 
 def found(df):
@@ -102,8 +103,34 @@ def test_crawl(spark):
     docs = lambda n=None, **p: sorted(found(connector("commoncrawl").documents(spark, {"url_patterns": ["a/*", "b/*"]} | p, n, fetch=get)), key=str)
     assert docs() == [("page four", {"url": "http://x/4", "crawl": "CC-NEW"}), ("page one", {"url": "http://x/1", "crawl": "CC-NEW"}), ("page zero", {"url": "http://x/0", "crawl": "CC-NEW"})]
     assert [t for t, _ in docs(limit=1)] == ["page zero"] and [t for t, _ in docs(2)] == ["page one", "page zero"]
-    with pytest.raises(RuntimeError):
-        remote.index_rows(lambda *_: (503, b""), "c", "p", 1, 0)
+    # an index that stays busy is asked again, then the pattern is a row with an error
+    asked = []
+    (row,) = remote.index_rows(lambda *_: asked.append(1) or (503, b""), "c", 3, "p", 1, (0, 0))
+    assert len(asked) == 3 and row["i"] == 3 and "status 503" in row["error"]
+    asked.clear()
+    assert remote.index_rows(lambda *_: asked.append(1) or (404, b""), "c", 0, "p", 1) == [] and len(asked) == 1
+    assert remote.answer(lambda *_: (200, b"busy"), "u", waits=(0,), good=lambda b: b.startswith(b"{")) == (b"", "the answer can't be read")
+
+
+def test_a_failing_request_ends_nothing_else(spark):
+    html = packed(b"<p>page")
+    line = json.dumps({"url": "http://x", "filename": "f.warc.gz", "offset": "0", "length": str(len(html))})
+    broken = line.replace("f.warc", "gone.warc")
+
+    def get(url, params, headers):
+        if "index" in url:
+            if params["url"] == "timeout/*":
+                raise TimeoutError("no answer")
+            return (403, b"") if params["url"] == "closed/*" else (200, f"{line}\n{broken}\nnot an index line".encode())
+        return (404, b"") if "gone" in url else (206, html)
+
+    rows = remote.crawl_documents(spark, get, {"url_patterns": ["closed/*", "timeout/*", "open/*"], "crawl": "C"}, waits=()).collect()
+    assert [r["text"] for r in rows if r["error"] is None] == ["page"]
+    errors = sorted(r["error"] for r in rows if r["error"])
+    assert [e.split(": ", 1)[1] for e in errors] == ["status 404", "status 403", "line 2 can't be read", "TimeoutError: no answer"]
+    few = remote.crawl_documents(spark, get, {"url_patterns": ["closed/*", "open/*"], "crawl": "C"}, 1, ()).collect()
+    assert sum(r["error"] is None for r in few) == 1 and any(r["error"] for r in few)
+    assert connector("commoncrawl").documents(spark, {"url_pattern": "closed/*", "crawl": "C"}, fetch=get).count() == 0
 
 
 def test_parallel_corpora(spark):
@@ -124,3 +151,50 @@ def test_parallel_corpora(spark):
     assert connector("opus").documents(spark, {"src": "cy", "corpora": ["B"]}, fetch=get).count() == 0
     assert connector("opus").documents(spark, {"src": "cy", "corpora": ["A"], "corpus": "Z"}, fetch=get).count() == 0
     assert remote.chosen_corpora(entries, {"corpora": ["A", "C"]}) == [("A", "http://a")]
+
+
+def test_line_files_meet_beyond_a_batch(spark):
+    buffer = io.BytesIO()
+    n = remote.LINES + 7
+    with zipfile.ZipFile(buffer, "w") as z:
+        z.writestr("x.cy", "\n".join(f"un {i}" if i % 9 else "" for i in range(n)))
+        z.writestr("x.en", "\n".join(f"one {i}" for i in range(n - 3)))
+
+    def get(url, params, headers):
+        return (200, json.dumps({"corpora": [{"corpus": "A", "url": "http://a"}, {"corpus": "B", "url": "http://b"}]}).encode()) if url == remote.OPUS else (200, buffer.getvalue()) if url == "http://a" else (500, b"")
+
+    rows = remote.opus_documents(spark, get, {"src": "cy"}, waits=()).collect()
+    assert sorted(r["text"] for r in rows if r["error"] is None) == sorted(f"un {i}" for i in range(n - 3) if i % 9)
+    assert all(json.loads(r["meta"]["translation"])["en"].split()[1] == r["text"].split()[1] for r in rows if r["error"] is None)
+    assert [r["error"] for r in rows if r["error"]] == ["B: status 500"]
+
+
+def test_waves_read_files_in_order_and_no_more_than_wanted(spark, tmp_path):
+    for i in range(20):
+        (tmp_path / f"{i:02d} [x].txt").write_text("word " * 200)
+    listed = planned.listed(spark, str(tmp_path), ("txt",))
+    waves, seen = planned.Waves(listed, 2500, 1000), []
+    for paths in waves:
+        seen.append([p.rsplit("/", 1)[-1][:2] for p in paths])
+        waves.gave(800 * len(paths))
+    assert seen[0] == ["00", "01", "02"] and sum(map(len, seen)) <= 8 and sum(seen, []) == [f"{i:02d}" for i in range(len(sum(seen, [])))]
+    parts = connector("local").parts(spark, {"path": str(tmp_path)}, wanted=10**9)
+    first = next(parts)
+    assert first.count() == 20
+    with pytest.raises(StopIteration):
+        parts.send(10**9)
+
+
+def test_file_lists_are_read_in_growing_parts(spark):
+    files = [f"{i}_clean.jsonl.gz" for i in range(9)]
+    hub = Rows([("x" * 100,)], "text string", files)
+    parts, sizes = connector("madlad400").parts(spark, {"lang": "b"}, fetch=hub, wanted=250), []
+    part = next(parts, None)
+    while part is not None:
+        sizes.append(len(hub.seen["files"]))
+        try:
+            part = parts.send(100)
+        except StopIteration:
+            part = None
+    assert sizes == [1, 2, 4]
+    assert "files" in hub.seen and next(connector("madlad400").parts(spark, {"lang": "b"}, fetch=hub)).count() == 1 and len(hub.seen["files"]) == 9

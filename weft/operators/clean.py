@@ -108,20 +108,23 @@ def data_card(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
     )
 
 
-def running_total(spark: SparkSession, rows: DataFrame, order: str, value: str, out: str = "before") -> DataFrame:
+def running_total(spark: SparkSession, rows: DataFrame, order: str, value: str | list[str], out: str | list[str] = "before") -> DataFrame:
     """``rows`` with the sum of ``value`` over all earlier rows, without one task that sees all rows.
 
     Rows are range-partitioned by ``order`` and stored with the number of their partition; partition sums
-    (one row each) give offsets, and a window within each partition does the rest.
+    (one row each) give offsets, and a window within each partition does the rest. Several values share this.
     """
+    values, outs = ([x] if isinstance(x, str) else x for x in (value, out))
     parts = rows.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id())
     parts = stored(spark, parts, "ranges")
-    sums = parts.groupBy("__part").agg(F.sum(value).alias("__sum"))
-    earlier = F.sum("__sum").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = sums.select("__part", F.coalesce(earlier, F.lit(0)).alias("__offset"))
-    inside = F.sum(value).over(Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1))
+    sums = parts.groupBy("__part").agg(*(F.sum(v).alias(f"__sum{i}") for i, v in enumerate(values)))
+    earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("__part", *(F.coalesce(F.sum(f"__sum{i}").over(earlier), F.lit(0)).alias(f"__offset{i}") for i in range(len(values))))
+    inside = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     # one row for each partition: bounded by their number
-    return parts.join(F.broadcast(offsets), "__part").withColumn(out, (F.coalesce(inside, F.lit(0)) + F.col("__offset")).cast("long")).drop("__part", "__offset")
+    met = parts.join(F.broadcast(offsets), "__part")
+    totals = {o: (F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"__offset{i}")).cast("long") for i, (v, o) in enumerate(zip(values, outs))}
+    return met.withColumns(totals).drop("__part", *(f"__offset{i}" for i in range(len(values))))
 
 
 def byte_budget(spark: SparkSession, docs: DataFrame, most_bytes: int) -> DataFrame:

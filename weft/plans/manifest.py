@@ -7,7 +7,8 @@ import json
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
+
+from weft import uris
 
 STAGES = ("ingest", "clean", "tokenizer", "pretrain", "convdata", "finetune", "evaluate", "export")
 
@@ -19,21 +20,19 @@ def fingerprint(payload: dict) -> str:
 
 @dataclass
 class Manifest:
-    """What each stage was run on and gave; kept as one small JSON file beside the project."""
+    """What each stage was run on and gave; kept as one small JSON file at a URI of the project."""
 
-    path: Path
+    path: str
     stages: dict[str, dict] = field(default_factory=dict)
     provenance: list[dict] = field(default_factory=list)
 
     @classmethod
-    def load(cls, path: str | Path) -> Manifest:
-        path = Path(path)
-        data = json.loads(path.read_text()) if path.exists() else {}
+    def load(cls, path: str) -> Manifest:
+        data = json.loads(uris.read(path)) if uris.exists(path) else {}
         return cls(path, data.get("stages", {}), data.get("provenance", []))
 
     def save(self) -> None:
-        self.path.parent.mkdir(parents=True, exist_ok=True)
-        self.path.write_text(json.dumps({"stages": self.stages, "provenance": self.provenance}, indent=2, ensure_ascii=False))
+        uris.write(self.path, json.dumps({"stages": self.stages, "provenance": self.provenance}, indent=2, ensure_ascii=False))
 
     def fresh(self, stage: str, print_: str) -> bool:
         return self.stages.get(stage, {}).get("fingerprint") == print_

@@ -379,8 +379,9 @@ class Project:
         return [s for s in STAGES if not self.stages or s in self.stages]
 
     @property
-    def folder(self) -> Path:
-        return Path(self.workdir) if self.workdir else Path.cwd() / "projects" / self.name
+    def folder(self) -> str:
+        """Where the project's artifacts are: a URI, or a path of this machine."""
+        return self.workdir or str(Path.cwd() / "projects" / self.name)
 
     @property
     def sources(self) -> list[Source]:

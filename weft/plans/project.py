@@ -6,19 +6,19 @@ import json
 from collections.abc import Callable
 from dataclasses import asdict, dataclass, field
 from functools import reduce
-from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weft import uris
 from weft.log import logger
 from weft.operators import benchmarks, chat, clean, evaluation, licensing, tokens
 from weft.plans import manifest as M
 from weft.plans.corpus import clean_corpus
+from weft.plans.ingest import Ingest
 from weft.plans.profiles import Project, Source, language, profile
 from weft.sources import remote
-from weft.sources.files import read_shards, write_shards
-from weft.sources.registry import CONNECTORS, SourceUnavailable
+from weft.sources.files import read_shards
 
 PROVENANCE = "source string, license string, url string"
 #: Benchmarks that any language can have, and those that need a configuration of its code.
@@ -33,16 +33,16 @@ HUB_SETS = {"dolly": ("databricks/databricks-dolly-15k", "instruction", "respons
 CONTEXTS = 20
 
 
-def write_card(path: Path, card: dict) -> None:
-    path.parent.mkdir(parents=True, exist_ok=True)
-    path.write_text(json.dumps(card, indent=2, ensure_ascii=False, default=str), encoding="utf-8")
+def write_card(path: str, card: dict) -> None:
+    uris.write(path, json.dumps(card, indent=2, ensure_ascii=False, default=str))
 
 
-def write_lines(rows: DataFrame, path: Path) -> None:
-    """JSON lines that people may edit: a local folder keeps no checksums of its files, which an edit would break."""
-    rows.write.mode("overwrite").json(str(path))
-    for crc in path.glob(".*.crc"):
-        crc.unlink()
+def write_lines(rows: DataFrame, path: str) -> int:
+    """JSON lines that people may edit, and how many: a local folder keeps no checksums of its files, which an edit would break."""
+    seen = Observation()
+    rows.observe(seen, F.count("*").alias("n")).write.mode("overwrite").json(path)
+    uris.drop_checksums(path)
+    return seen.get["n"]
 
 
 @dataclass
@@ -70,10 +70,12 @@ class Run:
     tokenizers: dict[str, object] = field(default_factory=dict)
 
     def __post_init__(self):
-        self.manifest = M.Manifest.load(self.project.folder / ".weft" / "manifest.json")
+        self.folder = uris.located(self.spark, self.project.folder)
+        self.manifest = M.Manifest.load(uris.join(self.folder, ".weft", "manifest.json"))
 
-    def at(self, stage: str, *more: str) -> Path:
-        return self.project.folder.joinpath("artifacts", stage, *more)
+    def at(self, stage: str, *more: str) -> str:
+        """A URI below the project's artifacts: Spark writes there, and every stage and executor can read it."""
+        return uris.join(self.folder, "artifacts", stage, *more)
 
     def stages(self, selected: list[str] | None = None, force_from: str | None = None) -> dict[str, str]:
         """What became of each stage: ran or skipped."""
@@ -87,53 +89,22 @@ class Run:
 
     # ---- stages: each gives its outputs and metrics
     def _ingest(self):
-        found: dict[str, list[DataFrame]] = {"mono": [], "parallel": []}
-        skipped, records = {}, []
-        for i, source in enumerate(self.project.sources):
-            reader = CONNECTORS.get(source.connector)
-            if reader is None:
-                skipped[source.connector] = "unknown connector"
-                continue
-            # a source that fails is still named with its licence
-            records.append({"source": source.connector, "license": source.params.get("license"), "url": source.params.get("url")})
-            try:
-                docs = reader.documents(self.spark, _reader_params(source), self.project.ingest.max_docs_per_source, self.token, self.fetch.get(source.connector))
-            except (SourceUnavailable, PermissionError, ValueError) as why:
-                skipped[source.connector] = str(why)
-                logger("ingest").warning("%s is left out: %s", source.connector, why)
-                continue
-            found[reader.kind].append(_placed(docs, i))
+        cfg = self.project.ingest
+        work = Ingest(self.spark, self.at("ingest"), int(cfg.max_gb * 1e9) if cfg.max_gb else None, cfg.max_docs_per_source, self.token, self.fetch)
+        records = work.run(self.project.sources)
         self.manifest.add_provenance(records)
-        card: dict = {"language": self.project.language, "skipped": skipped, "per_source": {}, "budget_hit": False, "used_token": self.token is not None}
-        outputs = []
-        for kind, folder in (("mono", "corpus"), ("parallel", "parallel")):
-            if not found[kind]:
-                card[f"{kind}_docs"] = 0
-                continue
-            rows = reduce(DataFrame.unionByName, found[kind])
-            rows = clean.running_total(self.spark, rows.withColumn("one", F.lit(1)), "place", "one", "doc_id").drop("one", "place")
-            if kind == "mono" and self.project.ingest.max_gb:
-                most = int(self.project.ingest.max_gb * 1e9)
-                rows = clean.byte_budget(self.spark, rows, most).drop("n_bytes")
-            meta = F.map_concat(F.coalesce("meta", F.create_map().cast("map<string,string>")), F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")))
-            out = self.at("ingest", folder)
-            write_shards(rows.select("text", "source", meta.alias("meta")), str(out))
-            counts = read_shards(self.spark, str(out)).groupBy("source").agg(F.count("*").alias("docs"), F.sum(F.octet_length("text")).alias("bytes")).collect()
-            card["per_source"] |= {r["source"]: {"docs": r["docs"], "bytes": r["bytes"]} for r in counts}
-            card[f"{kind}_docs"] = sum(r["docs"] for r in counts)
-            if kind == "mono":
-                card["mono_bytes"] = sum(r["bytes"] or 0 for r in counts)
-                card["budget_hit"] = bool(self.project.ingest.max_gb) and card["mono_bytes"] >= most
-            outputs.append(str(out))
+        card = {"language": self.project.language, "skipped": work.skipped, "per_source": work.per_source, "budget_hit": work.full, "used_token": self.token is not None}
+        card |= {"mono_docs": work.docs["mono"], "mono_bytes": work.bytes["mono"], "parallel_docs": work.docs["parallel"]}
         write_card(self.at("ingest", "ingest_card.json"), card)
+        outputs = [self.at("ingest", folder) for kind, folder in (("mono", "corpus"), ("parallel", "parallel")) if work.docs[kind]]
         return outputs, {"mono_docs": card["mono_docs"], "parallel_docs": card["parallel_docs"], "sources": len(records)}
 
     def _corpus(self, stage: str) -> DataFrame | None:
         path = self.at(stage, "corpus")
-        if not path.exists():
+        if not uris.exists(path):
             return None
         # shards say the place of each document, so later stages order as ingest did
-        return read_shards(self.spark, str(path)).withColumn("doc_id", F.try_element_at("meta", F.lit("doc_id")).cast("long"))
+        return read_shards(self.spark, path).withColumn("doc_id", F.try_element_at("meta", F.lit("doc_id")).cast("long"))
 
     def _clean(self):
         docs, cfg, profile_ = self._corpus("ingest"), self.project.clean, language(self.project.language)
@@ -148,9 +119,9 @@ class Run:
         elif cfg.lang_id != "none":
             said = f"off (no {cfg.lang_id} model here)"
             logger("clean").warning("texts are not filtered by language: no %s model here", cfg.lang_id)
-        card = {"language_filter": said} | clean_corpus(self.spark, docs, str(out), min_quality=cfg.min_quality, near=cfg.dedup == "minhash", exact=cfg.dedup != "none", scrub=cfg.scrub_pii, **rules)
+        card = {"language_filter": said} | clean_corpus(self.spark, docs, out, min_quality=cfg.min_quality, near=cfg.dedup == "minhash", exact=cfg.dedup != "none", scrub=cfg.scrub_pii, **rules)
         write_card(self.at("clean", "data_card.json"), card)
-        return [str(out)], {k: card[k] for k in ("docs_in", "docs_out", "tokens_out")}
+        return [out], {k: card[k] for k in ("docs_in", "docs_out", "tokens_out")}
 
     def _tokenizer(self):
         """How many tokens a word takes with the base tokenizer, and which tokens of a trained one it lacks; nothing is trained here."""
@@ -166,11 +137,13 @@ class Run:
             card["fertility"]["trained"] = tokens.fertility(sample, trained).first()["fertility"]
             novel = tokens.novel_tokens(trained.vocabulary(self.spark), vocabulary, cfg.added_tokens)
             longer = tokens.extension(vocabulary, novel) if cfg.strategy == "extend" else trained.vocabulary(self.spark)
-            outputs = [str(self.at("tokenizer", "vocabulary"))]
-            longer.write.mode("overwrite").parquet(outputs[0])
-            card |= {"final_vocab_size": longer.count(), "tokens_added": novel.count() if cfg.strategy == "extend" else 0}
+            outputs = [self.at("tokenizer", "vocabulary")]
+            seen = Observation()
+            longer.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(outputs[0])
+            # an extension has the base vocabulary and what was added
+            card |= {"final_vocab_size": seen.get["n"], "tokens_added": seen.get["n"] - card["base_vocab_size"] if cfg.strategy == "extend" else 0}
         write_card(self.at("tokenizer", "tokenizer_card.json"), card)
-        return [str(self.at("tokenizer", "tokenizer_card.json")), *outputs], {"fertility": card["fertility"]["base"], "tokens_added": card["tokens_added"]}
+        return [self.at("tokenizer", "tokenizer_card.json"), *outputs], {"fertility": card["fertility"]["base"], "tokens_added": card["tokens_added"]}
 
     def _pretrain(self):
         """Blocks of tokens that a trainer would read, as Parquet; training itself is only planned."""
@@ -184,26 +157,25 @@ class Run:
         if length is None:
             return outputs, metrics | {"blocks": 0}
         most = tokens.block_budget(cfg.max_steps, compute.per_device_batch_size, compute.gradient_accumulation_steps) if cfg.max_steps else None
-        out = str(self.at("pretrain", "blocks"))
-        tokens.packed(self.spark, docs, length, most, tokenizer).write.mode("overwrite").parquet(out)
-        n = self.spark.read.parquet(out).count()
+        out, seen = self.at("pretrain", "blocks"), Observation()
+        tokens.packed(self.spark, docs, length, most, tokenizer).observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(out)
+        n = seen.get["n"]
         path = self.at("pretrain", "pretrain_card.json")
-        write_card(path, json.loads(path.read_text()) | {"status": "packed, not trained", "seq_len": length, "blocks": n, "max_blocks": most, "tokens": n * length})
+        write_card(path, json.loads(uris.read(path)) | {"status": "packed, not trained", "seq_len": length, "blocks": n, "max_blocks": most, "tokens": n * length})
         return [*outputs, out], {"status": "packed", "blocks": n}
 
     def _finetune(self):
         """Accepted pairs as the chat text that a trainer would read; training itself is only planned."""
         outputs, metrics = self._planned("finetune")
         path = self.at("convdata", "accepted")
-        rows = self.spark.read.json(str(path)) if path.exists() else None
+        rows = self.spark.read.json(path) if uris.exists(path) else None
         if rows is None or "messages" not in rows.columns:
             return outputs, metrics | {"examples": 0}
         out = self.at("finetune", "texts")
-        write_lines(rows.select(chat.chatml("messages").alias("text")), out)
-        n = rows.count()
+        n = write_lines(rows.select(chat.chatml("messages").alias("text")), out)
         card = self.at("finetune", "finetune_card.json")
-        write_card(card, json.loads(card.read_text()) | {"status": "formatted, not trained", "examples": n})
-        return [*outputs, str(out)], {"status": "formatted", "examples": n}
+        write_card(card, json.loads(uris.read(card)) | {"status": "formatted, not trained", "examples": n})
+        return [*outputs, out], {"status": "formatted", "examples": n}
 
     def _translated(self, skipped: dict) -> list[DataFrame]:
         """Pairs of the instruction files to translate; ``skipped`` says why some give none."""
@@ -220,7 +192,7 @@ class Run:
 
     def _instructions(self, name: str, limit: int | None) -> DataFrame | None:
         """Pairs of a local file, else of a hub set by its short name or id; None if it can't be had."""
-        if Path(name).is_file():
+        if uris.is_file(name):
             return chat.instruction_set(self.spark.read.json(name).withColumn("ord", F.monotonically_increasing_id()), limit)
         if "hub" not in self.fetch:
             return None
@@ -235,10 +207,10 @@ class Run:
     def _native(self, skipped: dict) -> list[DataFrame]:
         parts = []
         for s in [*language(self.project.language).instruction_sources, *self.project.convdata.native_sets]:
-            if not Path(s.repo).is_file() and "hub" not in self.fetch:
+            if not uris.is_file(s.repo) and "hub" not in self.fetch:
                 skipped[f"native:{s.repo}"] = "neither a local file nor a hub set that can be fetched"
                 continue
-            rows = self.spark.read.json(s.repo) if Path(s.repo).is_file() else self.fetch["hub"](self.spark, path=s.repo, split=s.split, **({"name": s.name} if s.name else {}))
+            rows = self.spark.read.json(s.repo) if uris.is_file(s.repo) else self.fetch["hub"](self.spark, path=s.repo, split=s.split, **({"name": s.name} if s.name else {}))
             rows = rows.withColumn("ord", F.monotonically_increasing_id())
             select = (s.select_field, s.select_value) if s.select_field else None
             got = chat.native_set(rows, s.instruction_field, s.response_field, s.source_field if s.source_field in rows.columns else None, tuple(s.exclude), select, s.limit)
@@ -267,7 +239,7 @@ class Run:
         cfg, skipped = self.project.convdata, {}
         parts = [*self._translated(skipped), *self._native(skipped), *self._synthetic(skipped)]
         parts = [p.withColumn("branch", F.lit(i)) for i, p in enumerate(parts)]
-        outputs = [str(self.at("convdata", n)) for n in ("pairs", "review_queue", "accepted")]
+        outputs = [self.at("convdata", n) for n in ("pairs", "review_queue", "accepted")]
         metrics = {"generated": 0, "degenerate_dropped": 0, "deduped": 0, "accepted": 0}
         if parts:
             rows = reduce(DataFrame.unionByName, parts)
@@ -276,13 +248,12 @@ class Run:
             n = {r["status"]: r["count"] for r in judged.groupBy("status").count().collect()}
             good = judged.filter("status = 'accepted'").select("ord", "source", "instruction", "response")
             queue = chat.review_queue(self.spark, good)
-            if Path(outputs[1]).exists():
+            if uris.exists(outputs[1]):
                 queue = chat.merge_reviews(queue, self.spark.read.json(outputs[1]).select("id", "status"))
             queue = clean.stored(self.spark, queue.drop("ord").withColumn("messages", chat.messages(F.col("instruction"), F.col("response"))), "queue")
-            accepted = clean.stored(self.spark, chat.accepted_pairs(queue, cfg.review), "accepted")
-            for out, df in zip(outputs, (good, queue, accepted)):
-                write_lines(df, Path(out))
-            metrics = {"generated": sum(n.values()), "degenerate_dropped": n.get("degenerate", 0), "deduped": n.get("accepted", 0), "accepted": accepted.count()}
+            accepted = chat.accepted_pairs(queue, cfg.review)
+            written = [write_lines(df, out) for out, df in zip(outputs, (good, queue, accepted))]
+            metrics = {"generated": sum(n.values()), "degenerate_dropped": n.get("degenerate", 0), "deduped": n.get("accepted", 0), "accepted": written[2]}
         write_card(self.at("convdata", "convdata_card.json"), metrics | ({"skipped": skipped} if skipped else {}))
         return outputs if parts else [], {k: metrics[k] for k in ("accepted", "deduped")}
 
@@ -316,9 +287,9 @@ class Run:
     def _accepted(self) -> DataFrame | None:
         """(id, instruction) of the accepted chat pairs, in their order."""
         path = self.at("convdata", "accepted")
-        if not path.exists():
+        if not uris.exists(path):
             return None
-        rows = self.spark.read.json(str(path))
+        rows = self.spark.read.json(path)
         return rows.select(F.monotonically_increasing_id().alias("id"), "instruction").filter("instruction <> ''") if "instruction" in rows.columns else None
 
     def _items(self, name: str):
@@ -377,7 +348,7 @@ class Run:
             summary[name] = benchmarks.told(name, scores.get("adapted"), delta) if self.scorers else "not measured (no model here)"
         card = {"language": self.project.language, "coverage": covered, "results": results, "summary": summary, "human_review": self._output_review()}
         write_card(self.at("evaluate", "report_card.json"), card)
-        return [str(self.at("evaluate", "report_card.json"))], {"summary": summary}
+        return [self.at("evaluate", "report_card.json")], {"summary": summary}
 
     def _output_review(self) -> dict | None:
         """Replies of the adapted model to accepted instructions as a queue that people rate; what they rated before stays."""
@@ -389,13 +360,12 @@ class Run:
         first = tokens.positional(prompts, "id", cfg.human_review_n).select(F.col("pos").alias("id"), "instruction", F.col("instruction").alias("prompt"))
         queue = chat.output_queue(scorer.replies(first))
         out = self.at("evaluate", "human_review_queue.jsonl")
-        if out.exists():
-            queue = chat.merge_output_reviews(queue, self.spark.read.schema(chat.OUTPUT_QUEUE).json(str(out)))
+        if uris.exists(out):
+            queue = chat.merge_output_reviews(queue, self.spark.read.schema(chat.OUTPUT_QUEUE).json(out))
         queue = clean.stored(self.spark, queue, "queue")
         # bounded by human_review_n, and one plain file for those who rate
         lines = [json.dumps(r.asDict(), ensure_ascii=False) for r in queue.orderBy("id").collect()]
-        out.parent.mkdir(parents=True, exist_ok=True)
-        out.write_text("".join(x + "\n" for x in lines), encoding="utf-8")
+        uris.write(out, "".join(x + "\n" for x in lines))
         row = evaluation.review_summary(queue).first().asDict()
         return row | ({} if row["reviewed"] else {"status": "awaiting review"})
 
@@ -406,13 +376,12 @@ class Run:
         credits = [r["line"] for r in licensing.attributions(provenance).orderBy("source").collect()]
         model, spoken = profile("model", self.project.base_model), language(self.project.language)
         report = self.at("evaluate", "report_card.json")
-        scores = json.loads(report.read_text()).get("summary", {}) if report.exists() else {}
-        self.at("export").mkdir(parents=True, exist_ok=True)
-        self.at("export", "MODEL_CARD.md").write_text(model_card(self.project, spoken.display_name, model.hf_id, f"{licence}: {why}.", scores, credits), encoding="utf-8")
+        scores = json.loads(uris.read(report)).get("summary", {}) if uris.exists(report) else {}
+        uris.write(self.at("export", "MODEL_CARD.md"), model_card(self.project, spoken.display_name, model.hf_id, f"{licence}: {why}.", scores, credits))
         if self.project.export.make_ollama_modelfile:
-            self.at("export", "Modelfile").write_text(modelfile(model.hf_id, spoken.display_name), encoding="utf-8")
+            uris.write(self.at("export", "Modelfile"), modelfile(model.hf_id, spoken.display_name))
         write_card(self.at("export", "export_card.json"), {"model_kind": "base", "model_license": licence, "license_rationale": why, "attributions": credits, "evals": scores, "quantize": self.project.export.quantize})
-        return [str(self.at("export"))], {"model_kind": "base", "license": licence}
+        return [self.at("export")], {"model_kind": "base", "license": licence}
 
     def _planned(self, stage: str):
         """Stages that train a model only say with what they would."""
@@ -423,30 +392,13 @@ class Run:
                 card[key] = min(card[key], cap)
         out = self.at(stage, f"{stage}_card.json")
         write_card(out, card)
-        return [str(out)], {"status": "planned"}
+        return [out], {"status": "planned"}
 
 
 def local_files(sources: list[Source]) -> list[list]:
-    """Path, size and time of change of every file of the local sources, so that a changed corpus is read again."""
-    out = []
-    for s in sources:
-        root = Path(s.params["path"]) if s.connector == "local" and s.params.get("path") else None
-        if root is not None and root.exists():
-            for p in sorted(root.rglob("*")) if root.is_dir() else [root]:
-                if p.is_file():
-                    out.append([str(p), p.stat().st_size, int(p.stat().st_mtime)])
-    return out
-
-
-def _reader_params(source: Source) -> dict:
-    return {k: v for k, v in source.params.items() if k not in ("license", "url")}
-
-
-def _placed(docs: DataFrame, i: int) -> DataFrame:
-    """text, source, meta and the place of each document: source, then path and line where there are any."""
-    path = F.col("path") if "path" in docs.columns else F.lit("")
-    line = F.col("line") if "line" in docs.columns else F.monotonically_increasing_id()
-    return docs.select("text", "source", "meta", F.struct(F.lit(i).alias("source"), path.alias("path"), line.alias("line")).alias("place"))
+    """Path, size and time of change of every file of the local sources, so that a changed corpus is read again; listed, not opened."""
+    roots = [s.params["path"] for s in sources if s.connector == "local" and s.params.get("path")]
+    return [[f.path, f.size, int(f.mtime.timestamp()) if f.mtime else None] for root in roots for f in uris.files(root)]
 
 
 def modelfile(model: str, name: str) -> str:

@@ -85,7 +85,7 @@ def pdf_text(data: bytes) -> str:
     return "\n\n".join(p.strip() for p in pages if p.strip())
 
 
-def read_pdf(spark: SparkSession, path: str, extract_one=pdf_text) -> DataFrame:
+def read_pdf(spark: SparkSession, path: str | list[str], extract_one=pdf_text) -> DataFrame:
     """(path, line, text) of PDF files; ``extract_one`` gives the text of a file's bytes."""
 
     @F.pandas_udf("string")
@@ -96,12 +96,12 @@ def read_pdf(spark: SparkSession, path: str, extract_one=pdf_text) -> DataFrame:
     return files.select("path", F.lit(0).cast("long").alias("line"), run("content").alias("text"))
 
 
-def _some(spark: SparkSession, path: str, endings: tuple[str, ...]):
+def _some(spark: SparkSession, path: str | list[str], endings: tuple[str, ...]):
     reader = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.{" + ",".join(endings) + "}")
     return reader, path
 
 
-def read_local(spark: SparkSession, path: str, max_docs: int | None = None, text_field: str = "text", pdf: bool | None = None) -> DataFrame:
+def read_local(spark: SparkSession, path: str | list[str], max_docs: int | None = None, text_field: str = "text", pdf: bool | None = None) -> DataFrame:
     """Documents of a file or folder: text and Markdown files are one each, JSON lines one a line, pages their main
     text, PDF files the text of their pages (``pdf``; if not said, where pypdf is installed). Blank texts are left out; meta.path names the file. With ``max_docs`` the first in order of path."""
     if not path:
@@ -129,9 +129,9 @@ def read_shards(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(F.coalesce("text", F.lit("")).alias("text"), F.coalesce("source", F.lit("")).alias("source"), F.coalesce("meta", empty).alias("meta"))
 
 
-def write_shards(docs: DataFrame, path: str, docs_per_shard: int = DOCS_PER_SHARD) -> None:
+def write_shards(docs: DataFrame, path: str, docs_per_shard: int = DOCS_PER_SHARD, mode: str = "overwrite") -> None:
     """Gzip JSON lines with at most ``docs_per_shard`` rows a file."""
-    docs.write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", docs_per_shard).json(path)
+    docs.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", docs_per_shard).json(path)
 
 
 def moses_pairs(src: DataFrame, tgt: DataFrame, by: list[str] | None = None) -> DataFrame:
