@@ -280,3 +280,21 @@ def test_against_sql(spark, name):
     plain = lambda x: int(x) if isinstance(x, float) and x.is_integer() else x
     key = lambda df: sorted(repr([plain(x) for x in row]) for row in df.astype(object).where(df.notna(), None).values.tolist())
     assert key(got.round(6)) == key(want.round(6))
+
+
+def test_texts_stay_where_they_are_read(spark):
+    rows = [(i, GOOD[i % 2] if i % 5 else GOOD[0] + f" number {i} of them", "s", "en") for i in range(40)] + [(None, GOOD[0], "s", "en"), (41, "", "s", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    judged = clean.judged(docs)
+    small, large = (clean.with_duplicates(spark, judged, most=m) for m in (100, 0))
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    shuffles = [x for x in plan.splitlines() if "Exchange" in x and "BroadcastExchange" not in x]
+    assert not shuffles and "BroadcastHashJoin" in plan and "SortMergeJoin" in large._jdf.queryExecution().executedPlan().toString()
+    told = lambda df: sorted((r["doc_id"] is None, r["doc_id"] or 0, r["reason"] or "") for r in df.collect())
+    seen, want = set(), []
+    for i, t, _, _ in rows:
+        fault = {r["text"]: r["reason"] for r in judged.filter(f"doc_id {'is null' if i is None else f'= {i}'}").select("text", "reason").collect()}
+        why = next(iter(fault.values())) or ("duplicate" if t in seen or i is None else "")
+        seen.add(t)
+        want.append((i is None, i or 0, why))
+    assert told(small) == told(large) == sorted(want)

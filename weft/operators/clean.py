@@ -1,7 +1,7 @@
 """Corpus cleaning: drop reasons, exact duplicates, personal data, budgets and counts.
 
-Documents need doc_id (their order), text, source and lang. Drop reasons are settled before any shuffle,
-so dropped texts never move; exact duplicates move as a digest, not as texts.
+Documents need doc_id (their order), text, source and lang. Drop reasons are settled before any shuffle, and exact
+duplicates are told by digests and ids, so texts stay where they were read.
 
 Cases: a null text is normalized to the empty one and dropped as such; ids must differ and not be null where
 duplicates are told (``with_duplicates`` meets them by id: of rows that repeat an id all have its fate, and a row
@@ -19,6 +19,8 @@ from weft.functions import text as X
 from weft.functions.langid import identified
 from weft.storage import stored
 
+#: So many ids, 16 MB of them, are broadcast at most.
+BROADCAST_IDS = 2_000_000
 REASONS = ("empty_after_normalize", "wrong_language", "too_short_chars", "too_few_words", "symbol_heavy", "repetitive", "low_quality", "duplicate")
 
 
@@ -61,20 +63,37 @@ def first_of_each(rows: DataFrame, keys: list[str], order: str = "doc_id") -> Da
     return rows.groupBy(*keys).agg(F.min(order).alias(order))
 
 
-def with_duplicates(spark: SparkSession, docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+def flagged(spark: SparkSession, rows: DataFrame, ids: DataFrame, flag: str, most: int = BROADCAST_IDS) -> DataFrame:
+    """``rows`` with a boolean column that says whether their doc_id is among ``ids`` (doc_id, each once).
+
+    Up to ``most`` ids are broadcast, so that rows and their texts stay where they are; more meet them in a merge join.
+    """
+    ids = stored(spark, ids.select("doc_id"), "ids")
+    few = ids.limit(most + 1).count() <= most
+    named = ids.select(F.col("doc_id").alias("__id"))
+    met = rows.join(F.broadcast(named) if few else named.hint("merge"), F.col("doc_id") == F.col("__id"), "left")
+    return met.withColumn(flag, F.col("__id").isNotNull()).drop("__id")
+
+
+def with_duplicates(spark: SparkSession, docs: DataFrame, keep: list[str] | None = None, most: int = BROADCAST_IDS) -> DataFrame:
     """``judged`` documents whose later equal canonical texts get the reason duplicate.
 
     Only texts that passed all rules take part. The columns in ``keep`` (all, if None), the reason and the
-    digest are stored once, so no rule is computed twice. First ids are found by a partial aggregate over
-    digests, then met by id, so a text that a third of all rows share never gathers in one task.
+    digest are stored once, so no rule is computed twice. A partial aggregate over digests finds those of several rows
+    and their first ids; their rows meet them as (doc_id, digest), and the ids of later copies flag the stored rows. A text
+    that a third of all rows share never gathers in one task, and texts are never shuffled unless the later
+    copies are too many to broadcast.
     """
     keep = keep or [c for c in docs.columns if c != "reason"]
     digested = docs.withColumn("digest", F.when(F.col("reason").isNull(), F.sha1(X.canonical(F.col("text")))))
     digested = stored(spark, digested.select(*keep, "reason", "digest"), "judged")
-    first = first_of_each(digested.filter("digest is not null"), ["digest"]).select(F.col("doc_id").alias("first_id"))
-    met = digested.join(first, F.col("doc_id") == F.col("first_id"), "left")
-    again = F.col("digest").isNotNull() & F.col("first_id").isNull()
-    return met.withColumn("reason", F.when(again, F.lit("duplicate")).otherwise(F.col("reason"))).drop("first_id", "digest")
+    mine = digested.filter("digest is not null").select("doc_id", "digest")
+    several = mine.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").select("digest", "first_id")
+    # a row without id is never the first of its text, and has no id by which it could be flagged
+    later = mine.join(several, "digest").filter("doc_id <> first_id").select("doc_id").distinct()
+    met = flagged(spark, digested, later, "__again", most)
+    again = F.col("__again") | (F.col("digest").isNotNull() & F.col("doc_id").isNull())
+    return met.withColumn("reason", F.when(again, F.lit("duplicate")).otherwise(F.col("reason"))).drop("__again", "digest")
 
 
 def cleaned(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:

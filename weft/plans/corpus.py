@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions import text as X
@@ -19,24 +19,27 @@ def clean_corpus(spark: SparkSession, docs: DataFrame, out: str, near: bool = Fa
     ``scrub`` replaces personal data; counts of tokens and characters are of what is written.
     """
     rows = clean.judged(docs, **options)
-    rows = clean.with_duplicates(spark, rows) if exact or near else rows
-    rows = stored(spark, rows.select("doc_id", "text", "source", "reason"), "decided")
+    if exact or near:
+        rows = clean.with_duplicates(spark, rows, ["doc_id", "text", "source"])
+    else:
+        rows = stored(spark, rows.select("doc_id", "text", "source", "reason"), "decided")
     if near:
-        gone = similarity.near_drops(spark, similarity.word_sets(rows.filter("reason is null"))).withColumn("gone", F.lit(True))
-        rows = rows.join(gone, "doc_id", "left").withColumn("reason", F.coalesce("reason", F.when(F.col("gone"), F.lit("duplicate")))).drop("gone")
-    kept = rows.filter("reason is null")
+        gone = similarity.near_drops(spark, similarity.word_sets(rows.filter("reason is null")))
+        rows = clean.flagged(spark, rows, gone, "gone").withColumn("reason", F.coalesce("reason", F.when(F.col("gone"), F.lit("duplicate")))).drop("gone")
+    # what the card says is observed while the shards are written, which is the one scan of texts
+    decided, written = Observation(), Observation()
+    seen = rows.observe(decided, F.count("*").alias("docs_in"), *(F.count_if(F.col("reason") == r).alias(r) for r in clean.REASONS))
+    kept = seen.filter("reason is null")
     kept = clean.scrubbed(kept) if scrub else kept.withColumns({c: F.lit(0) for c in ("n_email", "n_url", "n_num")})
-    kept = stored(spark, kept, "kept")
-    write_shards(kept.select("text", "source", F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")).alias("meta")), out)
-    drops = {r["reason"]: r["count"] for r in rows.groupBy("reason").count().collect()}
-    by_source = kept.groupBy("source").agg(
-        F.count("*").alias("n"),
-        F.sum(F.size(X.blank_words(F.col("text")))).alias("tokens"),
-        F.sum(F.length("text")).alias("chars"),
-        F.sum(F.col("n_email") + F.col("n_url") + F.col("n_num")).alias("pii"),
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    kept = kept.observe(
+        written,
+        F.count("*").alias("docs_out"),
+        total(F.size(X.blank_words(F.col("text")))).alias("tokens_out"),
+        total(F.length("text")).alias("chars_out"),
+        total(F.col("n_email") + F.col("n_url") + F.col("n_num")).alias("pii_redactions"),
     )
-    # one row for each source of the catalogue
-    met = by_source.collect()
-    total = lambda c: sum(r[c] or 0 for r in met)
-    card = {"docs_in": sum(drops.values()), "docs_out": total("n"), "tokens_out": total("tokens"), "chars_out": total("chars"), "pii_redactions": total("pii")}
-    return card | {r: drops.get(r, 0) for r in clean.REASONS} | {"per_source": {r["source"]: r["n"] for r in met}}
+    write_shards(kept.select("text", "source", F.create_map(F.lit("doc_id"), F.col("doc_id").cast("string")).alias("meta")), out)
+    by_source = rows.filter("reason is null").groupBy("source").count().collect()  # a row for each source; reads no text
+    ins, outs = decided.get, written.get
+    return {"docs_in": ins.pop("docs_in")} | outs | ins | {"per_source": {r["source"]: r["count"] for r in by_source}}
