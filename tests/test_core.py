@@ -12,7 +12,7 @@ from weft import queries
 from weft.functions import langid
 from weft.functions import text as X
 from weft.functions.tokenizers import FileTokenizer, _encoder
-from weft.operators import chat, clean, evaluation, licensing, similarity, tokens
+from weft.operators import chat, clean, evaluation, licensing, prefix, similarity, tokens
 from weft.plans.manifest import Manifest, run
 from weft.sources import files
 from weft.sources.registry import SourceUnavailable, connector
@@ -298,3 +298,48 @@ def test_texts_stay_where_they_are_read(spark):
         seen.add(t)
         want.append((i is None, i or 0, why))
     assert told(small) == told(large) == sorted(want)
+
+
+@pytest.mark.parametrize("few", [0, 2, 32])
+def test_prefix_join_loses_no_pair(spark, monkeypatch, few):
+    monkeypatch.setattr(prefix, "FEW", few)
+    rng = random.Random(few)
+    base = [[f"w{rng.randrange(60)}" for _ in range(rng.randrange(1, 40))] for _ in range(25)]
+    sets = {i: sorted({w if rng.random() > 0.08 else f"x{rng.randrange(40)}" for w in base[i % 25]}) for i in range(150)}
+    for least in (0.8, 0.85):
+        df = clean.stored(spark, spark.createDataFrame(list(sets.items()), "doc_id long, ws array<string>"), "sets")
+        got = {(r["a"], r["b"]): r["jaccard"] for r in similarity.linked(spark, df, least).collect()}
+        want = {(a, b): len(set(x) & set(y)) / len(set(x) | set(y)) for a, x in sets.items() for b, y in sets.items() if a < b}
+        assert got == pytest.approx({k: v for k, v in want.items() if v >= least})
+
+
+def test_a_family_of_one_template_is_not_paired(spark):
+    """Texts of one template below the similarity: what meets grows as their number, not as its square."""
+    met = []
+    for n in (200, 400):
+        rows = [(i, [f"t{k}" for k in range(84)] + [f"own{i}_{k}" for k in range(16)]) for i in range(n)]
+        df = clean.stored(spark, spark.createDataFrame(rows, "doc_id long, ws array<string>"), "sets")
+        words = df.select(F.col("doc_id").alias("v"), F.size("ws").alias("n"), F.posexplode(F.slice(F.reverse("ws"), 1, 21)).alias("i", "t"))
+        met.append(prefix.pairs(spark, prefix.counted(words), 0.8).count())
+        assert similarity.linked(spark, df, 0.8).count() == 0
+    assert met == [0, 0]
+
+
+def test_lsh_walks_equal_rounds(spark):
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(30)]
+    texts = [" ".join(words[max(0, i - 9) : i + 9]) for i in range(30)] + [" ".join(rng.sample(words, 12)) for _ in range(20)] * 2
+    df = docs(spark, texts)
+    want = rows(similarity.lsh_drops(spark, df), "doc_id")
+    members = {}
+    for r in similarity.lsh_candidates(df).collect():
+        members.setdefault(r["doc_id"], set()).add((r["band"], r["bucket"]))
+    held, gone = set(), []
+    for i in sorted(members):
+        if held & members[i]:
+            gone.append((i,))
+        else:
+            held |= members[i]
+    assert want == gone
+    for walked in (0, 30):
+        assert rows(similarity.lsh_drops(spark, df, walked), "doc_id") == gone
