@@ -26,8 +26,8 @@ WIDTH = 3
 
 
 def _identity():
-    """A text and its id as one 64-bit key; equal for repeated rows only."""
-    return F.xxhash64(F.lit(11), F.col("doc_id"), F.col("text"))
+    """A text and its id as a key of 128 bits; equal for repeated rows only."""
+    return F.struct(*(F.xxhash64(F.lit(s), F.col("doc_id"), F.col("text")).alias(c) for s, c in ((11, "p"), (23, "q"))))
 
 
 def _lines():

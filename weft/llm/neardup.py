@@ -24,8 +24,6 @@ any id meet only equal ones; ties go to the smaller id; other columns are not re
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +31,7 @@ from pyspark.sql import functions as F
 
 from weft.llm.common import OWN, bounded_batches, stored
 from weft.llm.textbatch import Texts, U, lean, mix, slices, windows
+from weft.operators import prefix as shared_tokens
 from weft.operators.graph import components
 
 WORDS, SIMILAR = 5, 0.8
@@ -201,15 +200,9 @@ def _rest_pairs(spark: SparkSession, members: DataFrame, labels: DataFrame, sets
     held = totals.join(shared.hint("merge"), "v").join(rest.hint("merge"), "v").withColumn("lone", F.col("n") - F.size("ts"))
     reach = F.col("n") - F.ceil(F.lit(similar) * F.col("n") - 1e-9) + 1 - F.col("lone")
     prefix = held.filter(reach > 0).select("v", "c", "n", "lone", F.posexplode(F.slice("ts", 1, reach.cast("int"))).alias("i", "x"))
-    prefix = stored(spark, prefix.select("v", "c", "n", (F.col("lone") + F.col("i")).alias("i"), F.col("x.t").alias("t")), "prefix")
-    mixed_t = stored(spark, prefix.groupBy("t").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("t"), "mixed")
-    prefix = stored(spark, prefix.join(mixed_t.hint("merge"), "t"), "prefix")
-    # similar sets have sizes within the similarity, so they lie in the same band of sizes or in neighbouring ones
-    prefix = prefix.withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.lit(-math.log(similar))))
-    x, y = prefix.withColumn("zx", F.explode(F.array(F.col("z") - 1, F.col("z"), F.col("z") + 1))).alias("x"), prefix.alias("y").hint("merge")
-    overlap = F.lit(similar / (1 + similar)) * (F.col("x.n") + F.col("y.n")) - 1e-9
-    near = (F.col("x.t") == F.col("y.t")) & (F.col("x.zx") == F.col("y.z")) & (F.col("x.c") != F.col("y.c")) & (F.col("x.v") < F.col("y.v")) & (F.least(F.col("x.n") - F.col("x.i"), F.col("y.n") - F.col("y.i")) >= overlap)
-    return x.join(y, near).select(F.col("x.v").alias("a"), F.col("y.v").alias("b")).distinct()
+    placed = prefix.select("v", "c", "n", (F.col("lone") + F.col("i")).alias("i"), F.col("x.t").alias("t"))
+    placed = stored(spark, placed, "shared")
+    return shared_tokens.pairs(spark, shared_tokens.counted(placed), similar)
 
 
 def classified(spark: SparkSession, docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
