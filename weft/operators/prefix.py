@@ -5,7 +5,7 @@ is their first one, at places i and j of an order that all sets follow, leaves n
 tokens ordered rare first, sets whose rare tokens are their own reach their common ones too late: most families of a
 template meet no partner, if the sizes are known before they meet. So a token that few rows have is the key by itself,
 and a frequent one is a key together with the bands of both sizes, BANDS_OF of them to each ratio of s; each row goes only
-to the bands of partners that its own place allows, as the smaller and as the larger side. Pairs that meet are
+to those bands of the token's rows that its own place allows, as the smaller and as the larger side. Pairs that meet are
 those of which both sides allow the other: bounded by FEW times the rows for rare tokens, and for frequent
 ones by pairs within a band's width of the similarity.
 """
@@ -47,13 +47,15 @@ def pairs(spark: SparkSession, prefix: DataFrame, similar: float) -> DataFrame:
     # the largest partner that a place allows: beyond it the rest of the set is too short
     most = F.least((n - F.col("i")) / F.lit(share) - n + 1e-6, n / F.lit(similar) + 1e-6)
     many = prefix.filter(F.col("held") > FEW).withColumn("own", own)
-    none = F.array().cast("array<bigint>")
-    # partners of the own size or more, by bands; and partners of it or less
-    larger = F.when(most >= n - 1e-3, F.sequence(F.col("own"), F.greatest(band(most), F.col("own")))).otherwise(F.when(band(most) >= F.col("own"), F.array(F.col("own"))).otherwise(none))
+    # the bands that a token has at all: as many as there are sizes between the least and the most, in their logarithm
+    there = many.groupBy("t").agg(F.collect_set("own").alias("there"))
+    many = many.join(there.hint("merge"), "t").drop("held")
     least = F.greatest(n * F.lit(similar) - 1e-6, F.lit(1.0))
-    smaller = F.when(most >= least - 1e-6, F.sequence(band(least), F.greatest(band(least), F.least(band(F.greatest(most, least)), F.col("own"))))).otherwise(none)
-    x = many.withColumn("z", F.explode(larger)).alias("x")
-    y = many.withColumn("z", F.explode(smaller)).alias("y")
+    # partners of the own size or more, and partners of it or less
+    larger = F.when(most >= n - 1e-3, F.filter("there", lambda z: (z >= F.col("own")) & (z <= band(F.greatest(most, n)))))
+    smaller = F.when(most >= least - 1e-6, F.filter("there", lambda z: (z >= band(least)) & (z <= F.least(band(F.greatest(most, least)), F.col("own")))))
+    x = many.withColumn("z", F.explode(larger)).drop("there").alias("x")
+    y = many.withColumn("z", F.explode(smaller)).drop("there").alias("y")
     size = (F.col("x.n") < F.col("y.n")) | ((F.col("x.n") == F.col("y.n")) & (F.col("x.v") < F.col("y.v")))
     met = (F.col("x.t") == F.col("y.t")) & (F.col("x.z") == F.col("y.own")) & (F.col("x.own") == F.col("y.z")) & size & fits("x", "y")
     return rare.union(ordered(x.join(y, met))).distinct()
