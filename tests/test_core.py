@@ -3,19 +3,23 @@
 import json
 import math
 import random
+import time
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from weft import queries
-from weft.functions import langid
+from weft.functions import langid, patterns, tables
 from weft.functions import text as X
 from weft.functions.tokenizers import FileTokenizer, _encoder
-from weft.operators import chat, clean, evaluation, licensing, prefix, similarity, tokens
+from weft.operators import bootstrap, chat, clean, evaluation, licensing, prefix, similarity, tokens
+from weft.operators.dedup_index import DedupIndex
 from weft.plans.manifest import Manifest, run
 from weft.sources import files
 from weft.sources.registry import SourceUnavailable, connector
+from weft.streaming import dedup as stream_dedup
 from weft.streaming.clean import clean_stream
 
 DATA = "/root/testdata/sf0.001"
@@ -146,8 +150,6 @@ def test_scores(spark):
     assert evaluation.parse_pairs(spark.createDataFrame([(1, 'ok [{"instruction": "a", "response": "b"}, {"instruction": ""}] end')], "id long, reply string")).count() == 1
     same = spark.createDataFrame([(1, "a cat sat", "a cat sat")], "id long, hypothesis string, reference string")
     assert evaluation.chrf(same).first()["chrf"] == pytest.approx(100)
-    ci = evaluation.bootstrap(spark.createDataFrame([("x", k, float(k < 8)) for k in range(10)], "name string, ord long, value double")).first()
-    assert 0 <= ci["lo"] <= 0.8 <= ci["hi"] <= 1
 
 
 def test_licences(spark):
@@ -202,7 +204,7 @@ def test_main_text_of_pages():
         "<html><head><title>t</title></head><nav>menu</nav><p>Body &amp; soul<p>more<script>x()</script></html>": "Body & soul\nmore",
         "<div class='sidebar'><p>no</p></div><h1>Head</h1>a <b>b</b>\n c<br>d<ul><li>one<li>two</ul>": "Head\na b c\nd\none\ntwo",
         "<footer><div>x</div></footer><td>cell</td><table><tr><td>1<td>2</table>": "cell\n1\n2",
-        "<style>p{}</style><nav>only</nav>": "<style>p{}</style><nav>only</nav>",
+        "<style>p{}</style><nav>only</nav>": "",
         "plain text &lt;3\nin two lines": "plain text <3 in two lines",
         "<pre>a\n b</pre>c\nd": "a\nb\nc d",
         "<p class='ad'>buy</p>stay<aside>aside<p>in</aside>here": "stay\nhere",
@@ -217,15 +219,175 @@ def test_pdf_pages(spark, tmp_path):
     assert rows(got, "text") == [("one",)]
 
 
+def plain_weight(order, round_):
+    """The Poisson weight of one item in one round."""
+    x = (order ^ (round_ * 0x9E3779B1)) & 0xFFFFFFFF
+    for m in (0x45D9F3B, 0x2C1B3C6D):
+        x = ((x ^ (x >> 16)) * m) & 0xFFFFFFFF
+    x ^= x >> 16
+    share, k, term = x / 2**32, 0, math.exp(-1)
+    while share >= term and k < 13:
+        k += 1
+        term += math.exp(-1) / math.factorial(k)
+    return k
+
+
 def test_bootstrap_equals_a_plain_one(spark):
-    values = {"x": [float(k % 3 == 0) for k in range(40)], "y": [1.0, 0.0, 1.0]}
+    values = {"x": [float(k % 3 == 0) for k in range(40)], "y": [1.0, 0.0, 2.5]}
     made = [(n, k, v) for n, vs in values.items() for k, v in enumerate(vs)] + [("x", 99, None), ("z", 0, None)]
-    got = {r["name"]: r for r in evaluation.bootstrap(spark.createDataFrame(made, "name string, ord long, value double").repartition(3)).collect()}
+    got = {r["name"]: r for r in bootstrap.intervals(spark.createDataFrame(made, "name string, ord long, value double").repartition(3)).collect()}
     for name, vs in values.items():
-        rng = random.Random(0)
-        means = sorted(sum(vs[rng.randrange(len(vs))] for _ in vs) / len(vs) for _ in range(1000))
-        assert (got[name]["n"], got[name]["lo"], got[name]["hi"]) == (len(vs), means[25], means[975]) and got[name]["mean"] == pytest.approx(sum(vs) / len(vs))
-    assert (got["z"]["n"], got["z"]["mean"]) == (0, None)
+        means = []
+        for r in range(1000):
+            w = [plain_weight(k, r) for k in range(len(vs))]
+            if sum(w):
+                means.append(sum(a * b for a, b in zip(w, vs)) / sum(w))
+        means.sort()
+        want = (len(vs), means[int(0.025 * len(means))], means[int(0.975 * len(means))], sum(vs) / len(vs))
+        assert (got[name]["n"], got[name]["lo"], got[name]["hi"], got[name]["mean"]) == pytest.approx(want)
+    assert (got["z"]["n"], got["z"]["mean"], got["z"]["lo"]) == (0, None, None)
+    # weights are those of drawing with replacement: of mean and variance 1
+    w = bootstrap.weights(np.arange(2000), 500, 0)
+    assert abs(w.mean() - 1) < 0.01 and abs(w.var() - 1) < 0.02
+    # an interval of a share of 0.8 of 100 items is as wide as its standard error says
+    ci = bootstrap.intervals(spark.createDataFrame([("x", (k, "a"), float(k % 5 > 0)) for k in range(100)], "name string, ord struct<i: long, s: string>, value double")).first()
+    assert ci["n"] == 100 and 0.68 < ci["lo"] < 0.76 < 0.84 < ci["hi"] < 0.92
+    assert "FlatMapGroups" not in bootstrap.intervals(spark.createDataFrame(made, "name string, ord long, value double"))._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_automaton_equals_search(seed):
+    rng = random.Random(seed)
+    alphabet = "ab" if seed % 2 else "abcé☃ "
+    found = ["".join(rng.choices(alphabet, k=rng.randrange(1, 9))).encode() for _ in range(60)] + [b"a" * 40]
+    texts = ["".join(rng.choices(alphabet, k=rng.randrange(0, 90))).encode() for _ in range(80)] + [b"a" * 5000, b"", b"b" * 2047 + b"a" * 60]
+    machine = patterns.Automaton(found)
+    data, offs = np.frombuffer(b"".join(texts), np.uint8), np.append(0, np.cumsum([len(t) for t in texts]))
+    got = set(zip(*map(list, machine.found(data, offs))))
+    assert got == {(i, k) for i, t in enumerate(texts) for k, p in enumerate(machine.patterns) if p in t}
+    assert [len(g) for g in patterns.grouped([b"aa", b"bb", b"c" * 9], 4)] == [2, 1]
+
+
+@pytest.mark.parametrize("most", [1 << 20, 40])
+def test_patterns_of_a_table(spark, most):
+    texts = ["a cat", None, "", "Cat and dog", "dogma of the cat", "x" * 9000 + "dog"]
+    rows_ = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("found", F.lit(1)).drop("found")
+    names = ["cat", "dog", "dogma", "", None, "nothing at all", "x" * 30, "cat"]
+    got = {r["doc_id"]: r["has"] for r in patterns.containing(spark, rows_, "text", names, "has", listed=True, most=most).collect()}
+    assert {k: sorted(v) for k, v in got.items()} == {i: sorted({p for p in names if p is not None and p in t}) if t is not None else [] for i, t in enumerate(texts)}
+    flags = {r["doc_id"]: r["has"] for r in patterns.containing(spark, rows_, "text", ["dog", None], "has", most=most).collect()}
+    assert flags == {i: t is not None and "dog" in t for i, t in enumerate(texts)}
+    assert patterns.containing(spark, rows_, "text", [], "has").filter("has").count() == 0
+    long = spark.createDataFrame([(i, "q", "r", f"source number {i}") for i in range(30)], "ord long, i string, r string, s string")
+    few, many = (chat.native_set(long, "i", "r", "s", tuple(f"NUMBER {k}" for k in range(3, n))) for n in (6, 31))
+    assert few.count() == 30 - 3 and rows(many, "ord") == [(i,) for i in (0, 1, 2)]
+
+
+def test_increments_equal_one_run(spark, tmp_path):
+    rng = random.Random(9)
+    words_ = [f"w{i}" for i in range(40)]
+    base = [rng.sample(words_, 20) for _ in range(12)]
+    texts = [" ".join(base[i % 12][: 20 - (i // 12) % 3]) if i % 5 else f"lone {i} " + " ".join(rng.sample(words_, 9)) for i in range(80)] + ["", "!!", ""]
+    df = docs(spark, texts)
+
+    def run(cuts, name):
+        index = DedupIndex(spark, str(tmp_path / name))
+        out = {}
+        for k, (a, b) in enumerate(zip([0, *cuts], [*cuts, len(texts)])):
+            got = index.add(df.filter(f"doc_id >= {a} and doc_id < {b}"), f"p{k}")
+            out |= {r["doc_id"]: r["why"] for r in got.collect()}
+        return index, out
+
+    (_, one), (index, four) = run([], "one"), run([20, 41, 60], "four")
+    assert one == four and {"duplicate", "near_duplicate", None} == set(one.values())
+    # exact copies go first, then what shares a bucket with an earlier kept row
+    firsts = {t: i for i, t in reversed(list(enumerate(texts)))}
+    kept = df.filter(F.col("doc_id").isin([i for t, i in firsts.items()]))
+    near = {r[0] for r in rows(similarity.lsh_drops(spark, kept), "doc_id")}
+    assert one == {i: "duplicate" if firsts[t] != i else "near_duplicate" if i in near else None for i, t in enumerate(texts)}
+    # an increment that is added again replaces itself, and one that is forgotten can come back
+    again = {r["doc_id"]: r["why"] for r in index.add(df.filter("doc_id >= 60"), "p3").collect()}
+    assert again == {i: w for i, w in four.items() if i >= 60}
+    before = index.table("buckets").count()
+    index.forget("p3")
+    assert index.table("buckets").count() < before and index.add(df.limit(0), "p9").count() == 0
+    plan = index.add(df.filter("doc_id < 5").withColumn("text", F.concat(F.lit("other "), "text")), "p7")._jdf.queryExecution().executedPlan().toString()
+    assert str(tmp_path / "four") not in plan  # its result is decided: no table of the index is read again
+    with pytest.raises(ValueError):
+        index.add(df, "a/b")
+
+
+def as_stream(spark, folder, parts, schema):
+    for k, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(folder / f"{k}"))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(folder))
+
+
+def test_streams_drop_near_duplicates(spark, tmp_path):
+    rng = random.Random(2)
+    words_ = [f"w{i}" for i in range(30)]
+    base = [rng.sample(words_, 15) for _ in range(6)]
+    rows_ = [(i, " ".join(base[i % 6][: 15 - i // 18]) if i % 4 else " ".join(rng.sample(words_, 8)), f"s{i % 2}") for i in range(54)]
+    schema, parts = "doc_id long, text string, source string", [rows_[:20], rows_[20:37], rows_[37:]]
+    df = spark.createDataFrame(rows_, schema)
+    firsts = lambda rs: [r for k, r in enumerate(rs) if r[1] not in {x[1] for x in rs[:k]}]
+
+    def kept(rs):
+        part = spark.createDataFrame(firsts(rs), schema)
+        return {r[0] for r in firsts(rs)} - {r[0] for r in rows(similarity.lsh_drops(spark, part), "doc_id")}
+
+    got, index = [], DedupIndex(spark, str(tmp_path / "index"))
+    stream = as_stream(spark, tmp_path / "in", parts, schema)
+    q = stream_dedup.index_stream(stream, index, lambda batch, n: got.extend(r["doc_id"] for r in batch.collect())).option("checkpointLocation", str(tmp_path / "c1")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    assert sorted(got) == sorted(kept(rows_)) and df.count() > len(got)
+
+    def within(live_ms, pause):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(tmp_path / "in"))
+        out = stream_dedup.near_dedup_stream(stream, live_ms=live_ms)
+        seen, state, batches = [], [0], []
+
+        def sink(batch, n):
+            seen.extend((r["key"], r["doc_id"]) for r in batch.collect())
+            batches.append(n)
+            time.sleep(pause)
+
+        q = out.writeStream.foreachBatch(sink).outputMode("append").option("checkpointLocation", str(tmp_path / f"c{live_ms}")).start()
+        until = time.time() + 60
+        # with timers by the clock Spark goes on with empty batches after those of the three files
+        while time.time() < until and q.isActive and len(batches) < 5:
+            state += [o.numRowsTotal for p in [q.lastProgress] if p for o in p.stateOperators]
+            time.sleep(0.1)
+        assert q.exception() is None
+        q.stop()
+        return sorted(seen), max(state)
+
+    want = sorted((s, i) for s in ("s0", "s1") for i in kept([r for r in rows_ if r[2] == s]))
+    all_, held = within(3_600_000, 0)
+    assert all_ == want
+    short, bounded = within(500, 1.5)  # what a batch kept is forgotten before the next one
+    fresh = sorted((s, i) for part in parts for s in ("s0", "s1") for i in kept([r for r in part if r[2] == s]))
+    assert short == fresh and len(short) > len(want) and bounded < held
+
+
+def test_pages_and_sentences_as_tables(spark, tmp_path):
+    (tmp_path / "a.pdf").write_bytes(b"first page\x0c second\x0c \x0c")
+    (tmp_path / "b.pdf").write_bytes(b"broken")
+
+    def pages(data):
+        if data == b"broken":
+            raise ValueError("no pages")
+        return data.decode().split("\x0c")
+
+    got = files.read_pdf(spark, str(tmp_path), pages).collect()
+    assert sorted((r["path"][-5:], r["line"], r["text"], r["error"]) for r in got) == [("a.pdf", 0, "first page", None), ("a.pdf", 1, "second", None), ("b.pdf", 0, "", "ValueError: no pages")]
+    tables.register(spark)
+    texts = ["One. Two!  Three?\nfour\n\n five", "", None, "no end"]
+    df = docs(spark, texts)
+    want = [(r["doc_id"], i, s) for r in df.select("doc_id", X.sentences(F.col("text")).alias("ss")).collect() for i, s in enumerate(r["ss"] or [])]
+    assert rows(tables.with_sentences(df), "doc_id", "place", "sentence") == sorted(want) and len(want) == 6
+    df.createOrReplaceTempView("some_docs")
+    assert spark.sql("select doc_id, s.* from some_docs, lateral sentences(text) s").count() == 6
 
 
 def test_language_model(spark):
@@ -247,7 +409,30 @@ def test_language_model(spark):
     for i, lang in enumerate(model.languages):
         total = sum(counts[lang].values()) + 0.5 * langid.BUCKETS
         b, n = max(counts[lang].items(), key=lambda x: x[1])
-        assert model.logs[i, b] == pytest.approx(math.log((n + 0.5) / total))
+        assert model.logs[i, b] == pytest.approx(math.log((n + 0.5) / total), rel=1e-6)
+    # and the same labels by a plain sum for each text
+    some = [r["text"] for r in docs_.filter("doc_id % 2 = 1").limit(60).collect()] + ["ß", "a", "  x  Y "]
+    labels, probs = model.predict(some)
+    for t, label, p in zip(some, labels, probs):
+        if (t or "").split():
+            score = model.logs[:, langid.buckets(t)].astype(float).sum(1)
+            assert model.languages[int(score.argmax())] == label and p == pytest.approx(1 / np.exp(score - score.max()).sum(), rel=1e-6)
+
+
+def test_language_model_of_many_languages(spark, monkeypatch):
+    """Two thousand labels are told apart, in one block or in several."""
+    letters = "abcdefghijklmnopqrst"
+    name = lambda k: "".join(letters[k // 20**j % 20] for j in range(3))
+    made = [(k, f"{name(k)}x {name(k)}yy {name(k)}zz{k} " * 2, f"l{k:04d}") for k in range(2000)]
+    df = spark.createDataFrame(made, "doc_id long, text string, told string").repartition(4)
+    model = langid.train(df.withColumnRenamed("told", "lang"))
+    assert len(model.languages) == 2000
+    several = {r["doc_id"]: (r["lang"], round(r["prob"], 6), r["told"]) for r in langid.identified(df.filter("doc_id % 50 = 0"), model).collect()}
+    monkeypatch.setattr(langid, "BLOCK", 4000)
+    one = {r["doc_id"]: (r["lang"], round(r["prob"], 6), r["told"]) for r in langid.identified(df.filter("doc_id % 50 = 0"), model).collect()}
+    assert several == one and all(a == c for a, _, c in one.values())
+    right = {r["lang"]: (r["n"], r["right"]) for r in langid.accuracy(df.withColumnRenamed("told", "lang").limit(20), model).collect()}
+    assert all(v == (1, 1) for v in right.values())
 
 
 @pytest.mark.parametrize("file, end", [("byte_bpe_50k.json", 50256), ("piece_bpe_32k.model", 2), ("byte_bpe_50k.tiktoken", None)])

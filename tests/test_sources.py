@@ -7,7 +7,9 @@ import zlib
 
 import pytest
 
-from weft.sources import remote
+from pyspark.sql.datasource import EqualTo, GreaterThan, Not
+
+from weft.sources import datasource, remote
 from weft.sources.records import first_payload
 from weft.sources.registry import connector
 from weft.sources import planned
@@ -198,3 +200,64 @@ def test_file_lists_are_read_in_growing_parts(spark):
             part = None
     assert sizes == [1, 2, 4]
     assert "files" in hub.seen and next(connector("madlad400").parts(spark, {"lang": "b"}, fetch=hub)).count() == 1 and len(hub.seen["files"]) == 9
+
+
+@pytest.fixture
+def mixed(tmp_path):
+    (tmp_path / "a.txt").write_text("plain text")
+    (tmp_path / "b.html").write_text("<p>a page</p>")
+    (tmp_path / "c.jsonl").write_text("".join(json.dumps({"text": f"line {i}", "n": i}) + "\n" for i in range(500)))
+    (tmp_path / "d.jsonl.gz").write_bytes(b"no gzip")
+    (tmp_path / "e.bin").write_bytes(b"other")
+    return tmp_path
+
+
+def test_local_data_source(spark, mixed):
+    datasource.register(spark)
+    read = lambda **o: spark.read.format("weft_local").options(path=str(mixed), **o).load()
+    rows = read(split=1000).collect()
+    assert sorted(r["text"] for r in rows if r["error"] is None) == sorted(["plain text", "a page", *(f"line {i}" for i in range(500))])
+    assert [(r["path"][-10:], r["error"].split(":")[0]) for r in rows if r["error"]] == [("d.jsonl.gz", "BadGzipFile")]
+    assert read(split=1000).rdd.getNumPartitions() > 5
+    # filters on the place of a document reach the source: what they leave out is not opened
+    few = read().filter("kind = 'html' and bytes > 3")
+    assert [r["text"] for r in few.collect()] == ["a page"]
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Filter (" not in plan.replace("PushedFilters", "") or "kind" not in plan.split("BatchScan")[0]
+    assert read().filter("path like '%.txt'").count() == 1 and read().filter("kind in ('text', 'html') and text like '%page%'").count() == 1
+    assert read(split=1000, limit=2).filter("error is null").count() <= 2 * 3 and read(limit=3, glob="*.jsonl").count() == 3
+    spark.sql(f"create or replace temp view local_docs using weft_local options (path '{mixed}')")
+    assert spark.sql("select count(*) from local_docs where kind = 'json' and error is null").first()[0] == 500
+    with pytest.raises(Exception, match="path"):
+        spark.read.format("weft_local").load().collect()
+
+
+def test_pushed_filters_are_told():
+    names = ("path", "bytes")
+    assert datasource.told(EqualTo(("path",), "x"), names)({"path": "x", "bytes": 1})
+    assert datasource.told(Not(GreaterThan(("bytes",), 3)), names)({"path": "x", "bytes": 3})
+    assert datasource.told(EqualTo(("text",), "x"), names) is None and datasource.told(Not(EqualTo(("text",), "x")), names) is None
+    reader = datasource.FilesReader({"path": "/tmp"})
+    assert list(reader.pushFilters([EqualTo(("kind",), "html"), EqualTo(("text",), "x")])) == [EqualTo(("text",), "x")] and len(reader.tests) == 1
+
+
+def test_crawl_data_source(spark):
+    html = packed(b"<p>page")
+    asked = spark.sparkContext.accumulator(0)
+
+    def get(url, params, headers):
+        asked.add(1)
+        if "index" in url:
+            if params["url"] == "closed/*":
+                return 403, b""
+            return 200, "\n".join(json.dumps({"url": f"http://{params['url'][0]}/{i}", "filename": "gone" if i == 2 else "f", "offset": "0", "length": str(len(html))}) for i in range(4)).encode()
+        return (404, b"") if "gone" in url else (206, html)
+
+    datasource.register(spark, get, ())
+    read = lambda **o: spark.read.format("weft_crawl").options(url_patterns="a/* b/* closed/*", crawl="C", splits=2, **o).load()
+    rows = read().collect()
+    assert sorted(r["url"] for r in rows if r["text"] == "page") == [f"http://{x}/{i}" for x in "ab" for i in (0, 1, 3)]
+    assert sorted(r["error"].split(": ")[-1] for r in rows if r["error"]) == ["status 403", "status 404", "status 404"]
+    before = asked.value
+    assert read().filter("pattern = 'b/*' and url = 'http://b/1'").count() == 1
+    assert asked.value - before == 3  # the index for each split, and one page

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 # Classes and patterns that results depend on.
 WORD = "[\\p{L}\\p{N}_]+"
 SYMBOL = "(?U)[^\\p{L}\\p{N}_\\s]"
+#: Where a text is cut into sentences.
+SENTENCE_END = "(?<=[.!?])\\s+|\\n+"
 CONTROL = "[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f\\x7f-\\x9f]"
 STRIP = "(?U)^\\s+|\\s+$"
 EMAIL = "[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}"
@@ -121,4 +123,4 @@ def degenerate(text: Column) -> Column:
 
 
 def sentences(text: Column) -> Column:
-    return F.filter(F.transform(F.split(text, "(?<=[.!?])\\s+|\\n+"), strip), lambda s: s != "")
+    return F.filter(F.transform(F.split(text, SENTENCE_END), strip), lambda s: s != "")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weft.functions import text as X
-from weft.operators import evaluation, tokens
+from weft.operators import bootstrap, evaluation, tokens
 
 SHOTS, JUDGED_TOKENS = 3, 8
 
@@ -53,7 +53,7 @@ def benchmark(name: str) -> Benchmark:
 
 def result(verdicts: DataFrame, value: str = "value") -> DataFrame:
     """value (mean), n, lo and hi of rows (ord, value)."""
-    return evaluation.bootstrap(verdicts.select(F.lit("all").alias("name"), "ord", F.col(value).cast("double").alias("value"))).select(F.col("mean").alias("value"), "n", "lo", "hi")
+    return bootstrap.intervals(verdicts.select(F.lit("all").alias("name"), "ord", F.col(value).cast("double").alias("value"))).select(F.col("mean").alias("value"), "n", "lo", "hi")
 
 
 def choices(scorer, items: DataFrame, limit: int | None = None) -> DataFrame:

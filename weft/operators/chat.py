@@ -13,9 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from weft.functions import patterns
 from weft.functions import text as X
 from weft.operators.clean import running_total
 
+#: Up to so many excluded texts are looked for one by one, more of them by one automaton.
+FEW_PATTERNS = 16
+
 
 def first_truthy(*names: str) -> Column:
     return F.coalesce(*(F.nullif(F.col(n), F.lit("")) for n in names), F.lit(""))
@@ -57,7 +61,11 @@ def native_set(rows: DataFrame, instruction: str, response: str, source: str | N
     """Project rows to pairs: drop sources that contain an excluded text, keep one value of a field, first ``limit``."""
     if source and exclude:
         low = F.lower(F.coalesce(F.col(source).cast("string"), F.lit("None")))
-        rows = rows.filter(~F.exists(F.array(*map(F.lit, exclude)), lambda e: F.contains(low, F.lower(e))))
+        if len(exclude) <= FEW_PATTERNS:
+            rows = rows.filter(~F.exists(F.array(*map(F.lit, exclude)), lambda e: F.contains(low, F.lower(e))))
+        else:
+            marked = patterns.containing(rows.sparkSession, rows.withColumn("__low", low), "__low", [e.lower() for e in exclude], "__excluded")
+            rows = marked.filter("not __excluded").drop("__low", "__excluded")
     if select:
         rows = rows.filter(F.coalesce(F.col(select[0]).cast("string"), F.lit("None")) == select[1])
     text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(""))

@@ -6,9 +6,6 @@ counts 0 and chrF 0; ties of scores go to the lowest index; ratings that aren't
 
 from __future__ import annotations
 
-import random
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -28,25 +25,6 @@ def perplexity(losses: DataFrame) -> DataFrame:
     return losses.filter(n > 0).agg(F.exp(F.sum(F.col("loss") * n) / F.sum(n)).alias("perplexity"), F.sum(n).cast("long").alias("n"))
 
 
-def bootstrap(items: DataFrame, value: str = "value", rounds: int = 1000, seed: int = 0) -> DataFrame:
-    """(name, n, mean, lo, hi) for each name: order statistics 25 and 975 of resampled means.
-
-    Items are evaluation results (as many as a benchmark's limit, some hundreds), so a name is one group; its
-    draws follow each other in one random sequence, which can't be split.
-    """
-
-    def run(group: pd.DataFrame) -> pd.DataFrame:
-        values = group.dropna(subset=[value]).sort_values("ord", key=lambda c: c.map(lambda x: tuple(x.values()) if isinstance(x, dict) else tuple(x) if isinstance(x, (list, tuple)) else x))[value].astype(float).tolist()
-        rng, n = random.Random(seed), len(values)
-        if not n:
-            return pd.DataFrame({"name": [group["name"].iloc[0]], "n": [0], "mean": [None], "lo": [None], "hi": [None]})
-        means = sorted(sum(values[rng.randrange(n)] for _ in range(n)) / n for _ in range(rounds))
-        lo, hi = means[int(0.025 * rounds)], means[int(0.975 * rounds)]
-        return pd.DataFrame({"name": [group["name"].iloc[0]], "n": [n], "mean": [sum(values) / n], "lo": [lo], "hi": [hi]})
-
-    return items.groupBy("name").applyInPandas(run, "name string, n long, mean double, lo double, hi double")
-
-
 def chrf(pairs: DataFrame, order: int = 6, beta: float = 2.0) -> DataFrame:
     """Corpus chrF (0..100) of (id, hypothesis, reference): character n-grams without blanks, averaged over orders
     that occur on both sides; counts are clipped per pair."""

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weft.functions import langid
+from weft.functions import langid, patterns, tables
 from weft.functions import text as X
 from weft.functions.tokenizers import FileTokenizer
-from weft.operators import benchmarks, chat, clean, evaluation, licensing, similarity, tokens
+from weft.operators import benchmarks, bootstrap, chat, clean, evaluation, licensing, similarity, tokens
+from weft.operators.dedup_index import DedupIndex
 from weft.sources import remote
 from weft.sources.files import moses_pairs, smol_target
-from weft.storage import spread, table
+from weft.storage import fresh_path, spread, stored, table
 
+#: Rows that a model of languages learns from.
+LEARNT = "crc32(cast(cast(doc_id as string) as binary)) % 5 <> 0"
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
 
@@ -169,15 +174,44 @@ def lsh_candidates(spark, d):
     return similarity.lsh_candidates(clean.cleaned(spark, _docs(spark, d)))
 
 
+@query()
+def dedup_increments(spark, d):
+    """Why each document of a corpus that comes in four parts, in order of id, is dropped; earlier parts' texts aren't read again."""
+    docs = _docs(spark, d).select("doc_id", "text")
+    top = docs.agg(F.max("doc_id")).first()[0] or 0
+    index, out = DedupIndex(spark, fresh_path(spark, "index")), []
+    for k in range(4):
+        part = docs.filter(F.floor(F.col("doc_id") * 4 / (top + 1)) == k)
+        out.append(stored(spark, index.add(part, f"part-{k}"), "told"))
+    return reduce(DataFrame.unionByName, out)
+
+
 @query()
 def lsh_drops(spark, d):
     return similarity.lsh_drops(spark, clean.cleaned(spark, _docs(spark, d)))
 
 
+@query()
+def language_filter_predicted(spark, d):
+    """Reasons with the language that a model tells, which learnt from four of five documents."""
+    docs = _docs(spark, d)
+    model = langid.train(docs.filter(LEARNT))
+    return clean.judged(docs.drop("lang"), language="en", model=model).select("doc_id", "lang", "reason")
+
+
+@query()
+def language_accuracy(spark, d):
+    """How many documents of each language that the model didn't learn from it tells right."""
+    docs = _docs(spark, d).filter("lang <> ''")
+    return langid.accuracy(docs.filter(f"not ({LEARNT})"), langid.train(docs.filter(LEARNT)))
+
+
 @query()
 def language_predict(spark, d):
+    """The language of every document by a model that learnt from four of five; held_out says of which it didn't."""
     docs = _docs(spark, d)
-    return langid.identified(docs.select("doc_id", "text"), langid.train(docs)).select("doc_id", "lang", F.round("prob", 6).alias("prob"))
+    rows = docs.select("doc_id", "text", F.expr(f"not ({LEARNT})").alias("held_out"))
+    return langid.identified(rows, langid.train(docs.filter(LEARNT))).select("doc_id", "held_out", "lang", F.round("prob", 6).alias("prob"))
 
 
 # ---- chat
@@ -396,16 +430,17 @@ def chrf(spark, d):
     return evaluation.chrf(pairs).select(F.round("chrf", 6).alias("chrf"))
 
 
-_LANGS = "('sorani', 'belebele', 'ckb_Arab'), ('kurmanji', 'belebele', 'kmr_Latn'), ('farsi', 'global_mmlu', 'fa'), ('welsh', 'flores', 'cym_Latn'), ('made', 'flores', null)"
-_CONFIGS = "('belebele', 'ckb_Arab', false), ('global_mmlu', 'fa', false), ('flores', 'cym_Latn', true)"
-
-
 @query(
-    f"select language, benchmark, code, coalesce(found and not gated, false) as available, case when code is null then 'no code' when found is null then 'not covered' when gated then 'gated' else 'covered' end as reason from {_values(_LANGS, 'language, benchmark, code')} left join (select *, true as found from {_values(_CONFIGS, 'benchmark, code, gated')}) using (benchmark, code)"
+    """with l as (select distinct lang as language, source as benchmark, nullif(lang, '') || '_Latn' as code from documents),
+ c as (select source as benchmark, lang || '_Latn' as code, bool_or(toxic = 1) as gated, true as found from documents join labels using (doc_id) where lang <> '' group by 1, 2)
+ select language, benchmark, code, coalesce(found and not gated, false) as available, case when code is null then 'no code' when found is null then 'not covered' when gated then 'gated' else 'covered' end as reason from l left join c using (benchmark, code)"""
 )
 def coverage_matrix(spark, d):
-    languages = spark.sql(f"select * from values {_LANGS} as v(language, benchmark, code)")
-    return evaluation.coverage(languages, spark.sql(f"select * from values {_CONFIGS} as v(benchmark, code, gated)"))
+    """Which pairs of source and language the labels cover, those with a toxic document as gated."""
+    pairs = table(spark, d, "documents").select("doc_id", F.col("lang").alias("language"), F.col("source").alias("benchmark"), F.concat(F.nullif("lang", F.lit("")), F.lit("_Latn")).alias("code"))
+    labelled = pairs.filter("code is not null").join(table(spark, d, "labels"), "doc_id")
+    configs = labelled.groupBy("benchmark", "code").agg(F.bool_or(F.col("toxic") == 1).alias("gated"))
+    return evaluation.coverage(pairs.select("language", "benchmark", "code").distinct(), configs)
 
 
 @query("select count(*) as total, count(*) filter (where quality = 1) as reviewed, count(*) filter (where quality = 0) as pending, round(avg(doc_id % 5 + 1) filter (where quality = 1), 3) as mean_fluency, round(avg(doc_id % 4 + 1) filter (where quality = 1), 3) as mean_correctness from labels")
@@ -419,11 +454,34 @@ def judge_parse(spark, d):
     return evaluation.judge(_docs(spark, d).select(F.col("text").alias("reply")))
 
 
-@query()
+_MIXED = "xor(x, x >> 16)"
+_STEPS = " + ".join(f"(h >= {t})::int" for t in bootstrap.STEPS)
+
+
+@query(
+    f"""with items as (select 'quality' as name, doc_id as ord, quality as v from labels union all select 'toxic', doc_id, toxic from labels),
+ h0 as (select name, v, i as round, xor(ord & 4294967295, (i * 2654435761) & 4294967295) as x from items, range({bootstrap.ROUNDS}) r(i) where v is not null),
+ h1 as (select name, v, round, ({_MIXED} * {bootstrap.MULTIPLIERS[0]}) & 4294967295 as x from h0), h2 as (select name, v, round, ({_MIXED} * {bootstrap.MULTIPLIERS[1]}) & 4294967295 as x from h1),
+ w as (select name, v, round, {_STEPS} as w from (select name, v, round, {_MIXED} as h from h2)),
+ m as (select name, list(m order by m) as ms from (select name, sum(v * w)::double / sum(w) as m from w group by name, round having sum(w) > 0) group by name)
+ select name, count(v) as n, sum(v)::double / count(v) as mean, ms[floor(0.025 * len(ms))::int + 1] as lo, ms[floor(0.975 * len(ms))::int + 1] as hi from items join m using (name) group by name, ms"""
+)
 def bootstrap_ci(spark, d):
     l = table(spark, d, "labels")
     rows = l.select(F.lit("quality").alias("name"), F.col("doc_id").alias("ord"), F.col("quality").alias("value")).union(l.select(F.lit("toxic"), F.col("doc_id"), F.col("toxic")))
-    return evaluation.bootstrap(rows)
+    return bootstrap.intervals(rows)
+
+
+@query(
+    r"""with p as (select distinct lower(substr(text, 1 + (item_id * 7 % 40)::int, 12)) as p from benchmark union select distinct lower(text) from benchmark)
+ select doc_id, coalesce(bool_or(contains(lower(text), p)), false) as excluded, count(*) filter (where contains(lower(text), p)) as n_patterns from documents, p group by doc_id"""
+)
+def excluded_by_patterns(spark, d):
+    """Documents that contain any of the benchmark's items or a piece of each, whatever the case."""
+    text = table(spark, d, "benchmark").select(F.lower("text").alias("t"), F.lower(F.expr("substring(text, cast(1 + item_id * 7 % 40 as int), 12)")).alias("s"))
+    found = [x for r in text.collect() for x in r]  # patterns are given by whoever excludes
+    rows = patterns.containing(spark, _docs(spark, d).select("doc_id", F.lower("text").alias("text")), "text", found, "found", listed=True)
+    return rows.select("doc_id", (F.size("found") > 0).alias("excluded"), F.size("found").cast("long").alias("n_patterns"))
 
 
 # three fields of each side, of which the first filled counts; every fifth row has no response
@@ -531,12 +589,12 @@ def hub_documents(spark, d):
     return remote.hub_documents(rows, "fineweb2", {}).select("text", "source", F.try_element_at("meta", F.lit("url")).alias("url"))
 
 
-_TGT = "(1, 'one', array('a', 'b')), (2, '', array('c', 'd')), (3, null, array('e')), (4, null, cast(null as array<string>)), (5, '', cast(null as array<string>))"
-
-
-@query("select id, target from (values (1, 'one'), (2, 'c'), (3, 'e')) v(id, target)")
+@query("select id, target from (select conv_id * 1000 + turn as id, coalesce(nullif(case when role = 'assistant' then text when turn % 2 = 0 then '' end, ''), case turn % 3 when 0 then role when 1 then null else text end, '') as target from conversations) where target <> ''")
 def smol_targets(spark, d):
-    rows = spark.sql(f"select * from values {_TGT} as v(id, trg, trgs)")
+    turn, text = F.col("turn"), F.col("text")
+    many = F.when(turn % 3 == 0, F.array("role", "text")).when(turn % 3 == 1, F.array().cast("array<string>")).otherwise(F.array("text"))
+    one = F.when(F.col("role") == "assistant", text).when(turn % 2 == 0, "")
+    rows = table(spark, d, "conversations").select((F.col("conv_id") * 1000 + turn).alias("id"), one.alias("trg"), many.alias("trgs"))
     return rows.select("id", smol_target().alias("target")).filter("target <> ''")
 
 
@@ -552,25 +610,50 @@ def script_rules(spark, d):
     return _docs(spark, d).select("doc_id", X.normalize(made, digits=True, rules=("persian_yeh_kaf",)).alias("text"))
 
 
+# a tatweel and two non-joiners go, a presentation form becomes its letters, a control goes
+@query("select doc_id, lang || 'کی' || chr(8204) || 'ی' || source || 'لا' || doc_id as text from documents")
+def more_script_rules(spark, d):
+    made = F.concat("lang", F.lit("ك\u0640ي\u200c\u200cي"), "source", F.lit("\ufefb\x07"), F.col("doc_id").cast("string"))
+    rules = ("sorani_arabic", "arabic_presentation_forms", "kurdish_latin", "welsh_digraphs")
+    return _docs(spark, d).select("doc_id", X.normalize(made, rules=rules).alias("text"))
+
+
+@query(
+    r"""with s as (select doc_id, list_filter(list_transform(regexp_split_to_array(regexp_replace(text, '([.!?])[ \t\n\x0B\f\r]+', '\1' || chr(1), 'g'), '[\x01\n]+'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') as ss from documents)
+ select doc_id, unnest(ss) as sentence, generate_subscripts(ss, 1)::int - 1 as place from s"""
+)
+def sentence_rows(spark, d):
+    return tables.with_sentences(_docs(spark, d))
+
+
 # ---- licences
-_PROV = "('a', 's1', 'CC-BY-4.0'), ('a', 's2', 'CC-BY-SA-4.0'), ('b', 's1', 'CC0-1.0'), ('b', 's2', 'pd'), ('c', 's1', 'CC-BY-SA-4.0'), ('c', 's2', 'CC-BY-SA-3.0'), ('d', 's1', 'CC-BY-NC-4.0'), ('d', 's2', 'mit'), ('e', 's1', 'mixed'), ('f', 's1', 'MIT'), ('f', 's2', 'Apache-2.0'), ('g', 's1', null), ('h', 's1', 'unknown')"
+#: Licences that the documents' corpora of two are said to have, by doc_id.
+_LICENCES = ("CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "pd", "CC-BY-SA-3.0", "CC-BY-NC-4.0", "mit", "mixed", "Apache-2.0", None, "unknown")
+_PROV = f"(select doc_id // 2 as corpus, source, [{', '.join('null' if x is None else repr(x) for x in _LICENCES)}][1 + doc_id % {len(_LICENCES)}] as license from documents) v"
+
+
+def _provenance(spark: SparkSession, d: str) -> DataFrame:
+    license_ = F.get(F.array(*map(F.lit, _LICENCES)), (F.col("doc_id") % len(_LICENCES)).cast("int"))
+    return table(spark, d, "documents").select(F.floor(F.col("doc_id") / 2).alias("corpus"), "source", license_.alias("license"))
+
+
 _in = lambda xs: "('" + "', '".join(xs) + "')"
 
 
 @query(
-    f"""with p as (select corpus, license, lower(trim(license)) as id from {_values(_PROV, 'corpus, source, license')}),
+    f"""with p as (select corpus, license, lower(trim(license)) as id from {_PROV}),
  g as (select corpus, count(distinct id) filter (where license <> '') as n, count(*) filter (where id in {_in(licensing.BLOCKED)}) as blocked, count(distinct id) filter (where id in {_in(licensing.SHARE_ALIKE)}) as sa, min(license) filter (where id in {_in(licensing.SHARE_ALIKE)}) as alike,
   count(distinct id) filter (where id in {_in(licensing.PUBLIC_DOMAIN)}) as pd, count(distinct id) filter (where license <> '' and id not in {_in(licensing.BLOCKED + licensing.SHARE_ALIKE + licensing.PUBLIC_DOMAIN + licensing.PERMISSIVE)}) as rest, coalesce(array_to_string(list_sort(list(distinct license) filter (where license <> '')), ', '), '') as names from p group by 1),
  o as (select *, case when blocked > 0 then 'blocked' when sa > 1 then 'conflict' when rest > 0 then 'unclassified' when sa = 1 then 'share_alike' when n > 0 and pd = n then 'public_domain' else 'permissive' end as outcome from g)
  select corpus, outcome, case outcome when 'share_alike' then alike when 'public_domain' then 'CC0-1.0' when 'permissive' then 'Multiple permissive licenses (' || names || ')' end as license from o"""
 )
 def license_resolution(spark, d):
-    return licensing.resolution(spark.sql(f"select * from values {_PROV} as v(corpus, source, license)"), "corpus")
+    return licensing.resolution(_provenance(spark, d), "corpus")
 
 
-@query(f"select corpus, source from {_values(_PROV, 'corpus, source, license')} where lower(coalesce(license, '')) in ('', 'unknown', 'unresolved')")
+@query(f"select corpus, source from {_PROV} where lower(coalesce(license, '')) in ('', 'unknown', 'unresolved')")
 def unresolved_licenses(spark, d):
-    return licensing.unresolved(spark.sql(f"select * from values {_PROV} as v(corpus, source, license)")).select("corpus", "source")
+    return licensing.unresolved(_provenance(spark, d)).select("corpus", "source")
 
 
 @query()
@@ -580,7 +663,6 @@ def html_main_text(spark, d):
     return table(spark, d, "pages").select("page_id", extract(F.col("html")).alias("text"))
 
 
-@query(f"select corpus, source, source || ' (' || license || ')' as line from {_values(_PROV, 'corpus, source, license')} where coalesce(license, '') <> ''")
+@query(f"select corpus, source, source || ' (' || license || ')' as line from {_PROV} where coalesce(license, '') <> ''")
 def attribution_lines(spark, d):
-    rows = spark.sql(f"select *, cast(null as string) as url from values {_PROV} as v(corpus, source, license)")
-    return licensing.attributions(rows, "corpus")
+    return licensing.attributions(_provenance(spark, d).withColumn("url", F.lit(None).cast("string")), "corpus")

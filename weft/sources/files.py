@@ -1,7 +1,8 @@
 """Document sources over files, and sharded sinks. All reads declare their schema.
 
-Cases: blank texts and lines are no documents; a field that a line lacks is empty; a page without visible text
-is kept as it is; files are taken in order of path. PDF pages need the pypdf library.
+Cases: blank texts and lines are no documents; a field that a line lacks is empty; a page without visible text is
+no document; a PDF file that can't be read is a row with an error; files are taken in order of path. PDF pages are
+a document each and need the pypdf library.
 """
 
 from __future__ import annotations
@@ -59,12 +60,15 @@ class _Text(HTMLParser):
 
 
 def main_text(html: str | None) -> str:
-    """Visible text of the main part of a page, a line for each block; markup that gives none is returned as it is."""
+    """Visible text of the main part of a page, a line for each block; empty if there is none, the markup if it can't be parsed."""
     p = _Text()
-    p.feed(html or "")
-    p.close()
+    try:
+        p.feed(html or "")
+        p.close()
+    except AssertionError:  # the parser says so of declarations that it can't read
+        return html or ""
     lines = [" ".join(x.split()) for x in "".join(p.parts).split("\n")]
-    return "\n".join(x for x in lines if x) or (html or "")
+    return "\n".join(x for x in lines if x)
 
 
 def extract(html: Column) -> Column:
@@ -77,23 +81,27 @@ def extract(html: Column) -> Column:
     return run(html)
 
 
-def pdf_text(data: bytes) -> str:
-    """Texts of the pages that have any, a blank line between them."""
+def pdf_pages(data: bytes) -> list[str]:
+    """The text of each page."""
     import io
 
-    pages = (page.extract_text() or "" for page in need("pypdf").PdfReader(io.BytesIO(data)).pages)
-    return "\n\n".join(p.strip() for p in pages if p.strip())
+    return [page.extract_text() or "" for page in need("pypdf").PdfReader(io.BytesIO(data)).pages]
 
 
-def read_pdf(spark: SparkSession, path: str | list[str], extract_one=pdf_text) -> DataFrame:
-    """(path, line, text) of PDF files; ``extract_one`` gives the text of a file's bytes."""
+def read_pdf(spark: SparkSession, path: str | list[str], pages=pdf_pages) -> DataFrame:
+    """(path, line, text, error) of PDF files: a row for each page with a text, numbered in line, or one with an error.
 
-    @F.pandas_udf("string")
-    def run(s: pd.Series) -> pd.Series:
-        return s.map(extract_one)
+    ``pages`` gives the texts of a file's pages (or one text of it all) from its bytes.
+    """
+    from weft.functions.tables import with_pages
+
+    def listed(data: bytes) -> list[str]:
+        found = pages(data)
+        return [found] if isinstance(found, str) else found
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.pdf").load(path)
-    return files.select("path", F.lit(0).cast("long").alias("line"), run("content").alias("text"))
+    rows = with_pages(spark, files, listed)
+    return rows.select("path", F.coalesce("page", F.lit(0)).cast("long").alias("line"), F.coalesce("text", F.lit("")).alias("text"), "error")
 
 
 def _some(spark: SparkSession, path: str | list[str], endings: tuple[str, ...]):
@@ -103,7 +111,7 @@ def _some(spark: SparkSession, path: str | list[str], endings: tuple[str, ...]):
 
 def read_local(spark: SparkSession, path: str | list[str], max_docs: int | None = None, text_field: str = "text", pdf: bool | None = None) -> DataFrame:
     """Documents of a file or folder: text and Markdown files are one each, JSON lines one a line, pages their main
-    text, PDF files the text of their pages (``pdf``; if not said, where pypdf is installed). Blank texts are left out; meta.path names the file. With ``max_docs`` the first in order of path."""
+    text, PDF pages one each (``pdf``; if not said, where pypdf is installed). Blank texts are left out; meta.path names the file. With ``max_docs`` the first in order of path."""
     if not path:
         raise ValueError("a local source needs a path")
     place = F.col("_metadata.file_path").alias("path")
@@ -113,13 +121,13 @@ def read_local(spark: SparkSession, path: str | list[str], max_docs: int | None
     whole = raw.withColumn("text", F.when(page, extract(F.col("t"))).otherwise(F.col("t"))).select("path", F.lit(0).cast("long").alias("line"), "text")
     reader, at = _some(spark, path, KINDS["json"])
     lines = reader.schema(f"`{text_field}` string").json(at).select(place, F.monotonically_increasing_id().alias("line"), F.coalesce(F.col(text_field), F.lit("")).alias("text"))
-    rows = whole.unionByName(lines)
+    rows = whole.unionByName(lines).withColumn("error", F.lit(None).cast("string"))
     if find_spec("pypdf") is not None if pdf is None else pdf:
         rows = rows.unionByName(read_pdf(spark, path))
-    rows = rows.filter(F.regexp_replace("text", "(?U)\\s+", "") != "")
+    rows = rows.filter((F.regexp_replace("text", "(?U)\\s+", "") != "") | F.col("error").isNotNull())
     if max_docs is not None:
         rows = rows.orderBy("path", "line").limit(max_docs)
-    return rows.select("text", F.lit("local").alias("source"), F.create_map(F.lit("path"), "path").alias("meta"), "path", "line")
+    return rows.select("text", F.lit("local").alias("source"), F.create_map(F.lit("path"), "path").alias("meta"), "path", "line", "error")
 
 
 def read_shards(spark: SparkSession, path: str) -> DataFrame:
