@@ -21,7 +21,7 @@ from fnmatch import fnmatchcase
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, Not, StringContains, StringEndsWith, StringStartsWith
 from pyspark.sql.types import StructType
 
 from weft import uris
@@ -43,6 +43,8 @@ def told(f: Filter, names: tuple[str, ...]) -> Callable[[dict], bool] | None:
         inner = told(f.child, names)
         return None if inner is None else lambda row: not inner(row)
     test, column = _COMPARE.get(type(f)), ".".join(getattr(f, "attribute", ()))
+    if isinstance(f, IsNotNull) and column in names:
+        return lambda row: row[column] is not None
     if test is None or column not in names:
         return None
     value = f.value
@@ -181,7 +183,7 @@ def crawl_source(get: remote.Get, waits: tuple = remote.WAITS) -> type[DataSourc
         def pushFilters(self, filters):
             for f in filters:
                 test = told(f, ("pattern", "url"))
-                if test is None:
+                if test is None or isinstance(f, IsNotNull):
                     yield f
                 else:
                     # what asks for the pattern alone says which requests are made
