@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_edges import CLASHES
 from tests.llm.test_llm import DATA, ODD
-from weft.llm import decontaminate, kmeans, repair
+from weft.llm import decontaminate, kmeans, mixing, repair
 from weft.llm.common import OWN
 
 TURN = "conv_id long, turn long, role string, text string"
@@ -265,3 +265,24 @@ def test_whole_benchmark_on_both_ways(spark):
     docs, bench = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/benchmark.parquet")
     a, b = ({tuple(r) for r in decontaminate.report(spark, docs, bench, most=m).collect()} for m in (1 << 30, -1))
     assert a == b and any(r[-1] for r in a)
+
+
+def test_weights_may_be_far_apart():
+    rng = random.Random(8)
+    for _ in range(60):
+        blocks = {k: rng.randrange(1, 60) for k in "abcdefgh"[: rng.randrange(1, 8)]}
+        weights = mixing.integer_weights({k: rng.choice([1, 3, 7, 1e-3, 1e6, 0.1, 1e-300, 5e-324, 1e300]) for k in blocks})
+        slots, (releases, due) = mixing.placed_blocks(blocks, weights), zip(*mixing.windows(blocks, weights).values())
+        assert sorted(x for s in slots.values() for x in s) == list(range(sum(blocks.values())))
+        for mine, r, d in zip(slots.values(), releases, due):
+            assert all(a <= x < b for a, x, b in zip(r, mine, d))
+
+
+@pytest.mark.parametrize("wrong", [-1.0, float("nan"), float("inf"), float("-inf")])
+def test_wrong_weights_are_refused(spark, wrong):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, source string")
+    with pytest.raises(ValueError, match="finite"):
+        mixing.scheduled(spark, df, weights={"a": wrong})
+    many = spark.createDataFrame([(i, "b") for i in range(9)] + [(9, "a")], "doc_id long, source string")
+    far = mixing.scheduled(spark, many, weights={"a": 1e-300, "b": 1.0}, block_rows=1).collect()
+    assert sorted(r[OWN + "slot"] for r in far) == list(range(10))

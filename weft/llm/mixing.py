@@ -17,7 +17,8 @@ numbered on its own, and bucket counts are summed up to offsets.
 
 Cases: a null source is a source of its own; an empty table gives an empty result; repeated rows are
 rows each, in an arbitrary but fixed order; a source without target weight takes part with weight
-``default``; one of weight 0 follows when all others are used up; rows without id come first in their bucket; other columns pass through, whatever their names.
+``default``; one of weight 0 follows when all others are used up; a weight that is negative, infinite or not a number is
+refused, and finite ones may be as far apart as doubles are; rows without id come first in their bucket; other columns pass through, whatever their names.
 """
 
 from __future__ import annotations
@@ -45,6 +46,8 @@ LEAST_BUCKETS = 512
 
 def integer_weights(targets: dict) -> dict:
     """Integers in exactly the proportions of ``targets``."""
+    if wrong := [s for s, x in targets.items() if not (math.isfinite(x) and x >= 0)]:
+        raise ValueError(f"weights must be finite and not negative: {wrong[:5]}")
     exact = {s: Fraction(x) for s, x in targets.items()}
     scale = math.lcm(*(x.denominator for x in exact.values()))
     whole = {s: int(x * scale) for s, x in exact.items()}
@@ -71,7 +74,7 @@ def windows(blocks: dict, weights: dict) -> dict:
     out = {}
     for s, n in blocks.items():
         w = weights[s]
-        at = np.arange(n + 1) / w
+        at = np.arange(n + 1) * (1 / w)  # of integers of any size
         part = np.searchsorted(rough, at, side="right")
         # where doubles can't tell on which side of a turn a block starts, the rationals do
         close = np.isclose(rough[np.minimum(part, len(rough) - 1)], at, 1e-9) | np.isclose(rough[np.maximum(part - 1, 0)], at, 1e-9)
