@@ -2,8 +2,7 @@
 
 A scan is planned from a listing: one partition for some whole files, or for a byte range of a file of lines. Filters
 on the place of a document (path, kind, bytes) drop files before any is opened and are taken from Spark; what they
-can't say stays with it. ``limit`` ends each partition after as many documents, and plans no more partitions than a limit of
-documents of at least one byte could need. What can't be read is a row without text that says why in ``error``,
+can't say stays with it. ``limit`` ends each partition after as many documents. What can't be read is a row without text that says why in ``error``,
 so a broken file or a busy index never ends the scan.
 
 ``crawl_source(get)`` makes a data source of a crawl index from whatever asks for pages; a partition is a pattern, or one
@@ -94,10 +93,12 @@ class FilesReader(DataSourceReader):
             held.append((path, kind, f.size))
             size += f.size
         spans += [Span(held)] if held else []
-        return spans[: self.limit] if self.limit and len(spans) > self.limit else spans
+        return spans
 
-    def read(self, partition: Span) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: Span | None) -> Iterator[pa.RecordBatch]:
         n, rows, held = 0, [], 0
+        if partition is None:  # nothing was planned
+            return
         for path, kind, size in partition.files:
             try:
                 for place, text in self._documents(path, kind, partition):
@@ -194,6 +195,8 @@ def crawl_source(get: remote.Get, waits: tuple = remote.WAITS) -> type[DataSourc
             return [Pattern(p, k, self.splits) for p in wanted for k in range(self.splits)]
 
         def read(self, partition):
+            if partition is None:
+                return
             crawl = self.crawl or remote.newest_crawl(get, waits)
             found = remote.index_rows(get, crawl, 0, partition.pattern, self.limit, waits)
             for r in found[partition.nth :: partition.of]:
