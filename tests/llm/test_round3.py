@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.test_edges import CLASHES
 from tests.llm.test_llm import DATA, ODD
-from weft.llm import decontaminate, kmeans, mixing, repair
+from weft.llm import decontaminate, kmeans, lm, mixing, repair
 from weft.llm.common import OWN
 
 TURN = "conv_id long, turn long, role string, text string"
@@ -286,3 +286,20 @@ def test_wrong_weights_are_refused(spark, wrong):
     many = spark.createDataFrame([(i, "b") for i in range(9)] + [(9, "a")], "doc_id long, source string")
     far = mixing.scheduled(spark, many, weights={"a": 1e-300, "b": 1.0}, block_rows=1).collect()
     assert sorted(r[OWN + "slot"] for r in far) == list(range(10))
+
+
+def test_slices_of_a_shard_equal_one_task(spark):
+    """One context has most codes; its groups are shared by tasks, whose logs are those of one task."""
+    rng = random.Random(1)
+    texts = ["the the " * rng.randrange(1, 30) + " ".join(rng.choice(["the", "cat", "sat", "ate"]) for _ in range(30)) for _ in range(60)] + [None, "", "é ☃"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    docs = docs.select("doc_id", "text")
+    one = {r["doc_id"]: tuple(r) for r in lm.score(spark, docs, group_bytes=700).collect()}
+    for slice_groups, fan in ((1, 2), (5, 32)):
+        lm_fan = lm.summed.__defaults__
+        try:
+            lm.summed.__defaults__ = (fan,)
+            got = {r["doc_id"]: tuple(r) for r in lm.score(spark, docs, group_bytes=700, slice_groups=slice_groups).collect()}
+        finally:
+            lm.summed.__defaults__ = lm_fan
+        assert got.keys() == one.keys() and all(got[i] == pytest.approx(one[i], rel=1e-9) for i in one)

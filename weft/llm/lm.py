@@ -13,7 +13,8 @@ neighbouring rows, about GROUP_BYTES of text: the compressed texts as one row, a
 up that a code needs lie in its shard, the shorter ones (at most 257 ** BASE nodes) are broadcast, so a
 shard builds its part of the trie and rates the codes of all groups exactly as the whole trie would. Only
 the logs go back, in the order of the codes, and meet the texts of their group, which add them up. A shard
-holds a code of its contexts at most once for each group, however often texts repeat it.
+holds a code of its contexts at most once for each group, however often texts repeat it. A shard of more than
+SLICE_GROUPS groups is rated by several tasks, each of some groups beside the sums of all, which a tree adds up.
 
 The word unigram beside it is exact: the most frequent words are looked up in a bounded table,
 all others are joined with the stored counts of all training words.
@@ -48,6 +49,8 @@ SHARD_BYTES = 4 << 20
 #: What the rows of a group hold beside its shards: texts, counts of the longest level that is broadcast, counts of words.
 TEXTS, LEVEL, WORD_COUNTS = -3, -1, -2
 MOST_TASKS = 20_000
+#: Groups of a shard that one task rates (3 GB of text), and tables of counts that one task adds up.
+SLICE_GROUPS, FAN = 256, 32
 #: The compressed texts of a group are rows of so many bytes.
 PIECE_BYTES = 1 << 20
 #: Pages and row groups for large values: a page is looked at after every value.
@@ -296,16 +299,16 @@ def unpacked(packed: DataFrame) -> DataFrame:
     return packed.select("codes", "n").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
-def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int) -> DataFrame:
-    """(group, shard, logs): log10 probability (float32) of each code of each group, by the counts of all groups."""
+def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int, slice_groups: int = SLICE_GROUPS) -> DataFrame:
+    """(group, shard, logs): log10 probability (float32) of each code of each group, by the counts of all groups.
+
+    A shard of up to ``slice_groups`` groups is one task; of more, each slice of its groups is one, beside their sums.
+    """
     base = min(BASE, order)
     low = unpacked(pairs.filter(F.col("shard") == LEVEL)).toArrow()
     shared = spark.sparkContext.broadcast((low["key"].to_numpy(), low["n"].to_numpy()))
 
-    def run(table: pa.Table) -> pa.Table:
-        tight_heap()
-        parts = [(_unpacked(c), _unzipped(n)) for c, n in zip(table["codes"], table["n"])]
-        codes, n = _tally(parts)
+    def rated(table: pa.Table, parts: list, codes: np.ndarray, n: np.ndarray) -> pa.Table:
         keys, counts = shared.value
         below = [marginals(keys, counts, k) for k in range(base)]
         seen = n > 0
@@ -318,11 +321,55 @@ def rated_codes(spark: SparkSession, pairs: DataFrame, order: int, shards: int)
         trim()
         return pa.table({"group": table["group"], "shard": table["shard"], "logs": values})
 
-    mine = pairs.filter("shard >= 0").select("group", "shard", "codes", "n").repartition(min(MOST_TASKS, shards), "shard")
-    return mine.groupBy("shard").applyInArrow(run, "group long, shard long, logs binary")
+    def whole(table: pa.Table) -> pa.Table:
+        tight_heap()
+        parts = [(_unpacked(c), _unzipped(n)) for c, n in zip(table["codes"], table["n"])]
+        return rated(table, parts, *_tally(parts))
+
+    def beside(table: pa.Table, sums: pa.Table) -> pa.Table:
+        """The same for some groups of a shard, beside the sums of all its groups."""
+        tight_heap()
+        parts = [(_unpacked(c), _unzipped(n)) for c, n in zip(table["codes"], table["n"])]
+        own = [(c, np.zeros(len(c), np.int64)) for c, _ in parts]
+        return rated(table, parts, *_tally([*own, *((_unpacked(c), _unzipped(n)) for c, n in zip(sums["codes"], sums["n"]))]))
+
+    mine = pairs.filter("shard >= 0").select("group", "shard", "codes", "n")
+    slices_ = -(-pairs.filter((F.col("shard") == TEXTS) & (F.col("part") == 0)).count() // slice_groups)
+    out = "group long, shard long, logs binary"
+    if slices_ <= 1:
+        return mine.repartition(min(MOST_TASKS, shards), "shard").groupBy("shard").applyInArrow(whole, out)
+    mine = mine.withColumn("slice", F.pmod(F.xxhash64("group"), F.lit(slices_)))
+    sums = summed(spark, mine.select("shard", "slice", "codes", "n"), slices_).withColumn("slice", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slices_ - 1).cast("long"))))
+    tasks = min(MOST_TASKS, shards * slices_)
+    left, right = (x.repartition(tasks, "shard", "slice").groupBy("shard", "slice") for x in (mine, sums))
+    return left.cogroup(right).applyInArrow(beside, out)
+
+
+def summed(spark: SparkSession, rows: DataFrame, slices_: int, fan: int = FAN) -> DataFrame:
+    """(shard, codes, n): the counts of all groups of a shard, added up in a tree of ``fan`` slices to a task.
+
+    No task holds more than ``fan`` tables of the codes that were learnt, however many groups there are.
+    """
+
+    def add(table: pa.Table) -> pa.Table:
+        tight_heap()
+        codes, n = _tally([(_unpacked(c), _unzipped(m)) for c, m in zip(table["codes"], table["n"])])
+        seen = n > 0
+        codes, n = np.sort(codes[seen]), n[seen][np.argsort(codes[seen])]
+        out = pa.table({"shard": table["shard"].slice(0, 1), "slice": table["slice"].slice(0, 1), "codes": pa.array([_packed(codes)], pa.binary()), "n": pa.array([_zipped(n)], pa.binary())})
+        trim()
+        return out
+
+    kind = "shard long, slice long, codes binary, n binary"
+    while True:
+        rows = stored(spark, rows.groupBy("shard", "slice").applyInArrow(add, kind), "sums")
+        if slices_ == 1:
+            return rows.drop("slice")
+        slices_ = -(-slices_ // fan)
+        rows = rows.withColumn("slice", F.floor(F.col("slice") / fan))
 
 
-def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS, group_bytes: int = GROUP_BYTES) -> DataFrame:
+def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words: int = MOST_WORDS, group_bytes: int = GROUP_BYTES, slice_groups: int = SLICE_GROUPS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     bounded_batches(spark)
     seen = docs.agg(F.count_if(F.coalesce(fold("doc_id") != 1, F.lit(True))).alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
@@ -386,7 +433,7 @@ def score(spark: SparkSession, docs: DataFrame, order: int = ORDER, most_words:
     # a group or two for each task
     tasks = min(MOST_TASKS, 1 + 4 * seen["bytes"] // group_bytes)
     texts = pairs.filter(F.col("shard") == TEXTS).select("group", "codes", "part", "size", "sizes", "ids").repartition(tasks, "group")
-    rated = rated_codes(spark, pairs, order, shards).repartition(tasks, "group")
+    rated = rated_codes(spark, pairs, order, shards, slice_groups).repartition(tasks, "group")
     first = texts.groupBy("group").cogroup(rated.groupBy("group")).applyInArrow(rate, f"row long, doc_id {kind}, n_tokens long, known long, base double, score double, rare array<long>")
     first = stored(spark, first, "scored")
     rare = first.select("row", F.explode("rare").alias("key"))
