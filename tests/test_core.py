@@ -528,3 +528,22 @@ def test_lsh_walks_equal_rounds(spark):
     assert want == gone
     for walked in (0, 30):
         assert rows(similarity.lsh_drops(spark, df, walked), "doc_id") == gone
+
+
+def test_queries_without_sql_on_whole_tables(spark, tmp_path):
+    """Language queries on what they didn't learn from, increments against one run, main texts row by row."""
+    told = queries.language_accuracy(spark, "/root/testdata/sf0.01").collect()
+    n, right = sum(r["n"] for r in told), sum(r["right"] for r in told)
+    assert n > 150 and right / n > 0.97
+    table_ = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows_ = {r["doc_id"]: r for r in queries.language_predict(spark, DATA).collect()}
+    learnt = {r["doc_id"] for r in table_.filter(queries.LEARNT).select("doc_id").collect()}
+    assert set(rows_) == {r["doc_id"] for r in table_.select("doc_id").collect()} and all(r["held_out"] == (i not in learnt) for i, r in rows_.items())
+    for r in queries.language_filter_predicted(spark, DATA).collect():
+        assert r["reason"] != "wrong_language" or r["lang"] not in ("", "en")
+    four = {r["doc_id"]: r["why"] for r in queries.dedup_increments(spark, DATA).collect()}
+    one = {r["doc_id"]: r["why"] for r in DedupIndex(spark, str(tmp_path / "one")).add(table_.select("doc_id", "text"), "all").collect()}
+    assert four == one and {None, "duplicate"} <= set(one.values())
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{DATA}/pages.parquet").collect()}
+    assert {r["page_id"]: r["text"] for r in queries.html_main_text(spark, DATA).collect()} == {k: files.main_text(v) for k, v in pages.items()}
+    assert all(t.strip() == t and "<p>" not in t for t in map(files.main_text, pages.values()))
