@@ -319,3 +319,13 @@ def test_a_full_budget_ends_all_sources_and_opens_no_more_files(spark, here, mon
     assert card["budget_hit"] and card["mono_docs"] == 3 and card["mono_bytes"] == 2100 and card["parallel_docs"] == 0 and not asked
     assert sum(map(len, opened)) <= 4 and not any("9.jsonl" in p for paths in opened for p in paths)
     assert [r["source"] for r in json.loads((here / "work/.weft/manifest.json").read_text())["provenance"]] == ["local"]
+
+
+def test_too_short_a_corpus_stops_pretrain(spark, here):
+    project = project_file(here, stages=["ingest", "clean", "pretrain"])
+    for f in (here / "in").iterdir():
+        f.write_text("a few words")
+    with pytest.raises(ValueError, match="0 tokens"):
+        Run(spark, project).stages()
+    stages = json.loads((here / "work/.weft/manifest.json").read_text())["stages"]
+    assert list(stages) == ["ingest", "clean"]

@@ -64,11 +64,11 @@ def first_of_each(rows: DataFrame, keys: list[str], order: str = "doc_id") -> Da
 
 
 def flagged(spark: SparkSession, rows: DataFrame, ids: DataFrame, flag: str, most: int = BROADCAST_IDS) -> DataFrame:
-    """``rows`` with a boolean column that says whether their doc_id is among ``ids`` (doc_id, each once).
+    """``rows`` with a boolean column that says whether their doc_id is among ``ids`` (doc_id).
 
     Up to ``most`` ids are broadcast, so that rows and their texts stay where they are; more meet them in a merge join.
     """
-    ids = stored(spark, ids.select("doc_id"), "ids")
+    ids = stored(spark, ids.select("doc_id").distinct(), "ids")
     few = ids.limit(most + 1).count() <= most
     named = ids.select(F.col("doc_id").alias("__id"))
     met = rows.join(F.broadcast(named) if few else named.hint("merge"), F.col("doc_id") == F.col("__id"), "left")
@@ -90,7 +90,7 @@ def with_duplicates(spark: SparkSession, docs: DataFrame, keep: list[str] | None
     mine = digested.filter("digest is not null").select("doc_id", "digest")
     several = mine.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("n")).filter("n > 1").select("digest", "first_id")
     # a row without id is never the first of its text, and has no id by which it could be flagged
-    later = mine.join(several, "digest").filter("doc_id <> first_id").select("doc_id").distinct()
+    later = mine.join(several, "digest").filter("doc_id <> first_id").select("doc_id")
     met = flagged(spark, digested, later, "__again", most)
     again = F.col("__again") | (F.col("digest").isNotNull() & F.col("doc_id").isNull())
     return met.withColumn("reason", F.when(again, F.lit("duplicate")).otherwise(F.col("reason"))).drop("__again", "digest")

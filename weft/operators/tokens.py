@@ -88,7 +88,7 @@ def novel_tokens(trained: DataFrame, base: DataFrame, most: int | None = None) -
 def extension(base: DataFrame, novel: DataFrame) -> DataFrame:
     """(token, id) of the base vocabulary and of the novel tokens, which get the ids after its largest, in order of token."""
     top = base.agg((F.coalesce(F.max("id"), F.lit(-1)) + 1).alias("top"))
-    numbered = novel.select("token", (F.row_number().over(Window.orderBy("token")) - 1).alias("k"))  # bounded by the tokens asked for
+    numbered = running_total(novel.sparkSession, novel.select("token", F.lit(1).alias("one")), "token", "one", "k").select("token", "k")
     return base.select("token", F.col("id").cast("long").alias("id")).union(numbered.join(F.broadcast(top)).select("token", (F.col("k") + F.col("top")).cast("long")))
 
 

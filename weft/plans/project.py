@@ -153,9 +153,10 @@ class Run:
             return outputs, metrics
         tokenizer = self.tokenizers.get("base")
         wanted = min(cfg.seq_len, compute.max_seq_len_cap or cfg.seq_len)
-        length = tokens.fitting_length(tokens.token_total(docs, tokenizer), wanted)
+        total = tokens.token_total(docs, tokenizer)
+        length = tokens.fitting_length(total, wanted)
         if length is None:
-            return outputs, metrics | {"blocks": 0}
+            raise ValueError(f"the cleaned corpus has {total} tokens, too few for one block: add sources or lower clean.min_quality")
         most = tokens.block_budget(cfg.max_steps, compute.per_device_batch_size, compute.gradient_accumulation_steps) if cfg.max_steps else None
         out, seen = self.at("pretrain", "blocks"), Observation()
         tokens.packed(self.spark, docs, length, most, tokenizer).observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(out)
