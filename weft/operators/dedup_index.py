@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +23,7 @@ from weft import uris
 from weft.functions import text as X
 from weft.operators.clean import first_of_each
 from weft.operators.similarity import bucket_key, dropped_by_bucket, minhash_bands
-from weft.storage import stored
+from weft.storage import shared_dir, stored
 
 TABLES = {"digests": "digest string, increment string", "buckets": "key long, increment string"}
 
@@ -33,16 +34,20 @@ class DedupIndex:
     uri: str
 
     def __post_init__(self):
-        self.uri = uris.located(self.spark, self.uri)
+        if not self.uri.startswith(f"{shared_dir(self.spark)}/"):
+            self.uri = uris.located(self.spark, self.uri)
 
     def _folder(self, table: str, increment: str) -> str:
         return uris.join(self.uri, table, f"increment={increment}")
 
     def table(self, name: str, without: str | None = None) -> DataFrame:
         """A table of the index, without one increment; empty before the first one."""
-        if not uris.exists(uris.join(self.uri, name)):
+        try:
+            rows = self.spark.read.schema(TABLES[name]).parquet(uris.join(self.uri, name))
+        except AnalysisException as gone:
+            if gone.getCondition() != "PATH_NOT_FOUND":
+                raise
             return self.spark.createDataFrame([], TABLES[name])
-        rows = self.spark.read.schema(TABLES[name]).parquet(uris.join(self.uri, name))
         return rows if without is None else rows.filter(F.col("increment") != without)
 
     def add(self, docs: DataFrame, increment: str) -> DataFrame:
@@ -71,5 +76,5 @@ class DedupIndex:
 
     def forget(self, increment: str) -> None:
         """What an increment gave goes; texts like its own can be kept again."""
-        for name in TABLES:
-            uris.delete(self._folder(name, increment))
+        for name, schema in TABLES.items():
+            self.spark.createDataFrame([], schema).drop("increment").write.mode("overwrite").parquet(self._folder(name, increment))
