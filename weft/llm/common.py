@@ -2,26 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from weft.storage import fresh_path, nullable, shared_dir, stored, table  # noqa: F401
+from weft.storage import BATCH_BYTES, bounded_batches, fresh_path, nullable, shared_dir, stored, table  # noqa: F401
 
 #: Prefix of every helper column, so that columns of the input never clash with them.
 OWN = "__weft_"
-#: What an Arrow batch holds at most (or one row), unless the session asks for less.
-BATCH_BYTES = 8 << 20
-
-
-def bounded_batches(spark: SparkSession) -> None:
-    """Lets Python workers get their rows in batches of bounded bytes, however long the texts are."""
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    now = spark.conf.get(key, "64m").lower()
-    units = {"b": 0, "k": 10, "m": 20, "g": 30}
-    unit = next((u for u in units if u in now), "b")
-    digits = "".join(c for c in now if c.isdigit())
-    if not digits or int(digits) << units[unit] > BATCH_BYTES:
-        spark.conf.set(key, str(BATCH_BYTES))
 
 
 def fold(column, modulus: int = 5):
