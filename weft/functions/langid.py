@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from weft.log import logger
-from weft.storage import stored
+from weft.storage import bounded_batches, stored
 
 SIZES = (1, 2, 3, 4)
 BUCKETS = 1 << 15
 #: Languages of a block of the model (33 MB); a model of more is applied block by block, in passes over the texts.
 BLOCK = 256
 #: Shares of buckets that are added up at once (32 MB), and bytes of text whose n-grams are counted at once.
-SHARES, TEXTS = 4 << 20, 1 << 20
+SHARES, TEXTS = 4 << 20, 1 << 18
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -172,6 +172,7 @@ def train(docs: DataFrame) -> NgramModel:
                 total = np.bincount(at, count).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()).take(pa.array(key // BUCKETS)), pa.array(key % BUCKETS), pa.array(total)], ["lang", "bucket", "n"])
 
+    bounded_batches(docs.sparkSession)
     rows = docs.select("text", "lang").filter("text <> '' and lang <> ''")
     counts = stored(docs.sparkSession, rows.mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "counts")
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
@@ -192,6 +193,7 @@ def identified(docs: DataFrame, model, text: str = "text", label: str = "lang",
     between, so a worker never holds more than one block.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     rest = [c for c in docs.columns if c not in (label, prob)]
     blocks = model.blocks() if isinstance(model, NgramModel) and len(model.languages) > BLOCK else [model]
     rows = docs.select(*rest)
