@@ -6,9 +6,16 @@ counts 0 and chrF 0; ties of scores go to the lowest index; ratings that aren't
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weft.storage import bounded_batches, stored
+
+#: Characters of pairs whose n-grams are counted at once (or one pair).
+CHARS = 1 << 18
+
 
 def accuracy(items: DataFrame, correct: str = "correct") -> DataFrame:
     return items.agg(F.avg(F.col(correct).cast("int")).alias("accuracy"), F.count(correct).alias("n"))
@@ -25,19 +32,69 @@ def perplexity(losses: DataFrame) -> DataFrame:
     return losses.filter(n > 0).agg(F.exp(F.sum(F.col("loss") * n) / F.sum(n)).alias("perplexity"), F.sum(n).cast("long").alias("n"))
 
 
+def _gram_counts(order: int):
+    """A function over batches (id, hypothesis, reference) of texts without blanks that sums up, for each size of n-gram,
+    those of the hypotheses, of the references, and the matches within a row (none without id)."""
+
+    def counted(ids: pa.Array, sides: list[list[str]], total: np.ndarray) -> None:
+        rows, own = len(ids), np.arange(len(ids))
+        owner = np.concatenate([own, np.where(ids.is_valid().to_numpy(zero_copy_only=False), own, own + rows)])
+        sizes = np.array([len(x) for side in sides for x in side], np.int64)
+        code = np.frombuffer("".join(x for side in sides for x in side).encode("utf-32-le"), np.uint32).astype(np.int64)
+        end, at = np.repeat(np.cumsum(sizes), sizes), np.arange(len(code))
+        of_reference = int(sizes[:rows].sum())
+        rank = np.repeat(owner, sizes)  # of the n-gram that begins at each place, told apart by row
+        for n in range(1, order + 1):
+            inside = at + n <= end[at]
+            at, rank = at[inside], rank[inside]
+            if not len(at):
+                break
+            known, rank = np.unique((rank << 21) | code[at + n - 1], return_inverse=True)
+            cut = int(np.searchsorted(at, of_reference))
+            h, r = np.bincount(rank[:cut], minlength=len(known)), np.bincount(rank[cut:], minlength=len(known))
+            total[n - 1] += h.sum(), r.sum(), np.minimum(h, r).sum()
+
+    def run(batches):
+        total = np.zeros((order, 3), np.int64)
+        for b in batches:
+            h, r = (b.column(k).to_pylist() for k in (1, 2))
+            cuts, size = [0], 0
+            for i in range(len(h)):
+                if size and size + len(h[i]) + len(r[i]) > CHARS:
+                    cuts.append(i)
+                    size = 0
+                size += len(h[i]) + len(r[i])
+            for x, y in zip(cuts, [*cuts[1:], len(h)]):
+                counted(b.column(0)[x:y], [h[x:y], r[x:y]], total)
+        yield pa.RecordBatch.from_arrays([pa.array(range(1, order + 1), pa.int32()), *(pa.array(total[:, k]) for k in range(3))], ["n", "h", "r", "m"])
+
+    return run
+
+
 def chrf(pairs: DataFrame, order: int = 6, beta: float = 2.0) -> DataFrame:
     """Corpus chrF (0..100) of (id, hypothesis, reference): character n-grams without blanks, averaged over orders
-    that occur on both sides; counts are clipped per pair."""
+    that occur on both sides; counts are clipped per pair.
+
+    A row's n-grams are counted where it is, and only sums leave a task. Rows that repeat an id are one pair: theirs are
+    met by id and n-gram. Rows without id match nothing.
+    """
+    spark = pairs.sparkSession
+    bounded_batches(spark)
+    plain = lambda c: F.regexp_replace(F.coalesce(F.col(c), F.lit("")), "(?U)\\s+", "").alias(c)
+    rows = stored(spark, pairs.select("id", plain("hypothesis"), plain("reference")), "pairs")
+    again = stored(spark, rows.filter("id is not null").groupBy("id").count().filter("count > 1").select("id"), "again")
+    lone = rows.join(again, "id", "left_anti").select("id", "hypothesis", "reference").mapInArrow(_gram_counts(order), "n int, h long, r long, m long")
+
     def grams(side: str) -> DataFrame:
-        text = F.regexp_replace(F.coalesce(F.col(side), F.lit("")), "(?U)\\s+", "")
         n = F.explode(F.sequence(F.lit(1), F.lit(order))).alias("n")
-        rows = pairs.select("id", text.alias("t"), n).filter(F.length("t") >= F.col("n"))
+        long = rows.join(again, "id", "left_semi").select("id", F.col(side).alias("t"), n).filter(F.length("t") >= F.col("n"))
         grams_ = F.transform(F.sequence(F.lit(1), F.length("t") - F.col("n") + 1), lambda i: F.substring("t", i, F.col("n")))
-        return rows.select("id", "n", F.explode(grams_).alias("g")).groupBy("id", "n", "g").agg(F.count("*").alias(side))
+        return long.select("id", "n", F.explode(grams_).alias("g")).groupBy("id", "n", "g").agg(F.count("*").alias(side))
 
     met = grams("hypothesis").join(grams("reference"), ["id", "n", "g"], "full")
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    by_order = met.groupBy("n").agg(F.sum(zero("hypothesis")).alias("h"), F.sum(zero("reference")).alias("r"), F.sum(F.least(zero("hypothesis"), zero("reference"))).alias("m"))
+    shared = met.select("n", zero("hypothesis").alias("h"), zero("reference").alias("r"), F.least(zero("hypothesis"), zero("reference")).alias("m"))
+    by_order = lone.union(shared).groupBy("n").agg(*(F.sum(c).alias(c) for c in ("h", "r", "m")))
     both = by_order.filter("h > 0 and r > 0").agg(F.avg(F.col("m") / F.col("h")).alias("p"), F.avg(F.col("m") / F.col("r")).alias("q"))
     f = (1 + beta**2) * F.col("p") * F.col("q") / (beta**2 * F.col("p") + F.col("q"))
     return both.select(F.coalesce(F.when(F.col("p") + F.col("q") > 0, 100 * f), F.lit(0.0)).alias("chrf"))
