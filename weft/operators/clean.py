@@ -11,13 +11,17 @@ first; empty tables give empty results and a card of zeros; columns of other nam
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from weft.functions import text as X
 from weft.functions.langid import identified
-from weft.storage import stored
+from weft.storage import bounded_batches, nullable, stored
 
 #: So many ids, 16 MB of them, are broadcast at most.
 BROADCAST_IDS = 2_000_000
@@ -25,6 +29,7 @@ REASONS = ("empty_after_normalize", "wrong_language", "too_short_chars", "too_fe
 
 
 def normalized(docs: DataFrame, **rules) -> DataFrame:
+    bounded_batches(docs.sparkSession)
     return docs.withColumn("text", X.normalize(F.col("text"), **rules))
 
 
@@ -130,20 +135,35 @@ def data_card(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
 def running_total(spark: SparkSession, rows: DataFrame, order: str, value: str | list[str], out: str | list[str] = "before") -> DataFrame:
     """``rows`` with the sum of ``value`` over all earlier rows, without one task that sees all rows.
 
-    Rows are range-partitioned by ``order`` and stored with the number of their partition; partition sums
-    (one row each) give offsets, and a window within each partition does the rest. Several values share this.
+    Rows are range-partitioned by ``order``, summed up in order within their partition while they are stored, and sums of
+    partitions (one row each) give offsets: rows are shuffled once. Several values share this.
     """
     values, outs = ([x] if isinstance(x, str) else x for x in (value, out))
-    parts = rows.repartitionByRange(F.col(order)).withColumn("__part", F.spark_partition_id())
-    parts = stored(spark, parts, "ranges")
-    sums = parts.groupBy("__part").agg(*(F.sum(v).alias(f"__sum{i}") for i, v in enumerate(values)))
+    bounded_batches(spark)
+    given = rows.withColumns({f"__value{i}": F.coalesce(F.col(v).cast("long"), F.lit(0)) for i, v in enumerate(values)})
+    n = len(values)
+
+    def run(batches):
+        part, sums = TaskContext.get().partitionId(), [0] * n
+        for b in batches:
+            new = []
+            for i in range(n):
+                own = b.column(b.num_columns - n + i).to_numpy()
+                ends = sums[i] + np.cumsum(own)
+                new.append(pa.array(ends - own))
+                sums[i] = int(ends[-1]) if len(ends) else sums[i]
+            ids = pa.array(np.full(b.num_rows, part, np.int32))
+            yield pa.RecordBatch.from_arrays([*b.columns, *new, ids], schema.names)
+
+    schema = StructType([*nullable(given.schema).fields, *(StructField(f"__before{i}", LongType()) for i in range(n)), StructField("__part", IntegerType())])
+    parts = stored(spark, given.repartitionByRange(F.col(order)).sortWithinPartitions(order).mapInArrow(run, schema), "ranges")
+    sums = parts.groupBy("__part").agg(*(F.sum(f"__value{i}").alias(f"__sum{i}") for i in range(n)))
     earlier = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("__part", *(F.coalesce(F.sum(f"__sum{i}").over(earlier), F.lit(0)).alias(f"__offset{i}") for i in range(len(values))))
-    inside = Window.partitionBy("__part").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("__part", *(F.coalesce(F.sum(f"__sum{i}").over(earlier), F.lit(0)).alias(f"__offset{i}") for i in range(n)))
     # one row for each partition: bounded by their number
     met = parts.join(F.broadcast(offsets), "__part")
-    totals = {o: (F.coalesce(F.sum(v).over(inside), F.lit(0)) + F.col(f"__offset{i}")).cast("long") for i, (v, o) in enumerate(zip(values, outs))}
-    return met.withColumns(totals).drop("__part", *(f"__offset{i}" for i in range(len(values))))
+    totals = {o: F.col(f"__before{i}") + F.col(f"__offset{i}") for i, o in enumerate(outs)}
+    return met.withColumns(totals).drop("__part", *(f"__{x}{i}" for i in range(n) for x in ("value", "before", "offset")))
 
 
 def byte_budget(spark: SparkSession, docs: DataFrame, most_bytes: int) -> DataFrame:
