@@ -16,6 +16,7 @@ from pyspark.sql.window import Window
 from weft.functions import text as X
 from weft.functions.tokenizers import Words
 from weft.operators.clean import running_total
+from weft.storage import bounded_batches, stored
 
 EOS = Words.end
 
@@ -25,6 +26,7 @@ def fertility(docs: DataFrame, tokenizer=None) -> DataFrame:
 
     Without a tokenizer characters count as tokens.
     """
+    bounded_batches(docs.sparkSession)
     tokens = F.size(tokenizer.tokens(F.col("text"))) if tokenizer else F.length("text")
     rows = docs.select(F.size(X.blank_words(F.col("text"))).cast("long").alias("w"), tokens.cast("long").alias("t")).filter("w > 0")
     sums = rows.agg(F.sum("t").alias("n_tokens"), F.sum("w").alias("n_words")).select(*(F.coalesce(c, F.lit(0)).alias(c) for c in ("n_tokens", "n_words")))
@@ -42,26 +44,35 @@ def packed(spark: SparkSession, docs: DataFrame, seq_len: int, max_blocks: int |
     for each block it reaches, and these pieces meet by block, so tokens are never rows of their own and no task
     holds more than one block at a time.
     """
+    bounded_batches(spark)
     tokenizer = tokenizer or Words()
+    words = isinstance(tokenizer, Words)  # cheap to cut again, and much smaller as text than as an array
     tokens = tokenizer.tokens(F.col("text"))
     if tokenizer.end is not None:
         tokens = F.concat(tokens, F.array(F.lit(tokenizer.end)))
-    rows = docs.filter("text <> ''").select("doc_id", tokens.alias("ts"))
-    placed = running_total(spark, rows.withColumn("n", F.size("ts").cast("long")).filter("n > 0"), "doc_id", "n", "start")
+    docs = docs.filter("text <> ''")
+    # ids are stored before ranges are drawn from a sample of them, so no text is encoded twice
+    rows = docs.select("doc_id", "text", F.size(tokens).cast("long").alias("n")) if words else stored(spark, docs.select("doc_id", tokens.alias("ts")), "ids").withColumn("n", F.size("ts").cast("long"))
+    placed = running_total(spark, rows.filter("n > 0"), "doc_id", "n", "start")
+    if words:
+        placed = placed.withColumn("ts", tokens)
     last = F.floor((F.col("start") + F.col("n") - 1) / seq_len)
     reached = placed.select("start", "ts", F.explode(F.sequence(F.floor(F.col("start") / seq_len), last)).alias("block"))
     if max_blocks is not None:
         reached = reached.filter(F.col("block") < max_blocks)
     skip = F.greatest(F.col("block") * seq_len - F.col("start"), F.lit(0))
     room = (F.col("block") + 1) * seq_len - F.col("start") - skip
-    parts = reached.select("block", "start", F.slice("ts", (skip + 1).cast("int"), room.cast("int")).alias("part"))
+    part = F.slice("ts", (skip + 1).cast("int"), room.cast("int"))
+    parts = reached.select("block", "start", (F.array_join(part, " ") if words else part).alias("part"))
     blocks = parts.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
-    return blocks.select(F.col("block").cast("long").alias("block"), F.flatten(F.transform("parts", lambda x: x["part"])).alias("tokens")).filter(F.size("tokens") == seq_len)
+    part = lambda x: F.split(x["part"], " ") if words else x["part"]
+    return blocks.select(F.col("block").cast("long").alias("block"), F.flatten(F.transform("parts", part)).alias("tokens")).filter(F.size("tokens") == seq_len)
 
 
 def token_total(docs: DataFrame, tokenizer=None) -> int:
     """Tokens of all texts with their ends."""
     tokenizer = tokenizer or Words()
+    bounded_batches(docs.sparkSession)
     n = F.size(tokenizer.tokens(F.col("text"))) + int(tokenizer.end is not None)
     return docs.filter("text <> ''").agg(F.coalesce(F.sum(n), F.lit(0)).alias("n")).first()["n"]
 
